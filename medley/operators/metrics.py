@@ -163,7 +163,14 @@ def resource_report(samples: DataFrame, rate_basis: str = "elapsed",
     """Per sample the seven derived values (M1, M3, M5, M7, M8)."""
     if rate_basis not in RATE_BASES:
         raise ValueError(f"rate_basis must be one of {RATE_BASES}")
-    p = with_deltas(with_previous_good(samples, bucket_seconds=bucket_seconds), COUNTERS)
+    return report_from_previous(with_previous_good(samples, bucket_seconds=bucket_seconds),
+                                rate_basis)
+
+
+def report_from_previous(prev: DataFrame, rate_basis: str = "elapsed") -> DataFrame:
+    """M20 arithmetic on samples that already carry ``prev_ts`` and
+    ``prev_<counter>`` (from the batch carry or from stream state)."""
+    p = with_deltas(prev, COUNTERS)
     return p.select(
         "host", "ts", "seq",
         cpu_pct_col().alias("cpu_pct"),
@@ -289,7 +296,7 @@ def interval_rollup(report: DataFrame, samples: DataFrame | None = None,
         F.sum("db_queries_ps").alias("sum_db_queries_ps")))
 
 
-__all__ = ["resource_report", "cpu_pct", "mem_used_mb", "disk_rate_kbps", "counter_deltas",
+__all__ = ["resource_report", "report_from_previous", "cpu_pct", "mem_used_mb", "disk_rate_kbps", "counter_deltas",
            "queries_per_sec", "connections_gauge", "load_avg", "ram_mb", "drop_baseline",
            "cpu_ticks_sum", "disk_sum", "status_snapshot", "status_like", "interval_rollup",
            "counter_delta", "with_deltas", "check_interval", "with_previous_good", "STATUS_VARIABLES",

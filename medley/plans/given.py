@@ -37,7 +37,19 @@ def bound(spark: SparkSession, sf_dir: str, name: str, schema, mode="permissive"
 
 
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    return samples_from_events(table(spark, sf_dir, "events"))
+
+
+def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """The events table as a file stream (a single-file table needs the folder
+    plus a glob: a stream source path must be a directory)."""
+    schema = table(spark, sf_dir, "events").schema
+    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(sf_dir))
+
+
+def samples_from_events(e: DataFrame) -> DataFrame:
+    """Derive metric samples from events (works on batch and stream frames)."""
     ok = F.coalesce(F.col("event_type") != F.lit("error"), F.lit(False))
     base = F.col("event_id") % 1_000_000
     tv = F.col("value").cast("bigint")           # truncation toward zero

@@ -589,4 +589,34 @@ def resource_report(spark, sf):
     return _report(spark, sf)
 
 
+# ----------------------------------------------------------------- streaming
+
+@query("counter_delta_stream", with_samples("SELECT * FROM report", report=True))
+def counter_delta_stream(spark, sf):
+    """The resource report computed by a stream with per-host state;
+    equal to the batch report."""
+    from medley.streaming import metrics_stream as ms
+    stream = G.samples_from_events(G.events_stream(spark, sf))
+    return ms.run_to_table(spark, ms.resource_report_stream(stream), "counter-delta")
+
+
+@query("median_streaming", """
+SELECT time_bucket(INTERVAL '1 day', ts) AS window_start,
+       time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS window_end,
+       event_type, round(median(value), 4) AS median, count(value) AS n
+FROM events
+GROUP BY 1, 2, 3
+HAVING time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day'
+       <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'""")
+def median_streaming(spark, sf):
+    """Exact median per event type and day on the events stream; append
+    mode emits the days the watermark has closed."""
+    from medley.streaming import median_stream, metrics_stream as ms
+    m = median_stream.windowed_median(G.events_stream(spark, sf), "value", ["event_type"],
+                                      window="1 day", watermark="10 minutes")
+    out = ms.run_to_table(spark, m, "median-stream")
+    return out.select("window_start", "window_end", "event_type",
+                      F.round("median", 4).alias("median"), "n")
+
+
 __all__ = ["QUERIES", "FLAGSHIP_SQL", "flagship"]
