@@ -76,11 +76,10 @@ def half_to_float(col) -> Column:
     """
     b = _c(col)
     raw = F.conv(F.hex(b), 16, 10).cast("int")            # byte0 * 256 + byte1
-    bits = F.bitwise_or(F.shiftleft(F.bitwise_and(raw, F.lit(255)), 8),
-                        F.shiftright(raw, 8))               # little endian
+    bits = F.shiftleft(raw.bitwiseAND(255), 8).bitwiseOR(F.shiftright(raw, 8))  # little endian
     sign = F.shiftright(bits, 15)
-    exp = F.bitwise_and(F.shiftright(bits, 10), F.lit(31))
-    man = F.bitwise_and(bits, F.lit(1023)).cast("double")
+    exp = F.shiftright(bits, 10).bitwiseAND(31)
+    man = bits.bitwiseAND(1023).cast("double")
     mag = (F.when(exp == 0, man * F.lit(2.0 ** -24))
            .when(exp == 31, F.when(man == 0, F.lit(float("inf"))).otherwise(F.lit(float("nan"))))
            .otherwise(F.pow(F.lit(2.0), (exp - 15).cast("double")) * (F.lit(1.0) + man / F.lit(1024.0))))

@@ -148,6 +148,21 @@ def bind_parquet(spark: SparkSession, path: str, schema, mode: str = "permissive
     return functools.reduce(DataFrame.unionAll, frames)
 
 
+_NATURAL = {"half": T.FloatType(), "ts_ns": T.TimestampNTZType(),
+            "wide_decimal": T.StringType(), "time": T.StringType()}
+
+
+def natural_schema(spark: SparkSession, path: str) -> T.StructType:
+    """The file's own columns with the types they decode to (used when a
+    table is opened without a declared schema)."""
+    try:
+        _df, fields, kinds = _read_group(spark, [path], None)
+    except AnalysisException as exc:
+        raise _map_error(exc, path) from exc
+    return T.StructType([T.StructField(f.name, _NATURAL.get(k.kind, f.dataType), True)
+                         for f, k in zip(fields, kinds)])
+
+
 def _map_error(exc: Exception, path: str) -> Exception:
     msg = str(exc)
     if "PATH_NOT_FOUND" in msg:
@@ -198,13 +213,11 @@ def open_table(spark: SparkSession, name: str, warehouse: str | None = None) ->
             raise NoSuchTableError(f"no such table: {name}")
         path = f"{warehouse.rstrip('/')}/{name}.parquet"
         try:
-            raw = spark.read.parquet(path)
-            raw.schema
-        except AnalysisException as exc:
-            raise _map_error(exc, path) from exc
+            df = bind_parquet(spark, path, natural_schema(spark, path))
+        except (NoSuchTableError, CorruptTableError):
+            raise
         except Exception as exc:  # noqa: BLE001
             raise _map_error(exc, path) from exc
-        df = bind_parquet(spark, path, raw.schema)
     try:
         df.limit(0).collect()  # surface unreadable footers now, reads no rows
     except Exception as exc:  # noqa: BLE001
