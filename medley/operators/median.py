@@ -13,15 +13,16 @@ Strategies
 
   1. collapse ties: ``(keys, v) -> c`` (partial aggregation before the shuffle,
      so a value repeated a billion times is one row);
-  2. if some key has more than ``finish_rows`` distinct values, split the value
-     axis into buckets at approximate quantiles of the distinct values (a
-     bounded array of at most ``max_buckets`` doubles reaches the driver) and
-     tag every row with its bucket;
-  3. per (keys, bucket): count, min, max; a running sum over the buckets of a
-     key (at most ``max_buckets`` rows per key) locates the bucket(s) holding
-     ranks (n-1) div 2 and n div 2;
-  4. ranks in two different buckets are the max of the lower and the min of the
-     upper bucket; otherwise only that one bucket is sorted exactly.
+  2. if some key has more than ``finish_rows`` values, split the value axis
+     into buckets at approximate quantiles (a bounded array of at most
+     ``max_buckets`` doubles reaches the driver) and tag every row with its
+     bucket;
+  3. per (keys, bucket): a count; a running sum over the buckets of a key (at
+     most ``max_buckets`` rows per key) locates the bucket(s) holding ranks
+     (n-1) div 2 and n div 2;
+  4. only those one or two buckets are sorted, each on its own (the running
+     count of the earlier buckets is the offset), and the two middle values
+     are read off.
 
   The answer is exact whatever the quality of the approximate quantiles; they
   only decide how many rows the last sort handles.
@@ -64,7 +65,7 @@ def median_col(col) -> Column:
 
 def median(df: DataFrame, value: str, keys: list[str] | tuple = (),
            strategy: str = "rank", alias: str = "median",
-           extra_aggs: list[Column] | None = None, finish_rows: int = 1_000_000,
+           extra_aggs: list[Column] | None = None, finish_rows: int = 200_000,
            max_buckets: int = 65_536) -> DataFrame:
     """Exact median of ``value`` per group of ``keys`` (global when empty).
 
@@ -101,89 +102,80 @@ def _rank_median(df, value, keys, alias, extra, finish_rows, max_buckets):
         # a constant group key keeps every join below an equi-join
         df, keys = df.withColumn("_g", F.lit(0)), ["_g"]
     v = F.col(value).cast("double")
-    base = df.withColumn("_v", v)  # other columns stay for extra_aggs; pruned otherwise
-    # every group, also those whose values are all NULL; a global aggregate
-    # gives its one row even for an empty input
-    if out_keys:
-        summary = base.groupBy(*keys).agg(F.count("_v").alias("_n"), *extra)
-    else:
-        summary = base.agg(F.count("_v").alias("_n"), *extra).withColumn("_g", F.lit(0))
-    dist = (base.where(F.col("_v").isNotNull())
-            .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
-
-    widest = dist.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    # 1. collapse ties; NULL is kept as its own row so all-NULL groups survive
+    dist = df.groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    # per-key count straight from the input: a cheap partial aggregate that is
+    # also the bound used to decide on bucketing
+    src = df.withColumn("_v", v)
+    summary = (src.groupBy(*keys) if out_keys else src.groupBy()).agg(
+        F.count("_v").alias("_n"), *extra)
+    if not out_keys:   # a global aggregate has its one row even for an empty input
+        summary = summary.withColumn("_g", F.lit(0))
+
+    # 2. bucket the value axis only when some group may be too wide for one sort
+    #    (n bounds the distinct count from above)
+    widest = summary.agg(F.max("_n")).first()[0] or 0
+    values = dist.where(F.col("_v").isNotNull())
     if widest > finish_rows:
-        dist = _bucketize(dist, widest, finish_rows, max_buckets)
+        values = _bucketize(values, src, widest, finish_rows, max_buckets)
     else:
-        dist = dist.withColumn("_b", F.lit(0.0))
+        values = values.withColumn("_b", F.lit(0.0))
 
-    join_keys = keys + ["_b"]
+    # 3. counts per bucket, running count over the buckets of a key
+    per_bucket = values.groupBy(*keys, "_b").agg(F.sum("_c").alias("_cnt"))
+    w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = per_bucket.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
     ranks = summary.where(F.col("_n") > 0).select(
         *keys, F.expr("(_n - 1) div 2").alias("_rlo"), F.expr("_n div 2").alias("_rhi"))
-    per_bucket = dist.groupBy(*join_keys).agg(
-        F.sum("_c").alias("_cnt"), F.min("_v").alias("_vmin"), F.max("_v").alias("_vmax"))
-    w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.withColumn(
-        "_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    per_bucket = per_bucket.join(ranks, keys)
 
     def holds(rank):
         return ((F.col("_before") <= F.col(rank))
                 & (F.col(rank) < F.col("_before") + F.col("_cnt")))
 
-    lo = per_bucket.where(holds("_rlo")).select(
-        *keys, F.col("_b").alias("_blo"), F.col("_vmax").alias("_lo_max"),
-        F.col("_vmin").alias("_lo_min"), (F.col("_rlo") - F.col("_before")).alias("_klo"),
-        (F.col("_rhi") - F.col("_before")).alias("_khi"))
-    hi = per_bucket.where(holds("_rhi")).select(
-        *keys, F.col("_b").alias("_bhi"), F.col("_vmin").alias("_hi_min"))
-    targets = lo.join(hi, keys)
-
-    # ranks split across two buckets, or a bucket of one distinct value: known now
-    known = targets.where((F.col("_blo") != F.col("_bhi"))
-                          | (F.col("_lo_min") == F.col("_lo_max")))
-    known = known.select(*keys, F.col("_lo_max").alias("_vlo"),
-                         F.when(F.col("_blo") != F.col("_bhi"), F.col("_hi_min"))
-                         .otherwise(F.col("_lo_max")).alias("_vhi"))
-
-    # both ranks in one bucket: exact sort of that bucket only
-    open_ = targets.where((F.col("_blo") == F.col("_bhi"))
-                          & (F.col("_lo_min") != F.col("_lo_max")))
-    open_ = open_.select(*keys, F.col("_blo").alias("_b"), "_klo", "_khi")
-    cand = dist.join(open_, join_keys)
-    ws = Window.partitionBy(*join_keys).orderBy("_v")
-    cand = (cand.withColumn("_upto", F.sum("_c").over(
-                ws.rowsBetween(Window.unboundedPreceding, 0)))
+    targets = (per_bucket.join(ranks, keys).where(holds("_rlo") | holds("_rhi"))
+               .select(*keys, "_b", "_before", "_rlo", "_rhi"))   # 1 or 2 rows per key
+
+    # 4. exact ranks inside the target bucket(s); joining on (keys, bucket)
+    #    spreads a hot key over partitions and is the window's partitioning too
+    #    The sort is CPU-bound but small in bytes; an explicit partition count
+    #    keeps AQE from coalescing it into one task.
+    ws = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cand = (values.join(targets, keys + ["_b"]).repartition(parts, *keys, "_b")
+            .withColumn("_upto", F.col("_before") + F.sum("_c").over(ws))
             .withColumn("_from", F.col("_upto") - F.col("_c")))
-    covers = lambda k: (F.col("_from") <= F.col(k)) & (F.col(k) < F.col("_upto"))
-    exact = (cand.where(covers("_klo") | covers("_khi"))
-             .groupBy(*keys).agg(
-                 F.min(F.when(covers("_klo"), F.col("_v"))).alias("_vlo"),
-                 F.max(F.when(covers("_khi"), F.col("_v"))).alias("_vhi")))
 
-    picked = known.unionByName(exact)
+    def covers(rank):
+        return (F.col("_from") <= F.col(rank)) & (F.col(rank) < F.col("_upto"))
+
+    picked = (cand.where(covers("_rlo") | covers("_rhi")).groupBy(*keys).agg(
+        F.min(F.when(covers("_rlo"), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(covers("_rhi"), F.col("_v"))).alias("_vhi")))
     med = ((F.col("_vlo") + F.col("_vhi")) / F.lit(2.0)).alias(alias)
     out = summary.join(picked, keys, "left")
     return out.select(*out_keys, med, *[F.col(c) for c in summary.columns
                                         if c not in keys and c != "_n"])
 
 
-def _bucketize(dist: DataFrame, widest: int, finish_rows: int, max_buckets: int):
-    """Tag rows with value buckets cut at approximate quantiles of the distinct
-    values. The split array has at most ``max_buckets`` entries (size bound)."""
+def _bucketize(values: DataFrame, src: DataFrame, widest: int, finish_rows: int,
+               max_buckets: int):
+    """Tag rows with value buckets cut at approximate quantiles of the raw
+    values (one map-side sketch pass, no shuffle). A bucket then holds about
+    n / buckets raw rows, hence at most that many distinct values; the split
+    array has at most ``max_buckets`` entries (its size bound)."""
     from pyspark.ml.feature import Bucketizer
 
     n_buckets = int(min(max_buckets, max(2, math.ceil(4 * widest / finish_rows))))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     accuracy = max(10_000, 8 * n_buckets)
-    cuts = (dist.where(~F.isnan("_v"))
+    cuts = (src.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
             .agg(F.percentile_approx("_v", probs, accuracy)).first()[0]) or []
     finite = sorted({float(x) for x in cuts if x is not None and math.isfinite(x)})
     splits = [-math.inf] + finite + [math.inf]
     if len(splits) < 3:
-        return dist.withColumn("_b", F.lit(0.0))
+        return values.withColumn("_b", F.lit(0.0))
     return Bucketizer(splits=splits, inputCol="_v", outputCol="_b",
-                      handleInvalid="keep").transform(dist)
+                      handleInvalid="keep").transform(values)
 
 
 __all__ = ["median", "median_by_group", "median_distributed", "median_col",
