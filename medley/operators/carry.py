@@ -7,7 +7,8 @@ tiny window over per-bucket summaries (one row per key and bucket):
 
 1. inside each (key, bucket): ``last(pack, ignorenulls)`` over earlier rows;
 2. per (key, bucket): the latest packed row (``max`` of a struct whose first
-   fields are the order columns), computed on the already-partitioned data;
+   fields are the order columns). Catalyst computes it from the scan with a
+   partial aggregate, so only one row per (key, bucket) and task is shuffled;
 3. per key over buckets: the latest summary of the earlier buckets;
 4. join back on (key, bucket) and take 1. if present, else 3.
 
