@@ -574,6 +574,27 @@ def log_parse(spark, sf):
     return logs.parse_resource_lines(logs.resource_lines(_report(spark, sf)))
 
 
+@query("log_roundtrip", with_samples(f"""
+SELECT line,
+  TRY_CAST(regexp_extract(line, '{_PAT}', 1) AS DOUBLE) AS cpu_pct,
+  TRY_CAST(regexp_extract(line, '{_PAT}', 2) AS BIGINT) AS mem_used_mb,
+  TRY_CAST(regexp_extract(line, '{_PAT}', 3) AS BIGINT) AS mem_total_mb,
+  TRY_CAST(regexp_extract(line, '{_PAT}', 4) AS BIGINT) AS disk_read_kbps,
+  TRY_CAST(regexp_extract(line, '{_PAT}', 5) AS BIGINT) AS disk_write_kbps,
+  TRY_CAST(regexp_extract(line, '{_PAT}', 6) AS BIGINT) AS db_connections,
+  TRY_CAST(regexp_extract(line, '{_PAT}', 7) AS BIGINT) AS db_queries_ps
+FROM (SELECT {_RES_LINE_SQL} AS line FROM report) l""", report=True))
+def log_roundtrip(spark, sf):
+    """S14 + S15: resource lines written as a text log to the shared folder,
+    read back and parsed."""
+    from medley.session import scratch_path
+    from medley.sources.logs import read_log, write_log
+    folder = scratch_path(spark, "resource-log")
+    write_log(logs.resource_lines(_report(spark, sf)), folder, mode="overwrite")
+    parsed, _rejects = read_log(spark, folder)
+    return parsed.select("line", *[n for n, _ in logs.RESOURCE_FIELDS])
+
+
 @query("interval_rollup", with_samples("""
 SELECT host, make_timestamp((epoch_us(ts) // 300000000) * 300000000) AS interval_start,
        count(*) AS samples, max(cpu_pct) AS max_cpu_pct, max(mem_used_mb) AS max_mem_used_mb,
