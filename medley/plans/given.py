@@ -36,6 +36,11 @@ def bound(spark: SparkSession, sf_dir: str, name: str, schema, mode="permissive"
     return bind_parquet(spark, path(sf_dir, name), schema, mode)
 
 
+def bound_folder(spark: SparkSession, sf_dir: str, schema, mode="permissive") -> DataFrame:
+    """Every Parquet file of the folder bound by position."""
+    return bind_parquet(spark, sf_dir, schema, mode)
+
+
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples_from_events(table(spark, sf_dir, "events"))
 

@@ -104,6 +104,19 @@ def table_stats(spark, sf):
     return functools.reduce(DataFrame.unionAll, parts)
 
 
+@query("multi_file_bind", "\nUNION ALL\n".join(
+    f"SELECT CAST({c} AS BIGINT) AS id FROM {t}" for t, c in [
+        ("region", "r_regionkey"), ("nation", "n_nationkey"), ("customer", "c_custkey"),
+        ("supplier", "s_suppkey"), ("part", "p_partkey"), ("orders", "o_orderkey"),
+        ("lineitem", "l_orderkey"), ("events", "event_id"), ("documents", "doc_id"),
+        ("embeddings", "vec_id"), ("pages", "page_id"), ("benchmark", "item_id"),
+        ("labels", "doc_id"), ("conversations", "conv_id")]))
+def multi_file_bind(spark, sf):
+    """Every Parquet file of the folder, each with its own footer, bound by
+    position to one declared column (14 footers, 14 groups, one union)."""
+    return G.bound_folder(spark, sf, "id BIGINT")
+
+
 @query("row_position", None)
 def row_position(spark, sf):
     """Stable (file, row) position of every orders row."""
@@ -208,10 +221,14 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 GROUP BY o_orderpriority, l_returnflag""")
 def inner_equi_join(spark, sf):
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_quantity")
+    # pre-aggregate the lines of an order before the join: the aggregate is
+    # partitioned on the join key, so the join adds no shuffle of lineitem
+    per_order = li.groupBy("l_orderkey", "l_returnflag").agg(
+        F.count(F.lit(1)).alias("c"), F.sum("l_quantity").alias("q"))
     o = _t(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
+    return (per_order.join(o, per_order.l_orderkey == o.o_orderkey)
             .groupBy("o_orderpriority", "l_returnflag")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("sum_qty")))
+            .agg(F.sum("c").alias("n"), F.sum("q").alias("sum_qty")))
 
 
 @query("join_text_key", """
@@ -595,6 +612,13 @@ def log_roundtrip(spark, sf):
     return parsed.select("line", *[n for n, _ in logs.RESOURCE_FIELDS])
 
 
+@query("first_sample_baseline", with_samples(
+    "SELECT * FROM report WHERE disk_read_kbps IS NOT NULL", report=True))
+def first_sample_baseline(spark, sf):
+    """Samples that have a rate of their own (baseline rows dropped)."""
+    return mx.drop_baseline(_report(spark, sf))
+
+
 @query("interval_rollup", with_samples("""
 SELECT host, make_timestamp((epoch_us(ts) // 300000000) * 300000000) AS interval_start,
        count(*) AS samples, max(cpu_pct) AS max_cpu_pct, max(mem_used_mb) AS max_mem_used_mb,

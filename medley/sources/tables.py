@@ -43,10 +43,18 @@ def _open_fs(uri: str):
 
 
 def footer_schema(uri: str) -> pa.Schema:
-    """Arrow schema from one file's footer (reads metadata only)."""
+    """Arrow schema from one file's footer (reads metadata only). Legacy INT96
+    timestamps, which Spark reads as instants, are reported as UTC timestamps."""
     fs, path = _open_fs(uri)
     with fs.open_input_file(path) as fh:
-        return pq.ParquetFile(fh).schema_arrow
+        pf = pq.ParquetFile(fh)
+        schema = pf.schema_arrow
+        int96 = {pf.schema.column(i).path.split(".")[0] for i in range(len(pf.schema))
+                 if pf.schema.column(i).physical_type == "INT96"}
+    for i, f in enumerate(schema):
+        if f.name in int96 and pa.types.is_timestamp(f.type):
+            schema = schema.set(i, pa.field(f.name, pa.timestamp("us", tz="UTC")))
+    return schema
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
@@ -58,7 +66,7 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
             .load(path).select("path"))
 
 
-def footer_groups(spark: SparkSession, path: str) -> list[tuple[str, bool, list[str]]]:
+def footer_groups(spark: SparkSession, path: str) -> list[tuple[str, pa.Schema, list[str]]]:
     """Group the files under ``path`` by footer signature.
 
     Footers are read by executors (``mapInPandas``); only the file list per
@@ -70,18 +78,28 @@ def footer_groups(spark: SparkSession, path: str) -> list[tuple[str, bool, list[
             schemas = [footer_schema(p) for p in pdf["path"]]
             yield pd.DataFrame({"path": pdf["path"],
                                 "sig": [ty.signature(s) for s in schemas],
-                                "refused": [ty.needs_footer(s) for s in schemas]})
+                                "schema": [s.serialize().to_pybytes() for s in schemas]})
 
     rows = (list_files(spark, path)
-            .mapInPandas(read_footers, "path string, sig string, refused boolean")
-            .groupBy("sig", "refused")
-            .agg(F.sort_array(F.collect_list("path")).alias("files"))
+            .mapInPandas(read_footers, "path string, sig string, schema binary")
+            .groupBy("sig")
+            .agg(F.first("schema").alias("schema"),
+                 F.sort_array(F.collect_list("path")).alias("files"))
             .orderBy("sig").collect())
-    return [(r["sig"], r["refused"], list(r["files"])) for r in rows]
+    return [(r["sig"], pa.ipc.read_schema(pa.py_buffer(bytes(r["schema"]))), list(r["files"]))
+            for r in rows]
 
 
-def _is_single_file(path: str) -> bool:
-    return path.endswith(".parquet")
+def _is_single_file(spark: SparkSession, path: str) -> bool:
+    """A plain file (not a folder, even one named ``x.parquet``), asked of the
+    Hadoop file system the scan itself will use."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.getFileStatus(p).isFile())
+    except Exception:  # noqa: BLE001 - missing path or no JVM access (Connect)
+        return path.endswith(".parquet") and "*" not in path
 
 
 # --------------------------------------------------------------------------- binding
@@ -132,15 +150,14 @@ def bind_parquet(spark: SparkSession, path: str, schema, mode: str = "permissive
     """
     declared = ty.to_struct(schema)
     try:
-        if _is_single_file(path):
-            groups = [(None, False, [path])]
+        if _is_single_file(spark, path):
+            groups = [(None, None, [path])]   # Spark infers; footer only on refusal
         else:
-            groups = footer_groups(spark, path)
+            groups = footer_groups(spark, path)   # footers known: no inference
             if not groups:
                 raise NoSuchTableError(f"no Parquet files under {path}")
         frames = []
-        for _sig, refused, files in groups:
-            arrow_schema = footer_schema(files[0]) if refused else None
+        for _sig, arrow_schema, files in groups:
             df, raw_fields, kinds = _read_group(spark, files, arrow_schema)
             frames.append(_bind(df, raw_fields, kinds, declared, mode, row_position))
     except AnalysisException as exc:
