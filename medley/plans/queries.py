@@ -221,14 +221,12 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 GROUP BY o_orderpriority, l_returnflag""")
 def inner_equi_join(spark, sf):
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_quantity")
-    # pre-aggregate the lines of an order before the join: the aggregate is
-    # partitioned on the join key, so the join adds no shuffle of lineitem
-    per_order = li.groupBy("l_orderkey", "l_returnflag").agg(
-        F.count(F.lit(1)).alias("c"), F.sum("l_quantity").alias("q"))
     o = _t(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
-    return (per_order.join(o, per_order.l_orderkey == o.o_orderkey)
+    # one shuffle per side on the join key; pre-aggregating lineitem per
+    # (order, flag) would partition on both columns and force a second shuffle
+    return (li.join(o, li.l_orderkey == o.o_orderkey)
             .groupBy("o_orderpriority", "l_returnflag")
-            .agg(F.sum("c").alias("n"), F.sum("q").alias("sum_qty")))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("sum_qty")))
 
 
 @query("join_text_key", """
