@@ -60,3 +60,21 @@ def test_conversions(spark):
     assert rows[2].a == dt.date(2024, 1, 1)
     assert rows[0].c == dt.datetime(1969, 12, 14, 15, 20)
     assert [r.e for r in rows] == [0, 0, 1]
+
+
+@pytest.mark.parametrize("zone", ["America/Los_Angeles", "Asia/Kolkata"])
+def test_epoch_arithmetic_is_zone_free(spark, zone):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        vals = ["2024-03-10 02:30:00.123456", "2024-07-01 12:00:00", "1969-12-31 23:59:58.5",
+                "1900-01-01 00:00:00"]
+        df = spark.createDataFrame([(v,) for v in vals], "s STRING") \
+            .select(F.col("s").cast("timestamp_ntz").alias("ts"))
+        rows = df.select("ts", conv.ntz_to_micros("ts").alias("us")) \
+            .select("ts", "us", conv.micros_to_ntz("us").alias("back")).collect()
+        for r in rows:
+            assert r.us == (r.ts - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+            assert r.back == r.ts
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
