@@ -126,6 +126,52 @@ def check_args(df: DataFrame, name: str, *args) -> None:
                 f"{f.dataType.simpleString()}, expected {' or '.join(allowed)}")
 
 
+# Aggregate functions are registered separately from scalar ones. A SQL
+# function may not contain an aggregate in Spark, so the registry maps a name
+# to a Python builder of a native aggregate Column (it stays in the JVM).
+_AGGREGATES: dict[str, tuple] = {}
+
+
+def register_aggregate(name: str, builder, arg_classes=(("INT", "REAL", "DECIMAL"),),
+                       replace: bool = False) -> None:
+    """Register an aggregate by name; an existing name is an error unless
+    ``replace``."""
+    if name in _AGGREGATES and not replace:
+        raise ValueError(f"aggregate function {name} already exists")
+    _AGGREGATES[name] = (builder, tuple(arg_classes))
+
+
+def drop_aggregate(name: str, if_exists: bool = False) -> None:
+    if name not in _AGGREGATES:
+        if if_exists:
+            return
+        raise ValueError(f"no aggregate function {name}")
+    del _AGGREGATES[name]
+
+
+def aggregate(df: DataFrame, name: str, *args) -> Column:
+    """Checked call of a registered aggregate: count and classes are checked
+    on the resolved schema before any row is read."""
+    if name not in _AGGREGATES:
+        raise ValueError(f"no aggregate function {name}")
+    builder, classes = _AGGREGATES[name]
+    if len(args) != len(classes):
+        raise ArgumentCountError(f"{name}() requires exactly {len(classes)} argument(s)")
+    resolved = df.select(*[F.col(a) if isinstance(a, str) else a for a in args]).schema
+    for f, allowed in zip(resolved.fields, classes):
+        if _class_of(f.dataType) not in allowed:
+            raise ArgumentTypeError(f"{name}() does not accept {f.dataType.simpleString()}")
+    return builder(*args)
+
+
+def _register_default_aggregates() -> None:
+    from medley.operators.median import median_col
+    register_aggregate("my_median", median_col, replace=True)
+
+
+_register_default_aggregates()
+
+
 def call(df: DataFrame, name: str, *args) -> Column:
     """Checked call: validate, then return the native column expression."""
     check_args(df, name, *args)
@@ -133,4 +179,5 @@ def call(df: DataFrame, name: str, *args) -> Column:
 
 
 __all__ = ["register", "register_builtins", "drop", "exists", "list_registered",
-           "check_args", "call", "SPECS", "FunctionSpec", "CLASSES"]
+           "check_args", "call", "SPECS", "FunctionSpec", "CLASSES", "register_aggregate",
+           "drop_aggregate", "aggregate"]

@@ -78,3 +78,21 @@ def test_epoch_arithmetic_is_zone_free(spark, zone):
             assert r.back == r.ts
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_aggregate_registry(spark):
+    from medley.errors import ArgumentCountError, ArgumentTypeError
+    t = spark.createDataFrame([("A", 3.0), ("A", 1.0), ("A", 4.0), ("B", 10.0), ("B", 20.0)],
+                              "g STRING, x DOUBLE")
+    got = {r.g: r.m for r in t.groupBy("g").agg(registry.aggregate(t, "my_median", "x").alias("m")).collect()}
+    assert got == {"A": 3.0, "B": 15.0}
+    with pytest.raises(ArgumentTypeError):
+        registry.aggregate(t, "my_median", "g")
+    with pytest.raises(ArgumentCountError):
+        registry.aggregate(t, "my_median", "x", "x")
+    registry.register_aggregate("total", lambda c: F.sum(c))
+    with pytest.raises(ValueError):
+        registry.register_aggregate("total", lambda c: F.sum(c))
+    assert t.agg(registry.aggregate(t, "total", "x").alias("s")).first().s == 38.0
+    registry.drop_aggregate("total")
+    registry.drop_aggregate("total", if_exists=True)
