@@ -13,10 +13,10 @@ Strategies
 
   1. collapse ties: ``(keys, v) -> c`` (partial aggregation before the shuffle,
      so a value repeated a billion times is one row);
-  2. if some key has more than ``finish_rows`` values, split the value axis
-     into buckets at approximate quantiles (a bounded array of at most
-     ``max_buckets`` doubles reaches the driver) and tag every row with its
-     bucket;
+  2. one global pass counts the values and sketches quantiles; when there
+     are more than ``finish_rows`` values the value axis is split into
+     buckets at those quantiles (a bounded array of at most ``max_buckets``
+     doubles reaches the driver) and every row is tagged with its bucket;
   3. per (keys, bucket): a count; a running sum over the buckets of a key (at
      most ``max_buckets`` rows per key) locates the bucket(s) holding ranks
      (n-1) div 2 and n div 2;
@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from medley.errors import ArgumentCountError, ArgumentTypeError
@@ -112,12 +113,14 @@ def _rank_median(df, value, keys, alias, extra, finish_rows, max_buckets):
     if not out_keys:   # a global aggregate has its one row even for an empty input
         summary = summary.withColumn("_g", F.lit(0))
 
-    # 2. bucket the value axis only when some group may be too wide for one sort
-    #    (n bounds the distinct count from above)
-    widest = summary.agg(F.max("_n")).first()[0] or 0
+    # 2. one global pass gives the row count and a first set of quantile cuts;
+    #    when all rows fit one sort no group can be too wide, else the value
+    #    axis is bucketed (a finer sketch only for very large inputs)
     values = dist.where(F.col("_v").isNotNull())
-    if widest > finish_rows:
-        values = _bucketize(values, src, widest, finish_rows, max_buckets)
+    cuts = _cuts(src, finish_rows, max_buckets)
+    if cuts:
+        values = Bucketizer(splits=cuts, inputCol="_v", outputCol="_b",
+                            handleInvalid="keep").transform(values)
     else:
         values = values.withColumn("_b", F.lit(0.0))
 
@@ -157,25 +160,34 @@ def _rank_median(df, value, keys, alias, extra, finish_rows, max_buckets):
                                         if c not in keys and c != "_n"])
 
 
-def _bucketize(values: DataFrame, src: DataFrame, widest: int, finish_rows: int,
-               max_buckets: int):
-    """Tag rows with value buckets cut at approximate quantiles of the raw
-    values (one map-side sketch pass, no shuffle). A bucket then holds about
-    n / buckets raw rows, hence at most that many distinct values; the split
-    array has at most ``max_buckets`` entries (its size bound)."""
-    from pyspark.ml.feature import Bucketizer
+FIRST_CUTS = 1024
 
-    n_buckets = int(min(max_buckets, max(2, math.ceil(4 * widest / finish_rows))))
+
+def _sketch(src: DataFrame, n_buckets: int):
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    accuracy = max(10_000, 8 * n_buckets)
-    cuts = (src.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-            .agg(F.percentile_approx("_v", probs, accuracy)).first()[0]) or []
-    finite = sorted({float(x) for x in cuts if x is not None and math.isfinite(x)})
+    finite = F.when(~F.isnan("_v"), F.col("_v"))
+    return src.agg(F.count("_v").alias("n"),
+                   F.percentile_approx(finite, probs, max(10_000, 8 * n_buckets)).alias("q")).first()
+
+
+def _cuts(src: DataFrame, finish_rows: int, max_buckets: int) -> list[float] | None:
+    """Bucket splits for the value axis, or None when every group fits one sort.
+
+    A bucket holds about n / buckets raw rows, hence at most that many
+    distinct values. The split array has at most ``max_buckets`` entries (its
+    size bound on the driver and in the plan)."""
+    first = _sketch(src, FIRST_CUTS)
+    n = first["n"] or 0
+    if n <= finish_rows:
+        return None
+    wanted = int(min(max_buckets, math.ceil(4 * n / finish_rows)))
+    q = first["q"] if wanted <= FIRST_CUTS else _sketch(src, wanted)["q"]
+    finite = sorted({float(x) for x in (q or []) if x is not None and math.isfinite(x)})
+    if len(finite) > wanted:       # thin the first cuts to the wanted count
+        step = len(finite) / wanted
+        finite = sorted({finite[int(i * step)] for i in range(wanted)})
     splits = [-math.inf] + finite + [math.inf]
-    if len(splits) < 3:
-        return values.withColumn("_b", F.lit(0.0))
-    return Bucketizer(splits=splits, inputCol="_v", outputCol="_b",
-                      handleInvalid="keep").transform(values)
+    return splits if len(splits) >= 3 else None
 
 
 __all__ = ["median", "median_by_group", "median_distributed", "median_col",
