@@ -95,3 +95,26 @@ def test_interval_rollup_stream(spark, sample_files):
     assert got.count() > 0
     assert joined.where("samples != count").count() == 0
     assert joined.count() == got.count()
+
+
+def test_log_sink_and_source_stream(spark, sample_files):
+    """S14 / S15 on streams: report lines go to a text sink and come back parsed."""
+    from medley.operators import logs
+    from medley.session import scratch_path
+    from medley.sources.logs import read_log, read_log_stream, write_log_stream
+    folder, _ = sample_files
+    schema = spark.read.parquet(folder).schema
+    lines = logs.resource_lines(ms.resource_report_stream(_stream(spark, folder, schema)))
+    out, ckpt = scratch_path(spark, "log-out"), scratch_path(spark, "log-ckpt")
+    q = write_log_stream(lines, out, ckpt)
+    q.processAllAvailable()
+    q.stop()
+    parsed, rejects = read_log(spark, out)
+    want = logs.resource_lines(mx.resource_report(spark.read.parquet(folder))).select("line")
+    assert parsed.select("line").exceptAll(want).count() == 0
+    assert want.exceptAll(parsed.select("line")).count() == 0
+    assert rejects.count() == 0
+    # the folder read back as a stream parses the same lines
+    sparsed, _ = read_log_stream(spark, out)
+    got = ms.run_to_table(spark, sparsed.select("line", "cpu_pct", "db_queries_ps"), "log-back")
+    assert got.count() == parsed.count()
