@@ -40,7 +40,7 @@ from medley.errors import ArgumentCountError, ArgumentTypeError
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
 
-STRATEGIES = ("builtin", "rank")
+STRATEGIES = ("auto", "builtin", "rank")
 
 
 def check_median_input(df: DataFrame, *cols) -> str:
@@ -65,7 +65,7 @@ def median_col(col) -> Column:
 
 
 def median(df: DataFrame, value: str, keys: list[str] | tuple = (),
-           strategy: str = "rank", alias: str = "median",
+           strategy: str = "auto", alias: str = "median",
            extra_aggs: list[Column] | None = None, finish_rows: int = 200_000,
            max_buckets: int = 65_536) -> DataFrame:
     """Exact median of ``value`` per group of ``keys`` (global when empty).
@@ -73,16 +73,27 @@ def median(df: DataFrame, value: str, keys: list[str] | tuple = (),
     ``extra_aggs`` (COUNT, AVG, SUM, ...) are computed in the same grouping
     (A3). Every group of the input appears once, with NULL when it has no
     non-NULL value (A4, A5).
+
+    ``auto`` (default) counts the values in the sketch pass the rank strategy
+    needs anyway: with at most ``finish_rows`` values every group is small and
+    the built-in runs; otherwise the rank strategy does.
     """
     check_median_input(df, value)
     keys = list(keys)
     extra = list(extra_aggs or [])
-    if strategy == "builtin":
-        aggs = [median_col(value).alias(alias)] + extra
-        return df.groupBy(*keys).agg(*aggs)
-    if strategy != "rank":
+    if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
-    return _rank_median(df, value, keys, alias, extra, finish_rows, max_buckets)
+    if strategy == "builtin":
+        return _builtin(df, value, keys, alias, extra)
+    src = df.withColumn("_v", F.col(value).cast("double"))
+    n, cuts = _cuts(src, finish_rows, max_buckets)
+    if strategy == "auto" and n <= finish_rows:
+        return _builtin(df, value, keys, alias, extra)
+    return _rank_median(df, value, keys, alias, extra, cuts)
+
+
+def _builtin(df, value, keys, alias, extra):
+    return df.groupBy(*keys).agg(median_col(value).alias(alias), *extra)
 
 
 def median_by_group(df, value, keys, strategy="rank", **kw) -> DataFrame:
@@ -97,27 +108,24 @@ def median_distributed(df, value, **kw) -> DataFrame:
 
 # --------------------------------------------------------------------------- rank path
 
-def _rank_median(df, value, keys, alias, extra, finish_rows, max_buckets):
+def _rank_median(df, value, keys, alias, extra, cuts):
     out_keys = list(keys)
     if not keys:
         # a constant group key keeps every join below an equi-join
         df, keys = df.withColumn("_g", F.lit(0)), ["_g"]
     v = F.col(value).cast("double")
-    # 1. collapse ties; NULL is kept as its own row so all-NULL groups survive
+    # 1. collapse ties (partial aggregation before the shuffle)
     dist = df.groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    # per-key count straight from the input: a cheap partial aggregate that is
-    # also the bound used to decide on bucketing
+    # per-key count (and the extra aggregates) straight from the input
     src = df.withColumn("_v", v)
     summary = (src.groupBy(*keys) if out_keys else src.groupBy()).agg(
         F.count("_v").alias("_n"), *extra)
     if not out_keys:   # a global aggregate has its one row even for an empty input
         summary = summary.withColumn("_g", F.lit(0))
 
-    # 2. one global pass gives the row count and a first set of quantile cuts;
-    #    when all rows fit one sort no group can be too wide, else the value
-    #    axis is bucketed (a finer sketch only for very large inputs)
+    # 2. bucket the value axis at the cuts of the sketch pass (none when all
+    #    values fit one sort: then no group can be too wide)
     values = dist.where(F.col("_v").isNotNull())
-    cuts = _cuts(src, finish_rows, max_buckets)
     if cuts:
         values = Bucketizer(splits=cuts, inputCol="_v", outputCol="_b",
                             handleInvalid="keep").transform(values)
@@ -170,8 +178,9 @@ def _sketch(src: DataFrame, n_buckets: int):
                    F.percentile_approx(finite, probs, max(10_000, 8 * n_buckets)).alias("q")).first()
 
 
-def _cuts(src: DataFrame, finish_rows: int, max_buckets: int) -> list[float] | None:
-    """Bucket splits for the value axis, or None when every group fits one sort.
+def _cuts(src: DataFrame, finish_rows: int, max_buckets: int) -> tuple[int, list | None]:
+    """(number of values, bucket splits for the value axis); the splits are
+    None when every group fits one sort.
 
     A bucket holds about n / buckets raw rows, hence at most that many
     distinct values. The split array has at most ``max_buckets`` entries (its
@@ -179,7 +188,7 @@ def _cuts(src: DataFrame, finish_rows: int, max_buckets: int) -> list[float] | N
     first = _sketch(src, FIRST_CUTS)
     n = first["n"] or 0
     if n <= finish_rows:
-        return None
+        return n, None
     wanted = int(min(max_buckets, math.ceil(4 * n / finish_rows)))
     q = first["q"] if wanted <= FIRST_CUTS else _sketch(src, wanted)["q"]
     finite = sorted({float(x) for x in (q or []) if x is not None and math.isfinite(x)})
@@ -187,7 +196,7 @@ def _cuts(src: DataFrame, finish_rows: int, max_buckets: int) -> list[float] | N
         step = len(finite) / wanted
         finite = sorted({finite[int(i * step)] for i in range(wanted)})
     splits = [-math.inf] + finite + [math.inf]
-    return splits if len(splits) >= 3 else None
+    return n, (splits if len(splits) >= 3 else None)
 
 
 __all__ = ["median", "median_by_group", "median_distributed", "median_col",

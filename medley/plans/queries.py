@@ -251,7 +251,7 @@ SELECT l_returnflag, count(*) AS n, round(avg(l_quantity), 6) AS avg_qty,
 FROM lineitem GROUP BY l_returnflag""")
 def mixed_aggregates(spark, sf):
     li = _t(spark, sf, "lineitem")
-    m = med.median(li, "l_extendedprice", ["l_returnflag"], strategy="rank",
+    m = med.median(li, "l_extendedprice", ["l_returnflag"], strategy="auto",
                    extra_aggs=[F.count(F.lit(1)).alias("n"), F.avg("l_quantity").alias("_avg")])
     return m.select("l_returnflag", "n", F.round("_avg", 6).alias("avg_qty"),
                     F.round("median", 4).alias("median_price"))
@@ -366,14 +366,14 @@ def bool_to_int(spark, sf):
 
 @query("median_global", "SELECT round(median(l_extendedprice), 4) AS median FROM lineitem")
 def median_global(spark, sf):
-    m = med.median(_t(spark, sf, "lineitem"), "l_extendedprice", strategy="builtin")
+    m = med.median(_t(spark, sf, "lineitem"), "l_extendedprice", strategy="auto")
     return m.select(F.round("median", 4).alias("median"))
 
 
 @query("median_by_group", """
 SELECT l_returnflag, round(median(l_extendedprice), 4) AS median FROM lineitem GROUP BY l_returnflag""")
 def median_by_group(spark, sf):
-    m = med.median(_t(spark, sf, "lineitem"), "l_extendedprice", ["l_returnflag"], strategy="builtin")
+    m = med.median(_t(spark, sf, "lineitem"), "l_extendedprice", ["l_returnflag"], strategy="auto")
     return m.select("l_returnflag", F.round("median", 4).alias("median"))
 
 

@@ -47,3 +47,12 @@ def test_hot_group_with_heavy_ties(spark):
     got = {r.k: r.median for r in med.median(df, "v", ["k"], finish_rows=100).collect()}
     assert got == {"hot": 7.0, "cold": 1.5, "one": 5.0}
     assert med.median_distributed(df, "v", finish_rows=50).first().median == 7.0
+
+
+def test_auto_picks_either_path_with_same_answer(spark):
+    data = [("a", float(i % 7)) for i in range(50)] + [("b", None), ("c", 2.0)]
+    df = spark.createDataFrame(data, "k STRING, v DOUBLE")
+    small = {r.k: r.median for r in med.median(df, "v", ["k"], strategy="auto").collect()}
+    large = {r.k: r.median for r in med.median(df, "v", ["k"], strategy="auto",
+                                               finish_rows=5, max_buckets=8).collect()}
+    assert small == large == {"a": brute([v for k, v in data if k == "a"]), "b": None, "c": 2.0}
