@@ -13,10 +13,11 @@ Strategies
 
   1. collapse ties: ``(keys, v) -> c`` (partial aggregation before the shuffle,
      so a value repeated a billion times is one row);
-  2. one global pass counts the values and sketches quantiles; when there
-     are more than ``finish_rows`` values the value axis is split into
-     buckets at those quantiles (a bounded array of at most ``max_buckets``
-     doubles reaches the driver) and every row is tagged with its bucket;
+  2. a count pass; when there are more than ``finish_rows`` values the value
+     axis is split into buckets at approximate quantiles (sketched from a
+     seeded sample, as Spark's range partitioner does; a bounded array of at
+     most ``max_buckets`` doubles reaches the driver) and every row is tagged
+     with its bucket;
   3. per (keys, bucket): a count; a running sum over the buckets of a key (at
      most ``max_buckets`` rows per key) locates the bucket(s) holding ranks
      (n-1) div 2 and n div 2;
@@ -74,9 +75,9 @@ def median(df: DataFrame, value: str, keys: list[str] | tuple = (),
     (A3). Every group of the input appears once, with NULL when it has no
     non-NULL value (A4, A5).
 
-    ``auto`` (default) counts the values in the sketch pass the rank strategy
-    needs anyway: with at most ``finish_rows`` values every group is small and
-    the built-in runs; otherwise the rank strategy does.
+    ``auto`` (default) reads the count pass the rank strategy needs anyway:
+    with at most ``finish_rows`` values every group is provably small and the
+    built-in runs; otherwise the rank strategy does.
     """
     check_median_input(df, value)
     keys = list(keys)
@@ -168,34 +169,31 @@ def _rank_median(df, value, keys, alias, extra, cuts):
                                         if c not in keys and c != "_n"])
 
 
-FIRST_CUTS = 1024
-
-
-def _sketch(src: DataFrame, n_buckets: int):
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    finite = F.when(~F.isnan("_v"), F.col("_v"))
-    return src.agg(F.count("_v").alias("n"),
-                   F.percentile_approx(finite, probs, max(10_000, 8 * n_buckets)).alias("q")).first()
+SAMPLE_PER_BUCKET = 64
 
 
 def _cuts(src: DataFrame, finish_rows: int, max_buckets: int) -> tuple[int, list | None]:
     """(number of values, bucket splits for the value axis); the splits are
     None when every group fits one sort.
 
-    A bucket holds about n / buckets raw rows, hence at most that many
-    distinct values. The split array has at most ``max_buckets`` entries (its
-    size bound on the driver and in the plan)."""
-    first = _sketch(src, FIRST_CUTS)
-    n = first["n"] or 0
+    The count is one long per task. Split points are then sketched from a
+    seeded sample of about ``SAMPLE_PER_BUCKET`` rows per bucket, as Spark's
+    range partitioner does, so the sketch merge stays small however many
+    tasks there are. The sample only places split points: every row is still
+    counted and ranked exactly, so the result never depends on it. The split
+    array has at most ``max_buckets`` entries (its size bound on the driver
+    and in the plan)."""
+    n = src.agg(F.count("_v")).first()[0] or 0
     if n <= finish_rows:
         return n, None
     wanted = int(min(max_buckets, math.ceil(4 * n / finish_rows)))
-    q = first["q"] if wanted <= FIRST_CUTS else _sketch(src, wanted)["q"]
-    finite = sorted({float(x) for x in (q or []) if x is not None and math.isfinite(x)})
-    if len(finite) > wanted:       # thin the first cuts to the wanted count
-        step = len(finite) / wanted
-        finite = sorted({finite[int(i * step)] for i in range(wanted)})
-    splits = [-math.inf] + finite + [math.inf]
+    fraction = min(1.0, (SAMPLE_PER_BUCKET * wanted + 10_000) / n)
+    rows = src if fraction >= 1.0 else src.sample(fraction=fraction, seed=17)
+    probs = [i / wanted for i in range(1, wanted)]
+    finite = F.when(~F.isnan("_v"), F.col("_v"))
+    q = rows.agg(F.percentile_approx(finite, probs, max(10_000, 8 * wanted))).first()[0]
+    finite_cuts = sorted({float(x) for x in (q or []) if x is not None and math.isfinite(x)})
+    splits = [-math.inf] + finite_cuts + [math.inf]
     return n, (splits if len(splits) >= 3 else None)
 
 
