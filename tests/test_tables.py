@@ -248,3 +248,21 @@ def test_row_position_and_fetch(spark):
     got = tb.fetch_by_position(t, wanted).collect()
     assert [r.o_orderkey for r in got] == [raw[3].o_orderkey]
     assert tb.table_stats(t) == len(raw)
+
+
+def test_folder_with_refused_types_and_mixed_footers(spark, tmp):
+    """S13 + T18: a folder whose files have nanosecond timestamps (refused by
+    Spark's inference) under different names and column orders."""
+    d = os.path.join(tmp, "ns_folder")
+    os.makedirs(d)
+    ns = pa.array([1_704_164_645_123_456_789], type=pa.timestamp("ns"))
+    pq.write_table(pa.table({"when": ns, "id": [1]}), os.path.join(d, "a.parquet"))
+    pq.write_table(pa.table({"t": pa.array([0], type=pa.timestamp("ns")), "k": [2]}),
+                   os.path.join(d, "b.parquet"))
+    pq.write_table(pa.table({"t": pa.array([dt.datetime(2000, 1, 1)], type=pa.timestamp("us")),
+                             "k": [3]}), os.path.join(d, "c.parquet"))
+    got = sorted(tuple(r) for r in tb.bind_parquet(spark, d, "ts TIMESTAMP_NTZ, id BIGINT").collect())
+    assert got == [(dt.datetime(1970, 1, 1), 2), (dt.datetime(2000, 1, 1), 3),
+                   (dt.datetime(2024, 1, 2, 3, 4, 5, 123456), 1)]
+    groups = tb.footer_groups(spark, d)
+    assert len(groups) == 3 and sum(len(f) for _, _, f in groups) == 3
