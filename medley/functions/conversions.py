@@ -33,12 +33,10 @@ def ntz_to_micros(col) -> Column:
 
     Subtracting two timestamp_ntz values is zone-free interval arithmetic (no
     cast through the session zone, so no daylight-saving gap can shift it);
-    the day-to-second interval is then summed field by field, exactly."""
+    the day-time interval, held as microseconds, is then read out as seconds
+    with six decimals, exactly."""
     iv = _c(col) - epoch_ntz()
-    return (F.extract(F.lit("DAY"), iv).cast("bigint") * F.lit(86_400_000_000)
-            + F.extract(F.lit("HOUR"), iv).cast("bigint") * F.lit(3_600_000_000)
-            + F.extract(F.lit("MINUTE"), iv).cast("bigint") * F.lit(60_000_000)
-            + (F.extract(F.lit("SECOND"), iv) * F.lit(1_000_000)).cast("bigint"))
+    return (iv.cast("interval second").cast("decimal(20,6)") * F.lit(1_000_000)).cast("bigint")
 
 
 def ltz_to_utc_ntz(col) -> Column:

@@ -20,14 +20,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from medley.functions.conversions import ntz_to_micros
-
 DEFAULT_BUCKET_SECONDS = 3600
 
 
 def time_bucket(ts_col: str, seconds: int) -> Column:
-    """Bucket number of a timestamp_ntz column (floor of epoch / width)."""
-    return F.floor(ntz_to_micros(ts_col) / F.lit(seconds * 1_000_000)).cast("bigint")
+    """Bucket number of a timestamp column: whole epoch seconds (zone-free for
+    timestamp_ntz) divided by the width. Only monotonicity in time matters
+    here: the bucket decides partitioning, never a value."""
+    return F.floor(F.unix_timestamp(F.col(ts_col)) / F.lit(seconds)).cast("bigint")
 
 
 def with_previous(df: DataFrame, cols: list[str], keys: list[str], order: list[str],

@@ -25,7 +25,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from medley.functions.conversions import ntz_to_micros
 from medley.operators.carry import DEFAULT_BUCKET_SECONDS, with_previous
 
 KEYS = ["host"]
@@ -73,7 +72,12 @@ def counter_delta(cur: str, prev: str | None = None) -> Column:
 
 
 def _elapsed_us() -> Column:
-    return ntz_to_micros("ts") - ntz_to_micros("prev_ts")
+    """Microseconds from the previous good sample: the difference of two
+    timestamps is a zone-free interval, read out exactly as seconds with six
+    decimals (a compact decimal, long arithmetic)."""
+    iv = F.col("ts") - F.col("prev_ts")
+    secs = iv.cast("interval second").cast("decimal(18,6)")
+    return F.round(secs.cast("double") * F.lit(1e6)).cast("bigint")
 
 
 def _per_second(delta_col: str, basis: str) -> Column:
