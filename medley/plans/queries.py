@@ -540,13 +540,13 @@ def _with_snapshot(sql: str) -> str:
 @query("status_snapshot", _with_snapshot(
     "SELECT host, Variable_name, Value FROM snapshot ORDER BY host, Variable_name"))
 def status_snapshot(spark, sf):
-    return mx.status_snapshot(_report(spark, sf)).orderBy("host", "Variable_name")
+    return mx.status_snapshot(mx.latest_report(_samples(spark, sf))).orderBy("host", "Variable_name")
 
 
 @query("status_like", _with_snapshot(
     "SELECT host, Variable_name, Value FROM snapshot WHERE Variable_name LIKE 'my_resource_d%'"))
 def status_like(spark, sf):
-    return mx.status_like(mx.status_snapshot(_report(spark, sf)), "my_resource_d%")
+    return mx.status_like(mx.status_snapshot(mx.latest_report(_samples(spark, sf))), "my_resource_d%")
 
 
 _RES_FMT = ("'my_resource: CPU=%.1f%% | MEM=%d/%dMB | DISK_R=%dKB/s DISK_W=%dKB/s"

@@ -120,3 +120,18 @@ def test_derived_samples_exercise_the_rules(spark):
     assert resets.count() > 0                     # counter resets present
     assert s.where("NOT ok").count() > 0          # failed samples present
     assert rep.where("cpu_pct IS NULL").count() == 8   # one baseline per host
+
+
+@pytest.mark.parametrize("bucket", [60, 3600, 10 ** 7])
+def test_latest_report_equals_last_rows_of_full_report(spark, bucket):
+    s = G.metric_samples(spark, "/root/testdata/sf0.001")
+    full = mx.status_snapshot(mx.resource_report(s))
+    latest = mx.status_snapshot(mx.latest_report(s, bucket_seconds=bucket))
+    assert full.count() == latest.count() == 8 * 7
+    assert full.exceptAll(latest).count() == 0
+
+
+def test_latest_report_on_fixture(samples):
+    rows = {r.host: r for r in mx.latest_report(samples).collect()}
+    assert rows["a"].seq == 6 and rows["a"].cpu_pct == 0.0          # reset row is latest
+    assert rows["b"].cpu_pct is None                                  # one-row host
