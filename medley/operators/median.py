@@ -31,6 +31,7 @@ Strategies
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.ml.feature import Bucketizer
@@ -117,34 +118,49 @@ def _rank_median(df, value, keys, alias, extra, cuts):
     v = F.col(value).cast("double")
     # 1. collapse ties (partial aggregation before the shuffle)
     dist = df.groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    # per-key count (and the extra aggregates) straight from the input
-    src = df.withColumn("_v", v)
-    summary = (src.groupBy(*keys) if out_keys else src.groupBy()).agg(
-        F.count("_v").alias("_n"), *extra)
+    # every key of the input (an all-NULL group keeps its row) and the extra
+    # aggregates: straight from the input when there are extras, else from
+    # the tie-collapsed rows (NULL values included), which reuses their shuffle
+    base, rows = (df, F.count(F.lit(1))) if extra else (dist, F.sum("_c"))
+    summary = (base.groupBy(*keys) if out_keys else base.groupBy()).agg(
+        rows.alias("_rows"), *extra)
     if not out_keys:   # a global aggregate has its one row even for an empty input
         summary = summary.withColumn("_g", F.lit(0))
 
     # 2. bucket the value axis at the cuts of the sketch pass (none when all
-    #    values fit one sort: then no group can be too wide)
-    values = dist.where(F.col("_v").isNotNull())
+    #    values fit one sort: then no group can be too wide). NULL values are
+    #    not filtered out but given weight 0 in bucket -1: a filter on a
+    #    grouping column is pushed below the aggregate and would make this
+    #    shuffle differ from the summary's, so the input would be read twice.
+    #    The bucket id is a non-nullable int for the same reason (and a double
+    #    key would be NaN-normalised by every join, window and exchange, so one
+    #    partitioning could not serve the next).
+    values = dist.withColumn("_w", F.when(F.col("_v").isNull(), F.lit(0)).otherwise(F.col("_c")))
     if cuts:
-        values = Bucketizer(splits=cuts, inputCol="_v", outputCol="_b",
-                            handleInvalid="keep").transform(values)
+        values = (Bucketizer(splits=cuts, inputCol="_v", outputCol="_bd",
+                             handleInvalid="keep").transform(values)
+                  .withColumn("_b", F.coalesce(F.col("_bd").cast("int"), F.lit(-1)))
+                  .drop("_bd"))
     else:
-        values = values.withColumn("_b", F.lit(0.0))
-
-    # 3. counts per bucket, running count over the buckets of a key
-    per_bucket = values.groupBy(*keys, "_b").agg(F.sum("_c").alias("_cnt"))
-    w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    ranks = summary.where(F.col("_n") > 0).select(
-        *keys, F.expr("(_n - 1) div 2").alias("_rlo"), F.expr("_n div 2").alias("_rhi"))
+        values = values.withColumn("_b", F.when(F.col("_v").isNull(), F.lit(-1)).otherwise(F.lit(0)))
+
+    # 3. counts per bucket; over the buckets of a key (at most max_buckets
+    #    rows) a running count and the key's total, which gives the ranks
+    per_bucket = values.groupBy(*keys, "_b").agg(F.sum("_w").alias("_cnt"))
+    by_key = Window.partitionBy(*keys).orderBy("_b")   # one sort serves both frames
+    w = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    whole = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    per_bucket = (per_bucket
+                  .withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
+                  .withColumn("_n", F.sum("_cnt").over(whole))
+                  .withColumn("_rlo", F.expr("(_n - 1) div 2"))
+                  .withColumn("_rhi", F.expr("_n div 2")))
 
     def holds(rank):
         return ((F.col("_before") <= F.col(rank))
                 & (F.col(rank) < F.col("_before") + F.col("_cnt")))
 
-    targets = (per_bucket.join(ranks, keys).where(holds("_rlo") | holds("_rhi"))
+    targets = (per_bucket.where(holds("_rlo") | holds("_rhi"))
                .select(*keys, "_b", "_before", "_rlo", "_rhi"))   # 1 or 2 rows per key
 
     # 4. exact ranks inside the target bucket(s); joining on (keys, bucket)
@@ -153,9 +169,9 @@ def _rank_median(df, value, keys, alias, extra, cuts):
     #    keeps AQE from coalescing it into one task.
     ws = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cand = (values.join(targets, keys + ["_b"]).repartition(parts, *keys, "_b")
-            .withColumn("_upto", F.col("_before") + F.sum("_c").over(ws))
-            .withColumn("_from", F.col("_upto") - F.col("_c")))
+    cand = (_join_null_safe(values, targets, keys + ["_b"]).repartition(parts, *keys, "_b")
+            .withColumn("_upto", F.col("_before") + F.sum("_w").over(ws))
+            .withColumn("_from", F.col("_upto") - F.col("_w")))
 
     def covers(rank):
         return (F.col("_from") <= F.col(rank)) & (F.col(rank) < F.col("_upto"))
@@ -163,10 +179,24 @@ def _rank_median(df, value, keys, alias, extra, cuts):
     picked = (cand.where(covers("_rlo") | covers("_rhi")).groupBy(*keys).agg(
         F.min(F.when(covers("_rlo"), F.col("_v"))).alias("_vlo"),
         F.max(F.when(covers("_rhi"), F.col("_v"))).alias("_vhi")))
-    med = ((F.col("_vlo") + F.col("_vhi")) / F.lit(2.0)).alias(alias)
-    out = summary.join(picked, keys, "left")
+    # _rows > 0 always holds; reading it keeps the summary's count, so the
+    # summary stays an aggregate over the reused tie-collapsing shuffle
+    # instead of being rewritten into a separate distinct scan of the keys
+    med = F.when(F.col("_rows") > 0, (F.col("_vlo") + F.col("_vhi")) / F.lit(2.0)).alias(alias)
+    out = _join_null_safe(summary, picked, keys, "left")
     return out.select(*out_keys, med, *[F.col(c) for c in summary.columns
-                                        if c not in keys and c != "_n"])
+                                        if c not in keys and c != "_rows"])
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner"):
+    """Equi-join on ``cols`` where NULL matches NULL (a NULL group key is a
+    group, as in GROUP BY). Still a hash/sort-merge equi-join, and no
+    IS NOT NULL filter is inferred and pushed into either side."""
+    r = right.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(cols)],
+                     *[c for c in right.columns if c not in cols])
+    cond = functools.reduce(lambda a, b: a & b,
+                            [left[c].eqNullSafe(r[f"_r{i}"]) for i, c in enumerate(cols)])
+    return left.join(r, cond, how).drop(*[f"_r{i}" for i in range(len(cols))])
 
 
 SAMPLE_PER_BUCKET = 64

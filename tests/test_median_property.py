@@ -10,7 +10,7 @@ from medley.operators import median as med
 
 value = st.one_of(st.none(), st.integers(-5, 5).map(float),
                   st.floats(-1e6, 1e6, allow_nan=False, allow_infinity=False))
-rows = st.lists(st.tuples(st.sampled_from(["a", "b", "c", "d"]), value), min_size=0, max_size=60)
+rows = st.lists(st.tuples(st.sampled_from(["a", "b", "c", "d", None]), value), min_size=0, max_size=60)
 
 
 def brute(vals):
@@ -56,3 +56,26 @@ def test_auto_picks_either_path_with_same_answer(spark):
     large = {r.k: r.median for r in med.median(df, "v", ["k"], strategy="auto",
                                                finish_rows=5, max_buckets=8).collect()}
     assert small == large == {"a": brute([v for k, v in data if k == "a"]), "b": None, "c": 2.0}
+
+
+def test_null_group_key_is_a_group_with_extra_aggregates(spark):
+    from pyspark.sql import functions as F
+    data = [(None, 1.0), (None, 5.0), (None, None), ("a", 2.0), ("a", None), ("n", None)]
+    df = spark.createDataFrame(data, "k STRING, v DOUBLE")
+    for kw in ({}, {"extra_aggs": [F.count("*").alias("rows"), F.sum("v").alias("total")]}):
+        rank = med.median(df, "v", ["k"], strategy="rank", finish_rows=1, max_buckets=4, **kw)
+        built = med.median(df, "v", ["k"], strategy="builtin", **kw)
+        assert sorted(rank.collect(), key=str) == sorted(built.collect(), key=str)
+        assert {r.k: r.median for r in rank.collect()} == {None: 3.0, "a": 2.0, "n": None}
+
+
+def test_rank_plan_reads_the_input_once(spark):
+    """The tie-collapsing shuffle feeds the summary, the bucket counts and the
+    final sort; AQE reuses it, so the input is scanned once by the main job."""
+    df = spark.range(0, 5000).selectExpr("CAST(id % 3 AS STRING) AS k", "CAST(id % 977 AS DOUBLE) AS v")
+    out = med.median(df, "v", ["k"], strategy="rank", finish_rows=100, max_buckets=16)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("Range (") + final.count("Range(") == 1, final
+    assert "ReusedExchange" in final
