@@ -362,6 +362,64 @@ def bool_to_int(spark, sf):
                      conv.bool_to_int(F.col("l_returnflag") == "A").alias("is_a"))
 
 
+# 16-bit patterns spread over every class (zero, subnormal, normal, inf, NaN)
+_HALF_BITS = "(l_orderkey * 7919 + l_linenumber * 104729) % 65536"
+
+
+@query("half_to_float", f"""
+SELECT l_orderkey, l_linenumber, bits,
+  CAST(CASE WHEN e = 31 THEN
+              CASE WHEN m = 0 THEN (CASE WHEN sgn = 1 THEN '-inf' ELSE 'inf' END)::DOUBLE
+                   ELSE 'nan'::DOUBLE END
+            ELSE (CASE WHEN sgn = 1 THEN -1.0 ELSE 1.0 END) *
+                 (CASE WHEN e = 0 THEN m * pow(2.0, -24)
+                       ELSE pow(2.0, e - 15) * (1.0 + m / 1024.0) END) END AS FLOAT) AS value
+FROM (SELECT l_orderkey, l_linenumber, bits, bits // 32768 AS sgn,
+             (bits // 1024) % 32 AS e, bits % 1024 AS m
+      FROM (SELECT l_orderkey, l_linenumber, {_HALF_BITS} AS bits FROM lineitem) b) f""")
+def half_to_float(spark, sf):
+    """C6 over 2-byte little-endian half floats built from lineitem keys."""
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber",
+                                          F.expr(_HALF_BITS).alias("bits"))
+    le = F.shiftleft(F.col("bits").bitwiseAND(255), 8).bitwiseOR(F.shiftright("bits", 8))
+    raw = F.unhex(F.lpad(F.hex(le), 4, "0"))
+    return li.select("l_orderkey", "l_linenumber", "bits", conv.half_to_float(raw).alias("value"))
+
+
+def wide_decimal_bytes() -> F.Column:
+    """24-byte big-endian two's complement integers from lineitem keys:
+    orderkey * 2^128 + partkey * 2^64 + suppkey, negated (one's complement,
+    i.e. -x - 1) on odd line numbers."""
+    hx = F.concat(*[F.lpad(F.hex(F.col(c)), 16, "0")
+                    for c in ("l_orderkey", "l_partkey", "l_suppkey")])
+    hx = F.when(F.col("l_linenumber") % 2 == 1,
+                F.translate(hx, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(hx)
+    return F.unhex(hx)
+
+
+@query("wide_decimal_text", None)
+def wide_decimal_text(spark, sf):
+    """DECIMAL(58, 2) held as 24 bytes -> exact text. DuckDB has no
+    decimal wider than 38 digits, so this is checked against Python integers
+    in tests/ instead of an oracle."""
+    li = _t(spark, sf, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                     conv.wide_decimal_text(wide_decimal_bytes(), 2).alias("text"))
+
+
+@query("nested_to_text", """
+SELECT c_custkey,
+  to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_nationkey': c_nationkey,
+           'c_mktsegment': c_mktsegment, 'keys': [c_custkey, c_nationkey]})::VARCHAR AS doc
+FROM customer""")
+def nested_to_text(spark, sf):
+    """A struct holding an array, as JSON text."""
+    c = _t(spark, sf, "customer")
+    nested = F.struct("c_custkey", "c_name", "c_nationkey", "c_mktsegment",
+                      F.array(F.col("c_custkey"), F.col("c_nationkey").cast("bigint")).alias("keys"))
+    return c.select("c_custkey", conv.nested_to_text(nested).alias("doc"))
+
+
 # ----------------------------------------------------------------- A: median
 
 @query("median_global", "SELECT round(median(l_extendedprice), 4) AS median FROM lineitem")
