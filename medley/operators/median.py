@@ -69,12 +69,17 @@ def median_col(col) -> Column:
 def median(df: DataFrame, value: str, keys: list[str] | tuple = (),
            strategy: str = "auto", alias: str = "median",
            extra_aggs: list[Column] | None = None, finish_rows: int = 200_000,
-           max_buckets: int = 65_536) -> DataFrame:
+           max_buckets: int = 65_536,
+           combine_aggs: list[tuple[str, str, str]] | None = None) -> DataFrame:
     """Exact median of ``value`` per group of ``keys`` (global when empty).
 
-    ``extra_aggs`` (COUNT, AVG, SUM, ...) are computed in the same grouping
-    (A3). Every group of the input appears once, with NULL when it has no
-    non-NULL value (A4, A5).
+    ``extra_aggs`` (any aggregate Columns) are computed in the same grouping
+    (A3). ``combine_aggs`` are ``(alias, function, column)`` triples with
+    function ``sum``, ``count``, ``min``, ``max`` or ``avg`` (column ``*``
+    counts rows): on the rank path they are folded into the tie-collapsing
+    aggregate, so no second scan of the input is needed for them, which
+    ``extra_aggs`` do need. Every group of the input appears once, with NULL
+    when it has no non-NULL value (A4, A5).
 
     ``auto`` (default) reads the count pass the rank strategy needs anyway:
     with at most ``finish_rows`` values every group is provably small and the
@@ -83,19 +88,68 @@ def median(df: DataFrame, value: str, keys: list[str] | tuple = (),
     check_median_input(df, value)
     keys = list(keys)
     extra = list(extra_aggs or [])
+    combine = [_check_combine(t) for t in (combine_aggs or [])]
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     if strategy == "builtin":
-        return _builtin(df, value, keys, alias, extra)
+        return _builtin(df, value, keys, alias, extra, combine)
     src = df.withColumn("_v", F.col(value).cast("double"))
     n, cuts = _cuts(src, finish_rows, max_buckets)
     if strategy == "auto" and n <= finish_rows:
-        return _builtin(df, value, keys, alias, extra)
-    return _rank_median(df, value, keys, alias, extra, cuts)
+        return _builtin(df, value, keys, alias, extra, combine)
+    return _rank_median(df, value, keys, alias, extra, cuts, combine)
 
 
-def _builtin(df, value, keys, alias, extra):
-    return df.groupBy(*keys).agg(median_col(value).alias(alias), *extra)
+COMBINABLE = ("sum", "count", "min", "max", "avg")
+
+
+def _check_combine(t):
+    alias, fn, col = t
+    if fn not in COMBINABLE:
+        raise ValueError(f"combine_aggs function must be one of {COMBINABLE}, not {fn!r}")
+    if col == "*" and fn != "count":
+        raise ValueError("'*' is only allowed with count")
+    return alias, fn, col
+
+
+def _direct(fn, col) -> Column:
+    if col == "*":
+        return F.count(F.lit(1))
+    return {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "avg": F.avg}[fn](col)
+
+
+def _partials(combine) -> list[Column]:
+    """Per (keys, value) partial states of the combinable aggregates."""
+    out = []
+    for i, (_a, fn, col) in enumerate(combine):
+        if col == "*":
+            continue                                   # the tie count itself
+        if fn == "avg":
+            out += [F.sum(col).alias(f"_ps{i}"), F.count(col).alias(f"_pc{i}")]
+        else:
+            out.append(_direct(fn, col).alias(f"_p{i}"))
+    return out
+
+
+def _finals(combine) -> list[Column]:
+    """Per key, the combinable aggregates merged from their partial states."""
+    out = []
+    for i, (alias, fn, col) in enumerate(combine):
+        if col == "*":
+            c = F.sum("_c")
+        elif fn == "avg":
+            c = F.sum(f"_ps{i}") / F.sum(f"_pc{i}")
+        elif fn == "count":
+            c = F.sum(f"_p{i}")
+        else:
+            c = {"sum": F.sum, "min": F.min, "max": F.max}[fn](f"_p{i}")
+        out.append(c.alias(alias))
+    return out
+
+
+def _builtin(df, value, keys, alias, extra, combine=()):
+    direct = [_direct(fn, col).alias(a) for a, fn, col in combine]
+    return df.groupBy(*keys).agg(median_col(value).alias(alias), *direct, *extra)
 
 
 def median_by_group(df, value, keys, strategy="rank", **kw) -> DataFrame:
@@ -110,22 +164,28 @@ def median_distributed(df, value, **kw) -> DataFrame:
 
 # --------------------------------------------------------------------------- rank path
 
-def _rank_median(df, value, keys, alias, extra, cuts):
+def _rank_median(df, value, keys, alias, extra, cuts, combine=()):
     out_keys = list(keys)
     if not keys:
         # a constant group key keeps every join below an equi-join
         df, keys = df.withColumn("_g", F.lit(0)), ["_g"]
     v = F.col(value).cast("double")
-    # 1. collapse ties (partial aggregation before the shuffle)
-    dist = df.groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    # every key of the input (an all-NULL group keeps its row) and the extra
-    # aggregates: straight from the input when there are extras, else from
-    # the tie-collapsed rows (NULL values included), which reuses their shuffle
-    base, rows = (df, F.count(F.lit(1))) if extra else (dist, F.sum("_c"))
-    summary = (base.groupBy(*keys) if out_keys else base.groupBy()).agg(
-        rows.alias("_rows"), *extra)
+    # 1. collapse ties (partial aggregation before the shuffle); the partial
+    #    states of the combinable aggregates ride along
+    dist = df.groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"),
+                                                *_partials(combine))
+    # every key of the input (an all-NULL group keeps its row), the combinable
+    # aggregates merged from the tie-collapsed rows (NULL values included),
+    # which reuses their shuffle; only ``extra_aggs`` need a scan of the input
+    summary = (dist.groupBy(*keys) if out_keys else dist.groupBy()).agg(
+        F.sum("_c").alias("_rows"), *_finals(combine))
     if not out_keys:   # a global aggregate has its one row even for an empty input
         summary = summary.withColumn("_g", F.lit(0))
+    if extra:
+        more = (df.groupBy(*keys) if out_keys else df.groupBy()).agg(*extra)
+        if not out_keys:
+            more = more.withColumn("_g", F.lit(0))
+        summary = _join_null_safe(summary, more, keys)
 
     # 2. bucket the value axis at the cuts of the sketch pass (none when all
     #    values fit one sort: then no group can be too wide). NULL values are

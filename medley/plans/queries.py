@@ -48,9 +48,9 @@ def flagship(spark, sf):
     li = G.bound(spark, sf, "lineitem", G.LINEITEM_DECLARED)
     li = li.where(F.col("shipdate") <= F.lit("2000-12-01").cast("date"))
     m = med.median(li, "extendedprice", ["returnflag", "linestatus"], strategy="rank",
-                   extra_aggs=[F.sum("quantity").alias("sum_qty"),
-                               F.sum("extendedprice").alias("_sum_price"),
-                               F.count(F.lit(1)).alias("count_order")])
+                   combine_aggs=[("sum_qty", "sum", "quantity"),
+                                 ("_sum_price", "sum", "extendedprice"),
+                                 ("count_order", "count", "*")])
     return m.select("returnflag", "linestatus", "sum_qty",
                     F.round("_sum_price", 2).alias("sum_price"), "count_order",
                     F.round("median", 4).alias("median_price"))
@@ -441,8 +441,8 @@ SELECT event_type, count(*) AS n, round(avg(value), 6) AS avg_value,
 FROM events GROUP BY event_type""")
 def median_mixed(spark, sf):
     m = med.median(_t(spark, sf, "events"), "value", ["event_type"], strategy="rank",
-                   extra_aggs=[F.count(F.lit(1)).alias("n"), F.avg("value").alias("_avg"),
-                               F.max("value").alias("max_value")])
+                   combine_aggs=[("n", "count", "*"), ("_avg", "avg", "value"),
+                                 ("max_value", "max", "value")])
     return m.select("event_type", "n", F.round("_avg", 6).alias("avg_value"),
                     F.round("median", 4).alias("median_value"), "max_value")
 

@@ -79,3 +79,27 @@ def test_rank_plan_reads_the_input_once(spark):
     final = plan.split("== Initial Plan ==")[0]
     assert final.count("Range (") + final.count("Range(") == 1, final
     assert "ReusedExchange" in final
+
+
+COMBINE = [("rows", "count", "*"), ("nv", "count", "v"), ("total", "sum", "v"),
+           ("lo", "min", "v"), ("hi", "max", "v"), ("mean", "avg", "v")]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(data=rows)
+def test_combined_aggregates_equal_direct_ones(spark, data):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame(data + [("allnull", None)], "k STRING, v DOUBLE")
+    extra = [F.count(F.lit(1)).alias("rows2")]
+    for keys in (["k"], []):
+        rank = med.median(df, "v", keys, strategy="rank", finish_rows=1, max_buckets=4,
+                          combine_aggs=COMBINE, extra_aggs=extra)
+        built = med.median(df, "v", keys, strategy="builtin", combine_aggs=COMBINE, extra_aggs=extra)
+        assert rank.columns == built.columns
+        a = {tuple(r[c] for c in keys): r for r in rank.collect()}
+        b = {tuple(r[c] for c in keys): r for r in built.collect()}
+        assert set(a) == set(b)
+        for key in a:
+            for c in rank.columns:
+                x, y = a[key][c], b[key][c]
+                assert (close(x, y) if isinstance(x, float) or isinstance(y, float) else x == y), (key, c, x, y)
