@@ -164,11 +164,54 @@ def median_distributed(df, value, **kw) -> DataFrame:
 
 # --------------------------------------------------------------------------- rank path
 
+_KEY_DEFAULTS = {T.StringType: "", T.BooleanType: False, T.BinaryType: b""}
+
+
+def _key_default(dt):
+    """A non-NULL stand-in of the key's type, or None when there is none."""
+    if isinstance(dt, _NUMERIC):
+        return F.lit(0).cast(dt)
+    if isinstance(dt, T.DateType):
+        return F.date_from_unix_date(F.lit(0))
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return F.timestamp_micros(F.lit(0)).cast(dt)
+    for t, v in _KEY_DEFAULTS.items():
+        if isinstance(dt, t):
+            return F.lit(v).cast(dt)
+    return None
+
+
+def _encode_keys(df, keys):
+    """Each group key k becomes (coalesce(k, default), isnull(k)): non-NULL
+    columns, so every join below is a plain equi-join (no IS NOT NULL filter
+    inferred into one branch, and the aggregates' hash partitioning serves the
+    joins) while a NULL key still is its own group, as in GROUP BY. Returns
+    (frame, internal keys, columns restoring the keys, plain joins are safe)."""
+    enc, restore, internal = [], [], []
+    for i, k in enumerate(keys):
+        d = _key_default(df.schema[k].dataType)
+        if d is None:                       # nested key type: keep it, join null-safe
+            internal.append(k)
+            restore.append(F.col(k))
+            continue
+        enc += [F.coalesce(F.col(k), d).alias(f"_k{i}"), F.col(k).isNull().alias(f"_z{i}")]
+        internal += [f"_k{i}", f"_z{i}"]
+        restore.append(F.when(F.col(f"_z{i}"), F.lit(None).cast(df.schema[k].dataType))
+                       .otherwise(F.col(f"_k{i}")).alias(k))
+    plain = all(c.startswith("_k") or c.startswith("_z") for c in internal)
+    # the original columns stay (the value or extra aggregates may read a key)
+    return df.select(*enc, *df.columns), internal, restore, plain
+
+
 def _rank_median(df, value, keys, alias, extra, cuts, combine=()):
     out_keys = list(keys)
     if not keys:
         # a constant group key keeps every join below an equi-join
         df, keys = df.withColumn("_g", F.lit(0)), ["_g"]
+        restore, join = [], _join_plain
+    else:
+        df, keys, restore, plain = _encode_keys(df, keys)
+        join = _join_plain if plain else _join_null_safe
     v = F.col(value).cast("double")
     # 1. collapse ties (partial aggregation before the shuffle); the partial
     #    states of the combinable aggregates ride along
@@ -185,7 +228,7 @@ def _rank_median(df, value, keys, alias, extra, cuts, combine=()):
         more = (df.groupBy(*keys) if out_keys else df.groupBy()).agg(*extra)
         if not out_keys:
             more = more.withColumn("_g", F.lit(0))
-        summary = _join_null_safe(summary, more, keys)
+        summary = join(summary, more, keys)
 
     # 2. bucket the value axis at the cuts of the sketch pass (none when all
     #    values fit one sort: then no group can be too wide). NULL values are
@@ -229,7 +272,7 @@ def _rank_median(df, value, keys, alias, extra, cuts, combine=()):
     #    keeps AQE from coalescing it into one task.
     ws = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cand = (_join_null_safe(values, targets, keys + ["_b"]).repartition(parts, *keys, "_b")
+    cand = (join(values, targets, keys + ["_b"]).repartition(parts, *keys, "_b")
             .withColumn("_upto", F.col("_before") + F.sum("_w").over(ws))
             .withColumn("_from", F.col("_upto") - F.col("_w")))
 
@@ -243,9 +286,13 @@ def _rank_median(df, value, keys, alias, extra, cuts, combine=()):
     # summary stays an aggregate over the reused tie-collapsing shuffle
     # instead of being rewritten into a separate distinct scan of the keys
     med = F.when(F.col("_rows") > 0, (F.col("_vlo") + F.col("_vhi")) / F.lit(2.0)).alias(alias)
-    out = _join_null_safe(summary, picked, keys, "left")
-    return out.select(*out_keys, med, *[F.col(c) for c in summary.columns
-                                        if c not in keys and c != "_rows"])
+    out = join(summary, picked, keys, "left")
+    return out.select(*restore, med, *[F.col(c) for c in summary.columns
+                                       if c not in keys and c != "_rows"])
+
+
+def _join_plain(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner"):
+    return left.join(right, cols, how)
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner"):

@@ -103,3 +103,16 @@ def test_combined_aggregates_equal_direct_ones(spark, data):
             for c in rank.columns:
                 x, y = a[key][c], b[key][c]
                 assert (close(x, y) if isinstance(x, float) or isinstance(y, float) else x == y), (key, c, x, y)
+
+
+def test_key_types_with_nulls_and_nested_key(spark):
+    import datetime as dt
+    d1 = dt.date(2024, 1, 1)
+    data = [(d1, 1, [1], 1.0), (d1, 1, [1], 3.0), (None, None, None, 4.0), (None, None, None, 8.0),
+            (d1, None, [2], 5.0), (None, 2, [2], None)]
+    df = spark.createDataFrame(data, "d DATE, i INT, a ARRAY<INT>, v DOUBLE")
+    for keys in (["d", "i"], ["a"], ["a", "d"]):
+        rank = med.median(df, "v", keys, strategy="rank", finish_rows=1, max_buckets=4)
+        built = med.median(df, "v", keys, strategy="builtin")
+        assert rank.schema == built.schema, (rank.schema, built.schema)
+        assert sorted(map(str, rank.collect())) == sorted(map(str, built.collect()))
