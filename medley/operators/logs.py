@@ -54,8 +54,14 @@ def os_lines(samples: DataFrame) -> DataFrame:
 
 
 def _extract(line: Column, pattern: str, fields) -> list[Column]:
-    return [F.regexp_extract(line, pattern, i + 1).try_cast(t).alias(n)
-            for i, (n, t) in enumerate(fields)]
+    """The fields of the first match of ``pattern`` in ``line``: the whole
+    match is taken once and split at the non-numeric text between the
+    numbers (in both formats the fixed text holds no digit, dot or minus), so
+    the full pattern runs once per line instead of once per field. No match:
+    every field is NULL."""
+    numbers = F.split(F.regexp_extract(line, pattern, 0), r"[^0-9.\-]+")
+    # element 0 is the (empty) text before the first number
+    return [F.get(numbers, i + 1).try_cast(t).alias(n) for i, (n, t) in enumerate(fields)]
 
 
 def parse_resource_lines(df: DataFrame, line: str = "line") -> DataFrame:

@@ -156,3 +156,23 @@ def test_g15_os_log_lines(spark):
     s = s.select(F.lit("h").alias("host"), F.lit(None).cast("timestamp_ntz").alias("ts"),
                  F.lit(0).alias("seq"), "*")
     assert logs.os_lines(s).first().line == "[os_logger] CPU Load: 0.23, RAM: 3412/7982 MB"
+
+
+def test_log_parse_equals_per_field_regex(spark):
+    """The one-match-then-split parse equals one regexp_extract per field on
+    clean, prefixed, negative, partial and junk lines."""
+    from pyspark.sql import functions as F
+    from medley.operators import logs
+    lines = ["my_resource: CPU=12.5% | MEM=100/2048MB | DISK_R=3KB/s DISK_W=0KB/s | CONN=7 | QPS=42",
+             "2024-01-02 03:04:05 [x] my_resource: CPU=0.0% | MEM=-1/5MB | DISK_R=0KB/s DISK_W=-9KB/s | CONN=0 | QPS=-3 tail",
+             "my_resource: CPU=12.5% | MEM=100/2048MB",
+             "[os_logger] CPU Load: 0.52, RAM: 100/200 MB",
+             "junk 1.2.3 - 4", "", None]
+    df = spark.createDataFrame([(x,) for x in lines], "line STRING")
+    got = logs.parse_resource_lines(df).collect()
+    want = df.select("line", *[F.regexp_extract("line", logs.RESOURCE_PATTERN, i + 1).try_cast(t).alias(n)
+                               for i, (n, t) in enumerate(logs.RESOURCE_FIELDS)]).collect()
+    assert got == want
+    assert got[1].mem_used_mb == -1 and got[1].db_queries_ps == -3 and got[2].cpu_pct is None
+    got_os = logs.parse_os_lines(df).collect()
+    assert got_os[3].load_avg == 0.52 and got_os[3].ram_total_mb == 200 and got_os[0].load_avg is None
