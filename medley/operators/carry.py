@@ -18,9 +18,19 @@ Only rows passing ``good`` are candidates (a failed sample never becomes the
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-DEFAULT_BUCKET_SECONDS = 3600
+from medley.functions.conversions import ntz_to_micros
+from medley.operators.cuts import bucket_ids, value_cuts
+
+# "auto": cut the time axis at sampled quantiles of all rows, so that every
+# bucket holds about BUCKET_ROWS rows (at most MAX_TIME_BUCKETS buckets); an
+# int is a fixed width in seconds.
+DEFAULT_BUCKET_SECONDS = "auto"
+BUCKET_ROWS = 500_000
+MAX_TIME_BUCKETS = 65_536
 
 
 def time_bucket(ts_col: str, seconds: int) -> Column:
@@ -30,6 +40,34 @@ def time_bucket(ts_col: str, seconds: int) -> Column:
     return F.floor(F.unix_timestamp(F.col(ts_col)) / F.lit(seconds)).cast("bigint")
 
 
+def with_time_bucket(df: DataFrame, ts_col: str, bucket_seconds="auto", out: str = "_tb",
+                     bucket_rows: int | None = None) -> DataFrame:
+    """Add the time bucket ``out``: fixed-width for an int ``bucket_seconds``;
+    for "auto", buckets cut at approximate quantiles of the time column over
+    all rows. A bucket then holds about ``bucket_rows`` rows of all keys
+    together, so a (key, bucket) piece is bounded however hot the key is or
+    however bursty its samples (only rows sharing one timestamp cannot be
+    split). Costs a count pass and, above ``bucket_rows`` rows, a sample pass
+    over the time column; a small input is one bucket."""
+    if bucket_seconds != "auto":
+        return df.withColumn(out, time_bucket(ts_col, int(bucket_seconds)))
+    t = ntz_to_micros(F.col(ts_col)).cast("double")
+    rows = bucket_rows or BUCKET_ROWS
+    src = df.select(t.alias("_v"))
+    n, lo, hi = src.agg(F.count("_v"), F.min("_v"), F.max("_v")).first()
+    if n and n <= 4 * rows:
+        # small input: no piece can be large; equal-width cuts of about 10k
+        # rows give the windows enough tasks (one bucket would leave one task
+        # per key) and keep each key's last bucket (latest_report) short
+        k = min(MAX_TIME_BUCKETS, max(2 * df.sparkSession.sparkContext.defaultParallelism,
+                                      math.ceil(n / 10_000)))
+        inner = sorted({lo + (hi - lo) * i / k for i in range(1, k)}) if hi > lo else []
+        cuts = [-math.inf] + inner + [math.inf] if inner else None
+    else:
+        _n, cuts = value_cuts(src, 4 * rows, MAX_TIME_BUCKETS, n=n or 0)
+    return bucket_ids(df, t, cuts, out)
+
+
 def with_previous(df: DataFrame, cols: list[str], keys: list[str], order: list[str],
                   good: Column | None = None, time_col: str | None = None,
                   bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
@@ -52,7 +90,7 @@ def with_previous(df: DataFrame, cols: list[str], keys: list[str], order: list[s
         out = df.withColumn("_prev", F.last("_pack", ignorenulls=True).over(w))
     else:
         part = list(keys) + ["_tb"]
-        df = df.withColumn("_tb", time_bucket(time_col, bucket_seconds))
+        df = with_time_bucket(df, time_col, bucket_seconds)
         w1 = Window.partitionBy(*part).orderBy(*order).rowsBetween(
             Window.unboundedPreceding, -1)
         inner = df.withColumn("_in", F.last("_pack", ignorenulls=True).over(w1))
@@ -68,4 +106,4 @@ def with_previous(df: DataFrame, cols: list[str], keys: list[str], order: list[s
     return out.drop("_pack", "_prev")
 
 
-__all__ = ["with_previous", "time_bucket", "DEFAULT_BUCKET_SECONDS"]
+__all__ = ["with_previous", "time_bucket", "with_time_bucket", "DEFAULT_BUCKET_SECONDS"]

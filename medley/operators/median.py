@@ -32,12 +32,11 @@ Strategies
 from __future__ import annotations
 
 import functools
-import math
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from medley.errors import ArgumentCountError, ArgumentTypeError
+from medley.operators.cuts import bucket_ids, value_cuts as _cuts
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
@@ -238,14 +237,8 @@ def _rank_median(df, value, keys, alias, extra, cuts, combine=()):
     #    The bucket id is a non-nullable int for the same reason (and a double
     #    key would be NaN-normalised by every join, window and exchange, so one
     #    partitioning could not serve the next).
-    values = dist.withColumn("_w", F.when(F.col("_v").isNull(), F.lit(0)).otherwise(F.col("_c")))
-    if cuts:
-        values = (Bucketizer(splits=cuts, inputCol="_v", outputCol="_bd",
-                             handleInvalid="keep").transform(values)
-                  .withColumn("_b", F.coalesce(F.col("_bd").cast("int"), F.lit(-1)))
-                  .drop("_bd"))
-    else:
-        values = values.withColumn("_b", F.when(F.col("_v").isNull(), F.lit(-1)).otherwise(F.lit(0)))
+    values = bucket_ids(dist.withColumn("_w", F.when(F.col("_v").isNull(), F.lit(0))
+                                       .otherwise(F.col("_c"))), F.col("_v"), cuts)
 
     # 3. counts per bucket; over the buckets of a key (at most max_buckets
     #    rows) a running count and the key's total, which gives the ranks
@@ -306,33 +299,5 @@ def _join_null_safe(left: DataFrame, right: DataFrame, cols: list[str], how: str
     return left.join(r, cond, how).drop(*[f"_r{i}" for i in range(len(cols))])
 
 
-SAMPLE_PER_BUCKET = 64
-
-
-def _cuts(src: DataFrame, finish_rows: int, max_buckets: int) -> tuple[int, list | None]:
-    """(number of values, bucket splits for the value axis); the splits are
-    None when every group fits one sort.
-
-    The count is one long per task. Split points are then sketched from a
-    seeded sample of about ``SAMPLE_PER_BUCKET`` rows per bucket, as Spark's
-    range partitioner does, so the sketch merge stays small however many
-    tasks there are. The sample only places split points: every row is still
-    counted and ranked exactly, so the result never depends on it. The split
-    array has at most ``max_buckets`` entries (its size bound on the driver
-    and in the plan)."""
-    n = src.agg(F.count("_v")).first()[0] or 0
-    if n <= finish_rows:
-        return n, None
-    wanted = int(min(max_buckets, math.ceil(4 * n / finish_rows)))
-    fraction = min(1.0, (SAMPLE_PER_BUCKET * wanted + 10_000) / n)
-    rows = src if fraction >= 1.0 else src.sample(fraction=fraction, seed=17)
-    probs = [i / wanted for i in range(1, wanted)]
-    finite = F.when(~F.isnan("_v"), F.col("_v"))
-    q = rows.agg(F.percentile_approx(finite, probs, max(10_000, 8 * wanted))).first()[0]
-    finite_cuts = sorted({float(x) for x in (q or []) if x is not None and math.isfinite(x)})
-    splits = [-math.inf] + finite_cuts + [math.inf]
-    return n, (splits if len(splits) >= 3 else None)
-
-
 __all__ = ["median", "median_by_group", "median_distributed", "median_col",
            "check_median_input", "STRATEGIES"]

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from medley.operators.carry import DEFAULT_BUCKET_SECONDS, time_bucket, with_previous
+from medley.operators.carry import DEFAULT_BUCKET_SECONDS, with_previous, with_time_bucket
 
 KEYS = ["host"]
 ORDER = ["ts", "seq"]
@@ -56,7 +56,7 @@ def check_interval(seconds: int) -> int:
 
 
 def with_previous_good(samples: DataFrame, counters: list[str] = COUNTERS,
-                       bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                       bucket_seconds: int | str = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Attach ``prev_<counter>`` and ``prev_ts`` from the last good sample."""
     return with_previous(samples, counters + ["ts"], KEYS, ORDER, good=F.col("ok"),
                          time_col="ts", bucket_seconds=bucket_seconds)
@@ -163,7 +163,7 @@ def ram_mb_cols() -> tuple[Column, Column]:
 # ----------------------------------------------------------------- operators
 
 def resource_report(samples: DataFrame, rate_basis: str = "elapsed",
-                    bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                    bucket_seconds: int | str = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Per sample the seven derived values (M1, M3, M5, M7, M8)."""
     if rate_basis not in RATE_BASES:
         raise ValueError(f"rate_basis must be one of {RATE_BASES}")
@@ -266,7 +266,7 @@ def disk_sum(readings: DataFrame, slot_seconds: int = 300) -> DataFrame:
 
 
 def latest_report(samples: DataFrame, rate_basis: str = "elapsed",
-                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                  bucket_seconds: int | str = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """The M20 row of each host's latest sample, without computing the others.
 
     The latest row needs only itself and its previous good sample, so only
@@ -274,7 +274,7 @@ def latest_report(samples: DataFrame, rate_basis: str = "elapsed",
     carried into that bucket comes from per-(host, bucket) summaries, a
     partial aggregate. No step shuffles every sample.
     """
-    s = samples.withColumn("_tb", time_bucket("ts", bucket_seconds))
+    s = with_time_bucket(samples, "ts", bucket_seconds)
     packed = [F.col(c) for c in ["ts", "seq"] + COUNTERS]
     # scan 1 ends in a partial aggregate: per (host, bucket) the latest good row
     per_bucket = s.groupBy("host", "_tb").agg(

@@ -135,3 +135,19 @@ def test_latest_report_on_fixture(samples):
     rows = {r.host: r for r in mx.latest_report(samples).collect()}
     assert rows["a"].seq == 6 and rows["a"].cpu_pct == 0.0          # reset row is latest
     assert rows["b"].cpu_pct is None                                  # one-row host
+
+
+def test_auto_time_buckets_split_and_change_nothing(spark, monkeypatch):
+    from medley.operators import carry
+    s = G.metric_samples(spark, "/root/testdata/sf0.001")
+    one = mx.resource_report(s, bucket_seconds=10 ** 9)          # one bucket per host
+    monkeypatch.setattr(carry, "BUCKET_ROWS", 40)                   # force many small buckets
+    tb = carry.with_time_bucket(s, "ts")
+    assert tb.select("_tb").distinct().count() > 10
+    biggest = tb.groupBy("_tb").count().agg(F.max("count")).first()[0]
+    assert biggest < s.count() / 5                                 # no bucket holds a large share
+    auto = mx.resource_report(s)
+    assert auto.count() == one.count()
+    assert auto.exceptAll(one).count() == 0 and one.exceptAll(auto).count() == 0
+    latest = mx.status_snapshot(mx.latest_report(s))
+    assert latest.exceptAll(mx.status_snapshot(one)).count() == 0
