@@ -69,7 +69,8 @@ def median(df: DataFrame, value: str, keys: list[str] | tuple = (),
            strategy: str = "auto", alias: str = "median",
            extra_aggs: list[Column] | None = None, finish_rows: int = 200_000,
            max_buckets: int = 65_536,
-           combine_aggs: list[tuple[str, str, str]] | None = None) -> DataFrame:
+           combine_aggs: list[tuple[str, str, str]] | None = None,
+           weight: str | None = None) -> DataFrame:
     """Exact median of ``value`` per group of ``keys`` (global when empty).
 
     ``extra_aggs`` (any aggregate Columns) are computed in the same grouping
@@ -78,7 +79,9 @@ def median(df: DataFrame, value: str, keys: list[str] | tuple = (),
     counts rows): on the rank path they are folded into the tie-collapsing
     aggregate, so no second scan of the input is needed for them, which
     ``extra_aggs`` do need. Every group of the input appears once, with NULL
-    when it has no non-NULL value (A4, A5).
+    when it has no non-NULL value (A4, A5). ``weight`` names a count column:
+    each row then stands for that many copies of its value (input already
+    tie-collapsed, e.g. by a streaming aggregation); it implies ``rank``.
 
     ``auto`` (default) reads the count pass the rank strategy needs anyway:
     with at most ``finish_rows`` values every group is provably small and the
@@ -90,13 +93,15 @@ def median(df: DataFrame, value: str, keys: list[str] | tuple = (),
     combine = [_check_combine(t) for t in (combine_aggs or [])]
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
+    if weight is not None and strategy == "builtin":
+        raise ValueError("weight needs the rank strategy")
     if strategy == "builtin":
         return _builtin(df, value, keys, alias, extra, combine)
     src = df.withColumn("_v", F.col(value).cast("double"))
     n, cuts = _cuts(src, finish_rows, max_buckets)
-    if strategy == "auto" and n <= finish_rows:
+    if strategy == "auto" and n <= finish_rows and weight is None:
         return _builtin(df, value, keys, alias, extra, combine)
-    return _rank_median(df, value, keys, alias, extra, cuts, combine)
+    return _rank_median(df, value, keys, alias, extra, cuts, combine, weight)
 
 
 COMBINABLE = ("sum", "count", "min", "max", "avg")
@@ -202,7 +207,7 @@ def _encode_keys(df, keys):
     return df.select(*enc, *df.columns), internal, restore, plain
 
 
-def _rank_median(df, value, keys, alias, extra, cuts, combine=()):
+def _rank_median(df, value, keys, alias, extra, cuts, combine=(), weight=None):
     out_keys = list(keys)
     if not keys:
         # a constant group key keeps every join below an equi-join
@@ -214,8 +219,8 @@ def _rank_median(df, value, keys, alias, extra, cuts, combine=()):
     v = F.col(value).cast("double")
     # 1. collapse ties (partial aggregation before the shuffle); the partial
     #    states of the combinable aggregates ride along
-    dist = df.groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"),
-                                                *_partials(combine))
+    copies = F.sum(weight) if weight else F.count(F.lit(1))
+    dist = df.groupBy(*keys, v.alias("_v")).agg(copies.alias("_c"), *_partials(combine))
     # every key of the input (an all-NULL group keeps its row), the combinable
     # aggregates merged from the tie-collapsed rows (NULL values included),
     # which reuses their shuffle; only ``extra_aggs`` need a scan of the input

@@ -1,17 +1,28 @@
 """Exact median per group and event-time window on a stream.
 
-Each (window, group) is an aggregation state; with a watermark it is emitted
-once and then dropped (append mode), so state is bounded by the windows still
-open. ``F.median`` keeps the distinct values of one open window in its buffer,
-which is the window's own size, not the stream's.
+``windowed_median`` is the built-in form: each (window, group) is an
+aggregation state emitted once the watermark closes it (append mode), but
+``F.median`` keeps every distinct value of an open (window, group) in one
+task's buffer, so a hot group is one task.
+
+``run_windowed_median`` is the skew-safe form. The stream keeps only
+tie-collapsed counts, ``(window, keys, value) -> count``, as aggregation
+state hashed over the value too, so a hot group is spread over tasks. Every
+micro-batch carries the windows the watermark has just closed (each exactly
+once, append mode); ``foreachBatch`` writes those counts to a staging folder
+in the shared checkpoint folder (so the several reads of the median never
+re-run the stateful plan) and runs the batch rank median on them with the
+counts as weights. Output folders are keyed by batch id and overwritten, so a
+replayed batch leaves one copy.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from medley.functions.conversions import ltz_to_utc_ntz
-from medley.operators.median import check_median_input, median_col
+from medley.operators.median import check_median_input, median, median_col
+from medley.session import scratch_path
 from medley.streaming.event_time import event_time
 
 
@@ -28,4 +39,55 @@ def windowed_median(stream: DataFrame, value: str, keys: list[str] = (), ts: str
                     *keys, alias, "n"))
 
 
-__all__ = ["windowed_median"]
+def window_value_counts(stream: DataFrame, value: str, keys: list[str] = (), ts: str = "ts",
+                        window: str = "1 hour", watermark: str = "10 minutes") -> DataFrame:
+    """Streaming state of the skew-safe form: count per (window, keys, value)."""
+    check_median_input(stream, value)
+    stream = event_time(stream, ts)
+    return (stream.withWatermark("_event_time", watermark)
+            .groupBy(F.window("_event_time", window).alias("_win"), *keys,
+                     F.col(value).cast("double").alias("_v"))
+            .agg(F.count(F.lit(1)).alias("_c")))
+
+
+def closed_window_medians(counts: DataFrame, keys: list[str] = (),
+                          alias: str = "median") -> DataFrame:
+    """Batch rank median of closed windows from their value counts; the same
+    columns as ``windowed_median``."""
+    b = counts.select(ltz_to_utc_ntz(F.col("_win.start")).alias("window_start"),
+                      ltz_to_utc_ntz(F.col("_win.end")).alias("window_end"), *keys, "_v", "_c",
+                      F.when(F.col("_v").isNotNull(), F.col("_c")).alias("_cn"))
+    m = median(b, "_v", ["window_start", "window_end", *keys], strategy="rank", weight="_c",
+               alias=alias, combine_aggs=[("_n", "sum", "_cn")])
+    return m.select("window_start", "window_end", *keys, alias,
+                    F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("n"))
+
+
+def run_windowed_median(spark: SparkSession, stream: DataFrame, value: str,
+                        keys: list[str] = (), ts: str = "ts", window: str = "1 hour",
+                        watermark: str = "10 minutes", alias: str = "median",
+                        name: str = "windowed-median") -> DataFrame:
+    """Run the skew-safe form until the input is exhausted (``availableNow``)
+    and return the table of closed-window medians."""
+    keys = list(keys)
+    counts = window_value_counts(stream, value, keys, ts, window, watermark)
+    out, stage, ckpt = (scratch_path(spark, f"{name}-{p}") for p in ("out", "stage", "ckpt"))
+    # an empty part with the result schema, so the table exists even before
+    # any window has closed
+    empty = spark.createDataFrame([], counts.schema)
+    closed_window_medians(empty, keys, alias).write.mode("overwrite").parquet(f"{out}/batch=-1")
+
+    def emit(batch: DataFrame, batch_id: int) -> None:
+        part = f"{stage}/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(part)
+        result = closed_window_medians(batch.sparkSession.read.parquet(part), keys, alias)
+        result.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    q = (counts.writeStream.foreachBatch(emit).option("checkpointLocation", ckpt)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).drop("batch")
+
+
+__all__ = ["windowed_median", "window_value_counts", "closed_window_medians",
+           "run_windowed_median"]

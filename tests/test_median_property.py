@@ -116,3 +116,12 @@ def test_key_types_with_nulls_and_nested_key(spark):
         built = med.median(df, "v", keys, strategy="builtin")
         assert rank.schema == built.schema, (rank.schema, built.schema)
         assert sorted(map(str, rank.collect())) == sorted(map(str, built.collect()))
+
+
+def test_weighted_rows_equal_expanded_rows(spark):
+    counts = [("a", 1.0, 3), ("a", 9.0, 1), ("a", None, 5), ("b", 2.0, 2), ("b", 4.0, 2), ("c", None, 1)]
+    w = spark.createDataFrame(counts, "k STRING, v DOUBLE, c BIGINT")
+    expanded = spark.createDataFrame([(k, v) for k, v, c in counts for _ in range(c)], "k STRING, v DOUBLE")
+    got = {r.k: r.median for r in med.median(w, "v", ["k"], weight="c", finish_rows=1, max_buckets=4).collect()}
+    want = {r.k: r.median for r in med.median(expanded, "v", ["k"], strategy="builtin").collect()}
+    assert got == want == {"a": 1.0, "b": 3.0, "c": None}
