@@ -76,6 +76,28 @@ def missing_column_null_fill(spark, sf):
     return G.bound(spark, sf, "region", "id INT, label STRING, extra STRING")
 
 
+@query("create_table", """
+SELECT o_orderstatus AS status, count(*) AS n, round(sum(o_totalprice), 2) AS total
+FROM orders GROUP BY o_orderstatus""")
+def create_table(spark, sf):
+    """Orders registered under a declared schema (positional, read-only
+    view) and queried by name in SQL."""
+    from medley.sources.tables import create_table as create
+    create(spark, "medley_orders", "orderkey BIGINT, custkey BIGINT, status STRING, "
+           "totalprice DOUBLE, orderdate TIMESTAMP_NTZ, priority STRING",
+           path=G.path(sf, "orders"), replace=True)
+    return spark.sql("SELECT status, count(*) AS n, round(sum(totalprice), 2) AS total "
+                     "FROM medley_orders GROUP BY status")
+
+
+@query("open_table", "SELECT * FROM supplier")
+def open_table(spark, sf):
+    """An unregistered name resolves to <warehouse>/<name>.parquet with
+    the file's own columns."""
+    from medley.sources.tables import open_table as open_
+    return open_(spark, "supplier", warehouse=sf)
+
+
 @query("extra_column_prune", "SELECT c_custkey AS custkey, c_name AS name FROM customer")
 def extra_column_prune(spark, sf):
     return G.bound(spark, sf, "customer", "custkey BIGINT, name STRING")
