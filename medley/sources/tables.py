@@ -66,13 +66,9 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
             .load(path).select("path"))
 
 
-def footer_groups(spark: SparkSession, path: str) -> list[tuple[str, pa.Schema, list[str]]]:
-    """Group the files under ``path`` by footer signature.
-
-    Footers are read by executors (``mapInPandas``); only the file list per
-    distinct signature reaches the driver, the same metadata Spark's own file
-    index keeps there.
-    """
+def _footers(spark: SparkSession, path: str) -> DataFrame:
+    """(path, signature, schema) of every file under ``path``; the footers
+    are read by executors (``mapInPandas``)."""
     def read_footers(batches):
         for pdf in batches:
             schemas = [footer_schema(p) for p in pdf["path"]]
@@ -80,8 +76,27 @@ def footer_groups(spark: SparkSession, path: str) -> list[tuple[str, pa.Schema,
                                 "sig": [ty.signature(s) for s in schemas],
                                 "schema": [s.serialize().to_pybytes() for s in schemas]})
 
-    rows = (list_files(spark, path)
-            .mapInPandas(read_footers, "path string, sig string, schema binary")
+    return list_files(spark, path).mapInPandas(read_footers, "path string, sig string, schema binary")
+
+
+def footer_signatures(spark: SparkSession, path: str) -> list[tuple[str, pa.Schema, int]]:
+    """(signature, schema, number of files) per distinct footer signature
+    under ``path``: one row per signature reaches the driver, no file list."""
+    rows = (_footers(spark, path).groupBy("sig")
+            .agg(F.first("schema").alias("schema"), F.count(F.lit(1)).alias("files"))
+            .orderBy("sig").collect())
+    return [(r["sig"], pa.ipc.read_schema(pa.py_buffer(bytes(r["schema"]))), r["files"])
+            for r in rows]
+
+
+def footer_groups(spark: SparkSession, path: str) -> list[tuple[str, pa.Schema, list[str]]]:
+    """Group the files under ``path`` by footer signature, with the file list
+    of each group (needed only when the footers differ: then each group is
+    read on its own). The lists are the same metadata Spark's own file index
+    keeps on the driver.
+    """
+
+    rows = (_footers(spark, path)
             .groupBy("sig")
             .agg(F.first("schema").alias("schema"),
                  F.sort_array(F.collect_list("path")).alias("files"))
@@ -104,8 +119,16 @@ def _is_single_file(spark: SparkSession, path: str) -> bool:
 
 # --------------------------------------------------------------------------- binding
 
-def _read_group(spark: SparkSession, files: list[str], arrow_schema: pa.Schema | None):
-    """Read files that share one footer; returns (df, raw fields, raw kinds)."""
+def _read_group(spark: SparkSession, files: list[str] | None, arrow_schema: pa.Schema | None,
+                folder: str | None = None):
+    """Read files that share one footer; returns (df, raw fields, raw kinds).
+    ``files=None`` reads every Parquet file under ``folder`` (as listed by
+    ``list_files``), for a folder whose footers all agree."""
+    if files is None:
+        schema, kinds = ty.read_schema(arrow_schema)
+        df = (spark.read.schema(schema).option("pathGlobFilter", "*.parquet")
+              .option("recursiveFileLookup", "true").parquet(folder))
+        return df, list(schema.fields), kinds
     if arrow_schema is None:
         try:
             df = spark.read.parquet(*files)
@@ -153,12 +176,16 @@ def bind_parquet(spark: SparkSession, path: str, schema, mode: str = "permissive
         if _is_single_file(spark, path):
             groups = [(None, None, [path])]   # Spark infers; footer only on refusal
         else:
-            groups = footer_groups(spark, path)   # footers known: no inference
-            if not groups:
+            # footers known: no inference. One signature (the common case):
+            # the folder is read as a whole and no file list is built.
+            sigs = footer_signatures(spark, path)
+            if not sigs:
                 raise NoSuchTableError(f"no Parquet files under {path}")
+            groups = ([(sigs[0][0], sigs[0][1], None)] if len(sigs) == 1
+                      else footer_groups(spark, path))
         frames = []
         for _sig, arrow_schema, files in groups:
-            df, raw_fields, kinds = _read_group(spark, files, arrow_schema)
+            df, raw_fields, kinds = _read_group(spark, files, arrow_schema, folder=path)
             frames.append(_bind(df, raw_fields, kinds, declared, mode, row_position))
     except AnalysisException as exc:
         raise _map_error(exc, path) from exc
@@ -277,5 +304,5 @@ def table_stats(df: DataFrame) -> int:
 
 
 __all__ = ["bind_parquet", "create_table", "open_table", "drop_table", "insert_into",
-           "with_row_position", "fetch_by_position", "table_stats", "footer_groups",
+           "with_row_position", "fetch_by_position", "table_stats", "footer_groups", "footer_signatures",
            "footer_schema", "list_files", "POSITION_COLUMNS"]

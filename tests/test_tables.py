@@ -266,3 +266,19 @@ def test_folder_with_refused_types_and_mixed_footers(spark, tmp):
                    (dt.datetime(2024, 1, 2, 3, 4, 5, 123456), 1)]
     groups = tb.footer_groups(spark, d)
     assert len(groups) == 3 and sum(len(f) for _, _, f in groups) == 3
+
+
+def test_single_footer_folder_is_read_whole(spark, tmp):
+    """A folder whose files share one footer (nested too) is bound from
+    one read of the folder, without a file list."""
+    d = os.path.join(tmp, "same_footer")
+    os.makedirs(os.path.join(d, "sub"))
+    for i, rel in enumerate(["a.parquet", "b.parquet", os.path.join("sub", "c.parquet")]):
+        pq.write_table(pa.table({"x": [i, i + 10], "y": ["p", None]}), os.path.join(d, rel))
+    with open(os.path.join(d, "notes.txt"), "w") as fh:
+        fh.write("not parquet")
+    sigs = tb.footer_signatures(spark, d)
+    assert len(sigs) == 1 and sigs[0][2] == 3
+    got = sorted(tuple(r) for r in tb.bind_parquet(spark, d, "id BIGINT, label STRING, extra INT").collect())
+    assert got == [(0, "p", None), (1, "p", None), (2, "p", None),
+                   (10, None, None), (11, None, None), (12, None, None)]
