@@ -5,10 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medley.llm import bpe_transducer, secrets, sharding
+from medley.llm import (bpe_transducer, piece_lattice, quality_rules, secrets, sharding,
+                        template_decontam)
 from medley.plans.given import table
 
 
+def op3_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    return piece_lattice.encode(table(spark, sf, "documents"), n=3)
+
+
 def op4_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.assign(table(spark, sf, "documents"))
 
@@ -17,13 +22,24 @@ def op5_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return template_decontam.report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op9_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_rules.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_transducer.token_counts(table(spark, sf, "documents"))
 
 
 QUERIES = {
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_sharding": op4_sharding,
     "op5_secret_scans": op5_secret_scans,
+    "op7_decontamination": op7_decontamination,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_token_counts": op10_token_counts,
 }
 ORACLES: dict[str, str] = {}
