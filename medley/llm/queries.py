@@ -5,11 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medley.llm import (bpe_transducer, piece_lattice, quality_rules, secrets, sharding,
-                        template_decontam)
+from medley.llm import (bpe_transducer, hmm_scores, piece_lattice, quality_rules, secrets,
+                        sharding, template_decontam)
 from medley.plans.given import table
 
 
+def op2_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return hmm_scores.score(table(spark, sf, "documents"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return piece_lattice.encode(table(spark, sf, "documents"), n=3)
 
@@ -35,6 +39,7 @@ def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_sharding": op4_sharding,
     "op5_secret_scans": op5_secret_scans,
