@@ -1,0 +1,245 @@
+"""Document fingerprints: invertible Bloom lookup sketches of paragraphs.
+
+A text is a set of paragraph digests: its lines, cut into runs of at most
+``PIECE`` words (a paragraph that occurs again counts as a further element). A
+sketch of m cells holds each digest in three cells, as a count, a sum of digests
+and a sum of their checksums, all modulo 2^64. Sketches of two versions subtract
+cell by cell; what is left holds the digests they do not share, and peeling
+recovers them: a cell with one digest names it, and taking it out of its other
+cells leaves further cells with one. If cells remain, both versions are sketched
+again, larger. From the recovered difference and the two set sizes follows the
+exact likeness |A and B| / |A or B|.
+
+The fingerprint string is the first, smallest sketch with the set size.
+"""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F
+
+from medley.llm.common import text_of, written
+
+PIECE = 4               # words
+CELLS = 24              # of the fingerprint; three tables of CELLS / 3
+GROWTH = 4              # factor of a retry
+BATCH_CHARS = 4_000_000
+
+
+def digests(text: str) -> np.ndarray:
+    """64-bit digests of the text's paragraphs; distinct, '' gives none."""
+    import xxhash
+    pieces = []
+    for line in text.split("\n"):
+        words = line.split(" ")
+        if len(words) <= PIECE:
+            if line:
+                pieces.append(line)
+        else:
+            pieces += [" ".join(words[k:k + PIECE]) for k in range(0, len(words), PIECE)]
+    if len(set(pieces)) < len(pieces):
+        seen: dict[str, int] = {}
+        for k, piece in enumerate(pieces):
+            n = seen[piece] = seen.get(piece, -1) + 1
+            if n:
+                pieces[k] = f"{piece}\0{n}"
+    h = xxhash.xxh3_64_intdigest
+    return np.unique(np.array([h(p) for p in pieces], np.uint64))
+
+
+def _mix(x: np.ndarray, salt: int) -> np.ndarray:
+    x = x + np.uint64((salt * 0x9E3779B97F4A7C15) & (2**64 - 1))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _places(keys: np.ndarray, owner: np.ndarray, cells: int):
+    """The three cells of each key, one in each third of its owner's table."""
+    third = cells // 3
+    return [owner * cells + t * third + (_mix(keys, cells * 4 + t + 1) % np.uint64(third)).astype(np.int64)
+            for t in range(3)]
+
+
+def sketch(sets: list[np.ndarray], cells: int):
+    """(count, key sum, check sum) of every set, one after another."""
+    keys = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    count = np.zeros(len(sets) * cells, np.int64)
+    key_sum, check_sum = np.zeros(len(count), np.uint64), np.zeros(len(count), np.uint64)
+    check = _mix(keys, 0)
+    for at in _places(keys, owner, cells):
+        np.add.at(count, at, 1)
+        np.add.at(key_sum, at, keys)
+        np.add.at(check_sum, at, check)
+    return count, key_sum, check_sum
+
+
+def peel(count, key_sum, check_sum, cells: int):
+    """Recover what subtracted sketches hold: (digests recovered per sketch,
+    whether it came out whole). The arrays are used up."""
+    n = len(count) // cells
+    found = np.zeros(n, np.int64)
+    look = np.arange(len(count))
+    while len(look):
+        plus = look[(count[look] == 1) & (_mix(key_sum[look], 0) == check_sum[look])]
+        minus = look[(count[look] == -1)
+                     & (_mix(np.uint64(0) - key_sum[look], 0) == np.uint64(0) - check_sum[look])]
+        pure = np.concatenate([plus, minus])
+        sign = np.concatenate([np.ones(len(plus), np.int64), -np.ones(len(minus), np.int64)])
+        if not len(pure):
+            break
+        keys = np.where(sign > 0, key_sum[pure], np.uint64(0) - key_sum[pure])
+        owner = pure // cells
+        order = np.lexsort((keys, owner))            # a digest may be alone in several cells
+        keys, owner, sign = keys[order], owner[order], sign[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
+        keys, owner, sign = keys[new], owner[new], sign[new]
+        found += np.bincount(owner, minlength=n)
+        signed = np.where(sign > 0, np.uint64(0) - keys, keys)
+        check = _mix(keys, 0)
+        signed_check = np.where(sign > 0, np.uint64(0) - check, check)
+        places = _places(keys, owner, cells)
+        for at in places:
+            np.add.at(count, at, -sign)
+            np.add.at(key_sum, at, signed)
+            np.add.at(check_sum, at, signed_check)
+        look = np.unique(np.concatenate(places))
+    left = (count != 0) | (key_sum != 0) | (check_sum != 0)
+    return found, ~left.reshape(n, cells).any(1)
+
+
+def likeness(a: list[np.ndarray], b: list[np.ndarray], first=None) -> np.ndarray:
+    """Likeness of each pair of sets, by subtracting and peeling sketches of
+    growing size. ``first``: the pair's sketches of CELLS cells, if at hand."""
+    out = np.zeros(len(a))
+    todo, cells = list(range(len(a))), CELLS
+    while todo:
+        left, right = [a[k] for k in todo], [b[k] for k in todo]
+        sa, sb = first if first is not None else (sketch(left, cells), sketch(right, cells))
+        first = None
+        found, whole = peel(sa[0] - sb[0], sa[1] - sb[1], sa[2] - sb[2], cells)
+        again = []
+        for j, k in enumerate(todo):
+            if not whole[j]:
+                again.append(k)
+                continue
+            total = len(a[k]) + len(b[k])
+            shared = (total - int(found[j])) // 2
+            out[k] = shared / (total - shared) if total else 1.0
+        todo, cells = again, cells * GROWTH
+    return out
+
+
+def fingerprints(sets: list[np.ndarray], s) -> list[str]:
+    """Set size and cells as base 85 text."""
+    count, key_sum, check_sum = (x.reshape(len(sets), CELLS) for x in s)
+    return [len(d).to_bytes(4, "little").hex() + base64.b85encode(
+        count[k].astype("<u4").tobytes() + key_sum[k].astype("<u8").tobytes()
+        + check_sum[k].astype("<u4").tobytes()).decode() for k, d in enumerate(sets)]
+
+
+def edited(text: str, following: str) -> str:
+    k = len(text) // 4
+    return text[:len(text) - k] + following[:k]
+
+
+def compare(rows: list[tuple], following: str) -> list[tuple]:
+    """Result fields of consecutive (doc_id, text) rows; ``following`` is the
+    text after the last."""
+    with np.errstate(over="ignore"):
+        texts = [t for _, t in rows] + [following]
+        changed = [edited(t, texts[k + 1]) for k, t in enumerate(texts[:-1])]
+        own, new = [digests(t) for t in texts], [digests(t) for t in changed]
+        s_own, s_new = sketch(own, CELLS), sketch(new, CELLS)
+        cut = len(rows) * CELLS
+        mine = tuple(x[:cut] for x in s_own)
+        near_edited = likeness(own[:-1], new, (mine, s_new))
+        near_next = likeness(own[:-1], own[1:], (mine, tuple(x[CELLS:] for x in s_own)))
+        prints, edited_prints = fingerprints(own[:-1], mine), fingerprints(new, s_new)
+    return [(doc_id, len(t), hashlib.sha256(c.encode()).hexdigest(), p, e, float(x), float(y))
+            for (doc_id, t), c, p, e, x, y in zip(rows, changed, prints, edited_prints,
+                                                  near_edited, near_next)]
+
+
+RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
+          "edited_fingerprint string, near_edited double, near_next double")
+TYPES = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+NAMES = [x.split()[0] for x in RESULT.split(", ")]
+DONE, HEAD, OPEN = 0, 1, 2
+
+
+def _batch(rows, extra=()) -> pa.RecordBatch:
+    """Result rows, and with ``extra`` = [(kind, part, text)] the fields that
+    rows at a partition's edge need."""
+    cols = list(zip(*rows)) if rows else [()] * len(NAMES)
+    arrays, names = [pa.array(c, t) for c, t in zip(cols, TYPES)], list(NAMES)
+    if extra != ():
+        more = list(zip(*extra)) if extra else [()] * 3
+        arrays += [pa.array(c, t) for c, t in zip(more, (pa.int32(), pa.int32(), pa.string()))]
+        names += ["kind", "part", "text"]
+    return pa.RecordBatch.from_arrays(arrays, names=names)
+
+
+def _along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compare neighbours along one sorted partition. Its first text and its last
+    row are passed on for the partitions beside it."""
+    from pyspark import TaskContext
+    part = TaskContext.get().partitionId()
+    held, chars, first = [], 0, None
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if first is None:
+                first = row
+            if chars > BATCH_CHARS or len(held) >= 1024:
+                done = compare(held, row[1])
+                yield _batch(done, [(DONE, part, None)] * len(done))
+                held, chars = [], 0
+            held.append(row)
+            chars += len(row[1])
+    if first is not None:
+        done = compare(held[:-1], held[-1][1]) if len(held) > 1 else []
+        edge = [(HEAD, first), (OPEN, held[-1])]
+        yield _batch(done + [(row[0],) + (None,) * 6 for _, row in edge],
+                     [(DONE, part, None)] * len(done) + [(kind, part, row[1]) for kind, row in edge])
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for doc_id, text, following in zip(*(c.to_pylist() for c in batch.columns)):
+            yield _batch(compare([(doc_id, text)], following))
+
+
+def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+    near_edited, near_next for every row; the next document is the next by id
+    (NULL first; equal ids by a hash of the text), after the last the first.
+
+    Texts move once, into sorted ranges of ids; each task keeps a few megabytes
+    of neighbours. Two rows a partition carry the chain across partitions. NULL
+    text: empty, whose set is empty; two empty texts have likeness 1. A single
+    row is its own next."""
+    spark = docs.sparkSession
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text"))
+    order = [F.col("doc_id"), F.xxhash64("text")]
+    chained = (rows.repartitionByRange(*order).sortWithinPartitions(*order)
+               .mapInArrow(_along, RESULT + ", kind int, part int, text string"))
+    chained = written(spark, chained, "fingerprint-chain")
+    edge = chained.filter(F.col("kind") != DONE)
+    heads = edge.filter(F.col("kind") == HEAD).select("part", F.col("text").alias("following"))
+    parts = heads.select("part").withColumn(             # one row a partition
+        "next_part", F.lead("part").over(Window.orderBy("part")))
+    parts = parts.withColumn("next_part", F.coalesce("next_part", heads.agg(F.min("part")).scalar()))
+    last = (edge.filter(F.col("kind") == OPEN).select("part", "doc_id", "text").join(parts, "part")
+            .join(heads.withColumnRenamed("part", "next_part"), "next_part")
+            .select("doc_id", "text", "following").mapInArrow(_edges, RESULT))
+    return chained.filter(F.col("kind") == DONE).select(*NAMES).unionByName(last)
+
+
+__all__ = ["digests", "sketch", "peel", "likeness", "edited", "compare", "fingerprint"]

@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medley.llm import (bpe_transducer, hmm_scores, piece_lattice, quality_rules, secrets,
-                        sharding, template_decontam)
+from medley.llm import (bpe_transducer, hmm_scores, iblt_fingerprint, piece_lattice,
+                        quality_rules, secrets, sharding, template_decontam)
 from medley.plans.given import table
 
 
@@ -30,6 +30,10 @@ def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return template_decontam.report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op8_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return iblt_fingerprint.fingerprint(table(spark, sf, "documents"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -44,6 +48,7 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op5_secret_scans": op5_secret_scans,
     "op7_decontamination": op7_decontamination,
+    "op8_fingerprints": op8_fingerprints,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_token_counts": op10_token_counts,
 }
