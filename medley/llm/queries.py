@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from medley.llm import (bpe_transducer, hmm_scores, iblt_fingerprint, piece_lattice,
-                        quality_rules, secrets, sharding, template_decontam)
+                        quality_rules, secrets, sharding, substring_dedup, template_decontam)
 from medley.plans.given import table
 
 
@@ -26,6 +26,10 @@ def op5_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return template_decontam.report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_sharding": op4_sharding,
     "op5_secret_scans": op5_secret_scans,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_fingerprints": op8_fingerprints,
     "op9_quality_classifier": op9_quality_classifier,
