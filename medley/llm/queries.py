@@ -5,11 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medley.llm import (bpe_transducer, hmm_scores, iblt_fingerprint, piece_lattice,
+from medley.llm import (bpe_transducer, hmm_scores, iblt_fingerprint, ngram_join, piece_lattice,
                         quality_rules, secrets, sharding, substring_dedup, template_decontam)
 from medley.plans.given import table
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.join_components(table(spark, sf, "documents"))
+
+
 def op2_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     return hmm_scores.score(table(spark, sf, "documents"))
 
@@ -47,6 +51,7 @@ def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_sharding": op4_sharding,
