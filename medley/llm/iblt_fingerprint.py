@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from medley.llm.common import text_of, written
 
 PIECE = 4               # words
-CELLS = 24              # of the fingerprint; three tables of CELLS / 3
+CELLS = 12              # of the fingerprint; three tables of CELLS / 3
 GROWTH = 4              # factor of a retry
 BATCH_CHARS = 4_000_000
 
@@ -141,7 +141,7 @@ def fingerprints(sets: list[np.ndarray], s) -> list[str]:
     """Set size and cells as base 85 text."""
     count, key_sum, check_sum = (x.reshape(len(sets), CELLS) for x in s)
     return [len(d).to_bytes(4, "little").hex() + base64.b85encode(
-        count[k].astype("<u4").tobytes() + key_sum[k].astype("<u8").tobytes()
+        count[k].astype("<u2").tobytes() + key_sum[k].astype("<u8").tobytes()
         + check_sum[k].astype("<u4").tobytes()).decode() for k, d in enumerate(sets)]
 
 
