@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame, functions as F
 from medley.llm.common import text_of
 
 CHUNK = 32_768          # code points
-MAX_STATES = 200_000    # states, and
-MAX_WORDS = 500_000     # word transitions, before that table is built anew
+MAX_STATES = 150_000    # states, and
+MAX_WORDS = 300_000     # word transitions (and as many old ones) per table
 SPACE = "▁"
 
 
@@ -77,8 +77,9 @@ def normalized(text: str) -> str:
 
 
 class _State(dict):
-    """char -> (next state, change in count). ``live``: (start text, token that
-    ended there or None at a boundary, tokens before it minus tokens now)."""
+    """char -> (next state, change in count). ``live`` lists, flat: the trie node
+    of a start's text, the token that ended there (None at a boundary) and the
+    tokens before it minus the tokens now; longest start first."""
 
     __slots__ = ("machine", "live", "last")
 
@@ -87,16 +88,21 @@ class _State(dict):
         return arc
 
 
+START = (0, None, 0)
+
+
 class _Words(dict):
     """Word -> tokens emitted from the root over ``before`` and the word: the
-    path between two boundaries as one transition."""
+    path between two boundaries as one transition. A full table becomes the old
+    one, from which what is met again moves back."""
 
-    __slots__ = ("machine", "before")
+    __slots__ = ("machine", "before", "old")
 
     def __missing__(self, word: str) -> int:
         if len(self) > MAX_WORDS:
+            self.old = dict(self)
             self.clear()
-        n = self[word] = self.machine.run(self.before + word)
+        n = self[word] = self.old.pop(word, 0) or self.machine.run(self.before + word)
         return n
 
 
@@ -108,15 +114,28 @@ class Transducer:
 
     def __init__(self, pieces: PieceTable):
         self.p = pieces
+        self.child: list[dict[str, int]] = [{}]   # piece trie
+        self.piece: list[str | None] = [None]
+        for piece in pieces.score:
+            node = 0
+            for char in piece:
+                nxt = self.child[node].get(char)
+                if nxt is None:
+                    nxt = self.child[node][char] = len(self.child)
+                    self.child.append({})
+                    self.piece.append(None)
+                node = nxt
+            self.piece[node] = piece
         self.words, self.bare = _Words(), _Words()
         self.words.machine = self.bare.machine = self
         self.words.before, self.bare.before = SPACE, ""
+        self.words.old, self.bare.old = {}, {}
         self._reset()
 
     def _reset(self) -> None:
         self.states: dict = {}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.root = self._state((("", None, 0),), "")
+        self.root = self._state(START, "")
 
     def _state(self, live, last) -> _State:
         key = (live, last)
@@ -128,43 +147,55 @@ class Transducer:
 
     def bpe(self, text: str) -> list[str]:
         """Plain merging, best score first, leftmost on ties; for short texts."""
-        parts, score = list(text), self.p.score
-        while len(parts) > 1:
+        score = self.p.score
+        parts = list(text)
+        pairs = [score.get(text[k:k + 2]) for k in range(len(text) - 1)]
+        while True:
             best, at = None, -1
-            for k in range(len(parts) - 1):
-                s = score.get(parts[k] + parts[k + 1])
+            for k, s in enumerate(pairs):
                 if s is not None and (best is None or s > best):
                     best, at = s, k
             if at < 0:
-                break
+                return parts
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+            del pairs[at]
+            if at:
+                pairs[at - 1] = score.get(parts[at - 1] + parts[at])
+            if at < len(pairs):
+                pairs[at] = score.get(parts[at] + parts[at + 1])
 
     def _follows(self, left: str | None, piece: str) -> bool:
-        key = (left or "", piece)
+        if left is None:
+            key, want = piece, [piece]
+        else:
+            key, want = (left, piece), [left, piece]
         ok = self.pairs.get(key)
         if ok is None:
-            want = [left, piece] if left else [piece]
             ok = self.pairs[key] = self.bpe((left or "") + piece) == want
         return ok
 
     def arc(self, state: _State, char: str):
-        p = self.p
+        child, pieces = self.child, self.piece
+        first = child[0].get(char)
         live = state.live
-        if state.last and state.last + char not in p.bigrams:
-            live = (("", None, 0),)               # hard boundary: forget the past
-        known = char in p.score
-        token, count = None, 0
-        for start, left, rel in live:             # longest start first
-            piece = start + char
-            if (piece in p.score or not start) and self._follows(left, piece):
-                token, count = piece, rel + (1 if known or start else len(char.encode()))
-                break
-        if not known:                             # byte fallback: nothing grows across it
-            return self._state((("", None, 0),), ""), count
-        grown = tuple((start + char, left, rel - count) for start, left, rel in live
-                      if start + char in p.prefixes)
-        return self._state(grown + (("", token, 0),), char), count
+        if state.last and state.last + char not in self.p.bigrams:
+            live = START                          # hard boundary: forget the past
+        if first is None or pieces[first] is None:
+            return self._state(START, ""), live[-1] + len(char.encode())   # byte fallback
+        token, count, grown = None, 0, []
+        for k in range(0, len(live), 3):
+            node = child[live[k]].get(char)
+            if node is None:
+                continue
+            piece = pieces[node]
+            if token is None and piece is not None and self._follows(live[k + 1], piece):
+                token, count = piece, live[k + 2] + 1
+            if child[node]:
+                grown.append((node, live[k + 1], live[k + 2]))
+        flat = []
+        for node, left, rel in grown:
+            flat += (node, left, rel - count)
+        return self._state((*flat, 0, token, 0), char), count
 
     def run(self, text: str) -> int:
         """Tokens emitted over ``text`` from the root, character by character."""
