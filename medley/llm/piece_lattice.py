@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from medley.llm.bpe_transducer import SPACE, PieceTable, model_bytes, normalized
 from medley.llm.common import text_of
 
-MAX_KEPT = 400_000      # remembered segments per worker
+MAX_KEPT = 300_000      # remembered segments per worker, and as many old ones
 SEGMENT = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
 UNUSABLE = -1e8         # scores at or below this mark pieces that sampling never picks
 
@@ -61,14 +61,16 @@ def best_paths(n_nodes: int, arcs: list[tuple], forward: list[float], n: int) ->
 
 
 class _Kept(dict):
-    """segment -> (best score, gap to the second best, ids as bytes)."""
+    """segment -> (best score, gap to the second best, ids as bytes). A full table
+    becomes the old one, from which what is met again moves back."""
 
-    __slots__ = ("coder",)
+    __slots__ = ("coder", "old")
 
     def __missing__(self, segment: str):
         if len(self) > MAX_KEPT:
+            self.old = dict(self)
             self.clear()
-        entry = self[segment] = self.coder.best(segment)
+        entry = self[segment] = self.old.pop(segment, None) or self.coder.best(segment)
         return entry
 
 
@@ -85,7 +87,7 @@ class Coder:
                 node = node.setdefault(char, [{}, None, None])[0]
             node.setdefault(piece[-1], [{}, None, None])[1:] = [score, pieces.id[piece]]
         self.kept = _Kept()
-        self.kept.coder = self
+        self.kept.coder, self.kept.old = self, {}
         if not pieces.spaced or any("\n" in p for p in pieces.score):
             raise ValueError("pieces reach across spaces or line ends")
 
