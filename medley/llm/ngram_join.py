@@ -5,13 +5,16 @@ when the Jaccard similarity of their sets reaches ``num / den``; the result is
 the connected components of the links.
 
 Signatures. With a similarity of t, a set of n tokens may miss at most
-n - ceil(t n) tokens in a partner. All tokens have one global order: rare ones
+n - ceil(t n) tokens in any partner, and at most n - ceil(2 t / (1 + t) n) in one
+that is not smaller. All tokens have one global order: rare ones
 by hash, then frequent ones by rising count. Frequent tokens fall into
 ``SUBCLASSES`` classes. Of a set's tokens in that order, a prefix is taken and
 extended until (rare tokens) + sum over classes of (tokens - 1) exceeds the
-number of tokens that may be missing. A rare token of the prefix is a signature
+number of tokens that may be missing; the part of it that answers the second,
+smaller number is the short prefix. A rare token of the prefix is a signature
 by itself, two frequent tokens of one class are one together; two similar sets
-then share a signature, because the missing tokens cannot break all of them.
+then share a signature that lies in the short prefix of the smaller one, because
+the missing tokens cannot break all of them.
 Sets too small for the extension use single tokens in a key space of their own.
 
 Components without all pairs. Sets that are equal are one node from the start.
@@ -32,46 +35,46 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from medley.llm.common import text_of, written
+from medley.llm.word_hashes import MIX, mixed, word_hashes
 
 NUM, DEN = 75, 100
 NGRAM = 5
 FREQUENT = 8            # counted occurrences from which a token is frequent
 MOST_FREQUENT = 1 << 18  # frequent tokens carried by every task
-SUBCLASSES = 8
-SMALL, SMALLEST = 16, 12  # sets below SMALL use single tokens too, below SMALLEST only those
-BLOCK = 6_000_000       # tokens counted together before counting across tasks
-ROUNDS = 3
+SUBCLASSES = 16
+SMALL, SMALLEST = 31, 23  # sets below SMALL use single tokens too, below SMALLEST only those
+BLOCK = 4_000_000       # tokens counted together before counting across tasks
+ROWS = 512              # texts handled at once
+ROUNDS = 2
+GROUP = 4096            # sets of a signature that are handled as one array
 PACK = 5                # bytes kept of a token hash when sets are compared
 MEMBERS = 1024          # members compared to one copy of a pivot
-MAX_WORDS = 400_000
-MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Codes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-        if len(self) > MAX_WORDS:
-            self.clear()
-        code = self[word] = xxhash.xxh3_64_intdigest(word)
-        return code
-
-
-_CODES = _Codes()
-
-
-def shingles(text: str, n: int = NGRAM) -> np.ndarray:
-    """Sorted distinct shingle hashes; fewer than ``n`` words give the whole
-    sequence as one, no words an empty set."""
-    words = text.encode().lower().split()
-    c = np.fromiter(map(_CODES.__getitem__, words), np.uint64, len(words))
-    k = min(n, len(c))
-    m = len(c) - k + 1 if k else 0
+def _rolled(words: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of ``n`` words."""
+    m = max(0, len(words) - n + 1)
     with np.errstate(over="ignore"):
-        h = np.full(m, k, np.uint64)
-        for j in range(k):
-            h = (h ^ c[j:j + m]) * MIX
+        h = np.full(m, n, np.uint64)
+        for j in range(n):
+            h = (h ^ words[j:j + m]) * MIX
             h ^= h >> np.uint64(32)
-    return np.unique(h)
+    return h
+
+
+def shingles(texts: pa.Array, n: int = NGRAM) -> list[np.ndarray]:
+    """Each text's sorted distinct shingle hashes; fewer than ``n`` words give the
+    whole sequence as one, no words an empty set."""
+    words, counts = word_hashes(texts, lower=True)
+    rolled, at, out = _rolled(words, n), 0, []
+    for k in counts.tolist():
+        h = rolled[at:at + k - n + 1] if k >= n else _rolled(words[at:at + k], k) if k else rolled[:0]
+        at += k
+        if len(h) > 1:
+            h = np.sort(h)
+            h = h[np.concatenate([[True], h[1:] != h[:-1]])]
+        out.append(h)
+    return out
 
 
 def set_id(tokens: np.ndarray) -> int:
@@ -80,7 +83,7 @@ def set_id(tokens: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes())).view(np.int64))
 
 
-FIRST = "doc_id long, size long, cid long, token long, n long"
+FIRST = "doc_id long, row_key long, size long, cid long, token long, n long"
 
 
 def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,36 +91,40 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     twice or more in a block. A token of count f over b blocks is seen in some
     block twice once f > b, so every frequent one is found."""
     def counted():
-        tokens, n = np.unique(np.concatenate(block), return_counts=True)
-        tokens, n = tokens[n > 1], n[n > 1]
-        return _pass_batch([], tokens.view(np.int64), n)
-
-    def _pass_batch(rows, tokens, n):
-        blank = [None] * len(rows)
-        ids, sizes, cids = zip(*rows) if rows else ((), (), ())
-        none = [None] * len(tokens)
-        return pa.RecordBatch.from_arrays([
-            pa.array(list(ids) + none, pa.int64()), pa.array(list(sizes) + none, pa.int64()),
-            pa.array(list(cids) + none, pa.int64()),
-            pa.array(blank + tokens.tolist(), pa.int64()), pa.array(blank + n.tolist(), pa.int64())],
-            names=["doc_id", "size", "cid", "token", "n"])
+        tokens = np.concatenate(block)
+        block.clear()
+        tokens.sort()                                # in place: a block is held once
+        again = np.flatnonzero(tokens[1:] == tokens[:-1])
+        first = np.ones(len(again), bool)
+        first[1:] = again[1:] != again[:-1] + 1
+        edge = np.flatnonzero(first)
+        n = np.diff(np.append(edge, len(again))) + 1
+        return batch_of([], tokens[again[edge]].view(np.int64).tolist(), n.tolist())
+
+    def batch_of(rows, tokens, n):
+        blank, none = [None] * len(rows), [None] * len(tokens)
+        fields = list(zip(*rows)) if rows else [()] * 4
+        cols = [list(f) + none for f in fields] + [blank + tokens, blank + n]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
+                                          names=[x.split()[0] for x in FIRST.split(", ")])
 
     block, n, seen = [], 0, set()
-    nothing = np.empty(0, np.int64)
-    for batch in batches:
-        rows = []
-        for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-            tokens = shingles(text)
-            cid = set_id(tokens)
-            rows.append((doc_id, len(tokens), cid))
-            if len(tokens) and cid not in seen:       # a copy does not make tokens frequent
-                seen.add(cid)
-                block.append(tokens)
-                n += len(tokens)
+    for whole in batches:
+        for at in range(0, whole.num_rows, ROWS):
+            batch = whole.slice(at, ROWS)
+            rows = []
+            for doc_id, key, tokens in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                           shingles(batch.column(2))):
+                cid = set_id(tokens)
+                rows.append((doc_id, key, len(tokens), cid))
+                if len(tokens) and cid not in seen:   # a copy does not make tokens frequent
+                    seen.add(cid)
+                    block.append(tokens)
+                    n += len(tokens)
+            yield batch_of(rows, [], [])
             if n > BLOCK:
                 yield counted()
-                block, n, seen = [], 0, set()
-        yield _pass_batch(rows, nothing, nothing)
+                n, seen = 0, set()
     if block:
         yield counted()
 
@@ -141,38 +148,46 @@ class Frequent:
         return np.where(self.tokens[at] == tokens, self.rank[at], -1)
 
 
-def signatures(tokens: np.ndarray, frequent: Frequent, num: int = NUM, den: int = DEN) -> np.ndarray:
-    """Signature hashes of a sorted token set."""
+def signatures(tokens: np.ndarray, frequent: Frequent, num: int = NUM,
+               den: int = DEN) -> tuple[np.ndarray, np.ndarray]:
+    """Signature hashes of a sorted token set, and which lie in its short prefix."""
     n = len(tokens)
-    if n < 2:
-        return np.empty(0, np.uint64)                # its only partners are equal sets
+    if n < 2:                                        # its only partners are equal sets
+        return np.empty(0, np.uint64), np.empty(0, bool)
     missing = n - -(-n * num // den)
+    fewer = n - -(-2 * n * num // (den + num))
     with np.errstate(over="ignore"):
-        small = np.empty(0, np.uint64)
-        if n < SMALL:
-            small = _key(tokens[:missing + 1], np.uint64(3))   # plain prefix in hash order
-            if n < SMALLEST:
-                return small
-        rank = frequent.place(tokens)
-        rare = tokens[rank < 0]                      # already in hash order
-        if len(rare) > missing:
-            return np.concatenate([small, _key(rare[:missing + 1], np.uint64(1))])
-        out = [small, _key(rare, np.uint64(1))]
-        often = tokens[rank >= 0][np.argsort(rank[rank >= 0], kind="stable")]
-        kind = (often % np.uint64(SUBCLASSES)).astype(np.int64)
-        seen = np.zeros(SUBCLASSES, np.int64)
-        gain, cut = len(rare), 0
-        for k in kind.tolist():
-            cut += 1
-            gain += 1 if seen[k] else 0
-            seen[k] += 1
-            if gain > missing:
-                break
-        for k in range(SUBCLASSES):
-            t = np.sort(often[:cut][kind[:cut] == k])
-            i, j = np.triu_indices(len(t), 1)
-            out.append(_key(t[i] * MIX + t[j], np.uint64(2)))
-    return np.concatenate(out)
+        out, short = [], []
+
+        def add(keys, space, inside):
+            out.append(_key(keys, np.uint64(space)))
+            short.append(inside)
+
+        if n < SMALL:                                # plain prefix in hash order
+            add(tokens[:missing + 1], 3, np.arange(missing + 1) <= fewer)
+        if n >= SMALLEST:
+            rank = frequent.place(tokens)
+            rare = tokens[rank < 0][:missing + 1]    # already in hash order
+            add(rare, 1, np.arange(len(rare)) <= fewer)
+            if len(rare) <= missing:
+                often = tokens[rank >= 0][np.argsort(rank[rank >= 0], kind="stable")]
+                kind = (often % np.uint64(SUBCLASSES)).astype(np.int64)
+                seen = np.zeros(SUBCLASSES, bool)
+                gain, cut, near = len(rare), 0, 0
+                for k in kind.tolist():
+                    near += gain <= fewer            # tokens of the short prefix
+                    cut += 1
+                    gain += bool(seen[k])
+                    seen[k] = True
+                    if gain > missing:
+                        break
+                inside = np.arange(cut) < near
+                for k in range(SUBCLASSES):
+                    t = np.flatnonzero(kind[:cut] == k)
+                    t = t[np.argsort(often[t])]
+                    i, j = np.triu_indices(len(t), 1)
+                    add(often[t[i]] * MIX + often[t[j]], 2, inside[t[i]] & inside[t[j]])
+    return np.concatenate(out), np.concatenate(short)
 
 
 def _key(x: np.ndarray, space: np.uint64) -> np.ndarray:
@@ -184,59 +199,86 @@ def _signature_rows(carried):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, seen = carried.value, set()
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                sigs, cids, sizes, counts = [], [], [], []
-                for text in whole.column(0).slice(at, 512).to_pylist():
-                    tokens = shingles(text)
+            for at in range(0, whole.num_rows, ROWS):
+                sigs, flags, cids, sizes, counts = [], [], [], [], []
+                for tokens in shingles(whole.column(0).slice(at, ROWS)):
                     cid = set_id(tokens)
                     if cid in seen:                  # copies are one node
                         continue
                     if len(seen) > 500_000:
                         seen.clear()
                     seen.add(cid)
-                    s = signatures(tokens, frequent)
+                    s, short = signatures(tokens, frequent)
                     sigs.append(s)
+                    flags.append(short)
                     cids.append(cid)
                     sizes.append(len(tokens))
                     counts.append(len(s))
                 sig = np.concatenate(sigs) if sigs else np.empty(0, np.uint64)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(sig.view(np.int64)), pa.array(np.repeat(np.array(cids, np.int64), counts)),
-                    pa.array(np.repeat(np.array(sizes, np.int32), counts))], names=["sig", "cid", "size"])
+                    pa.array(np.repeat(np.array(sizes, np.int32), counts)),
+                    pa.array(np.concatenate(flags) if flags else np.empty(0, bool))],
+                    names=["sig", "cid", "size", "short"])
     return run
 
 
+ROLES = "sig long, cid long, size int, short boolean"
+SHARED = "grp long, whole boolean, cids array<bigint>, sizes array<int>, shorts array<boolean>"
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by signature and set -> those whose signature has two sets or
-    more; one row a set. Holds one row and one batch."""
-    last = None                                      # (sig, cid, size) not yet passed on, passed?
-    passed = False
-    for batch in batches:
-        sig, cid, size = (np.array(c) for c in batch.columns)
-        if not len(sig):
-            continue
-        if last is not None:
-            sig, cid, size = (np.concatenate([[x], y]) for x, y in zip(last, (sig, cid, size)))
+    """Rows sorted by signature and set -> the sets of each signature that has two
+    or more and is in some short prefix, as arrays of at most ``GROUP`` sets. ``grp`` names the group: where
+    it is one array, by its sets, so that signatures of the same sets are alike;
+    a larger group by its signature, in several arrays. Holds a batch and an
+    array."""
+    def grouped(sig, cid, size, short, ended):
+        """Cut into arrays; returns the batch and what may go on."""
         new = np.ones(len(sig), bool)
         new[1:] = (sig[1:] != sig[:-1]) | (cid[1:] != cid[:-1])
-        at = np.flatnonzero(new)
-        s = sig[at]
-        same = s[1:] == s[:-1]
-        out = np.zeros(len(at), bool)
-        out[1:] |= same
-        out[:-1] |= same
-        if last is not None and passed:              # the carried row is out already
-            first_passed = True
-        else:
-            first_passed = False
-        passed = bool(out[-1]) or (first_passed and len(at) == 1)
-        last = (sig[at[-1]], cid[at[-1]], size[at[-1]])
-        if first_passed:
-            out[0] = False
-        pick = at[out]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(sig[pick].astype(np.int64)), pa.array(cid[pick].astype(np.int64)),
-             pa.array(size[pick].astype(np.int32))], names=["sig", "cid", "size"])
+        sig, cid, size, short = sig[new], cid[new], size[new], short[new]
+        shorts = np.concatenate([[0], np.cumsum(short)])
+        edge = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.empty(0, int)
+        first, last = edge, np.concatenate([edge[1:], [len(sig)]])
+        keep = len(sig)
+        if not ended and len(edge):
+            keep = edge[-1]
+            first, last = first[:-1], last[:-1]
+        rows = []
+        for a, b in zip(first.tolist(), last.tolist()):
+            more = int(sig[a]) == going[0]
+            if not more and (b - a < 2 or shorts[a] == shorts[b]):
+                continue
+            for k in range(a, b, GROUP):
+                rows.append((sig[a], not more and b - a <= GROUP, k, min(b, k + GROUP)))
+        rest = [x[keep:] for x in (sig, cid, size, short)]
+        while len(rest[0]) > GROUP:                   # a large group is passed on as it comes
+            going[0] = int(rest[0][0])
+            rows.append((rest[0][0], False, keep, keep + GROUP))
+            keep += GROUP
+            rest = [x[GROUP:] for x in rest]
+        mix = mixed(cid.view(np.uint64) ^ short.astype(np.uint64))
+        names = [int(mixed(np.array([mix[a:b].sum() + np.uint64(b - a)], np.uint64)).view(np.int64)[0])
+                 if whole else int(s) for s, whole, a, b in rows]
+        lengths = np.array([b - a for _, _, a, b in rows], np.int32)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+        pick = np.concatenate([np.arange(a, b) for _, _, a, b in rows]) if rows else np.empty(0, int)
+        return pa.RecordBatch.from_arrays([
+            pa.array(names, pa.int64()), pa.array([w for _, w, _, _ in rows], pa.bool_()),
+            pa.ListArray.from_arrays(offsets, pa.array(cid[pick])),
+            pa.ListArray.from_arrays(offsets, pa.array(size[pick])),
+            pa.ListArray.from_arrays(offsets, pa.array(short[pick]))],
+            names=["grp", "whole", "cids", "sizes", "shorts"]), rest
+
+    going = [None]                                   # signature of a group partly passed on
+    rest = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, bool)]
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            cols = [np.concatenate([r, np.array(c, r.dtype)]) for r, c in zip(rest, batch.columns)]
+            out, rest = grouped(*cols, False)
+            yield out
+        yield grouped(*rest, True)[0]
 
 
 def packed(tokens: np.ndarray) -> bytes:
@@ -251,26 +293,70 @@ def unpacked(raw: bytes) -> np.ndarray:
     return wide.reshape(-1).view(np.uint64)
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Tokens per bucket, about four a bucket; 255 stands for any larger number."""
+    m = 16
+    while 4 * m < len(tokens):
+        m *= 2
+    counts = np.bincount((tokens & np.uint64(m - 1)).astype(np.int64), minlength=m)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def most_shared(a: bytes, b: bytes) -> int:
+    """An upper bound of the tokens two sets share, from their sketches."""
+    x, y = (np.frombuffer(s, np.uint8).astype(np.int64) for s in (a, b))
+    x[x == 255] = y[y == 255] = 1 << 40
+    m = min(len(x), len(y))
+    return int(np.minimum(x.reshape(-1, m).sum(0), y.reshape(-1, m).sum(0)).sum())
+
+
+SETS = "cid long, size int, sketch binary, tokens binary"
+
+
 def _set_rows(bits: np.ndarray):
-    """Texts whose set id passes the bitmap -> (cid, packed set)."""
+    """Texts whose set id passes the bitmap -> (cid, size, sketch, packed set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
-        mask = len(bits) * 64 - 1
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                cids, sets = [], []
-                for text in whole.column(0).slice(at, 512).to_pylist():
-                    tokens = shingles(text)
+            for at in range(0, whole.num_rows, ROWS):
+                rows = []
+                for tokens in shingles(whole.column(0).slice(at, ROWS)):
                     cid = set_id(tokens)
-                    slot = cid & mask
-                    if cid not in seen and int(bits[slot >> 6]) >> (slot & 63) & 1:
+                    if cid not in seen and _in(bits, np.array([cid]))[0]:
                         if len(seen) > 500_000:
                             seen.clear()
                         seen.add(cid)
-                        cids.append(cid)
-                        sets.append(packed(tokens))
-                yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(sets, pa.binary())],
-                                                 names=["cid", "tokens"])
+                        rows.append((cid, len(tokens), sketch(tokens), packed(tokens)))
+                cols = list(zip(*rows)) if rows else [()] * 4
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.binary(), pa.binary()))],
+                    names=["cid", "size", "sketch", "tokens"])
+    return run
+
+
+def _in(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which ids pass the bitmap."""
+    slot = ids & (len(bits) * 64 - 1)
+    return (bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) != 0
+
+
+def _passing(bits: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_in(bits, np.array(batch.column(0), np.int64))))
+    return run
+
+
+def _possible(num: int, den: int):
+    """(pivot, cid, sizes, sketches) -> the pairs that may link."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for na, nb, a, b in zip(*(c.to_pylist() for c in batch.columns[2:])):
+                shared = min(most_shared(a, b), na, nb)
+                keep.append(den * shared >= num * (na + nb - shared))
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["pivot", "cid"]).filter(
+                pa.array(keep, pa.bool_()))
     return run
 
 
@@ -314,8 +400,17 @@ def _verified(num: int, den: int):
 
 
 def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The linked ones of distinct (pivot, cid) pairs. A pivot of many members
-    is copied, once for each ``MEMBERS`` of them."""
+    """The linked ones of distinct (pivot, cid) pairs. Small sketches rule out most
+    pairs without loss; only the sets of the rest are moved. A pivot of many
+    members is copied, once for each ``MEMBERS`` of them."""
+    spark = pairs.sparkSession
+    small = sets.select("cid", F.col("size").alias("n"), F.col("sketch").alias("s"))
+    lead = small.select(F.col("cid").alias("pivot"), F.col("n").alias("pn"), F.col("s").alias("ps"))
+    pairs = (pairs.join(small, "cid").join(lead, "pivot").select("pivot", "cid", "n", "pn", "s", "ps")
+             .mapInArrow(_possible(num, den), "pivot long, cid long").distinct())
+    pairs = written(spark, pairs, "possible-pairs")
+    bits = bitmap(pairs.select("cid").unionByName(pairs.select(F.col("pivot").alias("cid"))).distinct())
+    sets = sets.select("cid", "tokens").mapInArrow(_passing(bits), "cid long, tokens binary")
     salts = (pairs.groupBy("pivot").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("salts")))
     members = (pairs.join(salts, "pivot")
                .withColumn("salt", F.pmod(F.xxhash64("cid"), F.col("salts")).cast("int"))
@@ -338,25 +433,27 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
                      .withColumnRenamed("a", "node"), "labels")
     while True:
         near = (edges.join(labels, edges["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("m")))
-        step = written(spark, labels.join(near, labels["node"] == near["a"], "left").select(
-            "node", F.least("label", F.coalesce("m", "label")).alias("label"),
-            F.col("label").alias("before")), "label-step")
-        up = step.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        labels = written(spark, step.join(up, "label", "left").select(
-            "node", F.least("label", F.coalesce("up", "label")).alias("label"), "before"), "labels")
-        if labels.filter("label != before").isEmpty():
-            return labels.select("node", "label")
-        labels = labels.drop("before")
+        up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
+        step = (labels.join(near, labels["node"] == near["a"], "left").join(up, "label", "left")
+                .select("node", F.least("label", F.coalesce("m", "label"), F.coalesce("up", "label")).alias("next"),
+                        "label"))
+        step = written(spark, step, "labels")
+        labels = step.select("node", F.col("next").alias("label"))
+        if step.filter("next != label").isEmpty():
+            return labels
 
 
-def _fits(a, b, num: int, den: int):
-    """Whether sets of these sizes can be similar enough."""
-    return (F.least(a, b) * den >= F.greatest(a, b) * num)
+def _meet(a: str, b: str, num: int, den: int):
+    """Whether two rows of a signature are a candidate pair: sizes that can be
+    similar enough, and the signature in the short prefix of the smaller set."""
+    n, m = F.col(f"{a}size"), F.col(f"{b}size")
+    return ((F.least(n, m) * den >= F.greatest(n, m) * num)
+            & ((F.col(f"{a}short") & (n <= m)) | (F.col(f"{b}short") & (m <= n))))
 
 
 def linked_components(spark: SparkSession, shared: DataFrame, sets: DataFrame,
                       num: int = NUM, den: int = DEN) -> DataFrame:
-    """(cid, comp) for the sets of ``shared`` (sig, cid, size) that have links."""
+    """(node, label) for the sets of ``shared`` (sig, cid, size, short) that have links."""
     comp, links = None, None
     for turn in range(ROUNDS + 1):
         if comp is None:
@@ -372,17 +469,17 @@ def linked_components(spark: SparkSession, shared: DataFrame, sets: DataFrame,
                 break
         if turn < ROUNDS:
             lead = rows.groupBy("sig").agg(F.min(F.struct(
-                F.xxhash64(F.lit(turn), "cid").alias("h"), "cid", "size", "comp")).alias("p"))
-            pairs = rows.join(lead, "sig").filter(F.col("comp") != F.col("p.comp"))
-            pairs = pairs.filter(_fits(F.col("size"), F.col("p.size"), num, den)).select(
-                F.col("p.cid").alias("pivot"), "cid")
+                ~F.col("short"), F.xxhash64(F.lit(turn), "cid").alias("h"), "cid", "size", "short",
+                "comp")).alias("p"))
+            lead = lead.select("sig", F.col("p.cid").alias("pivot"), F.col("p.size").alias("psize"),
+                               F.col("p.short").alias("pshort"), F.col("p.comp").alias("pcomp"))
+            pairs = rows.join(lead, "sig").filter((F.col("pcomp") != F.col("comp")) & _meet("", "p", num, den))
         else:
             other = rows.select("sig", F.col("cid").alias("pivot"), F.col("size").alias("psize"),
-                                F.col("comp").alias("pcomp"))
-            pairs = (rows.join(other, "sig").filter("pcomp < comp")
-                     .filter(_fits(F.col("size"), F.col("psize"), num, den)).select("pivot", "cid"))
-        pairs = written(spark, pairs.distinct(), "candidate-pairs")
-        found = written(spark, verify(pairs, sets, num, den), "links")
+                                F.col("short").alias("pshort"), F.col("comp").alias("pcomp"))
+            pairs = rows.join(other, "sig").filter((F.col("pcomp") < F.col("comp")) & _meet("", "p", num, den))
+        pairs = pairs.select("pivot", "cid")
+        found = written(spark, verify(pairs.distinct(), sets, num, den), "links")
         links = found if links is None else links.unionByName(found)
         if not found.isEmpty():
             comp = components(spark, links)
@@ -397,31 +494,56 @@ def join_components(docs: DataFrame, num: int = NUM, den: int = DEN, id_col: str
     Equal sets link whatever their ids; rows that repeat are equal sets."""
     spark = docs.sparkSession
     sc = spark.sparkContext
-    texts = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text"))
+    text = text_of(docs, text_col)
+    texts = docs.select(docs[id_col].cast("long").alias("doc_id"),
+                        F.xxhash64(docs[id_col], text).alias("row_key"), text.alias("text"))
     first = written(spark, texts.mapInArrow(_first_pass, FIRST), "shingle-sets")
     rows = first.filter("cid is not null")
     top = (first.filter("cid is null").groupBy("token").agg(F.sum("n").alias("n"))
            .filter(F.col("n") >= FREQUENT).orderBy(F.col("n").desc(), "token").limit(MOST_FREQUENT).toPandas())
     frequent = Frequent(top["token"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64))
     only = texts.select("text")
-    shared = (only.mapInArrow(_signature_rows(sc.broadcast(frequent)), "sig long, cid long, size int")
-              .repartition("sig").sortWithinPartitions("sig", "cid")
-              .mapInArrow(_shared, "sig long, cid long, size int"))
-    shared = written(spark, shared, "shared-signatures")
+    groups = (only.mapInArrow(_signature_rows(sc.broadcast(frequent)), ROLES)
+              .repartition("sig").sortWithinPartitions("sig", "cid").mapInArrow(_shared, SHARED))
+    groups = written(spark, groups, "signature-groups")
+    once = groups.filter("whole").groupBy("grp").agg(
+        *[F.first(c).alias(c) for c in ("cids", "sizes", "shorts")])
+    groups = groups.filter("not whole").drop("whole").unionByName(once)
+    shared = groups.select(F.col("grp").alias("sig"), F.explode(F.arrays_zip("cids", "sizes", "shorts")).alias("m"))
+    shared = written(spark, shared.select("sig", F.col("m.cids").alias("cid"), F.col("m.sizes").alias("size"),
+                                          F.col("m.shorts").alias("short")), "shared-signatures")
     bits = bitmap(shared.select("cid").distinct())
-    sets = written(spark, only.mapInArrow(_set_rows(bits), "cid long, tokens binary"), "candidate-sets")
+    sets = written(spark, only.mapInArrow(_set_rows(bits), SETS), "candidate-sets")
     comp = linked_components(spark, shared, sets, num, den)
     nodes = (rows.join(comp.withColumnRenamed("node", "cid"), "cid", "left")
-             .withColumn("comp", F.coalesce("label", "cid")).select("doc_id", "size", "cid", "comp"))
+             .withColumn("comp", F.coalesce("label", "cid")))
     least = written(spark, nodes.filter("size > 0").groupBy("comp", "cid").agg(F.min("doc_id").alias("class_id")),
                     "least-ids")
     least = least.join(least.groupBy("comp").agg(F.min("class_id").alias("component_id")), "comp")
-    least = written(spark, least.select("cid", "class_id", "component_id"), "component-ids")
+    least = written(spark, least.select("cid", "comp", "class_id", "component_id"), "component-ids")
     own = F.col("size") == 0
     return (rows.join(least, "cid", "left").select(
         "doc_id", F.col("size").alias("n_shingles"),
         F.when(own, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.when(own, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id")))
-
-
-__all__ = ["join_components", "components", "signatures", "shingles", "Frequent", "verify"]
+        F.when(own, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(~own, F.col("comp")).alias("group_key"), "row_key"))
+
+
+def keep_one(docs: DataFrame, num: int = NUM, den: int = DEN, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: that of least id (NULL first;
+    equal ids by a hash of the text; of rows alike in both, one). Rows without
+    words are in no component and all stay. Columns unchanged."""
+    joined = join_components(docs, num, den, id_col, text_col)
+    keep = (joined.filter("group_key is not null").groupBy("group_key")
+            .agg(F.min(F.struct("doc_id", "row_key")).alias("m")).select(F.col("m.row_key").alias("_row_key")))
+    text = text_of(docs, text_col)
+    words = text.rlike(r"[^\x20\x09-\x0D]")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+                       F.xxhash64(docs[id_col], text).alias("_row_key"), words.alias("_words"))
+    one = (rows.filter("_words").join(keep.hint("shuffle_hash"), "_row_key", "left_semi")
+           .dropDuplicates(["_row_key"]))
+    return one.unionByName(rows.filter("not _words")).select("row.*")
+
+
+__all__ = ["join_components", "keep_one", "components", "signatures", "shingles", "Frequent", "verify"]
