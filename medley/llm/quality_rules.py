@@ -119,30 +119,40 @@ class Ensemble:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
 
 
-def fit(stats: DataFrame, labels: DataFrame, label_col: str = "quality", sample: int = SAMPLE,
-        trees: int = 12, depth: int = 4, penalty: float = 1e-3) -> Ensemble:
-    """Train on rows of ``stats`` with a 0/1 label outside the held-out fold.
+def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, sample: int,
+                    id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, y, statistics) of about ``sample`` labelled rows outside the
+    held-out fold, chosen by a hash of the id. Only their statistics are made."""
+    y = labels[label_col].cast("double")
+    labelled = (labels.select(labels["doc_id"].alias("_id"), y.alias("y")).filter("y in (0, 1)")
+                .filter(fold_of(F.col("_id")) != 0))
+    share = min(1.0, sample / max(1, labelled.count()))
+    chosen = labelled.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    rows = rows.join(F.broadcast(chosen), rows["doc_id"] == chosen["_id"])   # about ``sample`` ids
+    rows = rows.select(F.struct("doc_id", "y").alias("row"), "text")
+    return statistics(rows, "row", "text").select("doc_id.doc_id", "doc_id.y", *NAMES)
+
+
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample: int = SAMPLE,
+        trees: int = 12, depth: int = 4, penalty: float = 1e-3, id_col: str = "doc_id",
+        text_col: str = "text") -> Ensemble:
+    """Train on rows with a 0/1 label outside the held-out fold.
 
     Without labelled rows every score is 1 (nothing to reject by); with one
     label only, scores are constant. Repeated label rows weigh as repeats."""
-    labelled = labels.select(labels["doc_id"].alias("_id"), labels[label_col].cast("double").alias("y"))
-    labelled = labelled.filter("y in (0, 1)")
-    rows = stats.join(labelled, stats["doc_id"] == F.col("_id")).filter(fold_of(F.col("doc_id")) != 0)
-    rows = rows.select("doc_id", "y", *NAMES)
+    rows = written(docs.sparkSession, training_sample(docs, labels, label_col, sample, id_col, text_col),
+                   "quality-sample").coalesce(4)
     seen = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(seen) < 2:
         return Ensemble(-40.0 if set(seen) == {0.0} else 40.0, ())
-    share = min(1.0, sample / sum(seen.values()))
-    rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    rows = written(stats.sparkSession, rows, "quality-sample").coalesce(4)
     vector = rows.select("y", *NAMES, array_to_vector(F.array(*NAMES)).alias("x")).cache()
     forest = RandomForestClassifier(labelCol="y", featuresCol="x", numTrees=trees, maxDepth=depth,
                                     maxBins=32, seed=11, featureSubsetStrategy="0.5",
                                     minInstancesPerNode=5).fit(vector)
     rules = sorted(set().union(*(paths(t.toDebugString) for t in forest.trees)), key=Rule.text)
     if not rules:
-        ones = seen.get(1.0, 0) / sum(seen.values())
-        return Ensemble(40.0 if ones >= 0.5 else -40.0, ())
+        return Ensemble(40.0 if seen.get(1.0, 0) >= seen.get(0.0, 0) else -40.0, ())
     fired = vector.select("y", array_to_vector(F.array(
         *[r.column().cast("double") for r in rules])).alias("r")).cache()
     lasso = LogisticRegression(labelCol="y", featuresCol="r", elasticNetParam=1.0, regParam=penalty,
@@ -158,12 +168,19 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, label_c
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted for every row; neither labels nor other
     columns than the text enter a score. Empty table: no rows."""
-    stats = written(docs.sparkSession, statistics(docs, id_col, text_col), "text-statistics")
-    ensemble = fit(stats, labels, label_col)
-    score = ensemble.score()
-    return (stats.select("doc_id", (fold_of(F.col("doc_id")) == 0).alias("held_out"),
-                         score.alias("score"))
+    score = fit(docs, labels, label_col, id_col=id_col, text_col=text_col).score()
+    return (statistics(docs, id_col, text_col)
+            .select("doc_id", (fold_of(F.col("doc_id")) == 0).alias("held_out"), score.alias("score"))
             .withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0)))
 
 
-__all__ = ["STATISTICS", "statistics", "Rule", "Ensemble", "paths", "fit", "classify"]
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, label_col: str = "quality",
+              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more, columns unchanged."""
+    score = fit(docs, labels, label_col, id_col=id_col, text_col=text_col).score()
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+                       docs[text_col].alias("text"))
+    return statistics(rows, "row", "text").filter(score >= threshold).select("doc_id.*")
+
+
+__all__ = ["STATISTICS", "statistics", "Rule", "Ensemble", "paths", "fit", "classify", "keep_good"]

@@ -5,13 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medley.llm import (bpe_transducer, hmm_scores, iblt_fingerprint, ngram_join, piece_lattice,
-                        quality_rules, secrets, sharding, substring_dedup, template_decontam)
+from medley.llm import (bpe_transducer, hmm_scores, iblt_fingerprint, ngram_join, oracles,
+                        piece_lattice, quality_rules, secrets, sharding, substring_dedup,
+                        template_decontam)
 from medley.plans.given import table
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
-    return ngram_join.join_components(table(spark, sf, "documents"))
+    return (ngram_join.join_components(table(spark, sf, "documents"))
+            .select("doc_id", "n_shingles", "component_id", "class_id"))
 
 
 def op2_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,4 +64,8 @@ QUERIES = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_token_counts": op10_token_counts,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_ngram_jaccard_join": oracles.NGRAM_JOIN,
+    "op5_secret_scans": oracles.SECRET_SCANS,
+    "op6_substring_dedup": oracles.SUBSTRING_DEDUP,
+}
