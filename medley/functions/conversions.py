@@ -1,13 +1,11 @@
 """Column conversions the Parquet reader needs, usable on any table.
 
-All are JVM-side column expressions except ``wide_decimal_text``, which decodes
-arbitrary-width two's-complement integers and is the one Arrow-batched pandas UDF.
+All are JVM-side column expressions.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 EPOCH_NTZ = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
@@ -93,25 +91,46 @@ def half_to_float(col) -> Column:
     return F.when(F.length(b) == 2, val.cast("float"))
 
 
-def _int_text(v: int, scale: int) -> str:
-    neg = v < 0
-    digits = str(-v if neg else v)
-    if scale > 0:
-        digits = digits.rjust(scale + 1, "0")
-        digits = digits[:-scale] + "." + digits[-scale:]
-    return ("-" if neg else "") + digits
-
-
 def wide_decimal_text(col, scale: int) -> Column:
     """Decimal of any precision stored as big-endian two's complement bytes
-    -> exact decimal text. Arrow-batched pandas UDF (Python big ints)."""
+    -> exact decimal text, in built-in functions.
 
-    @F.pandas_udf(T.StringType())
-    def _decode(s: pd.Series) -> pd.Series:
-        return s.map(lambda b: None if b is None else
-                     _int_text(int.from_bytes(bytes(b), "big", signed=True), scale))
-
-    return _decode(_c(col))
+    The magnitude is kept as limbs of nine digits, least first. Every two bytes
+    multiply the limbs by 2^16 and add the bytes, with the carry walking through
+    the limbs; a last step adds the one of the two's complement. A byte string
+    of n bytes needs at most n * 0.268 + 2 limbs. NULL or empty bytes: NULL."""
+    b = _c(col)
+    n = F.length(b)
+    negative = F.conv(F.hex(F.substring(b, 1, 1)), 16, 10).cast("int") >= 128
+    digits = F.hex(b)                                    # complement of a negative value, then + 1
+    digits = F.when(negative, F.translate(digits, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(digits)
+    groups = F.ceil(n / F.lit(2)).cast("int")
+    padded = F.lpad(digits, groups * 4, F.lit("0"))
+    parts = F.transform(F.sequence(F.lit(0), groups - 1), lambda i: F.conv(
+        F.substr(padded, i * 4 + 1, F.lit(4)), 16, 10).cast("bigint"))
+    zeros = F.transform(F.sequence(F.lit(1), F.ceil(n * F.lit(0.268)).cast("int") + 2),
+                        lambda i: F.lit(0).cast("bigint"))
+    limb = F.lit(1_000_000_000).cast("bigint")
+
+    def step(limbs, factor, add):
+        """limbs * factor + add."""
+        # limb values stay below 2^53, so the division of a multiple is exact
+        walked = F.aggregate(
+            limbs, F.struct(add.alias("carry"), F.array().cast("array<bigint>").alias("out")),
+            lambda s, x: F.struct(
+                ((x * factor + s["carry"] - (x * factor + s["carry"]) % limb) / limb).cast("bigint").alias("carry"),
+                F.concat(s["out"], F.array((x * factor + s["carry"]) % limb)).alias("out")))
+        return walked["out"]
+
+    limbs = F.aggregate(parts, zeros, lambda s, x: step(s, F.lit(1 << 16).cast("bigint"), x))
+    limbs = step(limbs, F.lit(1).cast("bigint"), F.when(negative, F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
+    text = F.array_join(F.transform(F.reverse(limbs), lambda x: F.lpad(x.cast("string"), 9, "0")), "")
+    text = F.regexp_replace(text, "^0+", "")
+    text = F.when(F.length(text) <= scale, F.lpad(text, scale + 1, "0")).otherwise(text)
+    if scale > 0:
+        text = F.concat(F.substr(text, F.lit(1), F.length(text) - scale), F.lit("."), F.right(text, F.lit(scale)))
+    text = F.concat(F.when(negative, F.lit("-")).otherwise(F.lit("")), text)
+    return F.when(n > 0, text)
 
 
 def time_to_text(col, unit: str) -> Column:

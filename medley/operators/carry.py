@@ -18,18 +18,16 @@ Only rows passing ``good`` are candidates (a failed sample never becomes the
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from medley.functions.conversions import ntz_to_micros
 from medley.operators.cuts import bucket_ids, value_cuts
 
 # "auto": cut the time axis at sampled quantiles of all rows, so that every
-# bucket holds about BUCKET_ROWS rows (at most MAX_TIME_BUCKETS buckets); an
-# int is a fixed width in seconds.
+# bucket holds about BUCKET_ROWS rows of all keys together (at most
+# MAX_TIME_BUCKETS buckets); an int is a fixed width in seconds.
 DEFAULT_BUCKET_SECONDS = "auto"
-BUCKET_ROWS = 500_000
+BUCKET_ROWS = 2_000
 MAX_TIME_BUCKETS = 65_536
 
 
@@ -44,39 +42,27 @@ def with_time_bucket(df: DataFrame, ts_col: str, bucket_seconds="auto", out: str
                      bucket_rows: int | None = None) -> DataFrame:
     """Add the time bucket ``out``: fixed-width for an int ``bucket_seconds``;
     for "auto", buckets cut at approximate quantiles of the time column over
-    all rows. A bucket then holds about ``bucket_rows`` rows of all keys
-    together, so a (key, bucket) piece is bounded however hot the key is or
-    however bursty its samples (only rows sharing one timestamp cannot be
-    split). Costs a count pass and, above ``bucket_rows`` rows, a sample pass
-    over the time column; a small input is one bucket."""
+    all rows, at every size alike. A bucket then holds about ``bucket_rows`` rows
+    of all keys together, so a (key, bucket) piece is bounded however hot the
+    key is or however bursty its samples (only rows sharing one timestamp
+    cannot be split). Costs a count pass and a sample pass over the time
+    column; both decide partitioning, never a value."""
     if bucket_seconds != "auto":
         return df.withColumn(out, time_bucket(ts_col, int(bucket_seconds)))
     t = ntz_to_micros(F.col(ts_col)).cast("double")
-    rows = bucket_rows or BUCKET_ROWS
-    src = df.select(t.alias("_v"))
-    n, lo, hi = src.agg(F.count("_v"), F.min("_v"), F.max("_v")).first()
-    if n and n <= 4 * rows:
-        # small input: no piece can be large; equal-width cuts of about 10k
-        # rows give the windows enough tasks (one bucket would leave one task
-        # per key) and keep each key's last bucket (latest_report) short
-        k = min(MAX_TIME_BUCKETS, max(2 * df.sparkSession.sparkContext.defaultParallelism,
-                                      math.ceil(n / 10_000)))
-        inner = sorted({lo + (hi - lo) * i / k for i in range(1, k)}) if hi > lo else []
-        cuts = [-math.inf] + inner + [math.inf] if inner else None
-    else:
-        _n, cuts = value_cuts(src, 4 * rows, MAX_TIME_BUCKETS, n=n or 0)
+    _n, cuts = value_cuts(df.select(t.alias("_v")), bucket_rows or BUCKET_ROWS, MAX_TIME_BUCKETS)
     return bucket_ids(df, t, cuts, out)
 
 
 def with_previous(df: DataFrame, cols: list[str], keys: list[str], order: list[str],
-                  good: Column | None = None, time_col: str | None = None,
-                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                  time_col: str, good: Column | None = None,
+                  bucket_seconds: int | str = DEFAULT_BUCKET_SECONDS,
                   prefix: str = "prev_") -> DataFrame:
     """Add ``prefix + c`` for every ``c`` in ``cols``: its value on the latest
     earlier row of the same key (by ``order``) for which ``good`` holds.
 
-    ``time_col`` (a timestamp_ntz that orders like ``order``) enables the
-    two-level split; without it the window spans each whole key.
+    ``time_col``: a timestamp_ntz that orders like ``order``; it carries the
+    two-level split.
     """
     packed_fields = list(order) + [c for c in cols if c not in order]
     pack = F.struct(*[F.col(c).alias(c) for c in packed_fields])
@@ -84,24 +70,16 @@ def with_previous(df: DataFrame, cols: list[str], keys: list[str], order: list[s
         pack = F.when(good, pack)
     df = df.withColumn("_pack", pack)
 
-    if time_col is None:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
-            Window.unboundedPreceding, -1)
-        out = df.withColumn("_prev", F.last("_pack", ignorenulls=True).over(w))
-    else:
-        part = list(keys) + ["_tb"]
-        df = with_time_bucket(df, time_col, bucket_seconds)
-        w1 = Window.partitionBy(*part).orderBy(*order).rowsBetween(
-            Window.unboundedPreceding, -1)
-        inner = df.withColumn("_in", F.last("_pack", ignorenulls=True).over(w1))
-        summary = inner.groupBy(*part).agg(F.max("_pack").alias("_last"))
-        w2 = Window.partitionBy(*keys).orderBy("_tb").rowsBetween(
-            Window.unboundedPreceding, -1)
-        carry = summary.select(*part, F.last("_last", ignorenulls=True).over(w2)
-                               .alias("_carry"))
-        out = (inner.join(carry, part, "left")
-               .withColumn("_prev", F.coalesce("_in", "_carry"))
-               .drop("_in", "_carry", "_tb"))
+    part = list(keys) + ["_tb"]
+    df = with_time_bucket(df, time_col, bucket_seconds)
+    w1 = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inner = df.withColumn("_in", F.last("_pack", ignorenulls=True).over(w1))
+    summary = inner.groupBy(*part).agg(F.max("_pack").alias("_last"))
+    w2 = Window.partitionBy(*keys).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(*part, F.last("_last", ignorenulls=True).over(w2).alias("_carry"))
+    out = (inner.join(carry, part, "left")
+           .withColumn("_prev", F.coalesce("_in", "_carry"))
+           .drop("_in", "_carry", "_tb"))
     out = out.select("*", *[F.col("_prev")[c].alias(prefix + c) for c in cols])
     return out.drop("_pack", "_prev")
 

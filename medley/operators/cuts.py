@@ -15,23 +15,21 @@ from pyspark.sql import Column, DataFrame, functions as F
 SAMPLE_PER_BUCKET = 64
 
 
-def value_cuts(src: DataFrame, finish_rows: int, max_buckets: int,
-               n: int | None = None) -> tuple[int, list | None]:
-    """(number of values, bucket splits for the value axis); the splits are
-    None when every group fits one sort.
-
-    The count is one long per task. Split points are then sketched from a
-    seeded sample of about ``SAMPLE_PER_BUCKET`` rows per bucket, as Spark's
-    range partitioner does, so the sketch merge stays small however many
-    tasks there are. The sample only places split points: every row is still
-    counted and ranked exactly, so the result never depends on it. The split
-    array has at most ``max_buckets`` entries (its size bound on the driver
-    and in the plan)."""
-    if n is None:
-        n = src.agg(F.count("_v")).first()[0] or 0
-    if n <= finish_rows:
+def value_cuts(src: DataFrame, piece_rows: int, max_buckets: int) -> tuple[int, list | None]:
+    """(number of values, bucket splits for the value axis), about one bucket
+    for each ``piece_rows`` values; None where that is a single bucket.
+
+    The count is one long per task. Split points are sketched from a seeded
+    sample of about ``SAMPLE_PER_BUCKET`` rows per bucket, as Spark's range
+    partitioner does, so the sketch merge stays small however many tasks there
+    are. The sample only places split points: every row is still counted and
+    ranked exactly, so the result never depends on it. At most ``max_buckets``
+    doubles reach the driver; beyond ``piece_rows * max_buckets`` values pieces
+    grow in proportion."""
+    n = src.agg(F.count("_v")).first()[0] or 0
+    wanted = max(1, min(max_buckets, math.ceil(n / piece_rows)))
+    if wanted == 1:
         return n, None
-    wanted = int(min(max_buckets, math.ceil(4 * n / finish_rows)))
     fraction = min(1.0, (SAMPLE_PER_BUCKET * wanted + 10_000) / n)
     rows = src if fraction >= 1.0 else src.sample(fraction=fraction, seed=17)
     probs = [i / wanted for i in range(1, wanted)]

@@ -6,27 +6,27 @@ mean of the two middle values; NaN sorts greatest (Spark's order).
 
 Strategies
 ----------
-``builtin``  ``F.median``: one aggregate pass, but the final buffer of a group
-             holds every distinct value of that group in one task's memory.
-             Right for small groups only.
-``rank``     exact rank selection that never holds a whole group in one task:
-
-  1. collapse ties: ``(keys, v) -> c`` (partial aggregation before the shuffle,
-     so a value repeated a billion times is one row);
-  2. a count pass; when there are more than ``finish_rows`` values the value
-     axis is split into buckets at approximate quantiles (sketched from a
-     seeded sample, as Spark's range partitioner does; a bounded array of at
-     most ``max_buckets`` doubles reaches the driver) and every row is tagged
-     with its bucket;
-  3. per (keys, bucket): a count; a running sum over the buckets of a key (at
-     most ``max_buckets`` rows per key) locates the bucket(s) holding ranks
-     (n-1) div 2 and n div 2;
-  4. only those one or two buckets are sorted, each on its own (the running
-     count of the earlier buckets is the offset), and the two middle values
-     are read off.
-
-  The answer is exact whatever the quality of the approximate quantiles; they
-  only decide how many rows the last sort handles.
+``rank`` (default)  exact rank selection, one plan for every size; no task ever
+             holds a whole group:
+
+  1. the value axis is cut at approximate quantiles into buckets of about
+     ``piece_rows`` values (a bounded array of at most ``max_buckets`` doubles
+     reaches the driver, sketched from a seeded sample as Spark's range
+     partitioner does);
+  2. one scan counts rows per (keys, bucket), partially aggregated, and carries
+     the combinable aggregates along: at most keys x buckets rows are shuffled;
+  3. a running sum over a key's buckets locates the one or two buckets that hold
+     ranks (n-1) div 2 and n div 2;
+  4. a second scan keeps only the rows of those buckets (a join on (keys, bucket)
+     before any shuffle when the bucket table is small, as its file size tells
+     the planner), collapses ties and reads the two middle values off.
+
+  The answer is exact whatever the quality of the quantiles; they only decide
+  how many rows step 4 handles.
+
+``builtin``  ``F.median``, on request only: one aggregate pass, but the final
+             buffer of a group holds every distinct value of that group in one
+             task's memory. Right for small groups.
 """
 
 from __future__ import annotations
@@ -37,11 +37,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from medley.errors import ArgumentCountError, ArgumentTypeError
 from medley.operators.cuts import bucket_ids, value_cuts as _cuts
+from medley.session import scratch_path
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
 
-STRATEGIES = ("auto", "builtin", "rank")
+STRATEGIES = ("rank", "builtin")
+PIECE_ROWS = 4_096
+MAX_BUCKETS = 65_536
 
 
 def check_median_input(df: DataFrame, *cols) -> str:
@@ -66,9 +69,9 @@ def median_col(col) -> Column:
 
 
 def median(df: DataFrame, value: str, keys: list[str] | tuple = (),
-           strategy: str = "auto", alias: str = "median",
-           extra_aggs: list[Column] | None = None, finish_rows: int = 200_000,
-           max_buckets: int = 65_536,
+           strategy: str = "rank", alias: str = "median",
+           extra_aggs: list[Column] | None = None, piece_rows: int = PIECE_ROWS,
+           max_buckets: int = MAX_BUCKETS,
            combine_aggs: list[tuple[str, str, str]] | None = None,
            weight: str | None = None) -> DataFrame:
     """Exact median of ``value`` per group of ``keys`` (global when empty).
@@ -76,31 +79,25 @@ def median(df: DataFrame, value: str, keys: list[str] | tuple = (),
     ``extra_aggs`` (any aggregate Columns) are computed in the same grouping
     (A3). ``combine_aggs`` are ``(alias, function, column)`` triples with
     function ``sum``, ``count``, ``min``, ``max`` or ``avg`` (column ``*``
-    counts rows): on the rank path they are folded into the tie-collapsing
-    aggregate, so no second scan of the input is needed for them, which
-    ``extra_aggs`` do need. Every group of the input appears once, with NULL
-    when it has no non-NULL value (A4, A5). ``weight`` names a count column:
-    each row then stands for that many copies of its value (input already
-    tie-collapsed, e.g. by a streaming aggregation); it implies ``rank``.
-
-    ``auto`` (default) reads the count pass the rank strategy needs anyway:
-    with at most ``finish_rows`` values every group is provably small and the
-    built-in runs; otherwise the rank strategy does.
-    """
+    counts rows): on the rank path they ride in the bucket count, so no further
+    scan of the input is needed for them, which ``extra_aggs`` do need; their
+    types are those of the built-in aggregates. Every group of the input appears
+    once, with NULL when it has no non-NULL value (A4, A5). ``weight`` names a
+    count column: each row then stands for that many copies of itself, for the
+    median and for ``combine_aggs`` (``extra_aggs`` are refused, as their meaning
+    is not known)."""
     check_median_input(df, value)
     keys = list(keys)
     extra = list(extra_aggs or [])
     combine = [_check_combine(t) for t in (combine_aggs or [])]
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
-    if weight is not None and strategy == "builtin":
-        raise ValueError("weight needs the rank strategy")
+    if weight is not None and (strategy == "builtin" or extra):
+        raise ValueError("weight needs the rank strategy and no extra_aggs")
     if strategy == "builtin":
         return _builtin(df, value, keys, alias, extra, combine)
-    src = df.withColumn("_v", F.col(value).cast("double"))
-    n, cuts = _cuts(src, finish_rows, max_buckets)
-    if strategy == "auto" and n <= finish_rows and weight is None:
-        return _builtin(df, value, keys, alias, extra, combine)
+    src = df.select(F.col(value).cast("double").alias("_v"))
+    _n, cuts = _cuts(src, piece_rows, max_buckets)
     return _rank_median(df, value, keys, alias, extra, cuts, combine, weight)
 
 
@@ -122,32 +119,49 @@ def _direct(fn, col) -> Column:
     return {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "avg": F.avg}[fn](col)
 
 
-def _partials(combine) -> list[Column]:
-    """Per (keys, value) partial states of the combinable aggregates."""
+def _integral(df, col) -> bool:
+    return isinstance(df.schema[col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+
+
+def _partials(df, combine, weight) -> list[Column]:
+    """Per (keys, bucket) partial states of the combinable aggregates."""
+    copies = F.coalesce(F.col(weight), F.lit(0)) if weight else None
+
+    def total(c):
+        return F.sum(c * copies) if weight else F.sum(c)
+
+    def present(col):
+        return F.sum(F.when(F.col(col).isNotNull(), copies)) if weight else F.count(col)
+
     out = []
     for i, (_a, fn, col) in enumerate(combine):
         if col == "*":
-            continue                                   # the tie count itself
-        if fn == "avg":
-            out += [F.sum(col).alias(f"_ps{i}"), F.count(col).alias(f"_pc{i}")]
+            continue                                   # the row count itself
+        if fn == "avg":                                # integers add up as doubles, as in avg()
+            c = F.col(col).cast("double") if _integral(df, col) else F.col(col)
+            out += [total(c).alias(f"_ps{i}"), present(col).alias(f"_pc{i}")]
+        elif fn == "sum":
+            out.append(total(F.col(col)).alias(f"_p{i}"))
+        elif fn == "count":
+            out.append(present(col).alias(f"_p{i}"))
         else:
             out.append(_direct(fn, col).alias(f"_p{i}"))
     return out
 
 
-def _finals(combine) -> list[Column]:
+def _finals(combine, types) -> list[Column]:
     """Per key, the combinable aggregates merged from their partial states."""
     out = []
     for i, (alias, fn, col) in enumerate(combine):
         if col == "*":
-            c = F.sum("_c")
+            c = F.coalesce(F.sum("_rows"), F.lit(0))
         elif fn == "avg":
             c = F.sum(f"_ps{i}") / F.sum(f"_pc{i}")
         elif fn == "count":
-            c = F.sum(f"_p{i}")
+            c = F.coalesce(F.sum(f"_p{i}"), F.lit(0))
         else:
             c = {"sum": F.sum, "min": F.min, "max": F.max}[fn](f"_p{i}")
-        out.append(c.alias(alias))
+        out.append(c.cast(types[alias]).alias(alias))
     return out
 
 
@@ -208,7 +222,10 @@ def _encode_keys(df, keys):
 
 
 def _rank_median(df, value, keys, alias, extra, cuts, combine=(), weight=None):
+    spark = df.sparkSession
     out_keys = list(keys)
+    types = {f.name: f.dataType for f in df.groupBy().agg(
+        *[_direct(fn, col).alias(a) for a, fn, col in combine] or [F.count(F.lit(1)).alias("_")]).schema}
     if not keys:
         # a constant group key keeps every join below an equi-join
         df, keys = df.withColumn("_g", F.lit(0)), ["_g"]
@@ -216,16 +233,22 @@ def _rank_median(df, value, keys, alias, extra, cuts, combine=(), weight=None):
     else:
         df, keys, restore, plain = _encode_keys(df, keys)
         join = _join_plain if plain else _join_null_safe
+    copies = F.coalesce(F.col(weight).cast("bigint"), F.lit(0)) if weight else F.lit(1).cast("bigint")
     v = F.col(value).cast("double")
-    # 1. collapse ties (partial aggregation before the shuffle); the partial
-    #    states of the combinable aggregates ride along
-    copies = F.sum(weight) if weight else F.count(F.lit(1))
-    dist = df.groupBy(*keys, v.alias("_v")).agg(copies.alias("_c"), *_partials(combine))
-    # every key of the input (an all-NULL group keeps its row), the combinable
-    # aggregates merged from the tie-collapsed rows (NULL values included),
-    # which reuses their shuffle; only ``extra_aggs`` need a scan of the input
-    summary = (dist.groupBy(*keys) if out_keys else dist.groupBy()).agg(
-        F.sum("_c").alias("_rows"), *_finals(combine))
+    # NULL values get bucket -1 and weight 0, so that their group keeps its row
+    tagged = bucket_ids(df, v, cuts).withColumn("_copies", copies)
+    tagged = tagged.withColumn("_w", F.when(v.isNull(), F.lit(0)).otherwise(F.col("_copies")))
+
+    # 2. rows per (keys, bucket), written: at most buckets rows a key, read twice
+    #    below, and its size on disk tells the planner whether to broadcast
+    path = scratch_path(spark, "median-buckets")
+    per_bucket = tagged.groupBy(*keys, "_b").agg(
+        F.sum("_w").alias("_cnt"), F.sum("_copies").alias("_rows"), *_partials(df, combine, weight))
+    schema = per_bucket.schema
+    per_bucket.write.parquet(path)
+    per_bucket = spark.read.schema(schema).parquet(path)
+    summary = (per_bucket.groupBy(*keys) if out_keys else per_bucket.groupBy()).agg(
+        F.sum("_cnt").alias("_n"), *_finals(combine, types))
     if not out_keys:   # a global aggregate has its one row even for an empty input
         summary = summary.withColumn("_g", F.lit(0))
     if extra:
@@ -234,59 +257,43 @@ def _rank_median(df, value, keys, alias, extra, cuts, combine=(), weight=None):
             more = more.withColumn("_g", F.lit(0))
         summary = join(summary, more, keys)
 
-    # 2. bucket the value axis at the cuts of the sketch pass (none when all
-    #    values fit one sort: then no group can be too wide). NULL values are
-    #    not filtered out but given weight 0 in bucket -1: a filter on a
-    #    grouping column is pushed below the aggregate and would make this
-    #    shuffle differ from the summary's, so the input would be read twice.
-    #    The bucket id is a non-nullable int for the same reason (and a double
-    #    key would be NaN-normalised by every join, window and exchange, so one
-    #    partitioning could not serve the next).
-    values = bucket_ids(dist.withColumn("_w", F.when(F.col("_v").isNull(), F.lit(0))
-                                       .otherwise(F.col("_c"))), F.col("_v"), cuts)
-
-    # 3. counts per bucket; over the buckets of a key (at most max_buckets
-    #    rows) a running count and the key's total, which gives the ranks
-    per_bucket = values.groupBy(*keys, "_b").agg(F.sum("_w").alias("_cnt"))
-    by_key = Window.partitionBy(*keys).orderBy("_b")   # one sort serves both frames
-    w = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    # 3. over the buckets of a key a running count and the key's total give the ranks
+    by_key = Window.partitionBy(*keys).orderBy("_b")
+    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
     whole = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    per_bucket = (per_bucket
-                  .withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-                  .withColumn("_n", F.sum("_cnt").over(whole))
-                  .withColumn("_rlo", F.expr("(_n - 1) div 2"))
-                  .withColumn("_rhi", F.expr("_n div 2")))
+    ranked = (per_bucket.select(*keys, "_b", "_cnt")
+              .withColumn("_before", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
+              .withColumn("_n", F.sum("_cnt").over(whole))
+              .withColumn("_rlo", F.expr("(_n - 1) div 2")).withColumn("_rhi", F.expr("_n div 2")))
 
     def holds(rank):
-        return ((F.col("_before") <= F.col(rank))
-                & (F.col(rank) < F.col("_before") + F.col("_cnt")))
-
-    targets = (per_bucket.where(holds("_rlo") | holds("_rhi"))
-               .select(*keys, "_b", "_before", "_rlo", "_rhi"))   # 1 or 2 rows per key
-
-    # 4. exact ranks inside the target bucket(s); joining on (keys, bucket)
-    #    spreads a hot key over partitions and is the window's partitioning too
-    #    The sort is CPU-bound but small in bytes; an explicit partition count
-    #    keeps AQE from coalescing it into one task.
-    ws = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cand = (join(values, targets, keys + ["_b"]).repartition(parts, *keys, "_b")
-            .withColumn("_upto", F.col("_before") + F.sum("_w").over(ws))
+        return ((F.col("_before") <= F.col(rank)) & (F.col(rank) < F.col("_before") + F.col("_cnt")))
+
+    path = scratch_path(spark, "median-targets")
+    targets = ranked.where(holds("_rlo") | holds("_rhi")).select(*keys, "_b", "_before", "_rlo", "_rhi")
+    schema = targets.schema
+    targets.write.parquet(path)                        # 1 or 2 rows a key
+    targets = spark.read.schema(schema).parquet(path)
+
+    # 4. exact ranks inside the target buckets: only their rows pass the join
+    near = join(tagged.where("_w > 0").select(*keys, "_b", v.alias("_v"), "_w"), targets, keys + ["_b"])
+    ties = near.groupBy(*keys, "_b", "_before", "_rlo", "_rhi", "_v").agg(F.sum("_w").alias("_w"))
+    along = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ties = (ties.withColumn("_upto", F.col("_before") + F.sum("_w").over(along))
             .withColumn("_from", F.col("_upto") - F.col("_w")))
 
     def covers(rank):
         return (F.col("_from") <= F.col(rank)) & (F.col(rank) < F.col("_upto"))
 
-    picked = (cand.where(covers("_rlo") | covers("_rhi")).groupBy(*keys).agg(
+    picked = (ties.where(covers("_rlo") | covers("_rhi")).groupBy(*keys).agg(
+        F.first("_rlo").alias("_lo"), F.first("_rhi").alias("_hi"),
         F.min(F.when(covers("_rlo"), F.col("_v"))).alias("_vlo"),
         F.max(F.when(covers("_rhi"), F.col("_v"))).alias("_vhi")))
-    # _rows > 0 always holds; reading it keeps the summary's count, so the
-    # summary stays an aggregate over the reused tie-collapsing shuffle
-    # instead of being rewritten into a separate distinct scan of the keys
-    med = F.when(F.col("_rows") > 0, (F.col("_vlo") + F.col("_vhi")) / F.lit(2.0)).alias(alias)
+    # odd n: the middle value itself; even n: halves are added, which cannot overflow
+    med = F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo")).otherwise(
+        F.col("_vlo") / F.lit(2.0) + F.col("_vhi") / F.lit(2.0)).alias(alias)
     out = join(summary, picked, keys, "left")
-    return out.select(*restore, med, *[F.col(c) for c in summary.columns
-                                       if c not in keys and c != "_rows"])
+    return out.select(*restore, med, *[F.col(c) for c in summary.columns if c not in keys and c != "_n"])
 
 
 def _join_plain(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner"):

@@ -173,7 +173,8 @@ def resource_report(samples: DataFrame, rate_basis: str = "elapsed",
 
 def report_from_previous(prev: DataFrame, rate_basis: str = "elapsed") -> DataFrame:
     """M20 arithmetic on samples that already carry ``prev_ts`` and
-    ``prev_<counter>`` (from the batch carry or from stream state)."""
+    ``prev_<counter>`` (from the batch carry or from stream state, which also
+    marks rows that came ``late``)."""
     p = with_deltas(prev, COUNTERS)
     return p.select(
         "host", "ts", "seq",
@@ -184,6 +185,7 @@ def report_from_previous(prev: DataFrame, rate_basis: str = "elapsed") -> DataFr
         disk_kbps_col("disk_bytes_written", rate_basis).alias("disk_write_kbps"),
         connections_col().alias("db_connections"),
         queries_per_sec_col(rate_basis).alias("db_queries_ps"),
+        *["late"] * ("late" in p.columns),
     )
 
 
@@ -245,24 +247,30 @@ def drop_baseline(report: DataFrame) -> DataFrame:
     return report.where(F.col("disk_read_kbps").isNotNull())
 
 
-def device_sums(readings: DataFrame, cols: list[str], slot_seconds: int = 300) -> DataFrame:
-    """M2 / M4: per-device readings (one row per CPU or drive) summed into
-    one row per host and sampling slot."""
+def device_sums(readings: DataFrame, cols: list[str], slot_seconds: int = 300,
+                device_col: str = "device") -> DataFrame:
+    """M2 / M4: cumulative counters summed over a host's devices (CPUs, drives)
+    as they stood in a sampling slot: each device counts with its latest good
+    reading of the slot, so a device read three times is never added to
+    itself. Two aggregates, both partial before their shuffle."""
     check_interval(slot_seconds)
     slot = F.window("ts", f"{slot_seconds} seconds").start.alias("slot")
-    return (readings.groupBy("host", slot)
+    good = readings.where("ok") if "ok" in readings.columns else readings
+    order = F.struct(*[c for c in ORDER if c in readings.columns])
+    latest = good.groupBy("host", slot, device_col).agg(F.max_by(F.struct(*cols), order).alias("r"))
+    return (latest.groupBy("host", "slot")
             .agg(F.count(F.lit(1)).alias("devices"),
-                 *[F.sum(c).alias(f"sum_{c}") for c in cols]))
+                 *[F.sum(F.col("r")[c]).alias(f"sum_{c}") for c in cols]))
 
 
-def cpu_ticks_sum(readings: DataFrame, slot_seconds: int = 300) -> DataFrame:
+def cpu_ticks_sum(readings: DataFrame, slot_seconds: int = 300, device_col: str = "device") -> DataFrame:
     """M2."""
-    return device_sums(readings, ["cpu_user", "cpu_sys", "cpu_idle", "cpu_nice"], slot_seconds)
+    return device_sums(readings, ["cpu_user", "cpu_sys", "cpu_idle", "cpu_nice"], slot_seconds, device_col)
 
 
-def disk_sum(readings: DataFrame, slot_seconds: int = 300) -> DataFrame:
+def disk_sum(readings: DataFrame, slot_seconds: int = 300, device_col: str = "device") -> DataFrame:
     """M4."""
-    return device_sums(readings, ["disk_bytes_read", "disk_bytes_written"], slot_seconds)
+    return device_sums(readings, ["disk_bytes_read", "disk_bytes_written"], slot_seconds, device_col)
 
 
 def latest_report(samples: DataFrame, rate_basis: str = "elapsed",
@@ -304,10 +312,9 @@ def status_snapshot(report: DataFrame) -> DataFrame:
     latest = (report.groupBy("host")
               .agg(F.max_by(F.struct(*REPORT_COLUMNS), F.struct("ts", "seq")).alias("r"))
               .select("host", "r.*"))
-    cpu = F.col("cpu_pct")
-    text = [F.when(cpu.isNotNull(), F.format_string("%.6f", F.round(cpu, 6)))
-            .alias(STATUS_VARIABLES[0])]
-    text += [F.col(c).cast("string").alias(n)
+    cpu = F.coalesce(F.col("cpu_pct"), F.lit(0.0))       # a figure that was never read shows 0
+    text = [F.format_string("%.6f", F.round(cpu, 6)).alias(STATUS_VARIABLES[0])]
+    text += [F.coalesce(F.col(c), F.lit(0)).cast("string").alias(n)
              for c, n in zip(REPORT_COLUMNS[1:], STATUS_VARIABLES[1:])]
     wide = latest.select("host", *text)
     return wide.unpivot(["host"], STATUS_VARIABLES, "Variable_name", "Value")
@@ -318,8 +325,7 @@ def status_like(snapshot: DataFrame, pattern: str) -> DataFrame:
     return snapshot.where(F.col("Variable_name").like(pattern))
 
 
-def interval_rollup(report: DataFrame, samples: DataFrame | None = None,
-                    interval_seconds: int = 300) -> DataFrame:
+def interval_rollup(report: DataFrame, interval_seconds: int = 300) -> DataFrame:
     """One record per host and interval (tumbling, epoch aligned)."""
     check_interval(interval_seconds)
     win = F.window("ts", f"{interval_seconds} seconds").start.alias("interval_start")

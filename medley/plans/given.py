@@ -1,7 +1,7 @@
 """The driver-given tables and the metric samples derived from them.
 
 There is no monitor table in the given data, so ``metric_samples`` derives one
-row per event: host = user_id mod 8, sample order = (ts, event_id), failed
+row per event: host = user_id mod 8, device = user_id div 8, sample order = (ts, event_id), failed
 read = an 'error' event. Counters are monotone functions of the event id (a
 value term smaller than the id step keeps them monotone) taken modulo a bound,
 which produces counter resets. ``SAMPLES_SQL`` is the same derivation for
@@ -45,12 +45,24 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples_from_events(table(spark, sf_dir, "events"))
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """A table as a file stream, whether it is one file or a folder of part
+    files. A stream source path must be a folder, so a single file is its
+    parent folder with that file's name as glob. A missing table is an error
+    (a stream over nothing would just stay empty)."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path(sf_dir, name))
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        raise FileNotFoundError(path(sf_dir, name))
+    reader = (spark.readStream.schema(table(spark, sf_dir, name).schema)
+              .option("maxFilesPerTrigger", max_files_per_trigger))
+    if fs.getFileStatus(at).isDirectory():
+        return reader.parquet(path(sf_dir, name))
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
 def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """The events table as a file stream (a single-file table needs the folder
-    plus a glob: a stream source path must be a directory)."""
-    schema = table(spark, sf_dir, "events").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(sf_dir))
+    return table_stream(spark, sf_dir, "events", max_files_per_trigger)
 
 
 def samples_from_events(e: DataFrame) -> DataFrame:
@@ -65,6 +77,7 @@ def samples_from_events(e: DataFrame) -> DataFrame:
 
     return e.select(
         F.concat(F.lit("h"), (uid % 8).cast("string")).alias("host"),
+        F.expr("user_id div 8").alias("device"),
         F.col("ts"), F.col("event_id").alias("seq"), F.lit(5).alias("interval_sec"),
         ok.alias("ok"),
         good((base * 1000 + tv) % 5_000_000).alias("cpu_user"),
@@ -88,7 +101,7 @@ def samples_from_events(e: DataFrame) -> DataFrame:
 
 SAMPLES_SQL = """
 samples AS (
-  SELECT 'h' || CAST(user_id % 8 AS VARCHAR) AS host, ts, event_id AS seq,
+  SELECT 'h' || CAST(user_id % 8 AS VARCHAR) AS host, CAST(user_id // 8 AS BIGINT) AS device, ts, event_id AS seq,
          5 AS interval_sec, ok,
          CASE WHEN ok THEN ((event_id % 1000000) * 1000 + CAST(trunc(value) AS BIGINT)) % 5000000 END AS cpu_user,
          CASE WHEN ok THEN (event_id % 1000000) * 400 + ((event_id % 1000000) % 37) * 3 END AS cpu_sys,

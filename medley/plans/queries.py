@@ -139,7 +139,7 @@ def multi_file_bind(spark, sf):
     return G.bound_folder(spark, sf, "id BIGINT")
 
 
-@query("row_position", None)
+@query("row_position", "SELECT o_orderkey, row_number() OVER () - 1 AS row_index FROM orders")
 def row_position(spark, sf):
     """Stable (file, row) position of every orders row."""
     from medley.sources.tables import with_row_position
@@ -147,7 +147,8 @@ def row_position(spark, sf):
         .select("o_orderkey", "row_index")
 
 
-@query("fetch_by_position", None)
+@query("fetch_by_position",
+       "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority = '1-URGENT'")
 def fetch_by_position(spark, sf):
     """Re-fetch the orders rows whose position was saved for 1-URGENT orders."""
     from medley.sources.tables import fetch_by_position as fetch, with_row_position
@@ -273,7 +274,7 @@ SELECT l_returnflag, count(*) AS n, round(avg(l_quantity), 6) AS avg_qty,
 FROM lineitem GROUP BY l_returnflag""")
 def mixed_aggregates(spark, sf):
     li = _t(spark, sf, "lineitem")
-    m = med.median(li, "l_extendedprice", ["l_returnflag"], strategy="auto",
+    m = med.median(li, "l_extendedprice", ["l_returnflag"],
                    extra_aggs=[F.count(F.lit(1)).alias("n"), F.avg("l_quantity").alias("_avg")])
     return m.select("l_returnflag", "n", F.round("_avg", 6).alias("avg_qty"),
                     F.round("median", 4).alias("median_price"))
@@ -419,11 +420,23 @@ def wide_decimal_bytes() -> F.Column:
     return F.unhex(hx)
 
 
-@query("wide_decimal_text", None)
+# The value is orderkey * 2^128 + partkey * 2^64 + suppkey, in two limbs of 10^18:
+# 2^128 = 340282366920938463463 * 10^18 + 374607431768211456 and
+# 2^64 = 18 * 10^18 + 446744073709551616. Odd lines hold -value - 1.
+@query("wide_decimal_text", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  CASE WHEN neg THEN '-' ELSE '' END || substr(digits, 1, length(digits) - 2) || '.' || right(digits, 2) AS text
+FROM (SELECT *, CASE WHEN length(raw) < 3 THEN lpad(raw, 3, '0') ELSE raw END AS digits
+      FROM (SELECT *, CASE WHEN hi2 > 0 THEN hi2::VARCHAR || lpad(lo2::VARCHAR, 18, '0') ELSE lo2::VARCHAR END AS raw
+            FROM (SELECT *, hi + lo // 1000000000000000000::HUGEINT AS hi2, lo % 1000000000000000000::HUGEINT AS lo2
+                  FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linenumber % 2 = 1 AS neg,
+                               l_orderkey::HUGEINT * 340282366920938463463::HUGEINT + l_partkey::HUGEINT * 18 AS hi,
+                               l_orderkey::HUGEINT * 374607431768211456::HUGEINT
+                               + l_partkey::HUGEINT * 446744073709551616::HUGEINT + l_suppkey::HUGEINT
+                               + CASE WHEN l_linenumber % 2 = 1 THEN 1 ELSE 0 END AS lo
+                        FROM lineitem) a) b) c) d""")
 def wide_decimal_text(spark, sf):
-    """DECIMAL(58, 2) held as 24 bytes -> exact text. DuckDB has no
-    decimal wider than 38 digits, so this is checked against Python integers
-    in tests/ instead of an oracle."""
+    """DECIMAL(58, 2) held as 24 bytes -> exact text."""
     li = _t(spark, sf, "lineitem")
     return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                      conv.wide_decimal_text(wide_decimal_bytes(), 2).alias("text"))
@@ -446,14 +459,14 @@ def nested_to_text(spark, sf):
 
 @query("median_global", "SELECT round(median(l_extendedprice), 4) AS median FROM lineitem")
 def median_global(spark, sf):
-    m = med.median(_t(spark, sf, "lineitem"), "l_extendedprice", strategy="auto")
+    m = med.median(_t(spark, sf, "lineitem"), "l_extendedprice")
     return m.select(F.round("median", 4).alias("median"))
 
 
 @query("median_by_group", """
 SELECT l_returnflag, round(median(l_extendedprice), 4) AS median FROM lineitem GROUP BY l_returnflag""")
 def median_by_group(spark, sf):
-    m = med.median(_t(spark, sf, "lineitem"), "l_extendedprice", ["l_returnflag"], strategy="auto")
+    m = med.median(_t(spark, sf, "lineitem"), "l_extendedprice", ["l_returnflag"])
     return m.select("l_returnflag", F.round("median", 4).alias("median"))
 
 
@@ -522,11 +535,17 @@ def cpu_pct(spark, sf):
     return mx.cpu_pct(_samples(spark, sf))
 
 
-@query("cpu_ticks_sum", with_samples("""
-SELECT host, make_timestamp((epoch_us(ts) // 300000000) * 300000000) AS slot,
-       count(*) AS devices, CAST(sum(cpu_user) AS BIGINT) AS sum_cpu_user, CAST(sum(cpu_sys) AS BIGINT) AS sum_cpu_sys,
-       CAST(sum(cpu_idle) AS BIGINT) AS sum_cpu_idle, CAST(sum(cpu_nice) AS BIGINT) AS sum_cpu_nice
-FROM samples GROUP BY 1, 2"""))
+def _device_sums_sql(*cols):
+    """Each device's latest good reading of a slot, summed over the host's devices."""
+    sums = ", ".join(f"CAST(sum({c}) AS BIGINT) AS sum_{c}" for c in cols)
+    return with_samples(f"""
+SELECT host, slot, count(*) AS devices, {sums}
+FROM (SELECT *, make_timestamp((epoch_us(ts) // 300000000) * 300000000) AS slot FROM samples WHERE ok
+      QUALIFY row_number() OVER (PARTITION BY host, slot, device ORDER BY ts DESC, seq DESC) = 1) latest
+GROUP BY 1, 2""")
+
+
+@query("cpu_ticks_sum", _device_sums_sql("cpu_user", "cpu_sys", "cpu_idle", "cpu_nice"))
 def cpu_ticks_sum(spark, sf):
     return mx.cpu_ticks_sum(_samples(spark, sf))
 
@@ -540,11 +559,7 @@ def mem_used_mb(spark, sf):
     return mx.mem_used_mb(_samples(spark, sf))
 
 
-@query("disk_sum", with_samples("""
-SELECT host, make_timestamp((epoch_us(ts) // 300000000) * 300000000) AS slot,
-       count(*) AS devices, CAST(sum(disk_bytes_read) AS BIGINT) AS sum_disk_bytes_read,
-       CAST(sum(disk_bytes_written) AS BIGINT) AS sum_disk_bytes_written
-FROM samples GROUP BY 1, 2"""))
+@query("disk_sum", _device_sums_sql("disk_bytes_read", "disk_bytes_written"))
 def disk_sum(spark, sf):
     return mx.disk_sum(_samples(spark, sf))
 
@@ -602,14 +617,10 @@ def ram_mb(spark, sf):
 _SNAPSHOT_SQL = """
 , latest AS (SELECT * FROM report QUALIFY row_number() OVER (PARTITION BY host ORDER BY ts DESC, seq DESC) = 1)
 , snapshot AS (
-  SELECT host, 'my_resource_cpu_pct' AS Variable_name, printf('%.6f', round(cpu_pct, 6)) AS Value FROM latest
-  UNION ALL SELECT host, 'my_resource_mem_used_mb', CAST(mem_used_mb AS VARCHAR) FROM latest
-  UNION ALL SELECT host, 'my_resource_mem_total_mb', CAST(mem_total_mb AS VARCHAR) FROM latest
-  UNION ALL SELECT host, 'my_resource_disk_read_kbps', CAST(disk_read_kbps AS VARCHAR) FROM latest
-  UNION ALL SELECT host, 'my_resource_disk_write_kbps', CAST(disk_write_kbps AS VARCHAR) FROM latest
-  UNION ALL SELECT host, 'my_resource_db_connections', CAST(db_connections AS VARCHAR) FROM latest
-  UNION ALL SELECT host, 'my_resource_db_queries_ps', CAST(db_queries_ps AS VARCHAR) FROM latest
-)"""
+  SELECT host, 'my_resource_cpu_pct' AS Variable_name, printf('%.6f', round(coalesce(cpu_pct, 0), 6)) AS Value FROM latest
+""" + "".join(f"  UNION ALL SELECT host, 'my_resource_{c}', CAST(coalesce({c}, 0) AS VARCHAR) FROM latest\n"
+              for c in ("mem_used_mb", "mem_total_mb", "disk_read_kbps", "disk_write_kbps",
+                        "db_connections", "db_queries_ps")) + ")"
 
 
 def _with_snapshot(sql: str) -> str:
@@ -714,13 +725,19 @@ def resource_report(spark, sf):
 
 # ----------------------------------------------------------------- streaming
 
-@query("counter_delta_stream", with_samples("SELECT * FROM report", report=True))
+@query("counter_delta_stream", with_samples("SELECT *, false AS late FROM report", report=True))
 def counter_delta_stream(spark, sf):
-    """The resource report computed by a stream with per-host state;
-    equal to the batch report."""
+    """The resource report of a stream, micro-batch by micro-batch, with each
+    host's last readings as state; equal to the batch report."""
+    from medley.streaming import metrics_stream as ms
+    return ms.run_resource_report(spark, G.samples_from_events(G.events_stream(spark, sf)))
+
+
+@query("interval_rollup_stream", QUERIES["interval_rollup"][1])
+def interval_rollup_stream(spark, sf):
+    """M18 over the streamed report: the same columns as the batch rollup."""
     from medley.streaming import metrics_stream as ms
-    stream = G.samples_from_events(G.events_stream(spark, sf))
-    return ms.run_to_table(spark, ms.resource_report_stream(stream), "counter-delta")
+    return mx.interval_rollup(ms.run_resource_report(spark, G.samples_from_events(G.events_stream(spark, sf))))
 
 
 @query("median_streaming", """
@@ -728,18 +745,13 @@ SELECT time_bucket(INTERVAL '1 day', ts) AS window_start,
        time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS window_end,
        event_type, round(median(value), 4) AS median, count(value) AS n
 FROM events
-GROUP BY 1, 2, 3
-HAVING time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day'
-       <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'""")
+GROUP BY 1, 2, 3""")
 def median_streaming(spark, sf):
-    """Exact median per event type and day on the events stream; append
-    mode emits the days the watermark has closed. Skew-safe form: the stream
-    keeps (day, type, value) counts, each micro-batch's closed days go through
-    the batch rank median."""
+    """Exact median per event type and day over the events stream, every
+    window of the bounded run included."""
     from medley.streaming import median_stream
     out = median_stream.run_windowed_median(spark, G.events_stream(spark, sf), "value",
-                                            ["event_type"], window="1 day",
-                                            watermark="10 minutes", name="median-stream")
+                                            ["event_type"], window="1 day", name="median-stream")
     return out.select("window_start", "window_end", "event_type",
                       F.round("median", 4).alias("median"), "n")
 

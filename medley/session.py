@@ -46,15 +46,17 @@ def build_session(master: str | None = None, app: str = "medley",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a private temporary
-    folder created and set.
-    """
+    Only a local master may go without: it gets a private temporary folder.
+    On any other master executors would each write to their own disk, so a
+    missing setting is an error."""
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
     if cur:
         return cur
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="medley-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -80,10 +82,6 @@ def local_path(uri: str) -> str:
     return uri
 
 
-def is_local_path(uri: str) -> bool:
-    return "://" not in uri.replace("file://", "") or uri.startswith("file:")
-
-
 __all__ = ["build_session", "checkpoint_root", "scratch_path", "local_path",
-           "DEFAULT_CONF", "is_local_path"]
+           "DEFAULT_CONF"]
 

@@ -26,7 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from medley.errors import CorruptTableError, NoSuchTableError, ReadOnlyTableError
-from medley.session import local_path
+from medley.session import local_path, scratch_path
 from medley.sources import types as ty
 
 POSITION_COLUMNS = ("file_path", "row_index")
@@ -37,6 +37,9 @@ _CONF_PREFIX = "medley.table."
 
 def _open_fs(uri: str):
     import pyarrow.fs as pafs
+    for hadoop_name in ("s3a://", "s3n://"):             # the footer reader knows the store as s3
+        if uri.startswith(hadoop_name):
+            uri = "s3://" + uri[len(hadoop_name):]
     if "://" in uri and not uri.startswith("file:"):
         return pafs.FileSystem.from_uri(uri)
     return pafs.LocalFileSystem(), local_path(uri)
@@ -57,52 +60,62 @@ def footer_schema(uri: str) -> pa.Schema:
     return schema
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Distributed listing of the Parquet files under ``path`` (content not read:
-    ``binaryFile`` skips the bytes when only ``path`` is selected)."""
-    return (spark.read.format("binaryFile")
-            .option("pathGlobFilter", "*.parquet")
-            .option("recursiveFileLookup", "true")
-            .load(path).select("path"))
+def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """Distributed listing of the data files under ``path``, whatever their
+    suffix (``glob`` narrows it; names that begin with _ or . are no data). The
+    content is not read: ``binaryFile`` skips the bytes when only ``path`` is
+    selected."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(path).select("path")
 
 
-def _footers(spark: SparkSession, path: str) -> DataFrame:
-    """(path, signature, schema) of every file under ``path``; the footers
-    are read by executors (``mapInPandas``)."""
+def footers(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """(path, sig, schema, error) of every file under ``path``, read by executors
+    (``mapInPandas``) in one pass and written once: every later step reads that
+    table. A file that is no Parquet raises ``CorruptTableError``."""
     def read_footers(batches):
         for pdf in batches:
-            schemas = [footer_schema(p) for p in pdf["path"]]
-            yield pd.DataFrame({"path": pdf["path"],
-                                "sig": [ty.signature(s) for s in schemas],
-                                "schema": [s.serialize().to_pybytes() for s in schemas]})
-
-    return list_files(spark, path).mapInPandas(read_footers, "path string, sig string, schema binary")
-
-
-def footer_signatures(spark: SparkSession, path: str) -> list[tuple[str, pa.Schema, int]]:
-    """(signature, schema, number of files) per distinct footer signature
-    under ``path``: one row per signature reaches the driver, no file list."""
-    rows = (_footers(spark, path).groupBy("sig")
-            .agg(F.first("schema").alias("schema"), F.count(F.lit(1)).alias("files"))
-            .orderBy("sig").collect())
-    return [(r["sig"], pa.ipc.read_schema(pa.py_buffer(bytes(r["schema"]))), r["files"])
-            for r in rows]
-
-
-def footer_groups(spark: SparkSession, path: str) -> list[tuple[str, pa.Schema, list[str]]]:
-    """Group the files under ``path`` by footer signature, with the file list
-    of each group (needed only when the footers differ: then each group is
-    read on its own). The lists are the same metadata Spark's own file index
-    keeps on the driver.
-    """
-
-    rows = (_footers(spark, path)
-            .groupBy("sig")
-            .agg(F.first("schema").alias("schema"),
-                 F.sort_array(F.collect_list("path")).alias("files"))
+            rows = []
+            for p in pdf["path"]:
+                try:
+                    schema = footer_schema(p)
+                    rows.append((p, ty.signature(schema), schema.serialize().to_pybytes(), None))
+                except (pa.ArrowInvalid, pa.ArrowNotImplementedError) as exc:
+                    rows.append((p, None, None, str(exc).splitlines()[0]))
+            yield pd.DataFrame(rows, columns=["path", "sig", "schema", "error"])
+
+    target = scratch_path(spark, "footers")
+    schema = "path string, sig string, schema binary, error string"
+    list_files(spark, path, glob).mapInPandas(read_footers, schema).write.parquet(target)
+    found = spark.read.schema(schema).parquet(target)
+    bad = found.where("error is not null").limit(1).collect()
+    if bad:
+        raise CorruptTableError(f"cannot read {bad[0]['path']} as Parquet: {bad[0]['error']}")
+    return found
+
+
+def _schema_of(raw) -> pa.Schema:
+    return pa.ipc.read_schema(pa.py_buffer(bytes(raw)))
+
+
+def footer_signatures(found: DataFrame) -> list[tuple[str, pa.Schema, int]]:
+    """(signature, schema, number of files) per distinct footer signature, most
+    files first: one row per signature reaches the driver, no file list."""
+    rows = (found.groupBy("sig").agg(F.first("schema").alias("schema"), F.count(F.lit(1)).alias("files"))
+            .orderBy(F.col("files").desc(), "sig").collect())
+    return [(r["sig"], _schema_of(r["schema"]), r["files"]) for r in rows]
+
+
+def footer_groups(found: DataFrame) -> list[tuple[str, pa.Schema, list[str]]]:
+    """The files of each footer signature, for a folder whose footers differ:
+    then each group is read on its own. The lists are the same metadata Spark's
+    own file index keeps on the driver."""
+    rows = (found.groupBy("sig").agg(F.first("schema").alias("schema"),
+                                     F.sort_array(F.collect_list("path")).alias("files"))
             .orderBy("sig").collect())
-    return [(r["sig"], pa.ipc.read_schema(pa.py_buffer(bytes(r["schema"]))), list(r["files"]))
-            for r in rows]
+    return [(r["sig"], _schema_of(r["schema"]), list(r["files"])) for r in rows]
 
 
 def _is_single_file(spark: SparkSession, path: str) -> bool:
@@ -120,15 +133,16 @@ def _is_single_file(spark: SparkSession, path: str) -> bool:
 # --------------------------------------------------------------------------- binding
 
 def _read_group(spark: SparkSession, files: list[str] | None, arrow_schema: pa.Schema | None,
-                folder: str | None = None):
+                folder: str | None = None, glob: str | None = None):
     """Read files that share one footer; returns (df, raw fields, raw kinds).
-    ``files=None`` reads every Parquet file under ``folder`` (as listed by
+    ``files=None`` reads every data file under ``folder`` (as listed by
     ``list_files``), for a folder whose footers all agree."""
     if files is None:
         schema, kinds = ty.read_schema(arrow_schema)
-        df = (spark.read.schema(schema).option("pathGlobFilter", "*.parquet")
-              .option("recursiveFileLookup", "true").parquet(folder))
-        return df, list(schema.fields), kinds
+        reader = spark.read.schema(schema).option("recursiveFileLookup", "true")
+        if glob:
+            reader = reader.option("pathGlobFilter", glob)
+        return reader.parquet(folder), list(schema.fields), kinds
     if arrow_schema is None:
         try:
             df = spark.read.parquet(*files)
@@ -164,12 +178,14 @@ def _bind(df: DataFrame, raw_fields, kinds, declared: T.StructType, mode: str,
 
 
 def bind_parquet(spark: SparkSession, path: str, schema, mode: str = "permissive",
-                 row_position: bool = False) -> DataFrame:
+                 row_position: bool = False, glob: str | None = None) -> DataFrame:
     """A Parquet file or directory bound by position to ``schema``.
 
     ``schema`` is a StructType or DDL string. ``mode`` is ``permissive``
     (unconvertible cells become NULL) or ``strict`` (they fail the query).
-    ``row_position`` appends ``file_path`` and ``row_index`` (S10).
+    ``row_position`` appends ``file_path`` and ``row_index`` (S10). All data
+    files of a folder are bound, whatever their suffix, unless ``glob`` names a
+    part of them.
     """
     declared = ty.to_struct(schema)
     try:
@@ -178,32 +194,37 @@ def bind_parquet(spark: SparkSession, path: str, schema, mode: str = "permissive
         else:
             # footers known: no inference. One signature (the common case):
             # the folder is read as a whole and no file list is built.
-            sigs = footer_signatures(spark, path)
+            found = footers(spark, path, glob)
+            sigs = footer_signatures(found)
             if not sigs:
                 raise NoSuchTableError(f"no Parquet files under {path}")
             groups = ([(sigs[0][0], sigs[0][1], None)] if len(sigs) == 1
-                      else footer_groups(spark, path))
+                      else footer_groups(found))
         frames = []
         for _sig, arrow_schema, files in groups:
-            df, raw_fields, kinds = _read_group(spark, files, arrow_schema, folder=path)
+            df, raw_fields, kinds = _read_group(spark, files, arrow_schema, path, glob)
             frames.append(_bind(df, raw_fields, kinds, declared, mode, row_position))
     except AnalysisException as exc:
         raise _map_error(exc, path) from exc
     return functools.reduce(DataFrame.unionAll, frames)
 
 
-_NATURAL = {"half": T.FloatType(), "ts_ns": T.TimestampNTZType(),
-            "wide_decimal": T.StringType(), "time": T.StringType()}
-
-
 def natural_schema(spark: SparkSession, path: str) -> T.StructType:
-    """The file's own columns with the types they decode to (used when a
-    table is opened without a declared schema)."""
+    """The table's own columns with the types they decode to (used when a table
+    is opened without a declared schema); of a folder whose footers differ, the
+    columns that most files have."""
     try:
-        _df, fields, kinds = _read_group(spark, [path], None)
+        if _is_single_file(spark, path):
+            _df, fields, kinds = _read_group(spark, [path], None)
+        else:
+            sigs = footer_signatures(footers(spark, path))
+            if not sigs:
+                raise NoSuchTableError(f"no Parquet files under {path}")
+            schema, kinds = ty.read_schema(sigs[0][1])
+            fields = schema.fields
     except AnalysisException as exc:
         raise _map_error(exc, path) from exc
-    return T.StructType([T.StructField(f.name, _NATURAL.get(k.kind, f.dataType), True)
+    return T.StructType([T.StructField(f.name, ty.natural_type(f.dataType, k), True)
                          for f, k in zip(fields, kinds)])
 
 
@@ -220,13 +241,41 @@ def _conf_key(name: str, what: str) -> str:
     return f"{_CONF_PREFIX}{name.lower()}.{what}"
 
 
+def _definition_path(spark: SparkSession, name: str, warehouse: str | None):
+    """Where a table's definition is kept: beside the warehouse's data, on
+    storage that outlives the session."""
+    root = warehouse or spark.conf.get("spark.sql.warehouse.dir")
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/_medley_tables/{name.lower()}.json")
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _save_definition(spark, name, warehouse, definition: dict) -> None:
+    at, fs = _definition_path(spark, name, warehouse)
+    out = fs.create(at, True)
+    out.write(bytearray(json.dumps(definition).encode()))
+    out.close()
+
+
+def _load_definition(spark, name, warehouse) -> dict | None:
+    """From the session, else from the warehouse (another session made it)."""
+    text = spark.conf.get(_conf_key(name, "definition"), None)
+    if text is None:
+        at, fs = _definition_path(spark, name, warehouse)
+        if not fs.exists(at):
+            return None
+        text = spark.read.text(at.toString(), wholetext=True).first()[0]
+    return json.loads(text)
+
+
 def create_table(spark: SparkSession, name: str, schema, path: str | None = None,
                  warehouse: str | None = None, mode: str = "permissive",
                  replace: bool = False) -> DataFrame:
     """Register ``name`` -> (declared schema, path) as a read-only view.
 
     Path defaults to ``<warehouse>/<name>.parquet``. The view is a projection,
-    so INSERT into it is refused by Spark (S9).
+    so INSERT into it is refused by Spark (S9). The definition is also kept in
+    the warehouse folder (``spark.sql.warehouse.dir`` unless one is given), so
+    ``open_table`` finds it from a later session.
     """
     if path is None:
         if warehouse is None:
@@ -237,46 +286,43 @@ def create_table(spark: SparkSession, name: str, schema, path: str | None = None
     declared = ty.to_struct(schema)
     df = bind_parquet(spark, path, declared, mode)
     df.createOrReplaceTempView(name)
-    spark.conf.set(_conf_key(name, "path"), path)
-    spark.conf.set(_conf_key(name, "schema"), declared.json())
-    spark.conf.set(_conf_key(name, "mode"), mode)
+    definition = {"path": path, "schema": declared.jsonValue(), "mode": mode}
+    spark.conf.set(_conf_key(name, "definition"), json.dumps(definition))
+    _save_definition(spark, name, None, definition)
     return df
 
 
 def open_table(spark: SparkSession, name: str, warehouse: str | None = None) -> DataFrame:
-    """Resolve a table. Unregistered names fall back to
-    ``<warehouse>/<name>.parquet`` read with the file's own schema; a missing
-    file raises ``NoSuchTableError``, an unreadable one ``CorruptTableError``."""
-    path = spark.conf.get(_conf_key(name, "path"), None)
-    if path is not None:
-        schema = T.StructType.fromJson(json.loads(spark.conf.get(_conf_key(name, "schema"))))
-        mode = spark.conf.get(_conf_key(name, "mode"), "permissive")
-        df = bind_parquet(spark, path, schema, mode)
-    else:
-        if warehouse is None:
-            raise NoSuchTableError(f"no such table: {name}")
-        path = f"{warehouse.rstrip('/')}/{name}.parquet"
-        try:
-            df = bind_parquet(spark, path, natural_schema(spark, path))
-        except (NoSuchTableError, CorruptTableError):
-            raise
-        except Exception as exc:  # noqa: BLE001
-            raise _map_error(exc, path) from exc
+    """Resolve a table: one made in this session, else one whose definition
+    lies in the warehouse, else ``<warehouse>/<name>.parquet`` with its own
+    schema. A missing file raises ``NoSuchTableError``, an unreadable one
+    ``CorruptTableError``."""
+    definition = _load_definition(spark, name, None)
+    if definition is not None:
+        df = bind_parquet(spark, definition["path"], T.StructType.fromJson(definition["schema"]),
+                          definition["mode"])
+        df.createOrReplaceTempView(name)
+        return df
+    if warehouse is None:
+        raise NoSuchTableError(f"no such table: {name}")
+    path = f"{warehouse.rstrip('/')}/{name}.parquet"
     try:
-        df.limit(0).collect()  # surface unreadable footers now, reads no rows
+        return bind_parquet(spark, path, natural_schema(spark, path))
+    except (NoSuchTableError, CorruptTableError):
+        raise
     except Exception as exc:  # noqa: BLE001
         raise _map_error(exc, path) from exc
-    return df
 
 
 def drop_table(spark: SparkSession, name: str, if_exists: bool = False) -> bool:
     """Forget the name; the data file is left untouched."""
-    known = spark.conf.get(_conf_key(name, "path"), None) is not None
+    known = _load_definition(spark, name, None) is not None
     if not known and not if_exists:
         raise NoSuchTableError(f"no such table: {name}")
     spark.catalog.dropTempView(name)
-    for what in ("path", "schema", "mode"):
-        spark.conf.unset(_conf_key(name, what))
+    spark.conf.unset(_conf_key(name, "definition"))
+    at, fs = _definition_path(spark, name, None)
+    fs.delete(at, False)
     return known
 
 
@@ -290,11 +336,18 @@ def with_row_position(spark: SparkSession, path: str, schema, mode: str = "permi
     return bind_parquet(spark, path, schema, mode, row_position=True)
 
 
+MOST_FILES = 10_000
+
+
 def fetch_by_position(table: DataFrame, positions: DataFrame) -> DataFrame:
     """Rows at saved (file_path, row_index) positions; unknown positions
-    give no row. A join on the position key: AQE broadcasts a small key list
-    and shuffles a large one."""
-    keys = positions.select(*POSITION_COLUMNS).distinct()
+    give no row. Where the positions lie in at most ``MOST_FILES`` files, only
+    those are scanned. A semi join on the position: AQE broadcasts a small key
+    list and shuffles a large one."""
+    keys = positions.select(*POSITION_COLUMNS)
+    files = [r[0] for r in keys.select("file_path").distinct().limit(MOST_FILES + 1).collect()]
+    if len(files) <= MOST_FILES:
+        table = table.where(F.col("file_path").isin(files))
     return table.join(keys, list(POSITION_COLUMNS), "left_semi")
 
 
@@ -304,5 +357,5 @@ def table_stats(df: DataFrame) -> int:
 
 
 __all__ = ["bind_parquet", "create_table", "open_table", "drop_table", "insert_into",
-           "with_row_position", "fetch_by_position", "table_stats", "footer_groups", "footer_signatures",
+           "with_row_position", "fetch_by_position", "table_stats", "footers", "footer_groups", "footer_signatures",
            "footer_schema", "list_files", "POSITION_COLUMNS"]

@@ -27,9 +27,10 @@ MODES = ("permissive", "strict")
 @dataclass(frozen=True)
 class RawKind:
     """How a raw column must be decoded before the cast to the declared type."""
-    kind: str = "plain"          # plain | half | ts_ns | wide_decimal | time
+    kind: str = "plain"          # plain | half | ts_ns | wide_decimal | time | nested
     unit: str = ""               # time unit for ts_ns / time
     scale: int = 0               # wide_decimal scale
+    parts: tuple = ()            # nested: the kinds inside
 
 
 def read_type(t: pa.DataType) -> tuple[T.DataType, RawKind]:
@@ -78,21 +79,38 @@ def read_type(t: pa.DataType) -> tuple[T.DataType, RawKind]:
     if pa.types.is_null(t):
         return T.IntegerType(), RawKind()
     if pa.types.is_list(t) or pa.types.is_large_list(t) or pa.types.is_fixed_size_list(t):
-        et, _ = read_type(t.value_type)
-        return T.ArrayType(et, True), RawKind()
+        et, kind = read_type(t.value_type)
+        return T.ArrayType(et, True), _nested(kind)
     if pa.types.is_map(t):
-        kt, _ = read_type(t.key_type)
-        vt, _ = read_type(t.item_type)
-        return T.MapType(kt, vt, True), RawKind()
+        kt, key_kind = read_type(t.key_type)
+        vt, kind = read_type(t.item_type)
+        return T.MapType(kt, vt, True), _nested(key_kind, kind)
     if pa.types.is_struct(t):
-        return T.StructType([T.StructField(f.name, read_type(f.type)[0], True)
-                             for f in t]), RawKind()
+        inner = [read_type(f.type) for f in t]
+        return (T.StructType([T.StructField(f.name, st, True) for f, (st, _) in zip(t, inner)]),
+                _nested(*[kind for _, kind in inner]))
     raise TypeError(f"unsupported Parquet column type {t}")
 
 
-def needs_footer(schema: pa.Schema) -> bool:
-    """True when Spark's schema inference would refuse this file."""
-    return any(read_type(f.type)[1].kind != "plain" for f in schema)
+def _nested(*parts: RawKind) -> RawKind:
+    """A nested column needs decoding when something inside does."""
+    return RawKind() if all(p.kind == "plain" for p in parts) else RawKind("nested", parts=parts)
+
+
+_NATURAL = {"half": T.FloatType(), "ts_ns": T.TimestampNTZType(),
+            "wide_decimal": T.StringType(), "time": T.StringType()}
+
+
+def natural_type(raw: T.DataType, kind: RawKind) -> T.DataType:
+    """The type a raw column decodes to."""
+    if kind.kind != "nested":
+        return _NATURAL.get(kind.kind, raw)
+    if isinstance(raw, T.ArrayType):
+        return T.ArrayType(natural_type(raw.elementType, kind.parts[0]), True)
+    if isinstance(raw, T.MapType):
+        return T.MapType(natural_type(raw.keyType, kind.parts[0]), natural_type(raw.valueType, kind.parts[1]), True)
+    return T.StructType([T.StructField(f.name, natural_type(f.dataType, k), True)
+                         for f, k in zip(raw.fields, kind.parts)])
 
 
 def read_schema(schema: pa.Schema) -> tuple[T.StructType, list[RawKind]]:
@@ -114,7 +132,7 @@ _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
 _NESTED = (T.ArrayType, T.StructType, T.MapType)
 
 
-def decode(col: Column, kind: RawKind) -> tuple[Column, T.DataType | None]:
+def decode(col: Column, kind: RawKind, raw: T.DataType | None = None) -> tuple[Column, T.DataType | None]:
     """Raw column -> natural Spark value (and its type when it changed)."""
     if kind.kind == "half":
         return conv.half_to_float(col), T.FloatType()
@@ -122,9 +140,27 @@ def decode(col: Column, kind: RawKind) -> tuple[Column, T.DataType | None]:
         return conv.epoch_to_datetime(col, "ns"), T.TimestampNTZType()
     if kind.kind == "wide_decimal":
         return conv.wide_decimal_text(col, kind.scale), T.StringType()
+    if kind.kind == "nested":
+        return _decode_nested(col, kind, raw), natural_type(raw, kind)
     return col, None
 
 
+def _inside(col: Column, kind: RawKind, raw: T.DataType) -> Column:
+    return conv.time_to_text(col, kind.unit) if kind.kind == "time" else decode(col, kind, raw)[0]
+
+
+def _decode_nested(col: Column, kind: RawKind, raw: T.DataType) -> Column:
+    """Element by element, in built-in higher-order functions; NULL stays NULL."""
+    if isinstance(raw, T.ArrayType):
+        return F.transform(col, lambda x: _inside(x, kind.parts[0], raw.elementType))
+    if isinstance(raw, T.MapType):
+        keys = F.transform(F.map_keys(col), lambda x: _inside(x, kind.parts[0], raw.keyType))
+        values = F.transform(F.map_values(col), lambda x: _inside(x, kind.parts[1], raw.valueType))
+        return F.map_from_arrays(keys, values)
+    fields = [_inside(col.getField(f.name), k, f.dataType).alias(f.name) for f, k in zip(raw.fields, kind.parts)]
+    return F.when(col.isNotNull(), F.struct(*fields))
+
+
 def conform(col: Column, raw_type: T.DataType, declared: T.DataType,
             kind: RawKind = RawKind(), mode: str = "permissive") -> Column:
     """One column expression converting a raw file column to the declared type.
@@ -139,7 +175,7 @@ def conform(col: Column, raw_type: T.DataType, declared: T.DataType,
             return conv.time_to_text(col, kind.unit)
         value, vt = col, raw_type
     else:
-        value, vt = decode(col, kind)
+        value, vt = decode(col, kind, raw_type)
         vt = vt or raw_type
     if isinstance(vt, T.TimestampType) and not isinstance(declared, T.TimestampType):
         # instant -> UTC wall clock, independent of the session time zone
@@ -166,5 +202,5 @@ def to_struct(schema) -> T.StructType:
     raise TypeError("schema must be a StructType or a DDL string")
 
 
-__all__ = ["read_type", "read_schema", "needs_footer", "signature", "conform",
+__all__ = ["read_type", "read_schema", "natural_type", "signature", "conform",
            "decode", "RawKind", "to_struct", "MODES"]

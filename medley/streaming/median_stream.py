@@ -5,15 +5,16 @@ aggregation state emitted once the watermark closes it (append mode), but
 ``F.median`` keeps every distinct value of an open (window, group) in one
 task's buffer, so a hot group is one task.
 
-``run_windowed_median`` is the skew-safe form. The stream keeps only
-tie-collapsed counts, ``(window, keys, value) -> count``, as aggregation
-state hashed over the value too, so a hot group is spread over tasks. Every
-micro-batch carries the windows the watermark has just closed (each exactly
-once, append mode); ``foreachBatch`` writes those counts to a staging folder
-in the shared checkpoint folder (so the several reads of the median never
-re-run the stateful plan) and runs the batch rank median on them with the
-counts as weights. Output folders are keyed by batch id and overwritten, so a
-replayed batch leaves one copy.
+``run_windowed_median`` is the skew-safe form for a run that ends with its
+input. The stream keeps only tie-collapsed counts, ``(window, keys, value) ->
+count``, as aggregation state hashed over the value too, so a hot group is spread
+over tasks. Each micro-batch writes the counts it changed to a staging folder of
+the shared checkpoint folder, keyed by batch id and overwritten, so a replayed
+batch leaves one copy. When the input is exhausted the latest count of each
+(window, keys, value) goes through the batch rank median. There is no watermark,
+so no row is late and every window is in the result, however the input is cut
+into files. ``closed_window_medians`` does the same for the windows that a
+watermark closes on an endless stream (``window_value_counts``).
 """
 
 from __future__ import annotations
@@ -40,13 +41,15 @@ def windowed_median(stream: DataFrame, value: str, keys: list[str] = (), ts: str
 
 
 def window_value_counts(stream: DataFrame, value: str, keys: list[str] = (), ts: str = "ts",
-                        window: str = "1 hour", watermark: str = "10 minutes") -> DataFrame:
-    """Streaming state of the skew-safe form: count per (window, keys, value)."""
+                        window: str = "1 hour", watermark: str | None = "10 minutes") -> DataFrame:
+    """Streaming state of the skew-safe form: count per (window, keys, value);
+    without ``watermark`` the state keeps every window."""
     check_median_input(stream, value)
     stream = event_time(stream, ts)
-    return (stream.withWatermark("_event_time", watermark)
-            .groupBy(F.window("_event_time", window).alias("_win"), *keys,
-                     F.col(value).cast("double").alias("_v"))
+    if watermark:
+        stream = stream.withWatermark("_event_time", watermark)
+    return (stream.groupBy(F.window("_event_time", window).alias("_win"), *keys,
+                           F.col(value).cast("double").alias("_v"))
             .agg(F.count(F.lit(1)).alias("_c")))
 
 
@@ -55,38 +58,34 @@ def closed_window_medians(counts: DataFrame, keys: list[str] = (),
     """Batch rank median of closed windows from their value counts; the same
     columns as ``windowed_median``."""
     b = counts.select(ltz_to_utc_ntz(F.col("_win.start")).alias("window_start"),
-                      ltz_to_utc_ntz(F.col("_win.end")).alias("window_end"), *keys, "_v", "_c",
-                      F.when(F.col("_v").isNotNull(), F.col("_c")).alias("_cn"))
-    m = median(b, "_v", ["window_start", "window_end", *keys], strategy="rank", weight="_c",
-               alias=alias, combine_aggs=[("_n", "sum", "_cn")])
-    return m.select("window_start", "window_end", *keys, alias,
-                    F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("n"))
+                      ltz_to_utc_ntz(F.col("_win.end")).alias("window_end"), *keys, "_v", "_c")
+    m = median(b, "_v", ["window_start", "window_end", *keys], weight="_c", alias=alias,
+               combine_aggs=[("n", "count", "_v")])
+    return m.select("window_start", "window_end", *keys, alias, "n")
 
 
 def run_windowed_median(spark: SparkSession, stream: DataFrame, value: str,
                         keys: list[str] = (), ts: str = "ts", window: str = "1 hour",
-                        watermark: str = "10 minutes", alias: str = "median",
-                        name: str = "windowed-median") -> DataFrame:
-    """Run the skew-safe form until the input is exhausted (``availableNow``)
-    and return the table of closed-window medians."""
+                        alias: str = "median", name: str = "windowed-median",
+                        folder: str | None = None) -> DataFrame:
+    """Run the skew-safe form until the input is exhausted (``availableNow``) and
+    return the table of all window medians. ``folder`` (shared storage) keeps the
+    stream's progress: a run that was cut short resumes there."""
     keys = list(keys)
-    counts = window_value_counts(stream, value, keys, ts, window, watermark)
-    out, stage, ckpt = (scratch_path(spark, f"{name}-{p}") for p in ("out", "stage", "ckpt"))
-    # an empty part with the result schema, so the table exists even before
-    # any window has closed
-    empty = spark.createDataFrame([], counts.schema)
-    closed_window_medians(empty, keys, alias).write.mode("overwrite").parquet(f"{out}/batch=-1")
-
-    def emit(batch: DataFrame, batch_id: int) -> None:
-        part = f"{stage}/batch={batch_id}"
-        batch.write.mode("overwrite").parquet(part)
-        result = closed_window_medians(batch.sparkSession.read.parquet(part), keys, alias)
-        result.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    q = (counts.writeStream.foreachBatch(emit).option("checkpointLocation", ckpt)
-         .outputMode("append").trigger(availableNow=True).start())
+    counts = window_value_counts(stream, value, keys, ts, window, watermark=None)
+    folder = folder or scratch_path(spark, name)
+    stage = f"{folder}/stage"
+    spark.createDataFrame([], counts.schema).write.mode("overwrite").parquet(f"{stage}/batch=-1")
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{stage}/batch={batch_id}")
+
+    q = (counts.writeStream.foreachBatch(keep).option("checkpointLocation", f"{folder}/checkpoint")
+         .outputMode("update").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out).drop("batch")
+    # counts only grow, so the largest is the latest
+    last = (spark.read.parquet(stage).groupBy("_win", *keys, "_v").agg(F.max("_c").alias("_c")))
+    return closed_window_medians(last, keys, alias)
 
 
 __all__ = ["windowed_median", "window_value_counts", "closed_window_medians",

@@ -1,6 +1,15 @@
-"""Metric samples on unbounded streams.
-
-M19: ``lag`` is not allowed on a stream, so the "previous good sample" of each
+"""Metric samples on unbounded streams.
+
+``run_resource_report`` / ``start_resource_report`` handle each micro-batch as a
+table: the rows go through the batch report's two-level carry, so a host with
+half of all rows is split over time buckets, and a small state table (a row per
+host: last row seen, last good counters) links one micro-batch to the next.
+State and output folders are keyed by batch id and overwritten, so a replayed
+batch leaves one copy; both lie in a folder the caller may name, so a stopped
+stream resumes.
+
+``resource_report_stream`` is the form with Spark's keyed state, for streams
+whose hosts are all small: ``lag`` is not allowed on a stream, so the "previous good sample" of each
 host lives in keyed state (``applyInPandasWithState``). The state function
 only attaches ``prev_ts`` / ``prev_<counter>``; the rate arithmetic is the
 same column expressions as the batch report (``report_from_previous``), so
@@ -105,6 +114,76 @@ def resource_report_stream(samples: DataFrame, rate_basis: str = "elapsed") -> D
     return mx.report_from_previous(with_previous_good_stream(samples), rate_basis)
 
 
+REPORT_STATE = T.StructType([T.StructField("host", T.StringType()),
+                             T.StructField("seen", T.StructType([T.StructField("ts", T.TimestampNTZType()),
+                                                                 T.StructField("seq", T.LongType())])),
+                             T.StructField("good", T.StructType(
+                                 [T.StructField("ts", T.TimestampNTZType()), T.StructField("seq", T.LongType())]
+                                 + [T.StructField(c, T.LongType()) for c in COUNTERS]))])
+
+
+def report_batch(batch: DataFrame, state: DataFrame, rate_basis: str = "elapsed"):
+    """(report rows, new state) of one micro-batch and the state before it. Rows
+    at or before their host's last seen row are ``late``: kept, without rates,
+    and never anyone's previous sample."""
+    here = F.struct("ts", "seq")
+    rows = batch.join(state.select("host", F.col("seen").alias("_seen")), "host", "left")
+    rows = rows.withColumn("late", F.coalesce(here <= F.col("_seen"), F.lit(False))).drop("_seen")
+    on_time = rows.where(~F.col("late"))
+    # the last good sample of each host enters as a row of its own
+    before = state.where("good is not null").select("host", "good.*").withColumn("ok", F.lit(True))
+    before = before.withColumn("late", F.lit(None).cast("boolean"))
+    carried = mx.with_previous_good(on_time.unionByName(before, allowMissingColumns=True))
+    carried = carried.where("late is not null")
+    late = rows.where("late")
+    for c in ["ts", *COUNTERS]:
+        late = late.withColumn(f"prev_{c}", F.lit(None).cast(carried.schema[f"prev_{c}"].dataType))
+    report = mx.report_from_previous(carried.unionByName(late), rate_basis)
+    packed = F.struct("ts", "seq", *[F.col(c).cast("bigint").alias(c) for c in COUNTERS])
+    fresh = on_time.groupBy("host").agg(F.max(here).alias("seen"), F.max(F.when(F.col("ok"), packed)).alias("good"))
+    merged = (state.select("host", "seen", "good").unionByName(fresh).groupBy("host")
+              .agg(F.max("seen").alias("seen"), F.max("good").alias("good")))
+    return report, merged
+
+
+def _report_writer(spark: SparkSession, samples: DataFrame, folder: str, rate_basis: str):
+    """The stream writer whose batches go through ``report_batch``."""
+    none = spark.createDataFrame([], samples.schema)
+    empty = spark.createDataFrame([], REPORT_STATE)
+    report_batch(none, empty, rate_basis)[0].write.mode("overwrite").parquet(f"{folder}/out/batch=-1")
+    empty.write.mode("overwrite").parquet(f"{folder}/state/batch=-1")
+
+    def emit(batch: DataFrame, batch_id: int) -> None:
+        own = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch_id}")
+        rows = own.read.schema(samples.schema).parquet(f"{folder}/rows/batch={batch_id}")
+        state = own.read.schema(REPORT_STATE).parquet(f"{folder}/state/batch={batch_id - 1}")
+        report, merged = report_batch(rows, state, rate_basis)
+        report.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
+        merged.write.mode("overwrite").parquet(f"{folder}/state/batch={batch_id}")
+
+    return samples.writeStream.foreachBatch(emit).option("checkpointLocation", f"{folder}/checkpoint")
+
+
+def run_resource_report(spark: SparkSession, samples: DataFrame, rate_basis: str = "elapsed",
+                        folder: str | None = None) -> DataFrame:
+    """M19 + M20 until the input is exhausted; the report of all rows with
+    ``late``. ``folder`` (shared storage) keeps progress, so a run can resume."""
+    folder = folder or scratch_path(spark, "resource-report")
+    _report_writer(spark, samples, folder, rate_basis).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out").drop("batch")
+
+
+def start_resource_report(spark: SparkSession, samples: DataFrame, folder: str, interval_seconds: int = 5,
+                          rate_basis: str = "elapsed"):
+    """The same as an endless stream that looks for new samples every
+    ``interval_seconds``; returns the running query. Stop it and start it anew
+    with another interval and the same folder to change the interval."""
+    mx.check_interval(interval_seconds)
+    writer = _report_writer(spark, samples, folder, rate_basis)
+    return writer.trigger(processingTime=f"{interval_seconds} seconds").start()
+
+
 def interval_rollup_stream(samples: DataFrame, interval_seconds: int = 300,
                            watermark: str = "10 minutes") -> DataFrame:
     """M18 on a stream: one record per host and tumbling interval, emitted
@@ -129,12 +208,13 @@ def samples_stream(spark: SparkSession, folder: str, schema: T.StructType,
 
 
 def run_to_table(spark: SparkSession, stream: DataFrame, name: str,
-                 output_mode: str = "append") -> DataFrame:
+                 output_mode: str = "append", folder: str | None = None) -> DataFrame:
     """Run a stream until its input is exhausted (``availableNow``) into a
-    Parquet table in the shared checkpoint folder; return the table. The file
-    sink with its checkpoint is exactly-once, so a lost executor is replayed."""
-    out = scratch_path(spark, f"{name}-out")
-    ckpt = scratch_path(spark, f"{name}-ckpt")
+    Parquet table; return the table. The file sink with its checkpoint is
+    exactly-once, so a lost executor is replayed; with a ``folder`` of the
+    caller's a later run resumes where this one ended."""
+    folder = folder or scratch_path(spark, name)
+    out, ckpt = f"{folder}/out", f"{folder}/checkpoint"
     q = (stream.writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", ckpt).outputMode(output_mode)
          .trigger(availableNow=True).start())
@@ -142,5 +222,5 @@ def run_to_table(spark: SparkSession, stream: DataFrame, name: str,
     return spark.read.schema(stream.schema).parquet(out)
 
 
-__all__ = ["with_previous_good_stream", "resource_report_stream", "interval_rollup_stream",
+__all__ = ["run_resource_report", "start_resource_report", "report_batch", "with_previous_good_stream", "resource_report_stream", "interval_rollup_stream",
            "samples_stream", "run_to_table"]

@@ -96,3 +96,10 @@ def test_aggregate_registry(spark):
     assert t.agg(registry.aggregate(t, "total", "x").alias("s")).first().s == 38.0
     registry.drop_aggregate("total")
     registry.drop_aggregate("total", if_exists=True)
+
+
+def test_null_literal_is_accepted(spark):
+    from pyspark.sql import functions as F
+    from medley.functions import registry
+    df = spark.range(1)
+    assert df.select(registry.call(df, "welcome", F.lit(None)).alias("w")).first().w is None

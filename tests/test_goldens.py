@@ -94,7 +94,7 @@ def test_g8_g9_g10_median_by_group(spark, strategy):
 def test_g12_median_arithmetic(spark, values, expected):
     t = spark.createDataFrame([(v,) for v in values], "x INT")
     assert med.median(t, "x", strategy="rank").first().median == expected
-    assert med.median(t, "x", strategy="rank", finish_rows=1).first().median == expected
+    assert med.median(t, "x", strategy="rank", piece_rows=1).first().median == expected
 
 
 def test_median_type_gate(spark):

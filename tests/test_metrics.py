@@ -94,12 +94,22 @@ def test_interval_param():
 
 
 def test_device_sums(spark):
-    rows = [("h", T0, 1, 10, 1), ("h", T0 + dt.timedelta(seconds=1), 2, 20, 2),
-            ("h", T0 + dt.timedelta(seconds=400), 3, 5, 5)]
-    df = spark.createDataFrame(rows, "host STRING, ts TIMESTAMP_NTZ, seq BIGINT, "
+    """Two devices; one is read three times in a slot and counts once, with its
+    latest good reading."""
+    at = lambda sec: T0 + dt.timedelta(seconds=sec)
+    rows = [("h", 1, at(0), 1, True, 100, 1), ("h", 1, at(5), 2, True, 105, 2), ("h", 1, at(10), 3, True, 110, 3),
+            ("h", 1, at(11), 4, False, None, None), ("h", 2, at(1), 5, True, 20, 2), ("h", 1, at(400), 6, True, 5, 5)]
+    df = spark.createDataFrame(rows, "host STRING, device BIGINT, ts TIMESTAMP_NTZ, seq BIGINT, ok BOOLEAN, "
                                      "disk_bytes_read BIGINT, disk_bytes_written BIGINT")
     got = sorted((r.slot, r.devices, r.sum_disk_bytes_read) for r in mx.disk_sum(df).collect())
-    assert got == [(T0, 2, 30), (T0 + dt.timedelta(seconds=300), 1, 5)]
+    assert got == [(T0, 2, 130), (T0 + dt.timedelta(seconds=300), 1, 5)]
+
+
+def test_snapshot_of_unread_figures_is_zero(samples):
+    got = {(r.host, r.Variable_name): r.Value for r in mx.status_snapshot(mx.latest_report(samples)).collect()}
+    assert got["b", "my_resource_cpu_pct"] == "0.000000"
+    assert got["b", "my_resource_disk_read_kbps"] == "0"
+    assert None not in got.values()
 
 
 @pytest.mark.parametrize("bucket", [60, 3600, 10 ** 7])
@@ -107,7 +117,8 @@ def test_two_level_carry_equals_single_window(spark, bucket):
     s = G.metric_samples(spark, "/root/testdata/sf0.001")
     a = carry.with_previous(s, ["questions", "ts"], ["host"], ["ts", "seq"], good=F.col("ok"),
                             time_col="ts", bucket_seconds=bucket)
-    b = carry.with_previous(s, ["questions", "ts"], ["host"], ["ts", "seq"], good=F.col("ok"))
+    b = carry.with_previous(s, ["questions", "ts"], ["host"], ["ts", "seq"], good=F.col("ok"),
+                            time_col="ts", bucket_seconds=10 ** 9)
     cols = ["seq", "prev_questions", "prev_ts"]
     assert a.select(*cols).exceptAll(b.select(*cols)).count() == 0
     assert a.count() == b.count() == s.count()

@@ -45,6 +45,8 @@ def test_stream_report_equals_batch(spark, sample_files):
     batch_in = spark.read.parquet(folder)
     stream_out = ms.run_to_table(spark, ms.resource_report_stream(_stream(spark, folder, batch_in.schema)),
                                  "test-report")
+    assert stream_out.where("late").count() == 0
+    stream_out = stream_out.drop("late")
     batch_out = mx.resource_report(batch_in)
     assert stream_out.count() == batch_out.count() == batch_in.count()
     assert stream_out.exceptAll(batch_out).count() == 0
@@ -120,16 +122,90 @@ def test_log_sink_and_source_stream(spark, sample_files):
     assert got.count() == parsed.count()
 
 
-def test_skew_safe_windowed_median_matches_batch(spark, sample_files):
+def test_skew_safe_windowed_median_holds_every_window(spark, sample_files):
+    """Four files, four micro-batches, in an order that a watermark would call
+    late: the result is the batch result, open windows included."""
     folder, _ = sample_files
+    shuffled = tempfile.mkdtemp(prefix="medley-order-")
+    for i, k in enumerate((3, 0, 2, 1)):
+        to = os.path.join(shuffled, f"x{i}.parquet")
+        pq.write_table(pq.read_table(os.path.join(folder, f"part-{k}.parquet")), to)
+        os.utime(to, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
     schema = spark.read.parquet(folder).schema
-    stream = _stream(spark, folder, schema).withColumn("v", F.col("load1_raw").cast("double"))
-    got = median_stream.run_windowed_median(spark, stream, "v", ["host"], window="1 day",
-                                            watermark="1 minute", name="test-median-rank")
-    builtin = ms.run_to_table(spark, median_stream.windowed_median(
-        _stream(spark, folder, schema).withColumn("v", F.col("load1_raw").cast("double")),
-        "v", ["host"], window="1 day", watermark="1 minute"), "test-median-builtin")
-    assert got.count() > 0 and sorted(got.columns) == sorted(builtin.columns)
-    cols = builtin.columns
-    assert got.select(cols).exceptAll(builtin.select(cols)).count() == 0
-    assert builtin.exceptAll(got.select(cols)).count() == 0
+    stream = _stream(spark, shuffled, schema).withColumn("v", F.col("load1_raw").cast("double"))
+    got = median_stream.run_windowed_median(spark, stream, "v", ["host"], window="1 day")
+    batch = spark.read.parquet(folder).withColumn("v", F.col("load1_raw").cast("double")) \
+        .withColumn("window_start", F.window("ts", "1 day").start)
+    want = med.median(batch, "v", ["window_start", "host"], strategy="builtin")
+    got = got.select("window_start", "host", "median")
+    assert got.count() == want.count()
+    assert got.exceptAll(want.select("window_start", "host", "median")).count() == 0
+
+
+def test_report_by_batches_equals_batch(spark, sample_files):
+    folder, _ = sample_files
+    batch_in = spark.read.parquet(folder)
+    got = ms.run_resource_report(spark, _stream(spark, folder, batch_in.schema))
+    want = mx.resource_report(batch_in)
+    assert got.where("late").count() == 0
+    assert got.drop("late").exceptAll(want).count() == 0 and got.count() == want.count()
+    rolled = mx.interval_rollup(got)
+    assert rolled.columns == mx.interval_rollup(want).columns
+    assert rolled.exceptAll(mx.interval_rollup(want)).count() == 0
+
+
+def test_report_resumes_and_flags_late_rows(spark, sample_files):
+    _, pdf = sample_files
+    land, keep = tempfile.mkdtemp(prefix="medley-land-"), tempfile.mkdtemp(prefix="medley-keep-")
+    half = len(pdf) // 2
+    first, second = pdf.iloc[:half], pdf.iloc[half:]
+    old = first[first["host"] == first.iloc[-1]["host"]].iloc[[0]]
+    _write(first, os.path.join(land, "a.parquet"))
+    schema = spark.read.parquet(land).schema
+    ms.run_resource_report(spark, _stream(spark, land, schema), folder=keep)
+    _write(second, os.path.join(land, "b.parquet"))
+    _write(old, os.path.join(land, "c.parquet"))
+    os.utime(os.path.join(land, "c.parquet"), (2_000_000_000, 2_000_000_000))
+    out = ms.run_resource_report(spark, _stream(spark, land, schema), folder=keep)   # a second run
+    assert out.count() == len(pdf) + 1
+    late = out.where("late").collect()
+    assert len(late) == 1 and late[0].disk_read_kbps in (None, 0)
+    want = mx.resource_report(spark.read.parquet(land).dropDuplicates(["seq"]))
+    assert out.where("not late").drop("late").exceptAll(want).count() == 0
+
+
+def test_interval_drives_the_trigger(spark, sample_files):
+    folder, _ = sample_files
+    schema = spark.read.parquet(folder).schema
+    keep = tempfile.mkdtemp(prefix="medley-live-")
+    with pytest.raises(ValueError):
+        ms.start_resource_report(spark, _stream(spark, folder, schema), keep, interval_seconds=0)
+    q = ms.start_resource_report(spark, _stream(spark, folder, schema), keep, interval_seconds=1)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(f"{keep}/out").count() == spark.read.parquet(folder).count()
+
+
+@pytest.mark.parametrize("key", ["median_streaming", "counter_delta_stream"])
+def test_streams_over_a_folder_table(spark, key):
+    """``events.parquet`` as a folder of two part files gives what the file gives."""
+    from medley.plans.queries import QUERIES
+    sf = "/root/testdata/sf0.001"
+    folder = tempfile.mkdtemp(prefix="medley-folder-")
+    os.makedirs(os.path.join(folder, "events.parquet"))
+    events = pq.read_table(f"{sf}/events.parquet")
+    events = events.sort_by([("ts", "ascending"), ("event_id", "ascending")])
+    for i, part in enumerate((events.slice(0, 400), events.slice(400))):
+        to = os.path.join(folder, "events.parquet", f"part-{i}.parquet")
+        pq.write_table(part, to)
+        os.utime(to, (1_700_000_000 + 10 * i, 1_700_000_000 + 10 * i))
+    got, want = QUERIES[key][0](spark, folder), QUERIES[key][0](spark, sf)
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0
+
+
+def test_stream_over_a_missing_table_fails(spark):
+    with pytest.raises(FileNotFoundError):
+        G.events_stream(spark, tempfile.mkdtemp())

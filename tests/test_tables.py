@@ -264,7 +264,7 @@ def test_folder_with_refused_types_and_mixed_footers(spark, tmp):
     got = sorted(tuple(r) for r in tb.bind_parquet(spark, d, "ts TIMESTAMP_NTZ, id BIGINT").collect())
     assert got == [(dt.datetime(1970, 1, 1), 2), (dt.datetime(2000, 1, 1), 3),
                    (dt.datetime(2024, 1, 2, 3, 4, 5, 123456), 1)]
-    groups = tb.footer_groups(spark, d)
+    groups = tb.footer_groups(tb.footers(spark, d))
     assert len(groups) == 3 and sum(len(f) for _, _, f in groups) == 3
 
 
@@ -277,8 +277,55 @@ def test_single_footer_folder_is_read_whole(spark, tmp):
         pq.write_table(pa.table({"x": [i, i + 10], "y": ["p", None]}), os.path.join(d, rel))
     with open(os.path.join(d, "notes.txt"), "w") as fh:
         fh.write("not parquet")
-    sigs = tb.footer_signatures(spark, d)
+    from medley.errors import CorruptTableError
+    with pytest.raises(CorruptTableError):           # a file that is no Parquet is never skipped in silence
+        tb.bind_parquet(spark, d, "id BIGINT")
+    sigs = tb.footer_signatures(tb.footers(spark, d, "*.parquet"))
     assert len(sigs) == 1 and sigs[0][2] == 3
-    got = sorted(tuple(r) for r in tb.bind_parquet(spark, d, "id BIGINT, label STRING, extra INT").collect())
+    got = sorted(tuple(r) for r in tb.bind_parquet(spark, d, "id BIGINT, label STRING, extra INT",
+                                                   glob="*.parquet").collect())
     assert got == [(0, "p", None), (1, "p", None), (2, "p", None),
                    (10, None, None), (11, None, None), (12, None, None)]
+
+
+def test_files_of_any_suffix_are_bound(spark, tmp):
+    d = os.path.join(tmp, "suffixes")
+    os.makedirs(d)
+    pq.write_table(pa.table({"x": [1, 2]}), os.path.join(d, "a.parquet"))
+    pq.write_table(pa.table({"x": [3, 4]}), os.path.join(d, "b.parq"))
+    assert sorted(r.id for r in tb.bind_parquet(spark, d, "id BIGINT").collect()) == [1, 2, 3, 4]
+
+
+def test_folder_of_nanosecond_files_opens_without_a_schema(spark, tmp):
+    d = os.path.join(tmp, "opened.parquet")
+    os.makedirs(d)
+    for i in range(2):
+        pq.write_table(pa.table({"t": pa.array([i * 1_000_000_000], type=pa.timestamp("ns")), "k": [i]}),
+                       os.path.join(d, f"part-{i}.parquet"))
+    got = sorted(tuple(r) for r in tb.open_table(spark, "opened", warehouse=tmp).collect())
+    assert got == [(dt.datetime(1970, 1, 1), 0), (dt.datetime(1970, 1, 1, 0, 0, 1), 1)]
+
+
+def test_refused_types_inside_nested_columns(spark, tmp):
+    import numpy as np
+    p = os.path.join(tmp, "nested_refused.parquet")
+    ns = pa.timestamp("ns")
+    pq.write_table(pa.table({
+        "l": pa.array([[1_704_067_200_000_000_000], None], pa.list_(ns)),
+        "s": pa.array([{"h": np.float16(1.5), "n": 1}, None], pa.struct([("h", pa.float16()), ("n", pa.int64())])),
+    }), p)
+    got = tb.bind_parquet(spark, p, "l STRING, s STRING").collect()
+    assert got[0].l == '["2024-01-01T00:00:00.000"]' and got[0].s == '{"h":1.5,"n":1}'
+    assert got[1].l is None and got[1].s is None
+
+
+def test_table_outlives_the_session(spark, tmp):
+    p = os.path.join(tmp, "kept.parquet")
+    pq.write_table(pa.table({"a": [1, 2]}), p)
+    tb.create_table(spark, "kept", "x BIGINT", path=p, replace=True)
+    other = spark.newSession()
+    assert tb.open_table(other, "kept").columns == ["x"]
+    assert other.sql("SELECT sum(x) FROM kept").first()[0] == 3
+    assert tb.drop_table(spark, "kept")
+    with pytest.raises(NoSuchTableError):
+        tb.open_table(spark.newSession(), "kept")
