@@ -22,7 +22,8 @@ Each signature's members are verified against one member, the pivot, so the work
 is linear in the signatures. While a signature still joins several components,
 further rounds use other pivots; what remains after ``ROUNDS`` rounds are
 the pairs between different components of one signature, and all of those are
-verified. So no link between components is missed, and pairs inside a component,
+held against exact bounds (sizes, short prefixes, parities of token buckets) and,
+where a link stays possible, verified. So no link between components is missed, and pairs inside a component,
 which cannot change it, are never listed.
 """
 
@@ -45,7 +46,7 @@ SUBCLASSES = 16
 SMALL, SMALLEST = 31, 23  # sets below SMALL use single tokens too, below SMALLEST only those
 BLOCK = 4_000_000       # tokens counted together before counting across tasks
 ROWS = 512              # texts handled at once
-ROUNDS = 2
+ROUNDS = 4
 GROUP = 4096            # sets of a signature that are handled as one array
 PACK = 5                # bytes kept of a token hash when sets are compared
 MEMBERS = 1024          # members compared to one copy of a pivot
@@ -310,7 +311,15 @@ def most_shared(a: bytes, b: bytes) -> int:
     return int(np.minimum(x.reshape(-1, m).sum(0), y.reshape(-1, m).sum(0)).sum())
 
 
-SETS = "cid long, size int, sketch binary, tokens binary"
+def parity(tokens: np.ndarray) -> bytes:
+    """Whether the number of tokens in each of 512 buckets is odd. Each token that
+    only one of two sets holds changes one bit, so the sets differ in at least as
+    many tokens as their parities differ in bits."""
+    counts = np.bincount((tokens >> np.uint64(40) & np.uint64(511)).astype(np.int64), minlength=512)
+    return np.packbits(counts & 1).tobytes()
+
+
+SETS = "cid long, size int, sketch binary, parity binary, tokens binary"
 
 
 def _set_rows(bits: np.ndarray):
@@ -326,11 +335,11 @@ def _set_rows(bits: np.ndarray):
                         if len(seen) > 500_000:
                             seen.clear()
                         seen.add(cid)
-                        rows.append((cid, len(tokens), sketch(tokens), packed(tokens)))
-                cols = list(zip(*rows)) if rows else [()] * 4
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.binary(), pa.binary()))],
-                    names=["cid", "size", "sketch", "tokens"])
+                        rows.append((cid, len(tokens), sketch(tokens), parity(tokens), packed(tokens)))
+                cols = list(zip(*rows)) if rows else [()] * 5
+                types = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
+                                                 names=["cid", "size", "sketch", "parity", "tokens"])
     return run
 
 
@@ -423,6 +432,72 @@ def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             .mapInArrow(_verified(num, den), "a long, b long"))
 
 
+def _across(num: int, den: int):
+    """Rows sorted by (signature, block pair) -> the pairs of different components
+    whose sizes, short prefixes and parities leave a link possible. A block pair
+    holds at most about two blocks of ``GROUP`` sets; nothing else is kept."""
+    def judged(rows):
+        block, cid, size, short, comp, bits = zip(*rows)
+        block, cid, comp = np.array(block), np.array(cid), np.array(comp)
+        size, short = np.array(size, np.int64), np.array(short)
+        bits = np.frombuffer(b"".join(bits), np.uint64).reshape(len(rows), -1)
+        cross = block.min() != block.max()
+        out = []
+        for k in range(len(rows) - 1):
+            n, m = size[k], size[k + 1:]
+            ok = (comp[k + 1:] != comp[k]) & (np.minimum(n, m) * den >= np.maximum(n, m) * num)
+            ok &= (short[k] & (n <= m)) | (short[k + 1:] & (m <= n))
+            if cross:
+                ok &= block[k + 1:] != block[k]
+            at = np.flatnonzero(ok) + k + 1
+            if len(at):
+                apart = np.bitwise_count(bits[at] ^ bits[k]).sum(1)
+                both = n + size[at]
+                at = at[apart <= both - 2 * -(-num * both // (num + den))]
+                out += [(int(cid[k]), int(x)) for x in cid[at]]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows, out, seen = None, [], [], set()
+
+        def flush():
+            fresh = [p for p in map(lambda p: (min(p), max(p)), out) if p not in seen]
+            seen.update(fresh)
+            if len(seen) > 500_000:
+                seen.clear()
+            out.clear()
+            a, b = zip(*set(fresh)) if fresh else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
+                                              names=["pivot", "cid"])
+
+        for batch in batches:
+            for sig, lo, hi, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (sig, lo, hi) != key:
+                    if len(rows) > 1:
+                        out += judged(rows)
+                    key, rows = (sig, lo, hi), []
+                rows.append(row)
+            yield flush()
+        if len(rows) > 1:
+            out += judged(rows)
+        yield flush()
+    return run
+
+
+def across_components(rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Candidate (pivot, cid) pairs between the components of each signature. A
+    signature of more than ``GROUP`` sets is cut into blocks; each pair of blocks
+    meets in a task of its own."""
+    blocks = rows.groupBy("sig").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("nb"))
+    cut = (rows.join(blocks, "sig").join(sets.select("cid", "parity"), "cid")
+           .withColumn("b", F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int"))
+           .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))))
+    cut = cut.select("sig", F.least("b", "o").alias("lo"), F.greatest("b", "o").alias("hi"),
+                     "b", "cid", "size", "short", "comp", "parity")
+    return (cut.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi")
+            .mapInArrow(_across(num, den), "pivot long, cid long"))
+
+
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(node, label): the least node of each connected component, for all nodes
     of the undirected ``edges`` (a, b). Labels fall to the least among neighbours
@@ -461,12 +536,14 @@ def linked_components(spark: SparkSession, shared: DataFrame, sets: DataFrame,
         else:
             rows = (shared.join(comp.withColumnRenamed("node", "cid"), "cid", "left")
                     .withColumn("comp", F.coalesce("label", "cid")).drop("label"))
-        if turn:
+        if turn:                                     # a signature inside one component stays so
+            rows = written(spark, rows, "labelled-signatures")
             open_ = (rows.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                      .filter("lo != hi").select("sig"))
             rows = written(spark, rows.join(open_, "sig"), "open-signatures")
             if rows.isEmpty():
                 break
+            shared = rows.drop("comp")
         if turn < ROUNDS:
             lead = rows.groupBy("sig").agg(F.min(F.struct(
                 ~F.col("short"), F.xxhash64(F.lit(turn), "cid").alias("h"), "cid", "size", "short",
@@ -475,9 +552,7 @@ def linked_components(spark: SparkSession, shared: DataFrame, sets: DataFrame,
                                F.col("p.short").alias("pshort"), F.col("p.comp").alias("pcomp"))
             pairs = rows.join(lead, "sig").filter((F.col("pcomp") != F.col("comp")) & _meet("", "p", num, den))
         else:
-            other = rows.select("sig", F.col("cid").alias("pivot"), F.col("size").alias("psize"),
-                                F.col("short").alias("pshort"), F.col("comp").alias("pcomp"))
-            pairs = rows.join(other, "sig").filter((F.col("pcomp") < F.col("comp")) & _meet("", "p", num, den))
+            pairs = across_components(rows, sets, num, den)
         pairs = pairs.select("pivot", "cid")
         found = written(spark, verify(pairs.distinct(), sets, num, den), "links")
         links = found if links is None else links.unionByName(found)
