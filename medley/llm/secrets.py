@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from medley.llm.common import text_of
+from medley.llm.common import text_of, written
 from medley.session import scratch_path
 
 
@@ -139,6 +139,8 @@ def spans_by_path(docs: DataFrame, findings: DataFrame, rules=RULES, id_col: str
         "start", rank[F.col("rule")].alias("rank"),
         F.substring_index("rule", "@", 1).alias("kind"), "end").alias("s"))
         .groupBy("digest").agg(F.array_sort(F.collect_list("s")).alias("spans")))
+    # read back, so that the join shuffles both sides and a blob on many paths can be split
+    per_blob = written(docs.sparkSession, per_blob, "blob-findings")
     paths = docs.select(docs[id_col].alias("doc_id"),
                         F.sha2(text_of(docs, text_col), 256).alias("digest"))
     empty = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint>>")
@@ -173,8 +175,8 @@ def redact(docs: DataFrame, rules=RULES, mark: str = "[SECRET]", ledger: Ledger
     as they are, NULL ones too. Overlapping findings become one mark."""
     ledger = ledger or Ledger(docs.sparkSession)
     found = scan(docs, ledger, rules, id_col, text_col)
-    per_blob = found.groupBy(F.col("digest").alias("_digest")).agg(
-        F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_spans"))
+    per_blob = written(docs.sparkSession, found.groupBy(F.col("digest").alias("_digest")).agg(
+        F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_spans")), "blob-findings")
     hit = (docs.withColumn("_digest", F.sha2(text_of(docs, text_col), 256))
            .join(per_blob, "_digest", "left"))
     text = F.col(text_col)
