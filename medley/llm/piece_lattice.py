@@ -36,6 +36,7 @@ from medley.llm.bpe_transducer import SPACE, PieceTable, model_bytes, normalized
 from medley.llm.common import text_of
 
 MAX_KEPT = 300_000      # remembered segments per worker, and as many old ones
+MAX_OPTIONS = 50_000    # segments whose alternatives are remembered
 SEGMENT = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
 UNUSABLE = -1e8         # scores at or below this mark pieces that sampling never picks
 
@@ -86,6 +87,7 @@ class Coder:
             for char in piece[:-1]:
                 node = node.setdefault(char, [{}, None, None])[0]
             node.setdefault(piece[-1], [{}, None, None])[1:] = [score, pieces.id[piece]]
+        self.options: dict = {}                   # (segment, n) -> alternatives, bounded
         self.kept = _Kept()
         self.kept.coder, self.kept.old = self, {}
         if not pieces.spaced or any("\n" in p for p in pieces.score):
@@ -163,13 +165,19 @@ class Coder:
 
     def alternatives(self, segment: str, n: int) -> list[tuple[float, bytes]]:
         """The segment's ``n`` best (score, ids), the remembered best first."""
+        known = self.options.get((segment, n))
+        if known is not None:
+            return known
         arcs = self._arcs(segment)
         forward, _ = self._forward(segment, arcs)
         paths = best_paths(len(segment) + 1, [(i, j, s, i) for i, j, s in arcs], forward, n)
         found = [(score, self._ids(segment, (*starts, len(segment)))) for score, starts in paths]
         top = self.kept[segment]
         first = (top[0], top[2])
-        return [first] + [x for x in found if x != first][:n - 1]
+        if len(self.options) > MAX_OPTIONS:
+            self.options.clear()
+        result = self.options[segment, n] = [first] + [x for x in found if x != first][:n - 1]
+        return result
 
     def encode(self, text: str, n: int = 1) -> list[tuple[float, bytes]]:
         """The ``n`` best (score, ids as int32 bytes) of a whole text, best first;
