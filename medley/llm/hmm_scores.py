@@ -106,10 +106,18 @@ class Lexicon:
 
 def lexicon(vocabulary: DataFrame, symbols: int, lookup: int) -> Lexicon:
     totals = vocabulary.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    short = vocabulary.filter(F.octet_length("word") <= LONGEST)
-    top = short.orderBy(F.col("c").desc(), "word").limit(lookup).select("word", "c").toArrow()
-    words = [bytes(w) for w in top.column(0).to_pylist()]
-    counts = top.column(1).to_pylist()
+    # the least count class from which on at most ``lookup`` words are left, so that
+    # no task sorts more than the words that are wanted
+    short = (vocabulary.filter(F.octet_length("word") <= LONGEST)
+             .withColumn("level", F.floor(F.log2("c") * 16)))
+    left, level = lookup, None
+    for r in sorted(short.groupBy("level").agg(F.count("*").alias("n")).collect(), key=lambda r: -r["level"]):
+        if r["n"] > left:
+            break
+        left, level = left - r["n"], r["level"]
+    top = short.filter(F.col("level") >= (level if level is not None else 1 << 20)).select("word", "c").toArrow()
+    ranked = sorted(zip(top.column(1).to_pylist(), top.column(0).to_pylist()), key=lambda x: (-x[0], x[1]))
+    words, counts = [bytes(w) for _, w in ranked], [c for c, _ in ranked]
     symbols = min(symbols, max(1, len(words)))
     per_class = vocabulary.groupBy("class").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
     class_n, class_v = np.zeros(CLASSES), np.zeros(CLASSES)
