@@ -29,53 +29,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from medley.llm.common import text_of, written
+from medley.llm.word_hashes import MIX, mixed, powers, word_hashes
 
 WINDOW = 35
 SHINGLE = 8
 SHARD = 512
-MAX_WORDS = 400_000     # remembered word hashes per worker
 POS_BITS = 21
 CHUNK = 1 << 19         # words handled at once
-P1, P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-I1, I2 = (np.uint64(pow(int(p), -1, 2**64)) for p in (P1, P2))
-
-
-class _Codes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-        if len(self) > MAX_WORDS:
-            self.clear()
-        code = self[word] = xxhash.xxh3_64_intdigest(word)
-        return code
-
-
-_CODES = _Codes()
+ROWS = 512              # texts handled at once
+P1, P2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
 def codes(text: str) -> np.ndarray:
-    """A 64-bit hash per word (bytes.split cuts at exactly x20 and x09-x0D)."""
-    words = text.encode().split()
-    return np.fromiter(map(_CODES.__getitem__, words), np.uint64, len(words))
+    """A 64-bit hash per word."""
+    return word_hashes(pa.array([text], pa.string()))[0]
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
-    return x ^ (x >> np.uint64(33))
-
-
-def _powers(n: int, p) -> np.ndarray:
-    out = np.full(n, p, np.uint64)
-    if n:
-        out[0] = 1
-    return np.cumprod(out)
-
-
-def range_hashes(c: np.ndarray, start: np.ndarray, end: np.ndarray, p, inverse) -> np.ndarray:
+def range_hashes(c: np.ndarray, start: np.ndarray, end: np.ndarray, p: int) -> np.ndarray:
     """Hash of c[start:end] for many ranges, from one prefix sum."""
-    powers, back = _powers(len(c) + 1, p), _powers(len(c) + 1, inverse)
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(_mixed(c) * powers[:-1])])
-    return _mixed((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
+    up, back = powers(len(c) + 1, p), powers(len(c) + 1, pow(p, -1, 2**64))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed(c) * up[:-1])])
+    return mixed((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
 
 
 def spans(c: np.ndarray, owner: np.ndarray, window: int = WINDOW, shingle: int = SHINGLE):
@@ -89,8 +63,8 @@ def spans(c: np.ndarray, owner: np.ndarray, window: int = WINDOW, shingle: int =
         m = len(c) - shingle + 1
         h = np.zeros(m, np.uint64)
         for j in range(shingle):
-            h = h * P1 + c[j:j + m]
-        h = _mixed(h)
+            h = h * MIX + c[j:j + m]
+        h = mixed(h)
         low = np.uint64((1 << POS_BITS) - 1)
         least = (h & ~low) | np.arange(m, dtype=np.uint64)
         width, want = 1, window - shingle + 1
@@ -105,8 +79,8 @@ def spans(c: np.ndarray, owner: np.ndarray, window: int = WINDOW, shingle: int =
         new[1:] = (at[1:] != at[:-1]) | ~valid[:-1]
         first = np.flatnonzero(new & valid)
         last = np.flatnonzero(valid & np.concatenate([new[1:] | ~valid[1:], [True]]))
-        digest = range_hashes(c, first, last + window, P2, I2)
-        digest = _mixed(digest + (at[first] - first).astype(np.uint64))
+        digest = range_hashes(c, first, last + window, P2)
+        digest = mixed(digest + (at[first] - first).astype(np.uint64))
     return first, last - first + 1, h[at[first]], digest
 
 
@@ -114,33 +88,36 @@ SPANS = "k1 long, k2 long, a int, w int, anchor long, digest long"
 
 
 def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows(keys1, keys2, parts, bases):
-        owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-        starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-        first, w, anchor, digest = spans(np.concatenate(parts), owner)
+    def rows(keys, words, counts, base):
+        """Spans of a few whole texts, or of one piece of a text from word ``base``."""
+        owner = np.repeat(np.arange(len(counts)), counts)
+        starts = np.concatenate([[0], np.cumsum(counts)])
+        first, w, anchor, digest = spans(words, owner)
         o = owner[first] if len(first) else first
-        base = np.array(bases, np.int64)
         return pa.RecordBatch.from_arrays([
-            pa.array(np.array(keys1, np.int64)[o]), pa.array(np.array(keys2, np.int64)[o]),
-            pa.array((first - starts[o] + base[o]).astype(np.int32)), pa.array(w.astype(np.int32)),
+            pa.array(keys[0][o]), pa.array(keys[1][o]),
+            pa.array((first - starts[o] + base).astype(np.int32)), pa.array(w.astype(np.int32)),
             pa.array(anchor.view(np.int64)), pa.array(digest.view(np.int64))],
             names=["k1", "k2", "a", "w", "anchor", "digest"])
 
-    keys1, keys2, parts, bases, n = [], [], [], [], 0
-    for batch in batches:
-        for k1, k2, text in zip(*(col.to_pylist() for col in batch.columns)):
-            c = codes(text)
-            if len(c) < WINDOW:
-                continue
-            for at in range(0, len(c) - WINDOW + 1, CHUNK):
-                piece = c[at:at + CHUNK + WINDOW - 1]
-                keys1.append(k1), keys2.append(k2), parts.append(piece), bases.append(at)
-                n += len(piece)
-                if n >= CHUNK:
-                    yield rows(keys1, keys2, parts, bases)
-                    keys1, keys2, parts, bases, n = [], [], [], [], 0
-    if parts:
-        yield rows(keys1, keys2, parts, bases)
+    for whole in batches:
+        for at in range(0, whole.num_rows, ROWS):
+            batch = whole.slice(at, ROWS)
+            words, counts = word_hashes(batch.column(2))
+            keys = [np.array(batch.column(k)) for k in (0, 1)]
+            ends = np.cumsum(counts)
+            i = 0
+            while i < len(counts):
+                lo = int(ends[i] - counts[i])
+                j = max(i + 1, int(np.searchsorted(ends, lo + CHUNK, side="right")))
+                own = [k[i:j] for k in keys]
+                if j == i + 1 and counts[i] > CHUNK:  # a text of many pieces, which overlap
+                    for p in range(0, int(counts[i]) - WINDOW + 1, CHUNK):
+                        piece = words[lo + p:min(lo + p + CHUNK + WINDOW - 1, int(ends[i]))]
+                        yield rows(own, piece, np.array([len(piece)]), p)
+                else:
+                    yield rows(own, words[lo:int(ends[j - 1])], counts[i:j], 0)
+                i = j
 
 
 class SuffixAutomaton:
@@ -256,8 +233,8 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(n, anchor)), pa.array(np.full(n, digest)),
                     pa.array(np.full(n, times)), pa.array(s.astype(np.int32)),
-                    pa.array(range_hashes(c, s, s + WINDOW, P1, I1).view(np.int64)),
-                    pa.array(range_hashes(c, s, s + WINDOW, P2, I2).view(np.int64))],
+                    pa.array(range_hashes(c, s, s + WINDOW, P1).view(np.int64)),
+                    pa.array(range_hashes(c, s, s + WINDOW, P2).view(np.int64))],
                     names=["anchor", "digest", "n", "i", "h1", "h2"])
 
 
@@ -349,9 +326,11 @@ def dedup(docs: DataFrame, keep_text: bool = False, id_col: str = "doc_id",
                         F.xxhash64(docs[id_col], text).alias("k1"),
                         F.xxhash64(text, F.lit("second"), docs[id_col]).alias("k2"))
     all_spans = written(spark, texts.select("k1", "k2", "text").mapInArrow(_span_rows, SPANS), "spans")
-    repeated = (all_spans.groupBy("anchor")
-                .agg(F.count("*").alias("n"), F.min("digest").alias("lo"), F.max("digest").alias("hi"))
-                .filter("n > 1").select("anchor", (F.col("lo") != F.col("hi")).alias("mixed")))
+    # read back, so that the join shuffles both sides and a hot anchor can be split
+    repeated = written(spark, all_spans.groupBy("anchor")
+                       .agg(F.count("*").alias("n"), F.min("digest").alias("lo"), F.max("digest").alias("hi"))
+                       .filter("n > 1").select("anchor", (F.col("lo") != F.col("hi")).alias("mixed")),
+                       "repeated-anchors")
     found = written(spark, all_spans.join(repeated, "anchor"), "repeated-spans")
     kinds = (found.filter("mixed").groupBy("anchor", "digest")
              .agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "a", "w")).alias("at")))
@@ -366,7 +345,7 @@ def dedup(docs: DataFrame, keep_text: bool = False, id_col: str = "doc_id",
     met = written(spark, met, "met-texts")
 
     references = met.filter(F.col("kind") == REFERENCE).select("anchor", "digest", "n", "codes")
-    size = references.groupBy("anchor").agg((F.count("*") > SHARD).alias("hot"))
+    size = written(spark, references.groupBy("anchor").agg((F.count("*") > SHARD).alias("hot")), "shard-sizes")
     references = references.join(size, "anchor")
     cold = references.filter(~F.col("hot")).drop("hot")
     told = (cold.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_verdicts, VERDICTS)
