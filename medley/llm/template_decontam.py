@@ -3,11 +3,12 @@
 Words lose case and outer punctuation; numbers, names (capitalised inside a
 sentence) and units (after a number) become typed placeholders. A text's
 template windows are its runs of ``width`` template words with enough literal
-words. Windows of documents and benchmark items meet in a hash join; for each
-(document, item, alignment) the values that placeholders stand for must map one
-to one between the two sides. A copy maps each value to itself, a
-re-parameterised question maps consistently; a chance meeting of templates does
-not, unless it has no placeholders, when the words themselves are equal.
+words. Windows of documents and benchmark items meet in a hash join. A window
+whose words are the same on both sides counts always. One whose placeholders
+stand for other values counts if, in its (document, item, alignment), each value
+of the item stands for one value of the document; a value that stands for several
+drops the changed windows that hold it, not the alignment. Different values of
+the item may become the same one.
 
 Before the join, documents test their windows against a bitmap of the
 benchmark's window hashes. Its size is fixed between 8 KB and 16 MB whatever the
@@ -146,6 +147,27 @@ def _emit(width: int, least: int, bits: np.ndarray | None):
     return run
 
 
+def _consistent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow mapper from alignments to the positions of their windows that count."""
+    for batch in batches:
+        out = []
+        for run in batch.to_pylist():
+            values: dict[str, set] = {}
+            for win in run["windows"]:
+                for i, d in zip(win["item_slots"], win["slots"]):
+                    values.setdefault(i, set()).add(d)
+            kept = sorted(win["pos"] for win in run["windows"] if win["item_slots"] == win["slots"]
+                          or all(len(values[i]) == 1 for i in win["item_slots"]))
+            if kept:
+                out.append({"key": run["key"], "item_id": run["item_id"], "w": run["w"], "positions": kept})
+        yield pa.RecordBatch.from_pylist(out, schema=pa.schema([
+            ("key", pa.int64()), ("item_id", pa.int64()), ("w", pa.int32()),
+            ("positions", pa.list_(pa.int32()))]))
+
+
+RUNS = "key long, item_id long, w int, positions array<int>"
+
+
 def _bitmap(windows: DataFrame) -> np.ndarray:
     """Bitmap of the window hashes: a power of two between 2^16 and 2^27 bits."""
     n = windows.count()
@@ -165,7 +187,7 @@ def text_key(id_col, text):
 
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, least: int = LITERALS,
             id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """(key, item_id, first_word, last_word, n_windows) of consistent alignments;
+    """(key, item_id, first_word, last_word, n_windows) of alignments with windows that count;
     ``key`` is ``text_key`` of the document.
 
     Items shorter than ``width`` template words match by their own length, down
@@ -197,20 +219,18 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, least: in
         bits = spark.sparkContext.broadcast(_bitmap(side)).value
         met = texts.mapInArrow(_emit(w, min(least, w), bits), WINDOWS).join(side, "h")
         met = met.filter(F.size("slots") == F.size("item_slots")).select(
-            "key", "item_id", "pos", (F.col("pos") - F.col("item_pos")).alias("shift"), F.lit(w).alias("w"),
-            F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")).alias("pairs"))
+            "key", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"), F.lit(w).alias("w"),
+            F.struct("pos", "item_slots", "slots").alias("window"))
         groups = met if groups is None else groups.unionByName(met)
     if groups is None:
         return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in (
             ("key", "long"), ("item_id", "long"), ("first_word", "int"), ("last_word", "int"),
             ("n_windows", "long"))])
-    pairs = F.array_distinct(F.flatten(F.collect_list("pairs")))
-    runs = groups.groupBy("key", "item_id", "shift").agg(
-        F.min("pos").alias("first_word"), F.max(F.col("pos") + F.col("w") - 1).alias("last_word"),
-        F.countDistinct("pos").alias("n_windows"), pairs.alias("pairs"))
-    one_to_one = ((F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == F.size("pairs"))
-                  & (F.size(F.array_distinct(F.transform("pairs", lambda p: p["d"]))) == F.size("pairs")))
-    return runs.filter(one_to_one).drop("shift", "pairs")
+    runs = groups.groupBy("key", "item_id", "shift", "w").agg(F.collect_set("window").alias("windows"))
+    return runs.mapInArrow(_consistent, RUNS).select(
+        "key", "item_id", F.array_min("positions").alias("first_word"),
+        (F.array_max("positions") + F.col("w") - 1).alias("last_word"),
+        F.size("positions").cast("long").alias("n_windows"))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

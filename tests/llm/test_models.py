@@ -148,6 +148,24 @@ def test_decontamination_finds_copies_and_new_parameters(spark, none):
     assert template_decontam.report(none, bench).count() == 0
 
 
+def test_decontamination_drops_conflicting_windows_not_the_copy(spark):
+    rng = random.Random(9)
+    plain = [" ".join(words(rng, 24, ("lo", "ra", "mi", "ten", "su"))) for _ in range(3)]
+    item = f"{plain[0]} saw 3 white birds {plain[1]} saw 3 brown birds {plain[2]}"
+    two = "so a man with 5 red hats met one with 3 blue hats on the way"
+    bench = spark.createDataFrame([(1, item), (2, two)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, item.replace("3 brown", "4 brown")), (2, item),
+                                  (3, two.replace("5", "4").replace("3", "4")),
+                                  (4, item.replace("3 brown", "4 brown").replace("3 white", "6 white"))],
+                                 "doc_id long, text string")
+    got = {r.doc_id: r for r in template_decontam.report(docs, bench).collect()}
+    n = len(item.split()) - 7
+    assert got[1].items == [1] and got[1].n_windows == n - 8       # those that hold the 4
+    assert got[2].items == [1] and got[2].n_windows == n
+    assert got[3].items == [2] and got[3].n_windows == len(two.split()) - 7     # values may coincide
+    assert got[4].items == [1] and got[4].n_windows == n - 16
+
+
 def test_planted_benchmark_passages(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     bench = spark.read.parquet(f"{SF01}/benchmark.parquet")
