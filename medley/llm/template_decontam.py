@@ -1,19 +1,20 @@
 """Benchmark decontamination by canonical templates.
 
-Words lose case and outer punctuation; numbers, names (capitalised inside a
-sentence) and units (after a number) become typed placeholders. A text's
-template windows are its runs of ``width`` template words with enough literal
-words. Windows of documents and benchmark items meet in a hash join. A window
-whose words are the same on both sides counts always. One whose placeholders
-stand for other values counts if, in its (document, item, alignment), each value
+Words lose case and outer punctuation. A text's windows are its runs of ``width``
+words; a shorter item is one window of its own length. Windows of documents and
+benchmark items meet in a hash join, in two ways. By words: all words are the
+same, whatever they are; such a window counts always, so a copy is found without
+exception. By template: numbers, names (capitalised inside a sentence) and units
+(after a number) become typed placeholders, and a window with placeholders needs
+enough literal words. It counts if, in its (document, item, alignment), each value
 of the item stands for one value of the document; a value that stands for several
 drops the changed windows that hold it, not the alignment. Different values of
 the item may become the same one.
 
 Before the join, documents test their windows against a bitmap of the
-benchmark's window hashes. Its size is fixed between 8 KB and 16 MB whatever the
-size of the benchmark; a fuller bitmap lets more windows reach the exact join
-and never loses one.
+benchmark's window hashes, one for each length of window. Its size is fixed between
+8 KB and 16 MB whatever the size of the benchmark; a fuller bitmap lets more windows
+reach the exact join and never loses one.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from medley.llm.common import WORD, text_of, written
 
 WIDTH = 8
-LITERALS = 5            # literal words a window needs
+LITERALS = 5            # literal words a window with placeholders needs
 MAX_WORDS = 400_000     # remembered words per worker
 NUM, NAME, UNIT = (np.uint64(x) for x in (11, 13, 17))
 # Units that may follow a number.
@@ -72,9 +73,9 @@ class _Words(dict):
 _WORDS: list = []
 
 
-def template_windows(texts: list[str], width: int, least: int):
-    """Windows of a batch of texts: (text number, position, hash, word rows and
-    placeholder kinds of all kept words, the word table)."""
+def template_words(texts: list[str]):
+    """The kept words of a batch of texts, one text after the other: text number,
+    word rows and placeholder kinds, and the word table."""
     if not _WORDS or len(_WORDS[0]) > MAX_WORDS:
         _WORDS[:] = [_Words()]
     words = _WORDS[0]
@@ -93,14 +94,16 @@ def template_windows(texts: list[str], width: int, least: int):
     after_stop, after_num = first.copy(), np.zeros(len(rows), bool)
     after_stop[1:] |= (flags[:-1] & STOP) != 0
     after_num[1:] = ((flags[:-1] & ISNUM) != 0) & ~first[1:]
-    symbols = np.array(words.codes, np.uint64)[rows]
     kind = np.zeros(len(rows), np.uint8)
     kind[((flags & CAP) != 0) & ~after_stop] = 2
     kind[((flags & ISUNIT) != 0) & after_num] = 3
     kind[(flags & ISNUM) != 0] = 1
-    for k, symbol in ((1, NUM), (2, NAME), (3, UNIT)):
-        symbols[kind == k] = symbol
-    n = max(0, len(rows) - width + 1)
+    return owner, rows, kind, words
+
+
+def _hashed(symbols: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of ``width`` symbols."""
+    n = max(0, len(symbols) - width + 1)
     with np.errstate(over="ignore"):
         h = np.zeros(n, np.uint64)
         for j in range(width):
@@ -108,12 +111,7 @@ def template_windows(texts: list[str], width: int, least: int):
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(29)
-    literal = np.concatenate([[0], np.cumsum(kind == 0)])
-    ok = (literal[width:width + n] - literal[:n]) >= min(least, width)
-    ok &= owner[:n] == owner[width - 1:width - 1 + n]
-    starts = np.searchsorted(owner, np.arange(len(texts)))
-    at = np.flatnonzero(ok)
-    return owner[at], at - starts[owner[at]], h[at], at, rows, kind, words
+    return h
 
 
 def _slots(at: int, width: int, rows, kind, words) -> list[str]:
@@ -121,29 +119,49 @@ def _slots(at: int, width: int, rows, kind, words) -> list[str]:
     return [f"{kind[k]}{words.forms[rows[k]]}" for k in range(at, at + width) if kind[k]]
 
 
-WINDOWS = "key long, h long, pos int, slots array<string>"
+WINDOWS = "key long, w int, h long, exact boolean, pos int, slots array<string>"
 
 
-def _emit(width: int, least: int, bits: np.ndarray | None):
-    """Arrow mapper from (key, text) to the windows that pass the bitmap."""
+def _emit(width: int, least: int, bitmaps: dict[int, np.ndarray] | None):
+    """Arrow mapper from (key, text) to windows by words (``exact``) and by template.
+    Without bitmaps, a text shorter than ``width`` is one window; with them, the
+    windows of each of their lengths that pass, those by words without slots."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, 1024):
                 batch = whole.slice(lo, 1024)
                 keys = np.array(batch.column(0))
-                owner, pos, h, at, rows, kind, words = template_windows(
-                    batch.column(1).to_pylist(), width, least)
-                if bits is not None:
-                    slot = h & np.uint64(len(bits) * 64 - 1)
-                    hit = (bits[(slot >> np.uint64(6)).astype(np.int64)]
-                           >> (slot & np.uint64(63))) & np.uint64(1)
-                    hit = np.flatnonzero(hit)
-                    owner, pos, h, at = owner[hit], pos[hit], h[hit], at[hit]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(keys[owner], pa.int64()), pa.array(h.view(np.int64)),
-                    pa.array(pos.astype(np.int32)),
-                    pa.array([_slots(k, width, rows, kind, words) for k in at], pa.list_(pa.string()))],
-                    names=["key", "h", "pos", "slots"])
+                texts = batch.column(1).to_pylist()
+                owner, rows, kind, words = template_words(texts)
+                codes = np.array(words.codes, np.uint64)[rows]
+                symbols = np.array([0, NUM, NAME, UNIT], np.uint64)[kind]
+                symbols[kind == 0] = codes[kind == 0]
+                literal = np.concatenate([[0], np.cumsum(kind == 0)])
+                starts = np.searchsorted(owner, np.arange(len(texts)))
+                length = np.bincount(owner, minlength=len(texts))
+                for w in bitmaps or range(1, width + 1):
+                    n = max(0, len(rows) - w + 1)
+                    inside = owner[:n] == owner[w - 1:w - 1 + n]
+                    if bitmaps is None:
+                        inside &= (length[owner[:n]] == w) | (w == width)
+                    literals = literal[w:w + n] - literal[:n]
+                    typed = inside & (literals < w) & (literals >= min(least, w))
+                    for exact, ok, source in ((True, inside, codes), (False, typed, symbols)):
+                        h, at = _hashed(source, w), np.flatnonzero(ok)
+                        if bitmaps is not None:
+                            bits = bitmaps[w]
+                            slot = h[at] & np.uint64(len(bits) * 64 - 1)
+                            hit = (bits[(slot >> np.uint64(6)).astype(np.int64)]
+                                   >> (slot & np.uint64(63))) & np.uint64(1)
+                            at = at[np.flatnonzero(hit)]
+                        slots = ([None] * len(at) if exact and bitmaps is not None
+                                 else [_slots(k, w, rows, kind, words) for k in at])
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array(keys[owner[at]], pa.int64()), pa.array(np.full(len(at), w, np.int32)),
+                            pa.array(h[at].view(np.int64)), pa.array(np.full(len(at), exact)),
+                            pa.array((at - starts[owner[at]]).astype(np.int32)),
+                            pa.array(slots, pa.list_(pa.string()))],
+                            names=["key", "w", "h", "exact", "pos", "slots"])
     return run
 
 
@@ -190,42 +208,30 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, least: in
     """(key, item_id, first_word, last_word, n_windows) of alignments with windows that count;
     ``key`` is ``text_key`` of the document.
 
-    Items shorter than ``width`` template words match by their own length, down
-    to ``least`` words; shorter ones cannot be told from chance and match
-    nothing. A window that several items share counts for the least item id."""
+    Items shorter than ``width`` words match as a whole, down to one word; a
+    benchmark whose shortest items say nothing is to be filtered by the caller.
+    A window that several items share counts for the least item id."""
     spark = docs.sparkSession
     items = benchmark.select(benchmark[item_col].cast("long").alias("key"),
                              text_of(benchmark, "text").alias("text"))
-    found = []
-    for w in range(least, width + 1):               # short items: their only window is whole
-        rows = items
-        if w < width:
-            n_words = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x.rlike(r"[\w%$€£+-]")))
-            rows = items.filter(n_words == w)
-        found.append(rows.mapInArrow(_emit(w, min(least, w), None), WINDOWS).withColumn("w", F.lit(w)))
-    bench = found[0]
-    for more in found[1:]:
-        bench = bench.unionByName(more)
-    one = bench.groupBy("w", "h", "slots").agg(F.min(F.struct("key", "pos")).alias("m"))
-    bench = written(spark, one.select("w", "h", F.col("slots").alias("item_slots"),
+    bench = items.mapInArrow(_emit(width, least, None), WINDOWS)
+    one = bench.groupBy("w", "h", "exact", "slots").agg(F.min(F.struct("key", "pos")).alias("m"))
+    bench = written(spark, one.select("w", "h", "exact", F.col("slots").alias("item_slots"),
                                       F.col("m.key").alias("item_id"), F.col("m.pos").alias("item_pos")),
                     "benchmark-windows")
     text = text_of(docs, text_col)
     texts = docs.select(text_key(docs[id_col], text).alias("key"), text.alias("text"))
     widths = sorted(r["w"] for r in bench.select("w").distinct().collect())   # at most width values
-    groups = None
-    for w in widths:
-        side = bench.filter(F.col("w") == w).drop("w")
-        bits = spark.sparkContext.broadcast(_bitmap(side)).value
-        met = texts.mapInArrow(_emit(w, min(least, w), bits), WINDOWS).join(side, "h")
-        met = met.filter(F.size("slots") == F.size("item_slots")).select(
-            "key", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"), F.lit(w).alias("w"),
-            F.struct("pos", "item_slots", "slots").alias("window"))
-        groups = met if groups is None else groups.unionByName(met)
-    if groups is None:
+    if not widths:
         return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in (
             ("key", "long"), ("item_id", "long"), ("first_word", "int"), ("last_word", "int"),
             ("n_windows", "long"))])
+    bits = spark.sparkContext.broadcast({w: _bitmap(bench.filter(F.col("w") == w)) for w in widths}).value
+    slots = F.coalesce("slots", "item_slots")
+    met = texts.mapInArrow(_emit(width, least, bits), WINDOWS).join(bench, ["w", "h", "exact"])
+    groups = met.filter(F.size(slots) == F.size("item_slots")).select(
+        "key", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"), "w",
+        F.struct("pos", "item_slots", slots.alias("slots")).alias("window"))
     runs = groups.groupBy("key", "item_id", "shift", "w").agg(F.collect_set("window").alias("windows"))
     return runs.mapInArrow(_consistent, RUNS).select(
         "key", "item_id", F.array_min("positions").alias("first_word"),
@@ -256,4 +262,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
             .join(found, "_key", "left_anti").select(*docs.columns))
 
 
-__all__ = ["matches", "report", "drop_contaminated", "template_windows", "text_key"]
+__all__ = ["matches", "report", "drop_contaminated", "template_words", "text_key"]

@@ -166,6 +166,20 @@ def test_decontamination_drops_conflicting_windows_not_the_copy(spark):
     assert got[4].items == [1] and got[4].n_windows == n - 16
 
 
+def test_decontamination_finds_copies_without_literal_words(spark):
+    items = ["3 + 4 = 7 and 12 * 5 = 60 and 81 / 9 = 9", "Anna Berta Carl Dora Emil Frida Georg Hanna Ida",
+             "The Old Man And The Sea By Ernest Hemingway", "forty-two", "где живёт белый медведь зимой",
+             "one 2 three 4 five", "Quiet Rivers run deep below 9 old stones", "..."]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = ["so here " + item + " they say" for item in items]
+    texts += [items[0].replace("12", "13"), items[1].replace("Dora", "Doris"), "forty two", items[4].replace("зимой", "летом"),
+              "one 3 three 4 five"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.items for r in template_decontam.report(docs, bench).collect()}
+    assert [got[k] for k in range(len(items))] == [[0], [1], [2], [3], [4], [5], [6], []]
+    assert got[9] == got[10] == got[11] == got[12] == []
+
+
 def test_planted_benchmark_passages(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     bench = spark.read.parquet(f"{SF01}/benchmark.parquet")
