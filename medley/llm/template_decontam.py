@@ -177,13 +177,13 @@ def _consistent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept = sorted(win["pos"] for win in run["windows"] if win["item_slots"] == win["slots"]
                           or all(len(values[i]) == 1 for i in win["item_slots"]))
             if kept:
-                out.append({"key": run["key"], "item_id": run["item_id"], "w": run["w"], "positions": kept})
+                out.append({"key": run["key"], "item": run["item"], "w": run["w"], "positions": kept})
         yield pa.RecordBatch.from_pylist(out, schema=pa.schema([
-            ("key", pa.int64()), ("item_id", pa.int64()), ("w", pa.int32()),
+            ("key", pa.int64()), ("item", pa.int64()), ("w", pa.int32()),
             ("positions", pa.list_(pa.int32()))]))
 
 
-RUNS = "key long, item_id long, w int, positions array<int>"
+RUNS = "key long, item long, w int, positions array<int>"
 
 
 def _bitmap(windows: DataFrame) -> np.ndarray:
@@ -203,46 +203,59 @@ def text_key(id_col, text):
     return F.xxhash64(id_col, text)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, least: int = LITERALS,
-            id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """(key, item_id, first_word, last_word, n_windows) of alignments with windows that count;
-    ``key`` is ``text_key`` of the document.
-
-    Items shorter than ``width`` words match as a whole, down to one word; a
-    benchmark whose shortest items say nothing is to be filtered by the caller.
-    A window that several items share counts for the least item id."""
+def _alignments(docs: DataFrame, benchmark: DataFrame, width: int, least: int,
+                id_col: str, text_col: str, item_col: str) -> DataFrame:
+    """(key, item_id, w, positions): the document windows that count, by alignment
+    of a document with an item. Items are aligned once per distinct text."""
     spark = docs.sparkSession
-    items = benchmark.select(benchmark[item_col].cast("long").alias("key"),
-                             text_of(benchmark, "text").alias("text"))
+    named = benchmark.select(benchmark[item_col].cast("long").alias("item_id"),
+                             text_of(benchmark, "text").alias("text")).withColumn("item", F.xxhash64("text"))
+    items = named.select(F.col("item").alias("key"), "text").distinct()
     bench = items.mapInArrow(_emit(width, least, None), WINDOWS)
-    one = bench.groupBy("w", "h", "exact", "slots").agg(F.min(F.struct("key", "pos")).alias("m"))
-    bench = written(spark, one.select("w", "h", "exact", F.col("slots").alias("item_slots"),
-                                      F.col("m.key").alias("item_id"), F.col("m.pos").alias("item_pos")),
+    # every holder of a window: all items, all positions
+    bench = written(spark, bench.select("w", "h", "exact", F.col("slots").alias("item_slots"),
+                                        F.col("key").alias("item"), F.col("pos").alias("item_pos")),
                     "benchmark-windows")
     text = text_of(docs, text_col)
     texts = docs.select(text_key(docs[id_col], text).alias("key"), text.alias("text"))
     widths = sorted(r["w"] for r in bench.select("w").distinct().collect())   # at most width values
     if not widths:
-        return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in (
-            ("key", "long"), ("item_id", "long"), ("first_word", "int"), ("last_word", "int"),
-            ("n_windows", "long"))])
+        return spark.createDataFrame([], "key long, item_id long, w int, positions array<int>")
     bits = spark.sparkContext.broadcast({w: _bitmap(bench.filter(F.col("w") == w)) for w in widths}).value
-    slots = F.coalesce("slots", "item_slots")
     met = texts.mapInArrow(_emit(width, least, bits), WINDOWS).join(bench, ["w", "h", "exact"])
+    slots = F.coalesce("slots", "item_slots")
     groups = met.filter(F.size(slots) == F.size("item_slots")).select(
-        "key", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"), "w",
+        "key", "item", (F.col("pos") - F.col("item_pos")).alias("shift"), "w",
         F.struct("pos", "item_slots", slots.alias("slots")).alias("window"))
-    runs = groups.groupBy("key", "item_id", "shift", "w").agg(F.collect_set("window").alias("windows"))
-    return runs.mapInArrow(_consistent, RUNS).select(
+    runs = groups.groupBy("key", "item", "shift", "w").agg(F.collect_set("window").alias("windows"))
+    names = named.select("item", "item_id").distinct()
+    return runs.mapInArrow(_consistent, RUNS).join(names, "item").select("key", "item_id", "w", "positions")
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, least: int = LITERALS,
+            id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
+    """(key, item_id, first_word, last_word, n_windows) of alignments with windows that count;
+    ``key`` is ``text_key`` of the document.
+
+    Items shorter than ``width`` words match as a whole, down to one word; a
+    benchmark whose shortest items say nothing is to be filtered by the caller.
+    A window that several items share, or that an item repeats, counts for each of
+    them in its own alignment."""
+    return _alignments(docs, benchmark, width, least, id_col, text_col, item_col).select(
         "key", "item_id", F.array_min("positions").alias("first_word"),
         (F.array_max("positions") + F.col("w") - 1).alias("last_word"),
         F.size("positions").cast("long").alias("n_windows"))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-           **options) -> DataFrame:
-    """doc_id, contaminated, n_windows, items (ids, ascending) for every row."""
-    found = matches(docs, benchmark, id_col=id_col, text_col=text_col, **options)
+           width: int = WIDTH, least: int = LITERALS, item_col: str = "item_id") -> DataFrame:
+    """doc_id, contaminated, n_windows, items (ids, ascending) for every row.
+
+    ``n_windows`` adds up the document's windows that count for each of the items; a
+    window that meets several places of one item is one."""
+    found = _alignments(docs, benchmark, width, least, id_col, text_col, item_col)
+    found = found.groupBy("key", "item_id").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("positions")))).cast("long").alias("n_windows"))
     per = found.groupBy("key").agg(F.sum("n_windows").alias("n_windows"),
                                    F.array_sort(F.collect_set("item_id")).alias("items"))
     rows = docs.select(docs[id_col].alias("doc_id"),

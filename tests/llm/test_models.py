@@ -180,6 +180,24 @@ def test_decontamination_finds_copies_without_literal_words(spark):
     assert got[9] == got[10] == got[11] == got[12] == []
 
 
+def test_decontamination_reports_every_item_that_holds_a_window(spark):
+    rng = random.Random(11)
+    prompt, one, two = (" ".join(words(rng, 14, ("lo", "ra", "mi", "ten", "su"))) for _ in range(3))
+    line = "so the man with 5 red hats met us at home"
+    bench = spark.createDataFrame(
+        [(1, prompt + " " + one), (2, prompt + " " + two), (3, two), (4, two), (5, f"{line} {line.replace('5', '6')}")],
+        "item_id long, text string")
+    docs = spark.createDataFrame([(1, prompt + " " + two), (2, prompt), (3, line.replace("5", "9")), (4, one)],
+                                 "doc_id long, text string")
+    got = {r.doc_id: r for r in template_decontam.report(docs, bench).collect()}
+    assert got[1].items == [1, 2, 3, 4] and got[1].n_windows == 7 + 21 + 7 + 7
+    assert got[2].items == [1, 2] and got[2].n_windows == 14
+    assert got[3].items == [5] and got[3].n_windows == 4
+    assert got[4].items == [1]
+    found = template_decontam.matches(docs, bench).filter("item_id = 5")
+    assert sorted((r.first_word, r.last_word, r.n_windows) for r in found.collect()) == [(0, 10, 4), (0, 10, 4)]
+
+
 def test_planted_benchmark_passages(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     bench = spark.read.parquet(f"{SF01}/benchmark.parquet")
