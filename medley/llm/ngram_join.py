@@ -43,7 +43,7 @@ NGRAM = 5
 FREQUENT = 8            # counted occurrences from which a token is frequent
 MOST_FREQUENT = 1 << 18  # frequent tokens carried by every task
 SUBCLASSES = 16
-SMALL, SMALLEST = 31, 23  # sets below SMALL use single tokens too, below SMALLEST only those
+SMALL, SMALLEST = 31, 23  # sets below SMALL use single tokens too, below SMALLEST only those; see sizes()
 BLOCK = 4_000_000       # tokens counted together before counting across tasks
 ROWS = 512              # texts handled at once
 ROUNDS = 4
@@ -149,12 +149,21 @@ class Frequent:
         return np.where(self.tokens[at] == tokens, self.rank[at], -1)
 
 
+def sizes(num: int, den: int) -> tuple[int, int]:
+    """SMALL and SMALLEST of a threshold. From SMALLEST on, a set has more tokens
+    than may be missing by SUBCLASSES at least, so token pairs suffice; no set
+    below it links with one of SMALL tokens."""
+    smallest = max(SMALLEST, SUBCLASSES * den // num + 1)
+    return max(SMALL, (smallest - 1) * den // num + 1), smallest
+
+
 def signatures(tokens: np.ndarray, frequent: Frequent, num: int = NUM,
                den: int = DEN) -> tuple[np.ndarray, np.ndarray]:
     """Signature hashes of a sorted token set, and which lie in its short prefix."""
     n = len(tokens)
-    if n < 2:                                        # its only partners are equal sets
+    if n < 1 or n < 2 and 2 * num > den:             # its only partners are equal sets
         return np.empty(0, np.uint64), np.empty(0, bool)
+    small, smallest = sizes(num, den)
     missing = n - -(-n * num // den)
     fewer = n - -(-2 * n * num // (den + num))
     with np.errstate(over="ignore"):
@@ -164,9 +173,9 @@ def signatures(tokens: np.ndarray, frequent: Frequent, num: int = NUM,
             out.append(_key(keys, np.uint64(space)))
             short.append(inside)
 
-        if n < SMALL:                                # plain prefix in hash order
+        if n < small:                                # plain prefix in hash order
             add(tokens[:missing + 1], 3, np.arange(missing + 1) <= fewer)
-        if n >= SMALLEST:
+        if n >= smallest:
             rank = frequent.place(tokens)
             rare = tokens[rank < 0][:missing + 1]    # already in hash order
             add(rare, 1, np.arange(len(rare)) <= fewer)
@@ -196,7 +205,7 @@ def _key(x: np.ndarray, space: np.uint64) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _signature_rows(carried):
+def _signature_rows(carried, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, seen = carried.value, set()
         for whole in batches:
@@ -209,7 +218,7 @@ def _signature_rows(carried):
                     if len(seen) > 500_000:
                         seen.clear()
                     seen.add(cid)
-                    s, short = signatures(tokens, frequent)
+                    s, short = signatures(tokens, frequent, num, den)
                     sigs.append(s)
                     flags.append(short)
                     cids.append(cid)
@@ -578,7 +587,7 @@ def join_components(docs: DataFrame, num: int = NUM, den: int = DEN, id_col: str
            .filter(F.col("n") >= FREQUENT).orderBy(F.col("n").desc(), "token").limit(MOST_FREQUENT).toPandas())
     frequent = Frequent(top["token"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64))
     only = texts.select("text")
-    groups = (only.mapInArrow(_signature_rows(sc.broadcast(frequent)), ROLES)
+    groups = (only.mapInArrow(_signature_rows(sc.broadcast(frequent), num, den), ROLES)
               .repartition("sig").sortWithinPartitions("sig", "cid").mapInArrow(_shared, SHARED))
     groups = written(spark, groups, "signature-groups")
     once = groups.filter("whole").groupBy("grp").agg(

@@ -97,6 +97,39 @@ def test_similar_sets_always_share_a_signature():
             assert np.intersect1d(small[short], large).size
 
 
+@pytest.mark.parametrize("num", [20, 40, 50, 60, 90])
+def test_similar_sets_share_a_signature_at_other_thresholds(num):
+    assert ngram_join.sizes(75, 100) == (ngram_join.SMALL, ngram_join.SMALLEST)
+    rng, seen = np.random.default_rng(num), 0
+    for _ in range(3000):
+        pool = np.unique(rng.integers(0, 2**63, 300).astype(np.uint64))
+        often = pool if rng.random() < 0.5 else rng.permutation(pool)[:rng.integers(0, 300)]
+        frequent = ngram_join.Frequent(often, rng.integers(8, 99, len(often)))
+        order, n = rng.permutation(pool), int(rng.integers(1, 140))
+        both = -(-n * num // 100)                    # y: a part of x, or as far from it as a link may be
+        more = both * 100 // num - n if rng.random() < 0.5 else 0
+        x, y = np.sort(order[:n]), np.sort(np.concatenate([order[:both], order[n:n + more]]))
+        both = len(np.intersect1d(x, y))
+        if 100 * both >= num * len(np.union1d(x, y)) and len(x) + len(y) != 2 * both:
+            seen += 1
+            x, y = sorted((x, y), key=len)
+            small, short = ngram_join.signatures(x, frequent, num, 100)
+            large, _ = ngram_join.signatures(y, frequent, num, 100)
+            assert np.intersect1d(small[short], large).size
+    assert seen > 500
+
+
+def test_components_at_a_lower_threshold(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "FREQUENT", 2)
+    rng, texts = random.Random(5), ["a b c d e", "a b c d e f"]      # sets of 1 and 2
+    for k in range(25):
+        base = words(rng, 40 + 2 * k)
+        texts += [" ".join(base), " ".join(base[:len(base) * 6 // 10])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in ngram_join.join_components(df, 50, 100).collect()}
+    assert got == {k: k - k % 2 for k in range(len(texts))}
+
+
 def test_sketches_never_rule_out_a_link():
     rng = np.random.default_rng(11)
     for n in (1, 5, 40, 300, 3000):
