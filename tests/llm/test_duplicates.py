@@ -251,6 +251,24 @@ def test_peeling_recovers_or_grows():
             assert iblt_fingerprint.likeness([a], [b])[0] == pytest.approx(want)
 
 
+def test_stored_fingerprints_subtract_or_fail():
+    rng, whole = np.random.default_rng(2), 0
+    with np.errstate(over="ignore"):
+        for n in (0, 1, 2, 3, 30, 40):
+            for _ in range(20):
+                shared = rng.integers(0, 2**64, 80000 if n == 1 else 50, dtype=np.uint64)
+                a, b = (np.unique(np.concatenate([shared, rng.integers(0, 2**64, k, dtype=np.uint64)])) for k in (n, n // 2))
+                left, right = (iblt_fingerprint.fingerprints([x], iblt_fingerprint.sketch([x], iblt_fingerprint.CELLS))[0]
+                               for x in (a, b))
+                got = iblt_fingerprint.subtract(left, right)
+                if n < 2 or got is not None:
+                    assert got[0] == set(np.setdiff1d(a, b).tolist()) and got[1] == set(np.setdiff1d(b, a).tolist())
+                    assert got[2] == pytest.approx(len(np.intersect1d(a, b)) / len(np.union1d(a, b)))
+                    whole += 1
+                assert n < 30 or got is None
+    assert whole > 60
+
+
 def test_single_and_empty_tables(spark, none):
     one = spark.createDataFrame([(3, "only one line here")], "doc_id long, text string")
     r = iblt_fingerprint.fingerprint(one).collect()
