@@ -339,8 +339,16 @@ def interval_rollup(report: DataFrame, interval_seconds: int = 300) -> DataFrame
         F.sum("db_queries_ps").alias("sum_db_queries_ps")))
 
 
+def merge_rollups(partials: DataFrame) -> DataFrame:
+    """Rollups of parts of a report, merged into the rollup of the whole."""
+    how = {"samples": F.sum, "max_cpu_pct": F.max, "max_mem_used_mb": F.max, "sum_disk_read_kbps": F.sum,
+           "sum_disk_write_kbps": F.sum, "max_db_connections": F.max, "sum_db_queries_ps": F.sum}
+    return partials.groupBy("host", "interval_start").agg(
+        *[f(c).cast(partials.schema[c].dataType).alias(c) for c, f in how.items()])
+
+
 __all__ = ["resource_report", "report_from_previous", "latest_report", "cpu_pct", "mem_used_mb", "disk_rate_kbps", "counter_deltas",
            "queries_per_sec", "connections_gauge", "load_avg", "ram_mb", "drop_baseline",
-           "cpu_ticks_sum", "disk_sum", "status_snapshot", "status_like", "interval_rollup",
+           "cpu_ticks_sum", "disk_sum", "status_snapshot", "status_like", "interval_rollup", "merge_rollups",
            "counter_delta", "with_deltas", "check_interval", "with_previous_good", "STATUS_VARIABLES",
            "REPORT_COLUMNS", "RATE_BASES"]

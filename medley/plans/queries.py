@@ -735,9 +735,10 @@ def counter_delta_stream(spark, sf):
 
 @query("interval_rollup_stream", QUERIES["interval_rollup"][1])
 def interval_rollup_stream(spark, sf):
-    """M18 over the streamed report: the same columns as the batch rollup."""
+    """M18 on a stream, partial aggregates of each micro-batch merged: the same
+    columns as the batch rollup."""
     from medley.streaming import metrics_stream as ms
-    return mx.interval_rollup(ms.run_resource_report(spark, G.samples_from_events(G.events_stream(spark, sf))))
+    return ms.run_interval_rollup(spark, G.samples_from_events(G.events_stream(spark, sf)))
 
 
 @query("median_streaming", """

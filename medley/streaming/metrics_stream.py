@@ -146,11 +146,15 @@ def report_batch(batch: DataFrame, state: DataFrame, rate_basis: str = "elapsed"
     return report, merged
 
 
-def _report_writer(spark: SparkSession, samples: DataFrame, folder: str, rate_basis: str):
-    """The stream writer whose batches go through ``report_batch``."""
+def _report_writer(spark: SparkSession, samples: DataFrame, folder: str, rate_basis: str,
+                   rollup_seconds: int | None = None):
+    """The stream writer whose batches go through ``report_batch``, and with
+    ``rollup_seconds`` leave a row per host and interval they touch."""
     none = spark.createDataFrame([], samples.schema)
     empty = spark.createDataFrame([], REPORT_STATE)
     report_batch(none, empty, rate_basis)[0].write.mode("overwrite").parquet(f"{folder}/out/batch=-1")
+    if rollup_seconds:
+        _write_rollup(spark, folder, -1, rollup_seconds)
     empty.write.mode("overwrite").parquet(f"{folder}/state/batch=-1")
 
     def emit(batch: DataFrame, batch_id: int) -> None:
@@ -161,10 +165,18 @@ def _report_writer(spark: SparkSession, samples: DataFrame, folder: str, rate_ba
         report, merged = report_batch(rows, state, rate_basis)
         report.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
         merged.write.mode("overwrite").parquet(f"{folder}/state/batch={batch_id}")
+        if rollup_seconds:
+            _write_rollup(own, folder, batch_id, rollup_seconds)
 
     return samples.writeStream.foreachBatch(emit).option("checkpointLocation", f"{folder}/checkpoint")
 
 
+def _write_rollup(spark: SparkSession, folder: str, batch_id: int, rollup_seconds: int) -> None:
+    report = spark.read.parquet(f"{folder}/out/batch={batch_id}")
+    part = mx.interval_rollup(report, rollup_seconds)
+    part.write.mode("overwrite").parquet(f"{folder}/rollup-{rollup_seconds}/batch={batch_id}")
+
+
 def run_resource_report(spark: SparkSession, samples: DataFrame, rate_basis: str = "elapsed",
                         folder: str | None = None) -> DataFrame:
     """M19 + M20 until the input is exhausted; the report of all rows with
@@ -174,6 +186,19 @@ def run_resource_report(spark: SparkSession, samples: DataFrame, rate_basis: str
     return spark.read.parquet(f"{folder}/out").drop("batch")
 
 
+def run_interval_rollup(spark: SparkSession, samples: DataFrame, interval_seconds: int = 300,
+                        rate_basis: str = "elapsed", folder: str | None = None) -> DataFrame:
+    """M18 until the input is exhausted, with the columns of the batch rollup: each
+    micro-batch leaves partial aggregates of its report, and these are merged. No
+    watermark, so late rows count and open intervals are in the result. A ``folder``
+    resumes as in ``run_resource_report``; it keeps one interval from its start."""
+    mx.check_interval(interval_seconds)
+    folder = folder or scratch_path(spark, "interval-rollup")
+    writer = _report_writer(spark, samples, folder, rate_basis, interval_seconds)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return mx.merge_rollups(spark.read.parquet(f"{folder}/rollup-{interval_seconds}").drop("batch"))
+
+
 def start_resource_report(spark: SparkSession, samples: DataFrame, folder: str, interval_seconds: int = 5,
                           rate_basis: str = "elapsed"):
     """The same as an endless stream that looks for new samples every
@@ -186,8 +211,9 @@ def start_resource_report(spark: SparkSession, samples: DataFrame, folder: str,
 
 def interval_rollup_stream(samples: DataFrame, interval_seconds: int = 300,
                            watermark: str = "10 minutes") -> DataFrame:
-    """M18 on a stream: one record per host and tumbling interval, emitted
-    once the watermark passes the interval end (append mode)."""
+    """M18 counts on a stream as it goes: one record per host and tumbling interval,
+    emitted once the watermark passes the interval end (append mode); without rates,
+    rows behind the watermark and open intervals, which ``run_interval_rollup`` has."""
     mx.check_interval(interval_seconds)
     samples = event_time(samples, "ts")
     win = F.window("_event_time", f"{interval_seconds} seconds")
@@ -222,5 +248,5 @@ def run_to_table(spark: SparkSession, stream: DataFrame, name: str,
     return spark.read.schema(stream.schema).parquet(out)
 
 
-__all__ = ["run_resource_report", "start_resource_report", "report_batch", "with_previous_good_stream", "resource_report_stream", "interval_rollup_stream",
+__all__ = ["run_resource_report", "start_resource_report", "report_batch", "with_previous_good_stream", "resource_report_stream", "interval_rollup_stream", "run_interval_rollup",
            "samples_stream", "run_to_table"]

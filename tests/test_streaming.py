@@ -154,6 +154,23 @@ def test_report_by_batches_equals_batch(spark, sample_files):
     assert rolled.exceptAll(mx.interval_rollup(want)).count() == 0
 
 
+def test_rollup_by_batches_has_all_columns_and_open_intervals(spark, sample_files):
+    folder, _ = sample_files
+    batch_in = spark.read.parquet(folder)
+    report = mx.resource_report(batch_in)
+    got = ms.run_interval_rollup(spark, _stream(spark, folder, batch_in.schema), 3600)
+    want = mx.interval_rollup(report, 3600)
+    assert got.dtypes == want.dtypes and got.count() == want.count()
+    assert got.exceptAll(want).count() == 0
+    # partials of one host and interval merge
+    days = report.withColumn("ts", F.date_trunc("month", "ts").cast(report.schema["ts"].dataType))
+    want = mx.interval_rollup(days, 3600)
+    parts = [mx.interval_rollup(days.where(F.col("seq") % 3 == k), 3600) for k in range(3)]
+    parts = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    assert parts.count() > want.count()
+    assert mx.merge_rollups(parts).exceptAll(want).count() == 0
+
+
 def test_report_resumes_and_flags_late_rows(spark, sample_files):
     _, pdf = sample_files
     land, keep = tempfile.mkdtemp(prefix="medley-land-"), tempfile.mkdtemp(prefix="medley-keep-")
