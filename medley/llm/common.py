@@ -16,7 +16,8 @@ from medley.session import scratch_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-LOWER_AZ = str.maketrans(UPPER, UPPER.lower())
+LOWER = UPPER.lower()
+LOWER_AZ = str.maketrans(UPPER, LOWER)
 
 
 def text_of(df: DataFrame, text_col: str = "text") -> Column:

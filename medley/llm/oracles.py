@@ -81,4 +81,62 @@ kept AS (
 SELECT w.doc_id, len(w.w) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
 FROM words w LEFT JOIN kept k USING (doc_id)"""
 
-__all__ = ["NGRAM_JOIN", "SECRET_SCANS", "SUBSTRING_DEDUP"]
+HARD_NEGATIVES = """
+WITH rows AS MATERIALIZED (
+  SELECT row_number() OVER () AS uid, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS MATERIALIZED (
+  SELECT a.uid, a.vec_id AS anchor_id, b.uid AS other, b.vec_id, a.label = b.label AS same,
+         list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.uid <> b.uid WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT *, row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id) AS r
+  FROM scored WHERE same QUALIFY r <= 5),
+found AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, n.vec_id AS negative_id,
+         n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.uid, p.r ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM positives p JOIN scored n ON n.uid = p.uid AND NOT n.same
+   AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM found WHERE rank <= 3"""
+
+
+def license_scans(phrases, templates, percent: int) -> str:
+    """Every block against every template, and every place against every phrase."""
+    def quoted(words):
+        return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+    notices = ",\n    ".join(f"('{t.label}', {t.step}, {quoted(dict.fromkeys(t.words))}, {t.need(percent)})"
+                             for t in templates)
+    places = "\n  UNION ALL ".join(
+        f"SELECT uid, '{p.label}' AS label, unnest(list_filter(range(len(w)), lambda i: "
+        f"w[i + 1:i + {len(p.text.split())}] = {quoted(p.text.split())})) AS place FROM words" for p in phrases)
+    steps = sorted({t.step for t in templates})
+    blocks = "\n  UNION ALL ".join(
+        f"SELECT uid, {c} AS step, list_distinct(w[s + 1:s + {2 * c}]) AS b "
+        f"FROM (SELECT uid, w, unnest(range(0, len(w), {c})) AS s FROM words)" for c in steps)
+    return f"""
+WITH words AS MATERIALIZED (
+  SELECT row_number() OVER () AS uid, doc_id,
+         regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+places AS ({places}),
+base AS (SELECT uid, count(*) AS n, min(place) AS a, max(place) AS z, list(DISTINCT label) AS labels
+         FROM places GROUP BY uid),
+notices(label, step, words, need) AS (VALUES {notices}),
+blocks AS ({blocks}),
+held AS (
+  SELECT uid, n.label, len(list_intersect(n.words, b)) / len(n.words) AS part
+  FROM blocks JOIN notices n USING (step) WHERE len(list_intersect(n.words, b)) >= n.need),
+found AS (SELECT uid, list(DISTINCT label) AS labels, max(part) AS most FROM held GROUP BY uid)
+SELECT doc_id, len(w) AS n_words, coalesce(b.n, 0) AS n_base, b.a AS first_word, b.z AS last_word,
+       array_to_string(list_sort(coalesce(b.labels, [])), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(coalesce(b.labels, []) || coalesce(f.labels, []))), ',') AS labels,
+       CASE WHEN b.n > 0 THEN 1.0 ELSE coalesce(f.most, 0.0) END::DOUBLE AS score
+FROM words LEFT JOIN base b USING (uid) LEFT JOIN found f USING (uid)"""
+
+
+__all__ = ["NGRAM_JOIN", "SECRET_SCANS", "SUBSTRING_DEDUP", "HARD_NEGATIVES", "license_scans"]

@@ -5,9 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medley.llm import (bpe_transducer, hmm_scores, iblt_fingerprint, ngram_join, oracles,
-                        piece_lattice, quality_rules, secrets, sharding, substring_dedup,
-                        template_decontam)
+from medley.llm import (bpe_transducer, hard_negatives, hmm_scores, iblt_fingerprint, licenses,
+                        ngram_join, oracles, piece_lattice, quality_rules, secrets, sharding,
+                        substring_dedup, template_decontam, token_alignment)
 from medley.plans.given import table
 
 
@@ -52,6 +52,18 @@ def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_transducer.token_counts(table(spark, sf, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.noisy_labels(table(spark, sf, "embeddings")))
+
+
+def op12_license_scans(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf, "documents"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return token_alignment.alignment_report(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_lm_scoring": op2_lm_scoring,
@@ -63,9 +75,14 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_token_counts": op10_token_counts,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_license_scans": op12_license_scans,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 ORACLES = {
     "op1_ngram_jaccard_join": oracles.NGRAM_JOIN,
     "op5_secret_scans": oracles.SECRET_SCANS,
     "op6_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op11_hard_negatives": oracles.HARD_NEGATIVES,
+    "op12_license_scans": oracles.license_scans(licenses.PHRASES, licenses.TEMPLATES, licenses.PERCENT),
 }
