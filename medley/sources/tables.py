@@ -23,13 +23,14 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from medley.errors import CorruptTableError, NoSuchTableError, ReadOnlyTableError
 from medley.session import local_path, scratch_path
 from medley.sources import types as ty
 
 POSITION_COLUMNS = ("file_path", "row_index")
+REFUSED = "_refused"
 _CONF_PREFIX = "medley.table."
 
 
@@ -160,17 +161,34 @@ def _read_group(spark: SparkSession, files: list[str] | None, arrow_schema: pa.S
     return df, list(schema.fields), kinds
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _refused(raw: T.StructField, kind: ty.RawKind, name: str, value) -> Column:
+    """(column, raw) of a cell that has a value in the file but none in the table."""
+    cell = F.col(_quoted(raw.name))
+    return F.when(cell.isNotNull() & value.isNull(),
+                  F.struct(F.lit(name).alias("column"), ty.raw_text(cell, raw.dataType, kind).alias("raw")))
+
+
 def _bind(df: DataFrame, raw_fields, kinds, declared: T.StructType, mode: str,
-          row_position: bool) -> DataFrame:
+          row_position: bool, refused: bool = False) -> DataFrame:
     cols = []
     for i, field in enumerate(declared.fields):
         if i < len(raw_fields):
             raw = raw_fields[i]
-            expr = ty.conform(F.col(f"`{raw.name}`"), raw.dataType, field.dataType,
+            expr = ty.conform(F.col(_quoted(raw.name)), raw.dataType, field.dataType,
                               kinds[i], mode)
         else:
             expr = F.lit(None).cast(field.dataType)
         cols.append(expr.alias(field.name))
+    if refused:
+        cells = [_refused(raw_fields[i], kinds[i], f.name, cols[i]) for i, f in enumerate(declared.fields)
+                 if i < len(raw_fields) and ty.may_refuse(raw_fields[i].dataType, f.dataType, kinds[i])]
+        none = F.array().cast("array<struct<column:string,raw:string>>")
+        cols.append(F.filter(F.concat(none, F.array(*cells)), lambda x: x.isNotNull()).alias(REFUSED)
+                    if cells else none.alias(REFUSED))
     if row_position:
         cols += [F.col("_metadata.file_path").alias("file_path"),
                  F.col("_metadata.row_index").alias("row_index")]
@@ -189,24 +207,58 @@ def bind_parquet(spark: SparkSession, path: str, schema, mode: str = "permissive
     """
     declared = ty.to_struct(schema)
     try:
-        if _is_single_file(spark, path):
-            groups = [(None, None, [path])]   # Spark infers; footer only on refusal
-        else:
-            # footers known: no inference. One signature (the common case):
-            # the folder is read as a whole and no file list is built.
-            found = footers(spark, path, glob)
-            sigs = footer_signatures(found)
-            if not sigs:
-                raise NoSuchTableError(f"no Parquet files under {path}")
-            groups = ([(sigs[0][0], sigs[0][1], None)] if len(sigs) == 1
-                      else footer_groups(found))
-        frames = []
-        for _sig, arrow_schema, files in groups:
-            df, raw_fields, kinds = _read_group(spark, files, arrow_schema, path, glob)
-            frames.append(_bind(df, raw_fields, kinds, declared, mode, row_position))
+        return _bound(_read(spark, path, glob), declared, mode, row_position)
     except AnalysisException as exc:
         raise _map_error(exc, path) from exc
-    return functools.reduce(DataFrame.unionAll, frames)
+
+
+def bind_with_rejects(spark: SparkSession, path: str, schema,
+                      glob: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of a permissive binding. ``rows`` are those of
+    ``bind_parquet``; ``rejects`` has file_path, row_index, column and raw for every
+    cell that holds a value in the file and could not be converted (``raw`` is that
+    value as text, binary as hexadecimal digits).
+
+    Both are projections over one reading, with the same conversions: the rows don't
+    compute the rejects, and the rejects read only the columns that a conversion can
+    refuse. A number that merely loses digits is converted, not refused."""
+    declared = ty.to_struct(schema)
+    try:
+        read = _read(spark, path, glob)
+        rows = _bound(read, declared, "permissive", False)
+        cells = _bound(read, declared, "permissive", True, refused=True)
+    except AnalysisException as exc:
+        raise _map_error(exc, path) from exc
+    rejects = (cells.select(*POSITION_COLUMNS, F.explode(REFUSED).alias("cell"))
+               .select(*POSITION_COLUMNS, "cell.column", "cell.raw"))
+    return rows, rejects
+
+
+def _read(spark: SparkSession, path: str, glob: str | None = None) -> list[tuple]:
+    """(DataFrame, raw fields, raw kinds) of each footer signature."""
+    return [_read_group(spark, files, arrow_schema, path, glob)
+            for arrow_schema, files in _groups(spark, path, glob)]
+
+
+def _bound(read: list[tuple], declared: T.StructType, mode: str, row_position: bool,
+           refused: bool = False) -> DataFrame:
+    return functools.reduce(DataFrame.unionAll, [
+        _bind(df, raw_fields, kinds, declared, mode, row_position, refused)
+        for df, raw_fields, kinds in read])
+
+
+def _groups(spark: SparkSession, path: str, glob: str | None = None) -> list[tuple]:
+    """(Arrow schema, files) per footer signature; files None: the whole folder,
+    schema None: Spark infers, and the footer is read only on refusal."""
+    if _is_single_file(spark, path):
+        return [(None, [path])]
+    # footers known: no inference. One signature (the common case): the folder is
+    # read as a whole and no file list is built.
+    found = footers(spark, path, glob)
+    sigs = footer_signatures(found)
+    if not sigs:
+        raise NoSuchTableError(f"no Parquet files under {path}")
+    return [(sigs[0][1], None)] if len(sigs) == 1 else [(g[1], g[2]) for g in footer_groups(found)]
 
 
 def natural_schema(spark: SparkSession, path: str) -> T.StructType:
@@ -292,6 +344,58 @@ def create_table(spark: SparkSession, name: str, schema, path: str | None = None
     return df
 
 
+def _group_sql(spark: SparkSession, path: str, declared: T.StructType, arrow_schema, files,
+               mode: str, glob: str | None) -> str:
+    """SELECT text that binds the files of one footer signature by position."""
+    df, raw_fields, kinds = _read_group(spark, files, arrow_schema, path, glob)
+    cols = []
+    for i, field in enumerate(declared.fields):
+        if i < len(raw_fields):
+            raw = raw_fields[i]
+            text = ty.conform_sql(_quoted(raw.name), raw.dataType, field.dataType, kinds[i], mode)
+        else:
+            text = f"CAST(NULL AS {field.dataType.simpleString()})"
+        cols.append(f"{text} AS {_quoted(field.name)}")
+    if files and len(files) > 1:
+        root = files[0].rsplit("/", 1)[0]
+        while not all(f.startswith(root + "/") for f in files):
+            root = root.rsplit("/", 1)[0]
+        at = f"{root}/{{{','.join(f[len(root) + 1:] for f in files)}}}"
+    else:
+        at = files[0] if files else path
+    return f"SELECT {', '.join(cols)} FROM parquet.{_quoted(at)}"
+
+
+def create_view(spark: SparkSession, name: str, schema, path: str, mode: str = "permissive",
+                replace: bool = False, glob: str | None = None) -> str:
+    """S6 as a permanent view: ``name`` is found in SQL by every session of the
+    catalog, and the catalog refuses every INSERT into it (S9). Returns the view's
+    text, one SELECT per footer signature that binds the columns by position.
+
+    The text can only say what the file reader of SQL can read: a file type it
+    refuses (half float, nanosecond timestamp, decimal wider than 38 digits, time
+    of day) raises ``ValueError``; ``create_table`` binds those. A folder of one
+    signature is read whole, so files added later belong to the view if they have
+    that signature. With a catalog that outlives the application (a metastore), so
+    does the view."""
+    declared = ty.to_struct(schema)
+    try:
+        parts = [_group_sql(spark, path, declared, arrow_schema, files, mode, glob)
+                 for arrow_schema, files in _groups(spark, path, glob)]
+    except AnalysisException as exc:
+        raise _map_error(exc, path) from exc
+    text = "\nUNION ALL\n".join(parts)
+    verb = "CREATE OR REPLACE VIEW" if replace else "CREATE VIEW"
+    comment = f"read-only, bound by position to {path}".replace("'", "")
+    spark.sql(f"{verb} {name} COMMENT '{comment}' AS\n{text}")
+    return text
+
+
+def drop_view(spark: SparkSession, name: str, if_exists: bool = False) -> None:
+    """S8 of a permanent view; the data stays."""
+    spark.sql(f"DROP VIEW {'IF EXISTS ' if if_exists else ''}{name}")
+
+
 def open_table(spark: SparkSession, name: str, warehouse: str | None = None) -> DataFrame:
     """Resolve a table: one made in this session, else one whose definition
     lies in the warehouse, else ``<warehouse>/<name>.parquet`` with its own
@@ -356,6 +460,6 @@ def table_stats(df: DataFrame) -> int:
     return df.count()
 
 
-__all__ = ["bind_parquet", "create_table", "open_table", "drop_table", "insert_into",
+__all__ = ["bind_parquet", "bind_with_rejects", "create_table", "create_view", "drop_view", "open_table", "drop_table", "insert_into",
            "with_row_position", "fetch_by_position", "table_stats", "footers", "footer_groups", "footer_signatures",
            "footer_schema", "list_files", "POSITION_COLUMNS"]

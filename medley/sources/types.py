@@ -193,6 +193,47 @@ def conform(col: Column, raw_type: T.DataType, declared: T.DataType,
     return value.try_cast(declared)
 
 
+def may_refuse(raw: T.DataType, declared: T.DataType, kind: RawKind = RawKind()) -> bool:
+    """Whether the conversion can turn a value into NULL (``permissive``)."""
+    if kind.kind in ("time", "nested") or isinstance(declared, T.StringType):
+        return kind.kind == "time" and not isinstance(declared, T.StringType)
+    return natural_type(raw, kind) != declared
+
+
+def raw_text(col: Column, raw: T.DataType, kind: RawKind = RawKind()) -> Column:
+    """A raw cell as text: what it decodes to, binary as hexadecimal digits."""
+    if kind.kind == "time":
+        return conv.time_to_text(col, kind.unit)
+    value, vt = decode(col, kind, raw)
+    vt = vt or raw
+    if isinstance(vt, T.BinaryType):
+        return F.hex(value)
+    if isinstance(vt, _NESTED):
+        return conv.nested_to_text(value)
+    if isinstance(vt, T.TimestampType):
+        return conv.ltz_to_utc_ntz(value).cast("string")
+    return value.cast("string")
+
+
+def conform_sql(col: str, raw: T.DataType, declared: T.DataType, kind: RawKind = RawKind(),
+                mode: str = "permissive") -> str:
+    """``conform`` as SQL text, for the types that SQL's own reader can read."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    if kind.kind != "plain":
+        raise ValueError(f"column {col} holds a type that SQL cannot read from the file ({kind.kind})")
+    if raw == declared:
+        return col
+    if isinstance(declared, T.StringType) and isinstance(raw, _NESTED):
+        return f"to_json({col})"
+    if isinstance(raw, T.TimestampType) and not isinstance(declared, T.TimestampType):
+        col = f"timestampadd(MICROSECOND, unix_micros({col}), {conv.EPOCH_NTZ})"
+    if isinstance(raw, T.BooleanType) and isinstance(declared, _NUMERIC):
+        col = f"CAST({col} AS TINYINT)"
+    verb = "CAST" if mode == "strict" else "TRY_CAST"
+    return f"{verb}({col} AS {declared.simpleString()})"
+
+
 def to_struct(schema) -> T.StructType:
     """Accept a StructType or a DDL string such as ``'id INT, name STRING'``."""
     if isinstance(schema, T.StructType):
@@ -203,4 +244,4 @@ def to_struct(schema) -> T.StructType:
 
 
 __all__ = ["read_type", "read_schema", "natural_type", "signature", "conform",
-           "decode", "RawKind", "to_struct", "MODES"]
+           "conform_sql", "may_refuse", "raw_text", "decode", "RawKind", "to_struct", "MODES"]

@@ -329,3 +329,96 @@ def test_table_outlives_the_session(spark, tmp):
     assert tb.drop_table(spark, "kept")
     with pytest.raises(NoSuchTableError):
         tb.open_table(spark.newSession(), "kept")
+
+
+# ---- S5: what a permissive binding refuses -------------------------------------
+
+def test_rejects_name_every_cell_and_leave_the_rows(spark, tmp):
+    path = write(tmp, "refused.parquet", pa.table({
+        "a": pa.array([1, 300, None, -5], pa.int64()), "b": ["7", "x", None, "8.5"],
+        "c": pa.array([2**40, 9, None, 12], pa.decimal128(20, 2)),
+        "d": pa.array([dt.time(1, 2, 3), None, dt.time(4, 5, 6), None], pa.time64("us")),
+        "e": ["kept", "as", "it", None]}))
+    ddl = "a TINYINT, b INT, c INT, d INT, e STRING, missing DATE"
+    rows, rejects = tb.bind_with_rejects(spark, path, ddl)
+    assert [tuple(r) for r in rows.collect()] == [tuple(r) for r in tb.bind_parquet(spark, path, ddl).collect()]
+    assert rows.columns == ["a", "b", "c", "d", "e", "missing"]
+    got = {(r.row_index, r.column): r.raw for r in rejects.collect()}
+    want = {(1, "a"): "300", (1, "b"): "x", (3, "b"): "8.5"}
+    assert {k: v for k, v in got.items() if k[1] in "ab"} == want
+    assert got[0, "c"] == f"{2**40}.00" and len([k for k in got if k[1] == "c"]) == 1
+    assert all(v.count(":") == 2 for k, v in got.items() if k[1] == "d")
+    assert not any(k[1] in ("e", "missing") for k in got)
+    assert rejects.select("file_path").distinct().count() == 1
+
+
+def test_rejects_of_a_folder_with_different_footers(spark, tmp):
+    folder = os.path.join(tmp, "refused-folder")
+    os.makedirs(folder)
+    pq.write_table(pa.table({"x": ["1", "no"]}), os.path.join(folder, "a.parquet"))
+    pq.write_table(pa.table({"y": pa.array([5, 500], pa.int32())}), os.path.join(folder, "b.parquet"))
+    rows, rejects = tb.bind_with_rejects(spark, folder, "v TINYINT")
+    assert sorted((r.v is None, r.v or 0) for r in rows.collect()) == [(False, 1), (False, 5), (True, 0), (True, 0)]
+    assert sorted((r.raw, r.row_index) for r in rejects.collect()) == [("500", 1), ("no", 1)]
+
+
+def test_rows_do_not_compute_rejects(spark, tmp):
+    path = write(tmp, "pruned.parquet", pa.table({"a": ["1", "x"], "b": ["2", "y"]}))
+    rows, rejects = tb.bind_with_rejects(spark, path, "a INT, b INT")
+    plan = rows.select("a")._jdf.queryExecution().executedPlan().toString()
+    assert "row_index" not in plan and "b#" not in plan
+    assert rejects.where("column = 'a'").count() == 1
+
+
+# ---- S6: permanent views -------------------------------------------------------
+
+def test_a_view_is_found_from_another_session_and_refuses_inserts(spark, tmp):
+    path = write(tmp, "viewed.parquet", pa.table({
+        "k": pa.array([1, 2, 300], pa.int64()), "odd `name": ["a", "b", "c"], "flag": [True, False, None],
+        "at": pa.array([0, 86_400_000_000, None], pa.timestamp("us", tz="UTC"))}))
+    ddl = "id TINYINT, name STRING, flag INT, day DATE, extra DOUBLE"
+    text = tb.create_view(spark, "v_sales", ddl, path)
+    try:
+        other = spark.newSession()
+        got = sorted(map(tuple, other.sql("SELECT * FROM v_sales").collect()), key=str)
+        assert got == sorted(map(tuple, tb.bind_parquet(spark, path, ddl).collect()), key=str)
+        assert [f.dataType.simpleString() for f in other.table("v_sales").schema] == [
+            "tinyint", "string", "int", "date", "double"]
+        for bad in ("INSERT INTO v_sales VALUES (1, 'x', 1, NULL, 1.0)", "INSERT OVERWRITE v_sales SELECT * FROM v_sales"):
+            with pytest.raises(AnalysisException):
+                other.sql(bad)
+        with pytest.raises(AnalysisException):
+            tb.create_view(spark, "v_sales", ddl, path)
+        assert "TRY_CAST" in text and "TRY_CAST" not in tb.create_view(
+            spark, "v_sales", "id BIGINT, name STRING", path, replace=True)
+        assert other.sql("SELECT max(id) AS m FROM v_sales").first().m == 300
+        plan = other.sql("SELECT name FROM v_sales WHERE id > 1")._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThan(k,1)" in plan and "flag" not in plan.split("ReadSchema")[1]
+    finally:
+        tb.drop_view(spark, "v_sales")
+    with pytest.raises(AnalysisException):
+        spark.newSession().sql("SELECT * FROM v_sales")
+    tb.drop_view(spark, "v_sales", if_exists=True)
+    assert os.path.exists(path)
+
+
+def test_a_view_over_a_folder_of_two_footers(spark, tmp):
+    folder = os.path.join(tmp, "viewed-folder")
+    os.makedirs(os.path.join(folder, "deep"))
+    for name in ("a.parquet", "deep/c.parquet"):
+        pq.write_table(pa.table({"x": pa.array([1, 2], pa.int64())}), os.path.join(folder, name))
+    pq.write_table(pa.table({"y": ["3", "z"]}), os.path.join(folder, "b.parquet"))
+    tb.create_view(spark, "v_mixed", "v INT", folder, replace=True)
+    try:
+        got = [r.v for r in spark.newSession().sql("SELECT v FROM v_mixed").collect()]
+        assert sorted(got, key=str) == sorted([1, 2, 1, 2, 3, None], key=str)
+    finally:
+        tb.drop_view(spark, "v_mixed")
+
+
+def test_a_view_cannot_hold_what_sql_cannot_read(spark, tmp):
+    path = write(tmp, "nanos.parquet", pa.table({"t": pa.array([1], pa.timestamp("ns"))}))
+    with pytest.raises(ValueError, match="SQL cannot read"):
+        tb.create_view(spark, "v_nanos", "t TIMESTAMP_NTZ", path)
+    with pytest.raises(NoSuchTableError):
+        tb.create_view(spark, "v_none", "t INT", os.path.join(tmp, "nowhere.parquet"))
