@@ -72,6 +72,26 @@ def bool_to_int(col) -> Column:
     return _c(col).cast("tinyint")
 
 
+WIDER = {8: "smallint", 16: "int", 32: "bigint", 64: "decimal(20,0)"}
+
+
+def unsigned_widen(col, bits: int) -> Column:
+    """An unsigned integer of 8 to 64 bits, held as the signed integer of the same
+    bits -> the type that holds it (smallint, int, bigint, decimal(20,0)).
+
+    Below the sign bit nothing changes; a negative value stands for itself plus
+    2^bits. NULL stays NULL."""
+    if bits not in WIDER:
+        raise ValueError(f"bits must be one of {sorted(WIDER)}")
+    c = _c(col)
+    if bits == 64:
+        d = c.cast("decimal(20,0)")
+        wide = F.when(c < 0, d + F.lit(str(2**64)).cast("decimal(20,0)")).otherwise(d)
+    else:
+        wide = c.cast("bigint").bitwiseAND(F.lit(2**bits - 1))
+    return wide.cast(WIDER[bits])
+
+
 def half_to_float(col) -> Column:
     """IEEE binary16 stored as 2 little-endian bytes -> float.
 
@@ -153,6 +173,6 @@ def nested_to_text(col) -> Column:
     return F.to_json(_c(col))
 
 
-__all__ = ["days_to_date", "millis_to_date", "epoch_to_datetime", "bool_to_int",
+__all__ = ["unsigned_widen", "days_to_date", "millis_to_date", "epoch_to_datetime", "bool_to_int",
            "half_to_float", "wide_decimal_text", "time_to_text", "nested_to_text",
            "micros_to_ntz", "ntz_to_micros", "ltz_to_utc_ntz", "epoch_ntz"]

@@ -5,11 +5,15 @@ RETURN expr``): they are inlined into the plan like built-ins and Spark itself
 rejects a wrong argument count at analysis (``WRONG_NUM_ARGS``). Spark casts
 arguments implicitly (``greet(5)`` is accepted), so the type class check of
 the reference is done by :func:`call`, which inspects the resolved schema
-before any row is read.
+before any row is read, and in SQL by the strict form of the functions
+(``register_builtins(strict=True)``): its parameters are VARIANT, which keeps the
+argument's own type, and the optimizer settles the check of a literal, so that
+``SELECT greet(5)`` fails whatever rows it stands over gives out.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -78,10 +82,35 @@ def register(spark: SparkSession, name: str, params: str, returns: str, body: st
     spark.sql(f"{verb} {kind} {name}({params}) RETURNS {rtype} RETURN {body}")
 
 
-def register_builtins(spark: SparkSession, replace: bool = True) -> list[str]:
-    """Register every function of this package in the session catalog."""
+# variant schemas of each class
+_VARIANTS = {"STRING": ("STRING",), "INT": ("BIGINT",), "REAL": ("FLOAT", "DOUBLE"), "DECIMAL": ("DECIMAL",)}
+
+
+def strict_form(spec: FunctionSpec) -> tuple[str, str]:
+    """(parameters, body) of the function with U8 checked in SQL. NULL passes, as in
+    ``check_args``: NULL in, NULL out. A value of another class raises the
+    function's own message."""
+    params, body = [], spec.sql_body
+    for param, allowed in zip(filter(None, spec.sql_params.split(",")), spec.arg_classes):
+        name, kind = param.split()
+        schemas = [v for c in allowed for v in _VARIANTS[c]]
+        # a decimal's schema has its precision: compare the name before the bracket
+        of = f"regexp_replace(schema_of_variant({name}), '[(].*', '')"
+        listed = ", ".join(f"'{v}'" for v in schemas)
+        body = (f"CASE WHEN {name} IS NULL OR is_variant_null({name}) THEN NULL WHEN {of} IN ({listed}) "
+                f"THEN {re.sub(rf'{chr(92)}b{name}{chr(92)}b', f'CAST({name} AS {kind})', body)} "
+                f"ELSE raise_error('{spec.arity_message}') END")
+        params.append(f"{name} VARIANT")
+    return ", ".join(params), body
+
+
+def register_builtins(spark: SparkSession, replace: bool = True, strict: bool = False) -> list[str]:
+    """Register every function of this package in the session catalog. ``strict``: an
+    argument of another class is refused (U8) instead of being cast; that costs a
+    look at each value's type."""
     for spec in SPECS.values():
-        register(spark, spec.name, spec.sql_params, spec.returns, spec.sql_body, replace)
+        params, body = strict_form(spec) if strict else (spec.sql_params, spec.sql_body)
+        register(spark, spec.name, params, spec.returns, body, replace)
     return list(SPECS)
 
 

@@ -103,3 +103,43 @@ def test_null_literal_is_accepted(spark):
     from medley.functions import registry
     df = spark.range(1)
     assert df.select(registry.call(df, "welcome", F.lit(None)).alias("w")).first().w is None
+
+
+def test_strict_sql_functions_refuse_other_classes(spark):
+    registry.register_builtins(spark, strict=True)
+    try:
+        assert spark.sql("SELECT greet('a') AS g").first().g == "Hello World, a!"
+        assert spark.sql("SELECT greet(NULL) AS g, greet(CAST(NULL AS STRING)) AS h").first().asDict() == {
+            "g": None, "h": None}
+        assert spark.sql("SELECT hello_world() AS g").first().g
+        for bad in ("5", "1.5", "true", "DATE '2024-01-01'", "2.5D"):
+            with pytest.raises(Exception, match="exactly one string argument"):
+                spark.sql(f"SELECT greet({bad}), id FROM range(3)").collect()
+        df = spark.createDataFrame([("s", 1), (None, 2)], "a string, b int")
+        df.createOrReplaceTempView("strict_args")
+        got = {r.g for r in spark.sql("SELECT greet(a) AS g FROM strict_args").collect()}
+        assert got == {"Hello World, s!", None}
+        with pytest.raises(Exception, match="exactly one string argument"):
+            spark.sql("SELECT welcome(b) FROM strict_args").collect()
+        # the check of a literal is settled by the optimizer
+        plan = spark.sql("SELECT greet(5)")._jdf.queryExecution().optimizedPlan().toString()
+        assert "raise_error" in plan and "CASE" not in plan
+        plan = spark.sql("SELECT greet('a')")._jdf.queryExecution().optimizedPlan().toString()
+        assert "raise_error" not in plan
+    finally:
+        registry.register_builtins(spark)
+    assert spark.sql("SELECT greet(5) AS g").first().g == "Hello World, 5!"
+
+
+def test_unsigned_widen(spark):
+    edges = {8: [0, 1, 127, -128, -1], 16: [0, 32767, -32768, -1], 32: [0, 2**31 - 1, -2**31, -1],
+             64: [0, 2**63 - 1, -2**63, -1]}
+    kinds = {8: "tinyint", 16: "smallint", 32: "int", 64: "bigint"}
+    for bits, values in edges.items():
+        df = spark.createDataFrame([(v,) for v in [*values, None]], f"v {kinds[bits]}")
+        out = df.select("v", conv.unsigned_widen("v", bits).alias("u"))
+        assert out.schema["u"].dataType.simpleString() == conv.WIDER[bits]
+        for r in out.collect():
+            assert r.u == (None if r.v is None else r.v % 2**bits)
+    with pytest.raises(ValueError):
+        conv.unsigned_widen("v", 24)
