@@ -62,7 +62,7 @@ def with_previous(df: DataFrame, cols: list[str], keys: list[str], order: list[s
     earlier row of the same key (by ``order``) for which ``good`` holds.
 
     ``time_col``: a timestamp_ntz that orders like ``order``; it carries the
-    two-level split.
+    two-level split. Rows whose keys are NULL are one series, like any other key.
     """
     packed_fields = list(order) + [c for c in cols if c not in order]
     pack = F.struct(*[F.col(c).alias(c) for c in packed_fields])
@@ -70,16 +70,19 @@ def with_previous(df: DataFrame, cols: list[str], keys: list[str], order: list[s
         pack = F.when(good, pack)
     df = df.withColumn("_pack", pack)
 
-    part = list(keys) + ["_tb"]
-    df = with_time_bucket(df, time_col, bucket_seconds)
+    # one struct of the keys is never NULL and equal where its fields are, NULLs
+    # too: a NULL key is a key of its own in the windows and in the join alike
+    keys = [F.col(k) for k in keys]
+    df = with_time_bucket(df.withColumn("_key", F.struct(*keys)), time_col, bucket_seconds)
+    part = ["_key", "_tb"]
     w1 = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     inner = df.withColumn("_in", F.last("_pack", ignorenulls=True).over(w1))
     summary = inner.groupBy(*part).agg(F.max("_pack").alias("_last"))
-    w2 = Window.partitionBy(*keys).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
+    w2 = Window.partitionBy("_key").orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(*part, F.last("_last", ignorenulls=True).over(w2).alias("_carry"))
     out = (inner.join(carry, part, "left")
            .withColumn("_prev", F.coalesce("_in", "_carry"))
-           .drop("_in", "_carry", "_tb"))
+           .drop("_in", "_carry", "_tb", "_key"))
     out = out.select("*", *[F.col("_prev")[c].alias(prefix + c) for c in cols])
     return out.drop("_pack", "_prev")
 

@@ -70,6 +70,40 @@ def positional_bind(spark, sf):
     return G.bound(spark, sf, "nation", "id INT, label STRING, region INT")
 
 
+@query("bind_rejects", """
+SELECT row_index, 'custkey' AS "column", c_custkey::VARCHAR AS raw
+FROM (SELECT *, row_number() OVER () - 1 AS row_index FROM customer) c
+WHERE c_custkey IS NOT NULL AND TRY_CAST(c_custkey AS TINYINT) IS NULL
+UNION ALL
+SELECT row_index, 'name', c_name FROM (SELECT *, row_number() OVER () - 1 AS row_index FROM customer) c
+WHERE c_name IS NOT NULL AND TRY_CAST(c_name AS INTEGER) IS NULL
+UNION ALL
+SELECT row_index, 'segment', c_mktsegment FROM (SELECT *, row_number() OVER () - 1 AS row_index FROM customer) c
+WHERE c_mktsegment IS NOT NULL AND TRY_CAST(c_mktsegment AS BOOLEAN) IS NULL""")
+def bind_rejects(spark, sf):
+    """Every cell of customer that the declared types refuse."""
+    from medley.sources.tables import bind_with_rejects
+    _rows, rejects = bind_with_rejects(
+        spark, G.path(sf, "customer"),
+        "custkey TINYINT, name INT, nationkey STRING, acctbal DOUBLE, segment BOOLEAN")
+    return rejects.select("row_index", "column", "raw")
+
+
+@query("permanent_view", """
+SELECT o_orderpriority AS priority, count(*) AS n, round(sum(o_totalprice), 2) AS total,
+       count(DISTINCT CAST(o_orderdate AS DATE)) AS days
+FROM orders GROUP BY o_orderpriority""")
+def permanent_view(spark, sf):
+    """Orders bound by position as a view of the catalog, queried by name from
+    another session than the one that made it."""
+    from medley.sources.tables import create_view
+    create_view(spark, "medley_orders_view", "orderkey BIGINT, custkey BIGINT, status STRING, "
+                "totalprice DOUBLE, orderdate DATE, priority STRING", G.path(sf, "orders"), replace=True)
+    return spark.newSession().sql(
+        "SELECT priority, count(*) AS n, round(sum(totalprice), 2) AS total, "
+        "count(DISTINCT orderdate) AS days FROM medley_orders_view GROUP BY priority")
+
+
 @query("missing_column_null_fill",
        "SELECT r_regionkey AS id, r_name AS label, CAST(NULL AS VARCHAR) AS extra FROM region")
 def missing_column_null_fill(spark, sf):
@@ -442,6 +476,31 @@ def wide_decimal_text(spark, sf):
                      conv.wide_decimal_text(wide_decimal_bytes(), 2).alias("text"))
 
 
+# The values that an unsigned column holds, past every sign bit; Spark gets them as
+# the signed integers of the same bits.
+_UNSIGNED = "(l_orderkey * 7919 + l_partkey * 31 + l_linenumber * 40503)"
+
+
+@query("unsigned_widen", f"""
+SELECT l_orderkey, l_linenumber, CAST(v % 256 AS SMALLINT) AS u8, CAST(v % 65536 AS INTEGER) AS u16,
+       (v * 65537) % 4294967296 AS u32,
+       (CASE WHEN v % 2 = 0 THEN v::HUGEINT ELSE 18446744073709551616::HUGEINT - v END)::VARCHAR AS u64
+FROM (SELECT l_orderkey, l_linenumber, {_UNSIGNED} AS v FROM lineitem) x""")
+def unsigned_widen(spark, sf):
+    """Stored two's complement of 8, 16, 32 and 64 bits read as unsigned."""
+    def stored(value: str, bits: int, kind: str):
+        half = 1 << (bits - 1)
+        return F.expr(f"cast(pmod({value} + {half}, {2 * half}) - {half} AS {kind})")
+
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.expr(_UNSIGNED).alias("v"))
+    held = li.select("l_orderkey", "l_linenumber", stored("v", 8, "tinyint").alias("b8"),
+                     stored("v", 16, "smallint").alias("b16"), stored("v * 65537", 32, "int").alias("b32"),
+                     F.expr("if(v % 2 = 0, v, -v)").alias("b64"))
+    return held.select("l_orderkey", "l_linenumber",
+                       *[conv.unsigned_widen(f"b{n}", n).alias(f"u{n}") for n in (8, 16, 32)],
+                       conv.unsigned_widen("b64", 64).cast("string").alias("u64"))
+
+
 @query("nested_to_text", """
 SELECT c_custkey,
   to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_nationkey': c_nationkey,
@@ -514,6 +573,23 @@ def median_rank_by_group(spark, sf):
     return m.select("user_id", F.round("median", 4).alias("median"))
 
 
+@query("median_by_name", """
+SELECT l_returnflag, l_linestatus, round(median(l_extendedprice), 4) AS median, count(l_extendedprice) AS n
+FROM lineitem GROUP BY l_returnflag, l_linestatus""")
+def median_by_name(spark, sf):
+    """The median called in SQL by its registered name, a group a stream of
+    sorted rows."""
+    from medley.functions.table_aggregates import register_table_aggregates
+    register_table_aggregates(spark)
+    _t(spark, sf, "lineitem").createOrReplaceTempView("medley_lineitem")
+    return spark.sql("""
+        SELECT l_returnflag, l_linestatus, round(median, 4) AS median, n
+        FROM my_median(TABLE(SELECT l_returnflag, l_linestatus, l_extendedprice, count(l_extendedprice)
+                               OVER (PARTITION BY l_returnflag, l_linestatus) AS n FROM medley_lineitem)
+                         PARTITION BY (l_returnflag, l_linestatus) ORDER BY l_extendedprice,
+                       value => 'l_extendedprice', keys => 'l_returnflag, l_linestatus')""")
+
+
 @query("median_integer_by_group", """
 SELECT p_brand, median(p_size) AS median FROM part GROUP BY p_brand""")
 def median_integer_by_group(spark, sf):
@@ -718,6 +794,69 @@ def interval_rollup(spark, sf):
     return mx.interval_rollup(_report(spark, sf))
 
 
+# one row per host and interval between the host's first and last; {grid}: their starts
+_RECORDS_SQL = """
+, rolled AS (
+  SELECT host, {start} AS interval_start, count(*) AS samples, max(cpu_pct) AS max_cpu_pct,
+         max(mem_used_mb) AS max_mem_used_mb, sum(disk_read_kbps) AS r, sum(disk_write_kbps) AS w,
+         max(db_connections) AS max_db_connections, sum(db_queries_ps) AS q,
+         arg_max({{'m': mem_used_mb, 'c': db_connections}}, {{'t': ts, 's': seq}})
+           FILTER (WHERE mem_used_mb IS NOT NULL) AS gauge
+  FROM report GROUP BY 1, 2),
+grid AS ({grid})
+SELECT host, interval_start, {width} AS interval_sec, coalesce(samples, 0) AS samples,
+  CASE WHEN samples IS NULL THEN 0.0::DOUBLE ELSE max_cpu_pct END AS max_cpu_pct,
+  CASE WHEN samples IS NULL THEN known.m ELSE max_mem_used_mb END AS max_mem_used_mb,
+  CAST(CASE WHEN samples IS NULL THEN 0 ELSE r END AS BIGINT) AS sum_disk_read_kbps,
+  CAST(CASE WHEN samples IS NULL THEN 0 ELSE w END AS BIGINT) AS sum_disk_write_kbps,
+  CASE WHEN samples IS NULL THEN coalesce(known.c, 0) ELSE max_db_connections END AS max_db_connections,
+  CAST(CASE WHEN samples IS NULL THEN 0 ELSE q END AS BIGINT) AS sum_db_queries_ps
+FROM (SELECT *, last_value(gauge IGNORE NULLS) OVER (PARTITION BY host ORDER BY interval_start
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS known
+      FROM grid LEFT JOIN rolled USING (host, interval_start)) x"""
+
+
+def _records_sql(start: str, grid: str, width: str) -> str:
+    return with_samples(_RECORDS_SQL.format(start=start, grid=grid, width=width), report=True)
+
+
+@query("interval_records", _records_sql(
+    "make_timestamp((epoch_us(ts) // 300000000) * 300000000)",
+    "SELECT host, unnest(generate_series(min(interval_start), max(interval_start), INTERVAL 300 SECOND)) "
+    "AS interval_start FROM rolled GROUP BY host", "300"))
+def interval_records(spark, sf):
+    """A record for every interval, those without samples included."""
+    from medley.operators.intervals import interval_records as records
+    return records(_report(spark, sf))
+
+
+# 100 seconds into the middle day the width changes from 300 to 900 seconds
+_CHANGE = "(SELECT date_trunc('day', min(ts) + (max(ts) - min(ts)) / 2) + INTERVAL 100 SECOND FROM events)"
+
+
+@query("interval_change", _records_sql(
+    f"""CASE WHEN ts < {_CHANGE} THEN make_timestamp((epoch_us(ts) // 300000000) * 300000000)
+        ELSE make_timestamp(epoch_us({_CHANGE}) + ((epoch_us(ts) - epoch_us({_CHANGE})) // 900000000) * 900000000) END""",
+    f"""SELECT host, unnest(generate_series(min(interval_start), least(max(interval_start),
+               {_CHANGE} - INTERVAL 1 MICROSECOND), INTERVAL 300 SECOND)) AS interval_start
+        FROM rolled GROUP BY host HAVING min(interval_start) < {_CHANGE}
+        UNION ALL
+        SELECT host, unnest(generate_series(greatest(min(interval_start), {_CHANGE}), max(interval_start),
+               INTERVAL 900 SECOND)) FROM rolled GROUP BY host""",
+    f"CASE WHEN interval_start < {_CHANGE} THEN 300 ELSE 900 END"))
+def interval_change(spark, sf):
+    """M17 on a stream: one query, two widths, told by a parameter table."""
+    from medley.session import scratch_path
+    from medley.streaming import metrics_stream as ms
+    settings = scratch_path(spark, "interval-settings")
+    ts = F.col("ts")
+    half = (conv.ntz_to_micros(F.max(ts)) - conv.ntz_to_micros(F.min(ts))) / 2
+    day = F.date_trunc("day", conv.micros_to_ntz((conv.ntz_to_micros(F.min(ts)) + half).cast("bigint")))
+    (_t(spark, sf, "events").agg((day + F.expr("INTERVAL 100 SECONDS")).cast("timestamp_ntz").alias("effective_from"))
+     .withColumn("interval_sec", F.lit(900)).write.parquet(settings))
+    return ms.run_interval_records(spark, G.samples_from_events(G.events_stream(spark, sf)), 300, settings)
+
+
 @query("resource_report", with_samples("SELECT * FROM report", report=True))
 def resource_report(spark, sf):
     return _report(spark, sf)
@@ -741,6 +880,41 @@ def interval_rollup_stream(spark, sf):
     return ms.run_interval_rollup(spark, G.samples_from_events(G.events_stream(spark, sf)))
 
 
+@query("interval_records_stream", QUERIES["interval_records"][1])
+def interval_records_stream(spark, sf):
+    """M18 on a stream, complete: partial records of each micro-batch, merged, and the
+    intervals between them that had no samples."""
+    from medley.streaming import metrics_stream as ms
+    return ms.run_interval_records(spark, G.samples_from_events(G.events_stream(spark, sf)))
+
+
+@query("counter_delta_ordered", QUERIES["resource_report"][1])
+def counter_delta_ordered(spark, sf):
+    """The report of a stream whose rows wait until the watermark has passed
+    them and leave in order; equal to the batch report."""
+    from medley.streaming import ordered_report
+    return ordered_report.run_ordered_report(spark, G.samples_from_events(G.events_stream(spark, sf)))
+
+
+@query("median_closing", """
+SELECT * FROM (
+  SELECT time_bucket(INTERVAL '1 day', ts) AS window_start,
+         time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS window_end,
+         event_type, round(median(value), 4) AS median, count(value) AS n
+  FROM events GROUP BY 1, 2, 3) w
+WHERE window_end <= (SELECT make_timestamp(epoch_ms(max(ts)) * 1000) FROM events) - INTERVAL '10 minutes'""")
+def median_closing(spark, sf):
+    """A9 as on an endless stream: the windows that the watermark has closed."""
+    from medley.session import scratch_path
+    from medley.streaming import median_stream
+    folder = scratch_path(spark, "median-closing")
+    query_ = median_stream.start_windowed_median(
+        spark, G.events_stream(spark, sf), "value", folder, ["event_type"], window="1 day",
+        watermark="10 minutes", trigger={"availableNow": True})
+    query_.awaitTermination()
+    return median_stream.window_medians(spark, folder).withColumn("median", F.round("median", 4))
+
+
 @query("median_streaming", """
 SELECT time_bucket(INTERVAL '1 day', ts) AS window_start,
        time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS window_end,

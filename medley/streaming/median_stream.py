@@ -13,8 +13,12 @@ the shared checkpoint folder, keyed by batch id and overwritten, so a replayed
 batch leaves one copy. When the input is exhausted the latest count of each
 (window, keys, value) goes through the batch rank median. There is no watermark,
 so no row is late and every window is in the result, however the input is cut
-into files. ``closed_window_medians`` does the same for the windows that a
-watermark closes on an endless stream (``window_value_counts``).
+into files.
+
+``start_windowed_median`` is the same on an endless stream. The counts are aggregation
+state again, one row per (window, keys, value) and so spread over the tasks by value;
+the watermark closes a window, all its counts leave in one micro-batch, and that
+batch's rank median reads the middle off them and appends it to the results.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from medley.functions.conversions import ltz_to_utc_ntz
 from medley.operators.median import check_median_input, median, median_col
 from medley.session import scratch_path
 from medley.streaming.event_time import event_time
+from medley.streaming.folders import prune, rocksdb_state
 
 
 def windowed_median(stream: DataFrame, value: str, keys: list[str] = (), ts: str = "ts",
@@ -88,5 +93,36 @@ def run_windowed_median(spark: SparkSession, stream: DataFrame, value: str,
     return closed_window_medians(last, keys, alias)
 
 
-__all__ = ["windowed_median", "window_value_counts", "closed_window_medians",
+def start_windowed_median(spark: SparkSession, stream: DataFrame, value: str, folder: str,
+                          keys: list[str] = (), ts: str = "ts", window: str = "1 hour",
+                          watermark: str = "10 minutes", alias: str = "median", trigger: dict | None = None):
+    """A9 without end: medians of each window appended to ``folder``/out once the
+    watermark has passed its end; returns the running query. A batch that is
+    replayed writes its own folder anew. State is kept in RocksDB, and that of a
+    closed window is dropped; rows later than the watermark are dropped as well."""
+    keys = list(keys)
+    counts = window_value_counts(stream, value, keys, ts, window, watermark)
+    none = closed_window_medians(spark.createDataFrame([], counts.schema), keys, alias)
+    none.write.mode("overwrite").parquet(f"{folder}/out/batch=-1")
+
+    def close(batch: DataFrame, batch_id: int) -> None:
+        own = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{folder}/closed/batch={batch_id}")
+        closed = own.read.schema(counts.schema).parquet(f"{folder}/closed/batch={batch_id}")
+        if not closed.isEmpty():
+            (closed_window_medians(closed, keys, alias)
+             .write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}"))
+        prune(own, f"{folder}/closed", batch_id + 1)       # only the medians stay
+
+    with rocksdb_state(spark):
+        return (counts.writeStream.foreachBatch(close).option("checkpointLocation", f"{folder}/checkpoint")
+                .outputMode("append").trigger(**(trigger or {"processingTime": "10 seconds"})).start())
+
+
+def window_medians(spark: SparkSession, folder: str) -> DataFrame:
+    """The medians of all windows closed so far."""
+    return spark.read.parquet(f"{folder}/out").drop("batch")
+
+
+__all__ = ["windowed_median", "start_windowed_median", "window_medians", "window_value_counts", "closed_window_medians",
            "run_windowed_median"]

@@ -32,8 +32,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from medley.functions.conversions import ltz_to_utc_ntz
-from medley.operators import metrics as mx
+from medley.operators import intervals as iv, metrics as mx
 from medley.streaming.event_time import event_time
+from medley.streaming.folders import batches, prune
 from medley.session import scratch_path
 
 COUNTERS = mx.COUNTERS
@@ -127,8 +128,10 @@ def report_batch(batch: DataFrame, state: DataFrame, rate_basis: str = "elapsed"
     at or before their host's last seen row are ``late``: kept, without rates,
     and never anyone's previous sample."""
     here = F.struct("ts", "seq")
-    rows = batch.join(state.select("host", F.col("seen").alias("_seen")), "host", "left")
-    rows = rows.withColumn("late", F.coalesce(here <= F.col("_seen"), F.lit(False))).drop("_seen")
+    # hosts meet as structs, which are never NULL, so rows without a host have state too
+    seen = state.select(F.struct("host").alias("_h"), F.col("seen").alias("_seen"))
+    rows = batch.withColumn("_h", F.struct("host")).join(seen, "_h", "left")
+    rows = rows.withColumn("late", F.coalesce(here <= F.col("_seen"), F.lit(False))).drop("_seen", "_h")
     on_time = rows.where(~F.col("late"))
     # the last good sample of each host enters as a row of its own
     before = state.where("good is not null").select("host", "good.*").withColumn("ok", F.lit(True))
@@ -146,16 +149,20 @@ def report_batch(batch: DataFrame, state: DataFrame, rate_basis: str = "elapsed"
     return report, merged
 
 
-def _report_writer(spark: SparkSession, samples: DataFrame, folder: str, rate_basis: str,
-                   rollup_seconds: int | None = None):
-    """The stream writer whose batches go through ``report_batch``, and with
-    ``rollup_seconds`` leave a row per host and interval they touch."""
+def _report_writer(spark: SparkSession, samples: DataFrame, folder: str, rate_basis: str, also=None):
+    """The stream writer whose batches go through ``report_batch``. ``also(report)``, if
+    given, makes a further table of each batch's report, kept under ``also``.
+
+    What only links the batches is pruned: of the state, the batch before the one at
+    work stays (a replayed batch starts from it); of the rows, the one at work."""
     none = spark.createDataFrame([], samples.schema)
     empty = spark.createDataFrame([], REPORT_STATE)
-    report_batch(none, empty, rate_basis)[0].write.mode("overwrite").parquet(f"{folder}/out/batch=-1")
-    if rollup_seconds:
-        _write_rollup(spark, folder, -1, rollup_seconds)
-    empty.write.mode("overwrite").parquet(f"{folder}/state/batch=-1")
+    first = report_batch(none, empty, rate_basis)[0]
+    first.write.mode("overwrite").parquet(f"{folder}/out/batch=-1")
+    if also:
+        also(first).write.mode("overwrite").parquet(f"{folder}/also/batch=-1")
+    if not batches(spark, f"{folder}/state"):
+        empty.write.mode("overwrite").parquet(f"{folder}/state/batch=-1")
 
     def emit(batch: DataFrame, batch_id: int) -> None:
         own = batch.sparkSession
@@ -165,18 +172,15 @@ def _report_writer(spark: SparkSession, samples: DataFrame, folder: str, rate_ba
         report, merged = report_batch(rows, state, rate_basis)
         report.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
         merged.write.mode("overwrite").parquet(f"{folder}/state/batch={batch_id}")
-        if rollup_seconds:
-            _write_rollup(own, folder, batch_id, rollup_seconds)
+        if also:
+            done = own.read.schema(report.schema).parquet(f"{folder}/out/batch={batch_id}")
+            also(done).write.mode("overwrite").parquet(f"{folder}/also/batch={batch_id}")
+        prune(own, f"{folder}/state", batch_id - 1)
+        prune(own, f"{folder}/rows", batch_id)
 
     return samples.writeStream.foreachBatch(emit).option("checkpointLocation", f"{folder}/checkpoint")
 
 
-def _write_rollup(spark: SparkSession, folder: str, batch_id: int, rollup_seconds: int) -> None:
-    report = spark.read.parquet(f"{folder}/out/batch={batch_id}")
-    part = mx.interval_rollup(report, rollup_seconds)
-    part.write.mode("overwrite").parquet(f"{folder}/rollup-{rollup_seconds}/batch={batch_id}")
-
-
 def run_resource_report(spark: SparkSession, samples: DataFrame, rate_basis: str = "elapsed",
                         folder: str | None = None) -> DataFrame:
     """M19 + M20 until the input is exhausted; the report of all rows with
@@ -194,9 +198,57 @@ def run_interval_rollup(spark: SparkSession, samples: DataFrame, interval_second
     resumes as in ``run_resource_report``; it keeps one interval from its start."""
     mx.check_interval(interval_seconds)
     folder = folder or scratch_path(spark, "interval-rollup")
-    writer = _report_writer(spark, samples, folder, rate_basis, interval_seconds)
+    writer = _report_writer(spark, samples, folder, rate_basis, lambda r: mx.interval_rollup(r, interval_seconds))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return mx.merge_rollups(spark.read.parquet(f"{folder}/also").drop("batch"))
+
+
+SETTINGS = "effective_from timestamp_ntz, interval_sec int"
+
+
+def settings_now(spark: SparkSession, path: str | None, default: int) -> list[iv.Setting]:
+    """The interval settings as the table at ``path`` (Parquet) has them now; a
+    table that isn't there yet has none."""
+    if path is None:
+        return iv.fixed(default)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return iv.fixed(default)
+    return iv.read_settings(spark.read.schema(SETTINGS).parquet(path), default)
+
+
+def interval_writer(spark: SparkSession, samples: DataFrame, folder: str, interval_seconds: int = 300,
+                    settings: str | None = None, rate_basis: str = "elapsed"):
+    """The stream writer of ``interval_records``: every micro-batch reads the parameter
+    table at ``settings`` anew, so a width changes while the query runs, from the
+    event time the setting names on. Samples that a micro-batch handled before a
+    setting was written keep the interval they were put in."""
+    mx.check_interval(interval_seconds)
+
+    def partial(report: DataFrame) -> DataFrame:
+        own = report.sparkSession
+        return iv.interval_partials(report, settings_now(own, settings, interval_seconds))
+
+    return _report_writer(spark, samples, folder, rate_basis, partial)
+
+
+def stream_records(spark: SparkSession, folder: str, interval_seconds: int = 300,
+                   settings: str | None = None) -> DataFrame:
+    """What a query of ``interval_writer`` has recorded so far, one record per host
+    and interval between its first and last sample, intervals without samples too."""
+    parts = spark.read.parquet(f"{folder}/also").drop("batch")
+    return iv.records_from_partials(iv.merge_partials(parts), settings_now(spark, settings, interval_seconds))
+
+
+def run_interval_records(spark: SparkSession, samples: DataFrame, interval_seconds: int = 300,
+                         settings: str | None = None, rate_basis: str = "elapsed",
+                         folder: str | None = None) -> DataFrame:
+    """M18 (and M17, with ``settings``) until the input is exhausted; equal to the batch
+    ``interval_records`` of the same report."""
+    folder = folder or scratch_path(spark, "interval-records")
+    writer = interval_writer(spark, samples, folder, interval_seconds, settings, rate_basis)
     writer.trigger(availableNow=True).start().awaitTermination()
-    return mx.merge_rollups(spark.read.parquet(f"{folder}/rollup-{interval_seconds}").drop("batch"))
+    return stream_records(spark, folder, interval_seconds, settings)
 
 
 def start_resource_report(spark: SparkSession, samples: DataFrame, folder: str, interval_seconds: int = 5,
@@ -249,4 +301,5 @@ def run_to_table(spark: SparkSession, stream: DataFrame, name: str,
 
 
 __all__ = ["run_resource_report", "start_resource_report", "report_batch", "with_previous_good_stream", "resource_report_stream", "interval_rollup_stream", "run_interval_rollup",
+           "run_interval_records", "interval_writer", "stream_records", "settings_now",
            "samples_stream", "run_to_table"]
