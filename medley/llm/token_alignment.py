@@ -6,6 +6,12 @@ key sets, sorted, slices both id lists into groups that cover the same bytes.
 The links of a slice are the pairs of tokens that end where it ends; as every
 token has a byte at least, that is its last token of either side.
 
+Corpus-wide work reuses what words have in common. A space between two visible
+characters always begins a token on both sides: A's pattern starts a word there, and
+no piece of B holds a space after another character (checked when the files are
+read). Text is cut there, and each distinct segment is tokenized and sliced once per
+task; a text's groups are those of its segments one after the other.
+
 Two tokens that end together agree in their last bytes, so the shorter one is a
 suffix of the longer. There are hence no more linked id pairs, in a corpus of
 any size, than the tokens of both vocabularies have bytes together. That bound
@@ -17,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from itertools import accumulate, count
 
@@ -25,9 +32,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from medley.llm.bpe_transducer import SPACE, model_bytes
-from medley.llm.common import text_of, written
+from medley.llm.common import text_of, text_slices, written
 
-SLICE = 1 << 20         # characters tokenized at once (a longer text is a slice of its own)
+SLICE = 1 << 20         # bytes of text tokenized at once (a longer text is a slice of its own)
+MAX_KEPT = 150_000      # segments remembered per worker, and as many old ones,
+LONGEST = 48            # of at most so many characters
+# Visible characters of Latin scripts; none is white space to any pattern.
+VISIBLE = "[!-~\u00A1-\u024F]"
+CUT = re.compile(f"(?<={VISIBLE}) (?={VISIBLE})")
+ENDS = re.compile(f"(?={VISIBLE}).*{VISIBLE}", re.DOTALL)
+JOINED = 10_000         # segments tokenized together
 
 
 def json_bytes(path: str | None = None) -> bytes:
@@ -76,6 +90,10 @@ class Aligner:
                 self.b_bytes.append(piece.replace(SPACE, " ").encode())
         self.a_len, self.b_len = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
         self.text = list(map(str, range(max(len(self.a_len), len(self.b_len)))))
+        if any(re.search(rb"[^ ] ", piece) for piece in self.b_bytes):
+            raise ValueError("pieces of B reach across a space after another character")
+        self.kept: dict = {}
+        self.old: dict = {}
         #: no more id pairs than this can be linked
         self.most_pairs = sum(self.a_len) + sum(self.b_len)
 
@@ -100,15 +118,77 @@ class Aligner:
         ends = sorted(at_a.keys() & at_b.keys())
         return ends, list(map(at_a.__getitem__, ends)), list(map(at_b.__getitem__, ends))
 
-    def written_groups(self, a, b, cut_a, cut_b) -> str:
-        """``a1,a2|b1;a3|b2,b3``: decimal ids, groups in order."""
+    def groups(self, a, b, cut_a, cut_b) -> list[str]:
+        """``a1,a2|b1`` of each group: decimal ids."""
         a, b = list(map(self.text.__getitem__, a)), list(map(self.text.__getitem__, b))
         out, i, j = [], 0, 0
         for p, q in zip(cut_a, cut_b):
             out.append((a[i] if p - i == 1 else ",".join(a[i:p])) + "|"
                        + (b[j] if q - j == 1 else ",".join(b[j:q])))
             i, j = p, q
-        return ";".join(out)
+        return out
+
+    def links(self, a, b, cut_a, cut_b) -> np.ndarray:
+        """The last tokens of each group as ``A id * 2^32 + B id``."""
+        last_a = np.array(a, np.int64)[np.array(cut_a, np.int64) - 1]
+        return (last_a << 32) | np.array(b, np.int64)[np.array(cut_b, np.int64) - 1]
+
+    def entry(self, a: list[int], b: list[int]) -> tuple[int, int, int, bytes, str]:
+        """(A tokens, B tokens, groups, links as bytes, written groups) of a text's ids;
+        zeros where it has none."""
+        if not a:
+            return 0, 0, 0, b"", ""
+        _, cut_a, cut_b = self.cuts(a, b)
+        return (len(a), len(b), len(cut_a), self.links(a, b, cut_a, cut_b).tobytes(),
+                ";".join(self.groups(a, b, cut_a, cut_b)))
+
+    def entries(self, segments: list[str]) -> Iterator[tuple[str, tuple]]:
+        """Each segment with its ``entry``. Those that begin and end with a visible
+        character are tokenized together, a space between them."""
+        together = [k for k in segments if ENDS.fullmatch(k) and SPACE not in k]
+        alone = list(set(segments) - set(together))
+        for at in range(0, len(together), JOINED):
+            part = together[at:at + JOINED]
+            a, b = next(self.encode([" ".join(part)]))
+            if not a:                             # one of them is not given back
+                alone += part
+                continue
+            ends, cut_a, cut_b = self.cuts(a, b)
+            groups, links = self.groups(a, b, cut_a, cut_b), self.links(a, b, cut_a, cut_b).tobytes()
+            own = np.cumsum([1 + len(k.encode()) for k in part])
+            upto = np.searchsorted(np.array(ends, np.int64), own) + 1   # groups up to each segment's end
+            n = np.diff(upto, prepend=0).tolist()
+            n_a = np.diff(np.array(cut_a, np.int64)[upto - 1], prepend=0).tolist()
+            n_b = np.diff(np.array(cut_b, np.int64)[upto - 1], prepend=0).tolist()
+            i = 0
+            for k, j, *sizes in zip(part, upto.tolist(), n_a, n_b, n):
+                yield k, (*sizes, links[8 * i:8 * j], ";".join(groups[i:j]))
+                i = j
+        for k, (a, b) in zip(alone, self.encode(alone)):
+            yield k, self.entry(a, b)
+
+    def linked(self, texts: list[str]) -> Iterator[tuple]:
+        """The ``entry`` of each whole text."""
+        if len(self.kept) > MAX_KEPT:
+            self.old, self.kept = self.kept, {}
+        cut = [CUT.split(t) if t else [] for t in texts]
+        missing = set().union(*cut) - self.kept.keys()
+        again = missing & self.old.keys()
+        self.kept.update(zip(again, map(self.old.__getitem__, again)))
+        long = []                                 # not worth remembering
+        for k, e in self.entries(list(missing - again)):
+            self.kept[k] = e
+            if len(k) > LONGEST:
+                long.append(k)
+        for segments in cut:
+            entries = list(map(self.kept.__getitem__, segments))
+            n_a, n_b, n, links, groups = zip(*entries) if entries else ((0,), (), (), (), ())
+            if all(n_a):
+                yield sum(n_a), sum(n_b), sum(n), b"".join(links), ";".join(groups)
+            else:
+                yield 0, 0, 0, b"", ""
+        for k in long:
+            del self.kept[k]
 
 
 _ALIGNERS: dict = {}
@@ -123,22 +203,9 @@ def aligner(a_json: bytes, b_model: bytes) -> Aligner:
     return _ALIGNERS[key]
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
-    """(ids, texts) of at most ``SLICE`` characters, or of one longer text."""
-    for batch in batches:
-        sizes = np.asarray(batch.column(2).to_numpy(zero_copy_only=False), np.int64)
-        at = 0
-        while at < batch.num_rows:
-            many = int(np.searchsorted(np.cumsum(sizes[at:at + 4096]), SLICE, side="right"))
-            part = batch.slice(at, max(many, 1))
-            yield part.column(0), part.column(1).to_pylist()
-            at += part.num_rows
-
-
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = text_of(docs, text_col)
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"),
-                       F.length(text).alias("size"))
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"))
 
 
 ALIGNED = ("doc_id long, a_ids array<int>, b_ids array<int>, byte_ends array<int>, "
@@ -152,16 +219,16 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None,
 
     NULL or empty texts, and texts that a tokenizer doesn't give back byte for
     byte (a U+2581 inside a text is one), have empty lists. Repeated rows are
-    separate rows. No shuffle; a task holds ``SLICE`` characters at a time, and a
-    longer text whole, since a tokenizer needs it whole."""
+    separate rows. No shuffle; a task holds ``SLICE`` bytes at a time, and a longer
+    text whole, since a tokenizer needs it whole."""
     files = json_bytes(a_path), model_bytes(b_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = aligner(*files)
-        for ids, texts in _slices(batches):
-            rows = [(a, b, *t.cuts(a, b)) for a, b in t.encode(texts)]
+        for part in text_slices(batches, 1, SLICE):
+            rows = [(a, b, *t.cuts(a, b)) for a, b in t.encode(part.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [ids, *(pa.array(c, pa.list_(pa.int32())) for c in zip(*rows))],
+                [part.column(0), *(pa.array(c, pa.list_(pa.int32())) for c in zip(*rows))],
                 names=["doc_id", "a_ids", "b_ids", "byte_ends", "a_ends", "b_ends"])
 
     return _texts(docs, id_col, text_col).mapInArrow(run, ALIGNED)
@@ -180,23 +247,14 @@ def linked(docs: DataFrame, a_path: str | None = None, b_path: str | None = None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = aligner(*files)
-        for ids, texts in _slices(batches):
-            sizes, links, digests = [], [], []
-            for a, b in t.encode(texts):
-                _, cut_a, cut_b = t.cuts(a, b)
-                if a:
-                    last_a = np.array(a, np.int64)[np.array(cut_a) - 1]
-                    last_b = np.array(b, np.int64)[np.array(cut_b) - 1]
-                    links.append((last_a << 32) | last_b)
-                    digests.append(hashlib.sha256(t.written_groups(a, b, cut_a, cut_b).encode()).hexdigest())
-                else:
-                    digests.append("")
-                sizes.append((len(a), len(b), len(cut_a)))
-            n_a, n_b, n = (pa.array(c, pa.int64()) for c in zip(*sizes))
-            offsets = np.concatenate([[0], np.cumsum([s[2] for s in sizes])]).astype(np.int32)
-            flat = np.concatenate(links) if links else np.empty(0, np.int64)
+        for part in text_slices(batches, 1, SLICE):
+            n_a, n_b, n, links, groups = zip(*t.linked(part.column(1).to_pylist()))
+            digests = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
+            offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+            flat = np.frombuffer(b"".join(links), np.int64)
+            counts = [pa.array(c, pa.int64()) for c in (n_a, n_b, n, n)]
             yield pa.RecordBatch.from_arrays(
-                [ids, n_a, n_b, n, n, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                [part.column(0), *counts, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                  pa.array(digests, pa.string())],
                 names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "links", "groups_sha256"])
 
