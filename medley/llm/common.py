@@ -9,7 +9,11 @@ otherwise; an empty table gives an empty result with the same schema.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from medley.session import scratch_path
@@ -41,4 +45,20 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-__all__ = ["WORD", "LOWER_AZ", "text_of", "fold_of", "written"]
+SLICE = 1 << 20         # bytes of text a task handles at once
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], column: int, most: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in slices of at most ``most`` bytes in a text column,
+    or of one row with a longer text."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        upto, at = np.cumsum(sizes, dtype=np.int64), 0
+        while at < batch.num_rows:
+            before = int(upto[at - 1]) if at else 0
+            end = max(int(np.searchsorted(upto, before + most, side="right")), at + 1)
+            yield batch.slice(at, end - at)
+            at = end
+
+
+__all__ = ["WORD", "text_slices", "LOWER_AZ", "text_of", "fold_of", "written"]

@@ -1,18 +1,26 @@
 """Benchmark decontamination by canonical templates.
 
-Words lose case and outer punctuation. A text's windows are its runs of ``width``
-words; a shorter item is one window of its own length. Windows of documents and
-benchmark items meet in a hash join, in two ways. By words: all words are the
-same, whatever they are; such a window counts always, so a copy is found without
-exception. By template: numbers, names (capitalised inside a sentence) and units
-(after a number) become typed placeholders, and a window with placeholders needs
-enough literal words. It counts if, in its (document, item, alignment), each value
-of the item stands for one value of the document; a value that stands for several
-drops the changed windows that hold it, not the alignment. Different values of
-the item may become the same one.
-
-Before the join, documents test their windows against a bitmap of the
-benchmark's window hashes, one for each length of window. Its size is fixed between
+Words lose case and outer punctuation; operators (+ - * / = and the like) are words.
+Windows of documents and benchmark items meet in a hash join, in three ways.
+
+* By words: runs of ``width`` words, or a shorter item as a whole. All words are the
+  same, whatever they are; such a window counts always, so a copy is found without
+  exception.
+* By template: numbers, names (capitalised inside a sentence) and units (after a
+  number) become typed placeholders. A window grows from each word until it has
+  ``width`` words and ``least`` literal ones among them, so text full of numbers has
+  windows as well, only longer ones; it ends at the same word in the document and
+  in the item, as both see the same literals.
+* An item with no such window (too few literal words altogether) is one template
+  window of its own length, if it has ``SHORT`` literal words.
+
+A template window counts if, in its (document, item, alignment), each value of the
+item stands for one value of the document; a value that stands for several drops the
+changed windows that hold it, not the alignment. Different values of the item may
+become the same one.
+
+Before the join, documents test their windows against bitmaps of the
+benchmark's window hashes, one for each way and length. Their size is fixed between
 8 KB and 16 MB whatever the size of the benchmark; a fuller bitmap lets more windows
 reach the exact join and never loses one.
 """
@@ -26,11 +34,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from medley.llm.common import WORD, text_of, written
+from medley.llm.common import WORD, text_of, text_slices, written
+from medley.llm.word_hashes import mixed, powers
 
 WIDTH = 8
-LITERALS = 5            # literal words a window with placeholders needs
-MAX_WORDS = 400_000     # remembered words per worker
+LITERALS = 5            # literal words a template window grows to
+SHORT = 4               # literal words an item needs that is one template window
+MAX_WORDS = 100_000     # remembered words per worker,
+LONGEST = 64            # each of so many characters at most
+WORDS, GROWN, WHOLE = 0, 1, 2          # the three ways
 NUM, NAME, UNIT = (np.uint64(x) for x in (11, 13, 17))
 # Units that may follow a number.
 UNITS = frozenset("""mm cm m km in ft mi mg g kg t lb oz ml l s sec secs ms min mins h hr hrs hours
@@ -38,7 +50,10 @@ minutes seconds days weeks months years percent % usd eur gbp dollars euros poun
 mhz ghz w kw mw kwh v a c f k degrees""".split())
 EDGE = re.compile(r"^[^\w%$€£+-]+|[^\w%]+$")
 NUMBER = re.compile(r"^[+\-$€£]?\d[\d.,:/]*%?$")
+OPERATOR = re.compile(r"^[+\-*/=<>^%×÷±≤≥≠·|&~]+$")
 CAP, STOP, ISNUM, ISUNIT, NOTHING = 1, 2, 4, 8, 16
+BASE = 0xA0761D6478BD642F
+INVERSE = pow(BASE, -1, 2**64)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -50,7 +65,7 @@ class _Words(dict):
 
     def __missing__(self, word: str) -> int:
         import xxhash
-        core = EDGE.sub("", word)
+        core = word if OPERATOR.match(word) else EDGE.sub("", word)
         low = core.lower()
         flag = 0
         if not core:
@@ -63,7 +78,9 @@ class _Words(dict):
             flag |= ISUNIT
         if word[-1] in ".!?:" or word.rstrip("\"')]»”")[-1:] in (".", "!", "?"):
             flag |= STOP
-        row = self[word] = len(self.codes)
+        row = len(self.codes)
+        if len(word) <= LONGEST:
+            self[word] = row
         self.codes.append(xxhash.xxh3_64_intdigest(low) | 32)     # never a placeholder
         self.flags.append(flag)
         self.forms.append(low)
@@ -76,7 +93,7 @@ _WORDS: list = []
 def template_words(texts: list[str]):
     """The kept words of a batch of texts, one text after the other: text number,
     word rows and placeholder kinds, and the word table."""
-    if not _WORDS or len(_WORDS[0]) > MAX_WORDS:
+    if not _WORDS or len(_WORDS[0].codes) > MAX_WORDS:
         _WORDS[:] = [_Words()]
     words = _WORDS[0]
     rows, owner = [], []
@@ -101,67 +118,116 @@ def template_words(texts: list[str]):
     return owner, rows, kind, words
 
 
-def _hashed(symbols: np.ndarray, width: int) -> np.ndarray:
-    """Hashes of all runs of ``width`` symbols."""
-    n = max(0, len(symbols) - width + 1)
-    with np.errstate(over="ignore"):
-        h = np.zeros(n, np.uint64)
-        for j in range(width):
-            h = h * MIX + symbols[j:j + n]
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        h ^= h >> np.uint64(29)
-    return h
-
-
-def _slots(at: int, width: int, rows, kind, words) -> list[str]:
-    """Placeholder values of a window: kind and value, in order."""
-    return [f"{kind[k]}{words.forms[rows[k]]}" for k in range(at, at + width) if kind[k]]
-
-
-WINDOWS = "key long, w int, h long, exact boolean, pos int, slots array<string>"
+class _Windows:
+    """The windows of a batch of texts: hashes read off prefix sums."""
+
+    def __init__(self, texts: list[str]):
+        self.owner, self.rows, self.kind, self.words = template_words(texts)
+        codes = np.array(self.words.codes, np.uint64)[self.rows]
+        symbols = np.array([0, NUM, NAME, UNIT], np.uint64)[self.kind]
+        symbols[self.kind == 0] = codes[self.kind == 0]
+        self.literal = np.concatenate([[0], np.cumsum(self.kind == 0)])
+        self.starts = np.searchsorted(self.owner, np.arange(len(texts)))
+        self.length = np.bincount(self.owner, minlength=len(texts))
+        self.ends = (self.starts + self.length)[self.owner]        # of each word's text
+        n = len(self.rows)
+        self.sums = []
+        with np.errstate(over="ignore"):
+            for source in (codes, symbols):
+                sums = np.zeros(n + 1, np.uint64)
+                np.cumsum(source * powers(n, BASE), out=sums[1:])
+                self.sums.append(sums)
+
+    def hashes(self, at: np.ndarray, size, typed: bool) -> np.ndarray:
+        """Hashes of the ``size`` words from each place in ``at``."""
+        sums = self.sums[typed]
+        size = np.broadcast_to(np.asarray(size, np.int64), at.shape)
+        with np.errstate(over="ignore"):
+            h = (sums[at + size] - sums[at]) * powers(len(sums), INVERSE)[at]
+            return mixed(h + size.astype(np.uint64) * MIX)
+
+    def fixed(self, w: int) -> np.ndarray:
+        """Places of the windows of ``w`` words."""
+        at = np.arange(max(0, len(self.rows) - w + 1))
+        return at[at + w <= self.ends[:len(at)]]
+
+    def literals(self, at: np.ndarray, size) -> np.ndarray:
+        return self.literal[at + size] - self.literal[at]
+
+    def grown(self, width: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places, sizes) of the template windows with a placeholder."""
+        at = np.arange(len(self.rows))
+        # the word that makes the literals ``least``, and the width at least
+        upto = np.searchsorted(self.literal, self.literal[:-1] + least)
+        size = np.maximum(upto - at, width)
+        ok = at + size <= self.ends
+        at, size = at[ok], size[ok]
+        some = self.literals(at, size) < size
+        return at[some], size[some]
+
+    def slots(self, at: int, size: int) -> list[str]:
+        """Placeholder values of a window: kind and value, in order."""
+        kind, forms = self.kind, self.words.forms
+        return [f"{kind[k]}{forms[self.rows[k]]}" for k in range(at, at + size) if kind[k]]
+
+    def batch(self, keys, at, size, h, way: int, slots: list) -> pa.RecordBatch:
+        size = np.broadcast_to(np.asarray(size, np.int32), at.shape)
+        return pa.RecordBatch.from_arrays([
+            pa.array(keys[self.owner[at]], pa.int64()), pa.array(np.full(len(at), way, np.int8)),
+            pa.array(size.astype(np.int32)), pa.array(h.view(np.int64)),
+            pa.array((at - self.starts[self.owner[at]]).astype(np.int32)),
+            pa.array(slots, pa.list_(pa.string()))], names=["key", "way", "w", "h", "pos", "slots"])
+
+
+WINDOWS = "key long, way byte, w int, h long, pos int, slots array<string>"
+
+
+def _item_windows(width: int, least: int):
+    """Arrow mapper from (key, item text) to its windows of all three ways."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, 1):
+            keys, texts = np.array(batch.column(0)), batch.column(1).to_pylist()
+            win = _Windows(texts)
+            for w in sorted({min(width, int(n)) for n in win.length if n}):
+                at = win.fixed(w)
+                at = at[(win.length[win.owner[at]] == w) | (w == width)]
+                yield win.batch(keys, at, w, win.hashes(at, w, False), WORDS, [win.slots(k, w) for k in at])
+            at, size = win.grown(width, least)
+            yield win.batch(keys, at, size, win.hashes(at, size, True), GROWN,
+                            [win.slots(k, n) for k, n in zip(at, size)])
+            # texts without any such window, all literal ones aside
+            has = np.bincount(win.owner[at], minlength=len(texts)) > 0
+            at = win.starts[~has & (win.length > 0)]
+            size = win.length[win.owner[at]]
+            inside = win.literals(at, size)
+            some = (inside >= SHORT) & (inside < size)
+            at, size = at[some], size[some]
+            yield win.batch(keys, at, size, win.hashes(at, size, True), WHOLE,
+                            [win.slots(k, n) for k, n in zip(at, size)])
+    return run
 
 
-def _emit(width: int, least: int, bitmaps: dict[int, np.ndarray] | None):
-    """Arrow mapper from (key, text) to windows by words (``exact``) and by template.
-    Without bitmaps, a text shorter than ``width`` is one window; with them, the
-    windows of each of their lengths that pass, those by words without slots."""
+def _document_windows(width: int, least: int, bitmaps: dict[tuple[int, int], np.ndarray]):
+    """Arrow mapper from (key, text) to the windows that pass their bitmap; those by
+    words without slots. ``bitmaps``: by (way, length), length 0 for grown windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 1024):
-                batch = whole.slice(lo, 1024)
-                keys = np.array(batch.column(0))
-                texts = batch.column(1).to_pylist()
-                owner, rows, kind, words = template_words(texts)
-                codes = np.array(words.codes, np.uint64)[rows]
-                symbols = np.array([0, NUM, NAME, UNIT], np.uint64)[kind]
-                symbols[kind == 0] = codes[kind == 0]
-                literal = np.concatenate([[0], np.cumsum(kind == 0)])
-                starts = np.searchsorted(owner, np.arange(len(texts)))
-                length = np.bincount(owner, minlength=len(texts))
-                for w in bitmaps or range(1, width + 1):
-                    n = max(0, len(rows) - w + 1)
-                    inside = owner[:n] == owner[w - 1:w - 1 + n]
-                    if bitmaps is None:
-                        inside &= (length[owner[:n]] == w) | (w == width)
-                    literals = literal[w:w + n] - literal[:n]
-                    typed = inside & (literals < w) & (literals >= min(least, w))
-                    for exact, ok, source in ((True, inside, codes), (False, typed, symbols)):
-                        h, at = _hashed(source, w), np.flatnonzero(ok)
-                        if bitmaps is not None:
-                            bits = bitmaps[w]
-                            slot = h[at] & np.uint64(len(bits) * 64 - 1)
-                            hit = (bits[(slot >> np.uint64(6)).astype(np.int64)]
-                                   >> (slot & np.uint64(63))) & np.uint64(1)
-                            at = at[np.flatnonzero(hit)]
-                        slots = ([None] * len(at) if exact and bitmaps is not None
-                                 else [_slots(k, w, rows, kind, words) for k in at])
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array(keys[owner[at]], pa.int64()), pa.array(np.full(len(at), w, np.int32)),
-                            pa.array(h[at].view(np.int64)), pa.array(np.full(len(at), exact)),
-                            pa.array((at - starts[owner[at]]).astype(np.int32)),
-                            pa.array(slots, pa.list_(pa.string()))],
-                            names=["key", "w", "h", "exact", "pos", "slots"])
+        for batch in text_slices(batches, 1):
+            keys, texts = np.array(batch.column(0)), batch.column(1).to_pylist()
+            win = _Windows(texts)
+            for (way, w), bits in bitmaps.items():
+                at, size = (win.grown(width, least) if way == GROWN else (win.fixed(w), w))
+                if way == WHOLE:
+                    inside = win.literals(at, w)
+                    at = at[(inside >= SHORT) & (inside < w)]
+                h = win.hashes(at, size, way != WORDS)
+                slot = h & np.uint64(len(bits) * 64 - 1)
+                hit = np.flatnonzero((bits[(slot >> np.uint64(6)).astype(np.int64)]
+                                      >> (slot & np.uint64(63))) & np.uint64(1))
+                size = np.broadcast_to(np.asarray(size), at.shape)[hit]
+                at = at[hit]
+                slots = ([None] * len(at) if way == WORDS
+                         else [win.slots(k, n) for k, n in zip(at, size)])
+                yield win.batch(keys, at, size, h[hit], way, slots)
     return run
 
 
@@ -174,16 +240,18 @@ def _consistent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for win in run["windows"]:
                 for i, d in zip(win["item_slots"], win["slots"]):
                     values.setdefault(i, set()).add(d)
-            kept = sorted(win["pos"] for win in run["windows"] if win["item_slots"] == win["slots"]
-                          or all(len(values[i]) == 1 for i in win["item_slots"]))
+            kept = [win for win in run["windows"] if win["item_slots"] == win["slots"]
+                    or all(len(values[i]) == 1 for i in win["item_slots"])]
             if kept:
-                out.append({"key": run["key"], "item": run["item"], "w": run["w"], "positions": kept})
+                out.append({"key": run["key"], "item": run["item"],
+                            "positions": sorted({win["pos"] for win in kept}),
+                            "last": max(win["pos"] + win["w"] - 1 for win in kept)})
         yield pa.RecordBatch.from_pylist(out, schema=pa.schema([
-            ("key", pa.int64()), ("item", pa.int64()), ("w", pa.int32()),
-            ("positions", pa.list_(pa.int32()))]))
+            ("key", pa.int64()), ("item", pa.int64()), ("positions", pa.list_(pa.int32())),
+            ("last", pa.int32())]))
 
 
-RUNS = "key long, item long, w int, positions array<int>"
+RUNS = "key long, item long, positions array<int>, last int"
 
 
 def _bitmap(windows: DataFrame) -> np.ndarray:
@@ -205,31 +273,35 @@ def text_key(id_col, text):
 
 def _alignments(docs: DataFrame, benchmark: DataFrame, width: int, least: int,
                 id_col: str, text_col: str, item_col: str) -> DataFrame:
-    """(key, item_id, w, positions): the document windows that count, by alignment
-    of a document with an item. Items are aligned once per distinct text."""
+    """(key, item_id, positions, last): where the document's windows begin that count,
+    and the last word they hold, by alignment of a document with an item. Items are
+    aligned once per distinct text."""
     spark = docs.sparkSession
     named = benchmark.select(benchmark[item_col].cast("long").alias("item_id"),
                              text_of(benchmark, "text").alias("text")).withColumn("item", F.xxhash64("text"))
     items = named.select(F.col("item").alias("key"), "text").distinct()
-    bench = items.mapInArrow(_emit(width, least, None), WINDOWS)
+    bench = items.mapInArrow(_item_windows(width, least), WINDOWS)
     # every holder of a window: all items, all positions
-    bench = written(spark, bench.select("w", "h", "exact", F.col("slots").alias("item_slots"),
+    bench = written(spark, bench.select("way", "w", "h", F.col("slots").alias("item_slots"),
                                         F.col("key").alias("item"), F.col("pos").alias("item_pos")),
                     "benchmark-windows")
     text = text_of(docs, text_col)
     texts = docs.select(text_key(docs[id_col], text).alias("key"), text.alias("text"))
-    widths = sorted(r["w"] for r in bench.select("w").distinct().collect())   # at most width values
-    if not widths:
-        return spark.createDataFrame([], "key long, item_id long, w int, positions array<int>")
-    bits = spark.sparkContext.broadcast({w: _bitmap(bench.filter(F.col("w") == w)) for w in widths}).value
-    met = texts.mapInArrow(_emit(width, least, bits), WINDOWS).join(bench, ["w", "h", "exact"])
+    length = F.when(F.col("way") == GROWN, 0).otherwise(F.col("w"))
+    # lengths of whole items only: those below ``width``, and those of the third way
+    ways = sorted((r["way"], r["n"]) for r in bench.select("way", length.alias("n")).distinct().collect())
+    if not ways:
+        return spark.createDataFrame([], "key long, item_id long, positions array<int>, last int")
+    bits = spark.sparkContext.broadcast({
+        (way, n): _bitmap(bench.filter((F.col("way") == way) & (length == n))) for way, n in ways}).value
+    met = texts.mapInArrow(_document_windows(width, least, bits), WINDOWS).join(bench, ["way", "w", "h"])
     slots = F.coalesce("slots", "item_slots")
     groups = met.filter(F.size(slots) == F.size("item_slots")).select(
-        "key", "item", (F.col("pos") - F.col("item_pos")).alias("shift"), "w",
-        F.struct("pos", "item_slots", slots.alias("slots")).alias("window"))
-    runs = groups.groupBy("key", "item", "shift", "w").agg(F.collect_set("window").alias("windows"))
+        "key", "item", (F.col("pos") - F.col("item_pos")).alias("shift"),
+        F.struct("pos", "w", "item_slots", slots.alias("slots")).alias("window"))
+    runs = groups.groupBy("key", "item", "shift").agg(F.collect_set("window").alias("windows"))
     names = named.select("item", "item_id").distinct()
-    return runs.mapInArrow(_consistent, RUNS).join(names, "item").select("key", "item_id", "w", "positions")
+    return runs.mapInArrow(_consistent, RUNS).join(names, "item").select("key", "item_id", "positions", "last")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, least: int = LITERALS,
@@ -240,10 +312,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, least: in
     Items shorter than ``width`` words match as a whole, down to one word; a
     benchmark whose shortest items say nothing is to be filtered by the caller.
     A window that several items share, or that an item repeats, counts for each of
-    them in its own alignment."""
+    them in its own alignment; a place where windows of several ways begin is one.
+    NULL or empty texts hold nothing, nor does an empty benchmark; rows alike in id
+    and text have one ``key``. A very long text is handled whole, in one task."""
     return _alignments(docs, benchmark, width, least, id_col, text_col, item_col).select(
         "key", "item_id", F.array_min("positions").alias("first_word"),
-        (F.array_max("positions") + F.col("w") - 1).alias("last_word"),
+        F.col("last").alias("last_word"),
         F.size("positions").cast("long").alias("n_windows"))
 
 
@@ -251,8 +325,9 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
            width: int = WIDTH, least: int = LITERALS, item_col: str = "item_id") -> DataFrame:
     """doc_id, contaminated, n_windows, items (ids, ascending) for every row.
 
-    ``n_windows`` adds up the document's windows that count for each of the items; a
-    window that meets several places of one item is one."""
+    ``n_windows`` adds up, for each of the items, the document's words where windows
+    begin that count. A NULL or empty text holds none; repeated rows are rows of
+    their own with the same result; an empty table gives no rows."""
     found = _alignments(docs, benchmark, width, least, id_col, text_col, item_col)
     found = found.groupBy("key", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("positions")))).cast("long").alias("n_windows"))
@@ -268,11 +343,16 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                       text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark window; columns unchanged."""
+    """``docs`` without the rows that hold a benchmark window; columns unchanged. Rows
+    without a text stay, repeated rows go or stay together.
+
+    The keys found are written first: their real size tells the planner whether they
+    can be sent to the documents, which then stay where they are."""
     found = matches(docs, benchmark, id_col=id_col, text_col=text_col, **options)
-    found = found.select(F.col("key").alias("_key")).distinct()
-    return (docs.withColumn("_key", text_key(docs[id_col], text_of(docs, text_col)))
-            .join(found, "_key", "left_anti").select(*docs.columns))
+    found = written(docs.sparkSession, found.select(F.col("key").alias("_key")).distinct(), "contaminated-keys")
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    return (docs.select(row, text_key(docs[id_col], text_of(docs, text_col)).alias("_key"))
+            .join(found, "_key", "left_anti").select("row.*"))
 
 
 __all__ = ["matches", "report", "drop_contaminated", "template_words", "text_key"]

@@ -177,9 +177,62 @@ def test_decontamination_finds_copies_without_literal_words(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.items for r in template_decontam.report(docs, bench).collect()}
     assert [got[k] for k in range(len(items))] == [[0], [1], [2], [3], [4], [5], [6], []]
+    assert got[8] == [0]                              # operators are literal words
     assert got[9] == got[10] == got[11] == got[12] == []
 
 
+@pytest.mark.parametrize("share", [0.1, 0.3, 0.5, 0.7])
+def test_decontamination_finds_items_with_all_parameters_changed(spark, share):
+    """Every number, name and unit of each item is another one in the document."""
+    rng = random.Random(int(share * 10))
+    pool, units = words(rng, 400, ("lo", "ra", "mi", "ten", "su", "ke")), ["km", "kg", "hours", "ml"]
+
+    def item():
+        out = [rng.choice(pool)]
+        while len(out) < rng.randrange(18, 45):
+            if rng.random() < share:
+                kind = rng.randrange(3)
+                out += ([str(rng.randrange(2, 10**6))] if kind == 0 else [rng.choice(pool).capitalize()] if kind == 1
+                        else [str(rng.randrange(2, 10**6)), rng.choice(units)])
+            else:
+                out.append(rng.choice(pool))
+        return out
+
+    def changed(ws):
+        new, out = {}, []
+        for k, w in enumerate(ws):
+            if w.isdigit():
+                out.append(new.setdefault(w, str(rng.randrange(10**6, 10**7))))
+            elif w[0].isupper():
+                out.append(new.setdefault(w, "".join(rng.choices(["Bo", "Ta", "Ni"], k=1)) + rng.choice(pool)))
+            elif k and ws[k - 1].isdigit() and w in units:
+                out.append(new.setdefault(w, {"km": "mi", "kg": "lb", "hours": "days", "ml": "oz"}[w]))
+            else:
+                out.append(w)
+        return out
+
+    items = [item() for _ in range(60)]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    texts = [" ".join(rng.choices(pool, k=9) + changed(w) + rng.choices(pool, k=9)) for w in items]
+    texts += [" ".join(item()) for _ in range(60)] + [" ".join(rng.choices(pool, k=200)) for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.items for r in template_decontam.report(docs, bench).collect()}
+    found = sum(k in got[k] for k in range(60))
+    assert found >= 54, f"recall {found / 60:.2f} at {share} of the words"
+    assert not any(got[k] for k in range(60, len(texts)))
+
+
+def test_decontamination_of_arithmetic(spark):
+    item = "Solve 12 + 30 * 4 - 7 / 2 + 9 = x for x 5"
+    new = "Solve 81 + 22 * 3 - 6 / 11 + 10 = x for x 13"
+    other = "Solve 81 + 22 + 3 + 6 + 11 + 10 = y if y 13"
+    bench = spark.createDataFrame([(1, item), (2, item + " and then some more words follow here")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "he said. " + new), (2, other), (3, "x" * 1_500_000), (4, "no 5 " * 300_000)],
+                                 "doc_id long, text string")
+    got = {r.doc_id: r.items for r in template_decontam.report(docs, bench).collect()}
+    assert got == {1: [1, 2], 2: [], 3: [], 4: []}
+
+
 def test_decontamination_reports_every_item_that_holds_a_window(spark):
     rng = random.Random(11)
     prompt, one, two = (" ".join(words(rng, 14, ("lo", "ra", "mi", "ten", "su"))) for _ in range(3))
@@ -212,6 +265,30 @@ def test_planted_benchmark_passages(spark):
     assert want and got == want
 
 
+def test_pipeline_with_odd_rows(spark, docs, rows, none, tmp_path):
+    """NULL ids and texts, empty and repeated rows, columns with clashing names, no rows."""
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(40)] + [(None, 1, 0), (3, None, None)],
+                                   "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, " ".join(f"w{k}" for k in range(20))), (None, None)], "item_id long, text string")
+    for name, table in (("odd", docs), ("empty", none)):
+        folder = str(tmp_path / name)
+        for t, df in (("documents", table), ("labels", labels), ("benchmark", bench)):
+            df.write.parquet(f"{folder}/{t}.parquet")
+        kept = spark.read.parquet(f"{folder}/documents.parquet")
+        for stage, fn in corpus_pipeline.STAGES[:-1]:
+            after = fn(spark, kept, folder)
+            assert after.columns == docs.columns, stage
+            path = str(tmp_path / f"{name}-{stage.split()[0]}")
+            after.write.parquet(path)
+            kept = spark.read.parquet(path)
+            assert kept.count() <= table.count()
+        out = corpus_pipeline.run(spark, folder)
+        assert out.count() == kept.count()
+        assert (out.count() > 0) == (name == "odd")
+    texts = [r[1] for r in rows]
+    assert {r.text for r in spark.read.parquet(str(tmp_path / "odd-n-gram")).select("text").collect()} <= set(texts)
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     before = docs
