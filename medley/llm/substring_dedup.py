@@ -37,6 +37,7 @@ SHARD = 512
 POS_BITS = 21
 CHUNK = 1 << 19         # words handled at once
 ROWS = 512              # texts handled at once
+REMEMBERED = 50_000     # texts with references that a task remembers
 P1, P2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
@@ -194,14 +195,14 @@ def _verdicts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of one anchor after another -> which windows of each span repeat."""
     def judged(group):
         automaton = SuffixAutomaton()
-        sequences = [np.frombuffer(raw, np.uint64).tolist() for _, _, raw in group]
-        for s, (_, times, _) in zip(sequences, group):
+        sequences = [np.frombuffer(raw, np.uint64).tolist() for _, raw in group.values()]
+        for s, (times, _) in zip(sequences, group.values()):
             automaton.add(s, times)
         automaton.finish()
         return [(digest, np.packbits([x > 1 for x in automaton.windows(s, WINDOW)]).tobytes())
-                for s, (digest, _, _) in zip(sequences, group)]
+                for s, digest in zip(sequences, group)]
 
-    anchor, group, out = None, [], []
+    anchor, group, out = None, {}, []
 
     def flush():
         batch = pa.RecordBatch.from_arrays(
@@ -214,10 +215,10 @@ def _verdicts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, digest, times, raw in zip(*(col.to_pylist() for col in batch.columns)):
             if key != anchor:
                 out += [(anchor, *x) for x in judged(group)]
-                anchor, group = key, []
+                anchor, group = key, {}
                 if len(out) > 10_000:
                     yield flush()
-            group.append((digest, times, raw))
+            group[digest] = times, raw
     out += [(anchor, *x) for x in judged(group)]
     yield flush()
 
@@ -268,13 +269,17 @@ def _meet(keep_text: bool):
     """Texts with their spans -> results, undecided texts, reference spans."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in MET.replace(f"array<{SPAN}>", "x").split(", ")]
+        told = set()                  # texts whose references are out: rows alike give them once
         for whole in batches:
+            if len(told) > REMEMBERED:
+                told.clear()          # a reference that comes twice only costs time
             for at in range(0, whole.num_rows, 256):
                 rows = []
                 for doc_id, k1, k2, text, found in zip(*(
                         c.to_pylist() for c in whole.slice(at, 256).columns)):
                     found = found or []
-                    if any(x["n"] for x in found):
+                    if any(x["n"] for x in found) and (k1, k2) not in told:
+                        told.add((k1, k2))
                         c = codes(text)
                         rows += [(REFERENCE, None, None, None, None, None, None, None, None, x["anchor"],
                                   x["digest"], x["n"], c[x["a"]:x["a"] + x["w"] + WINDOW - 1].tobytes())
@@ -338,7 +343,8 @@ def dedup(docs: DataFrame, keep_text: bool = False, id_col: str = "doc_id",
     items = (found.select("k1", "k2", "a", "w", "anchor", "digest", "mixed", no.alias("n"))
              .unionByName(kinds.select("at.k1", "at.k2", "at.a", "at.w", "anchor", "digest",
                                        F.lit(True).alias("mixed"), "n")))
-    per_text = items.groupBy("k1", "k2").agg(F.collect_list(
+    # a set: rows alike in id and text have the same spans, which then count once
+    per_text = items.groupBy("k1", "k2").agg(F.collect_set(
         F.struct("a", "w", "anchor", "digest", "mixed", "n")).alias("found"))
     met = (texts.join(per_text.hint("shuffle_hash"), ["k1", "k2"], "left")
            .select("doc_id", "k1", "k2", "text", "found").mapInArrow(_meet(keep_text), MET))

@@ -220,6 +220,20 @@ def test_rows_alike_in_id_and_text_repeat(spark):
     assert sorted(r.n_removed for r in substring_dedup.dedup(df).collect()) == [0, 50, 50]
 
 
+def test_rows_alike_cost_no_more_than_rows_of_their_own(spark):
+    """N rows alike in id and text: each carries its spans once, not N times."""
+    import time
+    text = " ".join(words(random.Random(3), 300))
+    took = {}
+    for name, ids in (("warm", range(600)), ("own", range(600)), ("alike", [7] * 600)):
+        df = spark.createDataFrame([(k, text) for k in ids], "doc_id long, text string").repartition(4)
+        start = time.perf_counter()
+        out = substring_dedup.dedup(df).select("n_words", "n_removed").distinct().collect()
+        took[name] = time.perf_counter() - start
+        assert [tuple(r) for r in out] == [(300, 300)]
+    assert took["alike"] < 2 * took["own"] + 2, took
+
+
 def test_fingerprints_equal_set_arithmetic(docs, rows):
     got = sorted((r for r in iblt_fingerprint.fingerprint(docs).collect()),
                  key=lambda r: (r.doc_id is not None, r.doc_id or 0))
