@@ -573,6 +573,20 @@ def median_rank_by_group(spark, sf):
     return m.select("user_id", F.round("median", 4).alias("median"))
 
 
+_TIES = """CASE WHEN l_orderkey % 7 = 0 THEN cast('NaN' AS DOUBLE) WHEN l_orderkey % 5 = 0 THEN NULL
+            ELSE l_quantity END"""
+
+
+@query("median_ties", f"""
+SELECT l_linestatus, l_linenumber, median(v) AS median, count(v) AS n, count(*) AS rows
+FROM (SELECT l_linestatus, l_linenumber, {_TIES} AS v FROM lineitem) t GROUP BY 1, 2""")
+def median_ties(spark, sf):
+    """A6 on heavy ties (50 values), NaN in a seventh and NULL in a fifth of the rows."""
+    li = _t(spark, sf, "lineitem").select("l_linestatus", "l_linenumber", F.expr(_TIES).alias("v"))
+    return med.median(li, "v", ["l_linestatus", "l_linenumber"], strategy="rank",
+                      combine_aggs=[("n", "count", "v"), ("rows", "count", "*")])
+
+
 @query("median_by_name", """
 SELECT l_returnflag, l_linestatus, round(median(l_extendedprice), 4) AS median, count(l_extendedprice) AS n
 FROM lineitem GROUP BY l_returnflag, l_linestatus""")
