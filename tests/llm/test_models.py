@@ -125,6 +125,43 @@ def test_quality_of_odd_rows(spark, docs, none, rows):
     assert quality_rules.keep_good(docs, empty).count() == len(rows)
 
 
+def statistics_by_hand(text):
+    import regex
+    t = text or ""
+    w = [x for x in regex.split(r"[\x20\x09-\x0D]+", t) if x]
+    lines = [x for x in t.split("\n") if x]
+    share = lambda keep: len(regex.findall(keep, t)) / max(1, len(t))
+    return {"log_chars": math.log1p(len(t)),
+            "word_chars": len(regex.sub(r"[\x20\x09-\x0D]+", "", t)) / max(1, len(w)),
+            "distinct_words": len(set(w)) / max(1, len(w)),
+            "repeated_next": sum(a == b for a, b in zip(w, w[1:])) / max(1, len(w)),
+            "upper": share(r"\p{Lu}"), "symbols": share(r"[#$%&*@~^<>{}\\=+_/\[\]]"), "bars": share(r"\|"),
+            "cries": share("[!?]"), "stops": share("[.,;:]"), "digits": share("[0-9]"),
+            "line_words": len(w) / max(1, len(lines)), "distinct_lines": len(set(lines)) / max(1, len(lines)),
+            "spaces": share(r"[\x20\x09-\x0D]")}
+
+
+def test_scores_equal_the_rules_evaluated_by_hand(spark, docs, rows, monkeypatch):
+    """Statistics, conjunctions and the logistic sum, each in plain Python."""
+    good = spark.read.parquet(f"{SF01}/documents.parquet")
+    labels = spark.read.parquet(f"{SF01}/labels.parquet")
+    ensemble = quality_rules.fit(good, labels)
+    assert ensemble.weighted
+    monkeypatch.setattr(quality_rules, "fit", lambda *a, **k: ensemble)
+    texts = [(r.doc_id, r.text) for r in good.collect()] + [(r[0], r[1]) for r in rows]
+    both = good.select("doc_id", "text").unionByName(docs.select("doc_id", "text"))
+    got = Counter((r.doc_id, r.held_out, round(r.score, 9), r.predicted)
+                  for r in quality_rules.classify(both, labels).collect())
+    want = Counter()
+    for doc_id, text in texts:
+        s = statistics_by_hand(text)
+        margin = ensemble.intercept + sum(weight for weight, rule in ensemble.weighted if all(
+            low < s[quality_rules.NAMES[at]] <= high for at, low, high in rule.bounds))
+        score = 1 / (1 + math.exp(-margin))
+        want[doc_id, held(doc_id) == 0, round(score, 9), int(score >= 0.3)] += 1
+    assert got == want
+
+
 def test_decontamination_finds_copies_and_new_parameters(spark, none):
     rng = random.Random(4)
     item = ("a train with 12 wagons leaves the town of Arvik at 40 km per hour and meets Olsen who walks "

@@ -23,6 +23,48 @@ def test_shards_are_full_and_gapless(docs, rows):
     assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
 
 
+def ring_by_hand(spark, rows, n_shards, vnodes, grid):
+    """Counter of (doc_id, crc, size, home, shard, slot number), the ring walked key by key."""
+    i = F.col("id")
+    at = spark.range(n_shards * vnodes).select(
+        i, F.pmod(F.xxhash64(F.lit("vnode"), F.floor(i / vnodes), i % vnodes), F.lit(grid)).alias("pos"))
+    nodes = sorted((r.pos, r.id) for r in at.collect())
+    keys = [(r[0], zlib.crc32((r[1] or "").encode()), len((r[1] or "").encode()) + 1) for r in rows]
+    df = spark.createDataFrame(keys, "doc_id long, text_crc32 long, size long")
+    placed = [(r.s, (r.doc_id is not None, r.doc_id, r.text_crc32, r["size"])) for r in df.select(
+        "*", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(grid)).alias("s")).collect()]
+    placed.sort()
+
+    def clockwise(slot):
+        order = [n for n in nodes if n[0] >= slot] + [n for n in nodes if n[0] < slot]
+        return list(dict.fromkeys(node // vnodes for _, node in order))
+
+    cap = [len(keys) // n_shards + (k < len(keys) % n_shards) for k in range(n_shards)]
+    load, out, waiting = [0] * n_shards, Counter(), []
+    for slot, key in placed:                          # who finds room at home stays there
+        home = clockwise(slot)[0]
+        if load[home] < cap[home]:
+            out[(*key[1:], home, home, load[home])] += 1
+            load[home] += 1
+        else:
+            waiting.append((slot, key))
+    for slot, key in waiting:                         # the rest, in ring order, to the first shard with room
+        walk = clockwise(slot)
+        shard = next(k for k in walk if load[k] < cap[k])
+        out[(*key[1:], walk[0], shard, load[shard])] += 1
+        load[shard] += 1
+    return out
+
+
+def test_ring_equals_walking_it_by_hand(spark, docs, rows):
+    many = [(k % 90, f"text {k % 7}", "en", "s", 1) for k in range(400)] + [(5, "hot", "en", "s", 1)] * 150 + rows
+    df = spark.createDataFrame([(r[0], r[1]) for r in many], "doc_id long, text string").repartition(3)
+    for n_shards, vnodes, grid in ((5, 4, 64), (16, 2, 32), (3, 1, 1024)):
+        got = sharding.assign(df, n_shards, vnodes=vnodes, grid=grid).collect()
+        assert Counter((r.doc_id, r.text_crc32, r["size"], r.home_shard, r.shard, r.slot) for r in got) == \
+            ring_by_hand(spark, many, n_shards, vnodes, grid)
+
+
 def test_overflow_moves_little_and_new_shards_take_from_all(spark):
     many = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
     a = {r.doc_id: r for r in sharding.assign(many, 8).collect()}
