@@ -863,10 +863,10 @@ def interval_change(spark, sf):
     from medley.session import scratch_path
     from medley.streaming import metrics_stream as ms
     settings = scratch_path(spark, "interval-settings")
-    ts = F.col("ts")
-    half = (conv.ntz_to_micros(F.max(ts)) - conv.ntz_to_micros(F.min(ts))) / 2
-    day = F.date_trunc("day", conv.micros_to_ntz((conv.ntz_to_micros(F.min(ts)) + half).cast("bigint")))
-    (_t(spark, sf, "events").agg((day + F.expr("INTERVAL 100 SECONDS")).cast("timestamp_ntz").alias("effective_from"))
+    first, last = (conv.ntz_to_micros(f("ts")) for f in (F.min, F.max))
+    middle = F.floor((first + last) / 2).cast("bigint")
+    day = middle - F.pmod(middle, F.lit(86_400_000_000))
+    (_t(spark, sf, "events").agg(conv.micros_to_ntz(day + 100_000_000).alias("effective_from"))
      .withColumn("interval_sec", F.lit(900)).write.parquet(settings))
     return ms.run_interval_records(spark, G.samples_from_events(G.events_stream(spark, sf)), 300, settings)
 
