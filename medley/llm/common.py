@@ -45,6 +45,16 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+SMALL = 16 << 20        # bytes of a written table that is sent to every task rather than shuffled
+
+
+def sent_if_small(table: DataFrame, most: int = SMALL) -> DataFrame:
+    """A written table, marked to be broadcast if its files have at most ``most``
+    bytes; a larger one is joined as the planner sees fit."""
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(table) if size <= most else table
+
+
 SLICE = 1 << 20         # bytes of text a task handles at once
 
 
@@ -61,4 +71,4 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: int, most: int = SLIC
             at = end
 
 
-__all__ = ["WORD", "text_slices", "LOWER_AZ", "text_of", "fold_of", "written"]
+__all__ = ["WORD", "sent_if_small", "text_slices", "LOWER_AZ", "text_of", "fold_of", "written"]

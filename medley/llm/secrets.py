@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from medley.llm.common import text_of, written
+from medley.llm.common import sent_if_small, text_of, written
 from medley.session import scratch_path
 
 
@@ -177,8 +177,9 @@ def redact(docs: DataFrame, rules=RULES, mark: str = "[SECRET]", ledger: Ledger
     found = scan(docs, ledger, rules, id_col, text_col)
     per_blob = written(docs.sparkSession, found.groupBy(F.col("digest").alias("_digest")).agg(
         F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_spans")), "blob-findings")
+    # few blobs hold a secret: while their spans are small, documents stay where they are
     hit = (docs.withColumn("_digest", F.sha2(text_of(docs, text_col), 256))
-           .join(per_blob, "_digest", "left"))
+           .join(sent_if_small(per_blob), "_digest", "left"))
     text = F.col(text_col)
     # walk the spans in order, keeping the text between the furthest end so far and each start
     zero = F.lit(0).cast("long")
