@@ -6,11 +6,13 @@ key sets, sorted, slices both id lists into groups that cover the same bytes.
 The links of a slice are the pairs of tokens that end where it ends; as every
 token has a byte at least, that is its last token of either side.
 
-Corpus-wide work reuses what words have in common. A space between two visible
-characters always begins a token on both sides: A's pattern starts a word there, and
-no piece of B holds a space after another character (checked when the files are
-read). Text is cut there, and each distinct segment is tokenized and sliced once per
-task; a text's groups are those of its segments one after the other.
+Corpus-wide work reuses what words have in common. Text is cut before a space or a
+line end between two visible characters, where both sides always begin a token (A's
+pattern starts a word or a blank there; B has no piece with a space or line end after
+another character). Each distinct segment is tokenized and sliced once per task, many
+of them in one go; a segment that is a known one and a full stop, comma or the like is
+put together from the two, unless some piece of B holds that letter and mark. A
+text's groups are those of its segments one after the other.
 
 Two tokens that end together agree in their last bytes, so the shorter one is a
 suffix of the longer. There are hence no more linked id pairs, in a corpus of
@@ -26,6 +28,7 @@ import os
 import re
 from collections.abc import Iterator
 from itertools import accumulate, count
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +42,11 @@ MAX_KEPT = 150_000      # segments remembered per worker, and as many old ones,
 LONGEST = 48            # of at most so many characters
 # Visible characters of Latin scripts; none is white space to any pattern.
 VISIBLE = "[!-~\u00A1-\u024F]"
-CUT = re.compile(f"(?<={VISIBLE}) (?={VISIBLE})")
-ENDS = re.compile(f"(?={VISIBLE}).*{VISIBLE}", re.DOTALL)
+LETTERS = frozenset(chr(c) for c in range(0x250) if chr(c).isalpha() and c not in (0xAA, 0xBA))
+STOPS = frozenset(".,;:!?")
+CUT = re.compile(f"([ \n])(?<={VISIBLE}.)(?={VISIBLE})", re.DOTALL)
+WORD = re.compile(f"[ \n](?={VISIBLE}).*{VISIBLE}", re.DOTALL)
+NONE = (0, 0, 0, b"", "")
 JOINED = 10_000         # segments tokenized together
 
 
@@ -90,8 +96,14 @@ class Aligner:
                 self.b_bytes.append(piece.replace(SPACE, " ").encode())
         self.a_len, self.b_len = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
         self.text = list(map(str, range(max(len(self.a_len), len(self.b_len)))))
-        if any(re.search(rb"[^ ] ", piece) for piece in self.b_bytes):
-            raise ValueError("pieces of B reach across a space after another character")
+        if any(re.search(rb"[^ ] |\n.|.\n", piece) for piece in self.b_bytes):
+            raise ValueError("pieces of B reach across a space or line end after another character")
+        #: letter and mark that some piece holds
+        self.joined = {pair for piece in self.b_bytes if (text := piece.decode("utf-8", "replace"))
+                       for pair in zip(text, text[1:]) if pair[1] in STOPS}
+        #: marks that end a word
+        self.marks = {m: self.entry(self.a.encode(m, add_special_tokens=False).ids, [k]) for m in STOPS
+                      if self.b_bytes[k := self.b.piece_to_id(m)] == m.encode()}
         self.kept: dict = {}
         self.old: dict = {}
         #: no more id pairs than this can be linked
@@ -137,58 +149,73 @@ class Aligner:
         """(A tokens, B tokens, groups, links as bytes, written groups) of a text's ids;
         zeros where it has none."""
         if not a:
-            return 0, 0, 0, b"", ""
+            return NONE
         _, cut_a, cut_b = self.cuts(a, b)
         return (len(a), len(b), len(cut_a), self.links(a, b, cut_a, cut_b).tobytes(),
                 ";".join(self.groups(a, b, cut_a, cut_b)))
 
-    def entries(self, segments: list[str]) -> Iterator[tuple[str, tuple]]:
-        """Each segment with its ``entry``. Those that begin and end with a visible
-        character are tokenized together, a space between them."""
-        together = [k for k in segments if ENDS.fullmatch(k) and SPACE not in k]
-        alone = list(set(segments) - set(together))
+    def _sliced(self, part: list[str], a: list[int], b: list[int]) -> Iterator[tuple[str, tuple]]:
+        """Each segment of ``part`` with its ``entry``, from the ids of "x" and all of them."""
+        ends, cut_a, cut_b = self.cuts(a, b)
+        groups, links = self.groups(a, b, cut_a, cut_b), self.links(a, b, cut_a, cut_b).tobytes()
+        own = np.cumsum([2, *(len(k.encode()) for k in part)])          # 2: a space and the x
+        upto = np.searchsorted(np.array(ends, np.int64), own) + 1       # groups up to each end
+        n_a, n_b, n = (np.diff(x).tolist() for x in (
+            np.array(cut_a, np.int64)[upto - 1], np.array(cut_b, np.int64)[upto - 1], upto))
+        i, *upto = upto.tolist()
+        for k, j, *sizes in zip(part, upto, n_a, n_b, n):
+            yield k, (*sizes, links[8 * i:8 * j], ";".join(groups[i:j]))
+            i = j
+
+    def entries(self, segments: set[str]) -> Iterator[tuple[str, tuple]]:
+        """Each segment with its ``entry``. Those that end with a visible character
+        are tokenized together, one after the other."""
+        together = [k for k in segments if WORD.fullmatch(k) and SPACE not in k]
+        alone = list(segments - set(together))
         for at in range(0, len(together), JOINED):
             part = together[at:at + JOINED]
-            a, b = next(self.encode([" ".join(part)]))
-            if not a:                             # one of them is not given back
+            a, b = next(self.encode(["x" + "".join(part)]))
+            if a:
+                yield from self._sliced(part, a, b)
+            else:                                 # one of them is not given back
                 alone += part
-                continue
-            ends, cut_a, cut_b = self.cuts(a, b)
-            groups, links = self.groups(a, b, cut_a, cut_b), self.links(a, b, cut_a, cut_b).tobytes()
-            own = np.cumsum([1 + len(k.encode()) for k in part])
-            upto = np.searchsorted(np.array(ends, np.int64), own) + 1   # groups up to each segment's end
-            n = np.diff(upto, prepend=0).tolist()
-            n_a = np.diff(np.array(cut_a, np.int64)[upto - 1], prepend=0).tolist()
-            n_b = np.diff(np.array(cut_b, np.int64)[upto - 1], prepend=0).tolist()
-            i = 0
-            for k, j, *sizes in zip(part, upto.tolist(), n_a, n_b, n):
-                yield k, (*sizes, links[8 * i:8 * j], ";".join(groups[i:j]))
-                i = j
-        for k, (a, b) in zip(alone, self.encode(alone)):
-            yield k, self.entry(a, b)
+        for k, (a, b) in zip(alone, self.encode(["x" + k for k in alone])):
+            yield from self._sliced([k], a, b) if a else ((k, NONE),)
 
-    def linked(self, texts: list[str]) -> Iterator[tuple]:
-        """The ``entry`` of each whole text."""
+    def learn(self, segments: set[str]) -> None:
+        """Have the entries of all ``segments`` among the kept ones."""
         if len(self.kept) > MAX_KEPT:
             self.old, self.kept = self.kept, {}
-        cut = [CUT.split(t) if t else [] for t in texts]
-        missing = set().union(*cut) - self.kept.keys()
+        missing = segments - self.kept.keys()
+        stems = {k: k[:-1] for k in missing if k[-1] in self.marks and k[-2:-1] in LETTERS
+                 and (k[-2], k[-1]) not in self.joined}
+        missing = (missing - stems.keys()).union(stems.values()) - self.kept.keys()
         again = missing & self.old.keys()
         self.kept.update(zip(again, map(self.old.__getitem__, again)))
-        long = []                                 # not worth remembering
-        for k, e in self.entries(list(missing - again)):
-            self.kept[k] = e
-            if len(k) > LONGEST:
-                long.append(k)
+        self.kept.update(self.entries(missing - again))
+        for k, stem in stems.items():
+            word, mark = self.kept[stem], self.marks[k[-1]]
+            self.kept[k] = (word[0] + mark[0], word[1] + mark[1], word[2] + mark[2], word[3] + mark[3],
+                            f"{word[4]};{mark[4]}") if word[0] else NONE
+
+    def linked(self, texts: list[str]) -> Iterator[tuple]:
+        """The ``entry`` of each whole text."""
+        cut = []
+        for text in texts:
+            first, *more = CUT.split(" " + text) if text else ("",)
+            cut.append([first, *map(add, more[::2], more[1::2])] if first else [])
+        here = set().union(*cut)
+        self.learn(here)
         for segments in cut:
             entries = list(map(self.kept.__getitem__, segments))
             n_a, n_b, n, links, groups = zip(*entries) if entries else ((0,), (), (), (), ())
             if all(n_a):
                 yield sum(n_a), sum(n_b), sum(n), b"".join(links), ";".join(groups)
             else:
-                yield 0, 0, 0, b"", ""
-        for k in long:
-            del self.kept[k]
+                yield NONE
+        for k in here:
+            if len(k) > LONGEST:                  # not worth remembering
+                del self.kept[k]
 
 
 _ALIGNERS: dict = {}

@@ -250,6 +250,20 @@ def test_alignment_equals_brute_force(spark, rows, files):
     assert zero >= {None, "", "▁mark", "a ▁ b"} and "<s>x</s> <unk> <0x0A>" not in zero
 
 
+def test_reused_segments_change_nothing(files, monkeypatch):
+    """Texts put together from segments equal texts tokenized whole; small memory too."""
+    t, rng = token_alignment.Aligner(*files), random.Random(12)
+    parts = ["word", "Mr", "it's", "é", "naïve", "e.g", "x", "1", "20", ".", ",", "!?", "...", "'s", "(", "\t", "\n", "\n\n",
+             " ", "  ", "▁", "你好", "\u00ad", "\u00a0", "<|endoftext|>", "<s>", "don't", "St.", "U.S.", "etc.,", "-", "end."]
+    for limit in (150_000, 3):
+        monkeypatch.setattr(token_alignment, "MAX_KEPT", limit)
+        for _ in range(150):
+            texts = ["".join(rng.choice(parts) + rng.choice(["", " ", " ", "\n"]) for _ in range(rng.randrange(14)))
+                     for _ in range(20)]
+            for text, got, (a, b) in zip(texts, t.linked(texts), t.encode(texts)):
+                assert got == t.entry(a, b), repr(text)
+
+
 def test_ids_are_the_libraries(files):
     import sentencepiece
     from tokenizers import Tokenizer
