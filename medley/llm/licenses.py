@@ -3,7 +3,7 @@
 A text block is a stretch of 2c words that starts at a multiple of c; c is the
 least power of two (8 at least) that holds the template, so a template's words
 standing together always lie inside one block whole. A block is found when it
-contains ``threshold`` of the template's distinct words.
+contains ``percent`` of the template's distinct words.
 
 The join is the prefix-filtering one. Words are ordered by how often they occur
 in the whole corpus, rarest first. Only words of some template can be shared, so
