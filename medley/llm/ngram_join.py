@@ -40,7 +40,9 @@ from medley.llm.word_hashes import MIX, mixed, word_hashes
 
 NUM, DEN = 75, 100
 NGRAM = 5
-FREQUENT = 8            # counted occurrences from which a token is frequent
+FREQUENT = 8            # counted occurrences from which a token is frequent, at least; and
+PER_TOKENS = 4_000_000  # one for each so many tokens of the corpus, so that the share of tokens
+                        # that are frequent, and with it the signatures of a text, stays alike
 MOST_FREQUENT = 1 << 18  # frequent tokens carried by every task
 SUBCLASSES = 16
 SMALL, SMALLEST = 31, 23  # sets below SMALL use single tokens too, below SMALLEST only those; see sizes()
@@ -583,8 +585,9 @@ def join_components(docs: DataFrame, num: int = NUM, den: int = DEN, id_col: str
                         F.xxhash64(docs[id_col], text).alias("row_key"), text.alias("text"))
     first = written(spark, texts.mapInArrow(_first_pass, FIRST), "shingle-sets")
     rows = first.filter("cid is not null")
+    least = max(FREQUENT, (rows.agg(F.sum("size")).first()[0] or 0) // PER_TOKENS)
     top = (first.filter("cid is null").groupBy("token").agg(F.sum("n").alias("n"))
-           .filter(F.col("n") >= FREQUENT).orderBy(F.col("n").desc(), "token").limit(MOST_FREQUENT).toPandas())
+           .filter(F.col("n") >= least).orderBy(F.col("n").desc(), "token").limit(MOST_FREQUENT).toPandas())
     frequent = Frequent(top["token"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64))
     only = texts.select("text")
     groups = (only.mapInArrow(_signature_rows(sc.broadcast(frequent), num, den), ROLES)
