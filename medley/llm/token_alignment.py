@@ -38,7 +38,8 @@ from medley.llm.bpe_transducer import SPACE, model_bytes
 from medley.llm.common import text_of, text_slices, written
 
 SLICE = 1 << 20         # bytes of text tokenized at once (a longer text is a slice of its own)
-MAX_KEPT = 150_000      # segments remembered per worker, and as many old ones,
+ROWS = 256              # texts whose links are scored at once
+MAX_KEPT = 100_000      # segments remembered per worker, and as many old ones,
 LONGEST = 48            # of at most so many characters
 # Visible characters of Latin scripts; none is white space to any pattern.
 VISIBLE = "[!-~\u00A1-\u024F]"
@@ -324,7 +325,8 @@ def alignment_report(docs: DataFrame, a_path: str | None = None, b_path: str | N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, counts, best = scores.value
-        for batch in batches:
+        _ALIGNERS.clear()                         # a worker that tokenized is done with it
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             of = batch.column(5)
             offsets = of.offsets.to_numpy().astype(np.int64)
             flat = of.values.to_numpy()[offsets[0]:offsets[-1]]
