@@ -1,10 +1,13 @@
 """Column conversions the Parquet reader needs, usable on any table.
 
-All are JVM-side column expressions.
+All but ``wide_decimal_text`` are JVM-side column expressions.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
 EPOCH_NTZ = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
@@ -111,9 +114,35 @@ def half_to_float(col) -> Column:
     return F.when(F.length(b) == 2, val.cast("float"))
 
 
+def _decimal_text(raw: bytes | None, scale: int) -> str | None:
+    """One value of ``wide_decimal_text``."""
+    if not raw:
+        return None
+    v = int.from_bytes(raw, "big", signed=True)
+    # str() refuses integers of more than 4300 digits; Decimal takes any
+    digits = (str(abs(v)) if len(raw) <= 1024 else format(Decimal(abs(v)), "f")).rjust(scale + 1, "0")
+    text = f"{digits[:-scale]}.{digits[-scale:]}" if scale > 0 else digits
+    return "-" + text if v < 0 else text
+
+
 def wide_decimal_text(col, scale: int) -> Column:
     """Decimal of any precision stored as big-endian two's complement bytes
-    -> exact decimal text, in built-in functions.
+    -> exact decimal text. NULL or empty bytes: NULL.
+
+    The one conversion that leaves the JVM, whose built-in arithmetic ends at 38
+    digits: Arrow batches of bytes become Python integers of any size. Inside a
+    lambda use ``wide_decimal_text_inside``, whose interpreted steps grow with the
+    square of a value's bytes."""
+    @F.arrow_udf("string")
+    def text(raw: pa.Array) -> pa.Array:
+        return pa.array([_decimal_text(x, scale) for x in raw.to_pylist()], pa.string())
+
+    return text(_c(col))
+
+
+def wide_decimal_text_inside(col, scale: int) -> Column:
+    """``wide_decimal_text`` in built-in functions, for values inside arrays, maps and
+    structs, where a Python function may not stand. A column is far faster the other way.
 
     The magnitude is kept as limbs of nine digits, least first. Every two bytes
     multiply the limbs by 2^16 and add the bytes, with the carry walking through
@@ -174,5 +203,6 @@ def nested_to_text(col) -> Column:
 
 
 __all__ = ["unsigned_widen", "days_to_date", "millis_to_date", "epoch_to_datetime", "bool_to_int",
-           "half_to_float", "wide_decimal_text", "time_to_text", "nested_to_text",
+           "half_to_float", "wide_decimal_text",
+           "wide_decimal_text_inside", "time_to_text", "nested_to_text",
            "micros_to_ntz", "ntz_to_micros", "ltz_to_utc_ntz", "epoch_ntz"]

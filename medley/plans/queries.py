@@ -447,10 +447,10 @@ def wide_decimal_bytes() -> F.Column:
     """24-byte big-endian two's complement integers from lineitem keys:
     orderkey * 2^128 + partkey * 2^64 + suppkey, negated (one's complement,
     i.e. -x - 1) on odd line numbers."""
-    hx = F.concat(*[F.lpad(F.hex(F.col(c)), 16, "0")
-                    for c in ("l_orderkey", "l_partkey", "l_suppkey")])
-    hx = F.when(F.col("l_linenumber") % 2 == 1,
-                F.translate(hx, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(hx)
+    def word(c):
+        return F.when(F.col("l_linenumber") % 2 == 1, F.bitwise_not(F.col(c))).otherwise(F.col(c))
+
+    hx = F.concat(*[F.lpad(F.hex(word(c)), 16, "0") for c in ("l_orderkey", "l_partkey", "l_suppkey")])
     return F.unhex(hx)
 
 

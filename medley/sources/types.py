@@ -146,6 +146,8 @@ def decode(col: Column, kind: RawKind, raw: T.DataType | None = None) -> tuple[C
 
 
 def _inside(col: Column, kind: RawKind, raw: T.DataType) -> Column:
+    if kind.kind == "wide_decimal":
+        return conv.wide_decimal_text_inside(col, kind.scale)
     return conv.time_to_text(col, kind.unit) if kind.kind == "time" else decode(col, kind, raw)[0]
 
 
