@@ -7,16 +7,20 @@ time; then no earlier row can come any more, and the host's waiting rows leave i
 order of (ts, seq), each with the last good counters before it. So a row late by
 less than the bound gets its own rate, and the row after it the right one: the
 result is that of the batch report whatever the order of arrival within the bound.
-Later rows are dropped by the watermark, as in any windowed stream.
+Later rows are dropped by the watermark, as in any windowed stream. A host that was
+silent for ``forget_after`` is forgotten: its next sample is a first one.
 
-State per host, kept by ``transformWithState`` in RocksDB: the rows that wait (those of
-the last ``bound``), the last good counters, and one event-time timer. A host that
-was silent for ``forget_after`` is forgotten: its next sample is a first one. No folder
-gains anything but the results and what Spark itself keeps and prunes.
+``start_ordered_report`` and ``run_ordered_report`` handle each micro-batch as a table.
+The rows that wait (those of the last ``bound``), the last good sample of each host and
+the watermark lie in folders keyed by batch id, overwritten by a replay and pruned
+behind the batch at work; the rows that leave go through the batch report's two-level
+carry, so neither a host with most of the rows nor a first batch that holds a whole
+table is one task, and no row passes through Python.
 
-The rows of one host that wait are sorted in one task, so for a host with a large
-part of all rows the bound limits what that task holds; where even that is too much,
-``run_resource_report`` splits a host by time.
+``ordered_report_stream`` is the form with Spark's keyed state, a streaming frame for
+further streaming operators: ``transformWithState`` in RocksDB keeps the waiting rows, the
+last good counters and one event-time timer per host. The rows of one host that wait are
+sorted in one task, row by row in Python, so it is for streams of small hosts.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from medley.functions.conversions import micros_to_ntz, ntz_to_micros
 from medley.operators import metrics as mx
 from medley.session import scratch_path
 from medley.streaming.event_time import event_time
-from medley.streaming.folders import rocksdb_state
+from medley.streaming.folders import batches, prune
 
 GOOD = T.StructType([T.StructField(c, T.LongType()) for c in ["ts", *mx.COUNTERS]])
 
@@ -140,32 +144,101 @@ def ordered_report_stream(samples: DataFrame, bound_seconds: int = 600, forget_a
     return mx.report_from_previous(_as_times(ordered), rate_basis)
 
 
+GOOD_ROWS = T.StructType([T.StructField("host", T.StringType()), T.StructField("ts", T.TimestampNTZType())]
+                         + [T.StructField(c, T.LongType()) for c in mx.COUNTERS])
+MARKS = T.StructType([T.StructField("before_us", T.LongType()), T.StructField("now_us", T.LongType())])
+
+
+def _read(spark: SparkSession, folder: str, name: str, batch_id: int, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{folder}/{name}/batch={batch_id}")
+
+
+def _carried(rows: DataFrame, good: DataFrame, forget_after: int | None) -> DataFrame:
+    """``prev_ts`` and ``prev_<counter>`` of the rows, after the last good samples before
+    them. These enter as rows of their own; their seq only breaks ties."""
+    before = good.withColumn("ok", F.lit(True)).withColumn("seq", F.lit(None).cast("bigint"))
+    rows = rows.withColumn("_row", F.lit(True)).unionByName(before, allowMissingColumns=True)
+    out = mx.with_previous_good(rows).where("_row").drop("_row")
+    if forget_after is None:
+        return out
+    silent = ntz_to_micros("ts") > ntz_to_micros("prev_ts") + F.lit(forget_after * 1_000_000)
+    return out.withColumns({f"prev_{c}": F.when(~F.coalesce(silent, F.lit(False)), F.col(f"prev_{c}"))
+                            for c in GOOD.names})
+
+
+def _last_good(rows: DataFrame, good: DataFrame) -> DataFrame:
+    """The last good sample of each host, NULL being a host like any other."""
+    fresh = rows.where("ok").select(*GOOD_ROWS.names, F.col("seq").alias("_seq"))
+    both = fresh.unionByName(good.withColumn("_seq", F.lit(None).cast("bigint")))
+    last = both.groupBy("host").agg(F.max_by(F.struct(*GOOD_ROWS.names[1:]), F.struct("ts", "_seq")).alias("g"))
+    return last.select("host", *[F.col("g")[f.name].cast(f.dataType).alias(f.name) for f in GOOD_ROWS.fields[1:]])
+
+
+def _ordered_writer(spark: SparkSession, samples: DataFrame, folder: str, bound_seconds: int,
+                    forget_after: int | None, rate_basis: str, behind: bool):
+    """The stream writer. A batch gives out the rows that the watermark after it has
+    passed and drops those that the watermark before it had; with ``behind``, both go by
+    the watermarks of one batch earlier, which batches that follow one another at once
+    have in Spark, and what has not left is for ``waiting_report``."""
+    if forget_after is not None and forget_after <= bound_seconds:
+        raise ValueError("forget_after must be more than bound_seconds")
+    bound_us, schema = bound_seconds * 1_000_000, samples.schema
+    if not batches(spark, f"{folder}/marks"):
+        none, no_good = spark.createDataFrame([], schema), spark.createDataFrame([], GOOD_ROWS)
+        none.write.mode("overwrite").parquet(f"{folder}/waiting/batch=-1")
+        no_good.write.mode("overwrite").parquet(f"{folder}/good/batch=-1")
+        first = mx.report_from_previous(_carried(none, no_good, forget_after), rate_basis)
+        first.write.mode("overwrite").parquet(f"{folder}/out/batch=-1")
+        spark.createDataFrame([(None, None)], MARKS).write.mode("overwrite").parquet(f"{folder}/marks/batch=-1")
+
+    def emit(batch: DataFrame, batch_id: int) -> None:
+        own = batch.sparkSession
+        batch.where("ts is not null").write.mode("overwrite").parquet(f"{folder}/rows/batch={batch_id}")
+        arrived = _read(own, folder, "rows", batch_id, schema)
+        before, now = _read(own, folder, "marks", batch_id - 1, MARKS).first()
+        newest = arrived.agg(F.max(ntz_to_micros("ts"))).first()[0]
+        after = max((m for m in (now, None if newest is None else newest // 1000 * 1000 - bound_us)
+                     if m is not None), default=None)
+        late, due = (before, now) if behind else (now, after)
+        us = ntz_to_micros("ts")
+        rows = arrived if late is None else arrived.where(us > late)
+        rows = _read(own, folder, "waiting", batch_id - 1, schema).unionByName(rows)
+        good = _read(own, folder, "good", batch_id - 1, GOOD_ROWS)
+        if due is not None:
+            ready, rows = rows.where(us <= due), rows.where(us > due)
+            report = mx.report_from_previous(_carried(ready, good, forget_after), rate_basis)
+            report.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
+            good = _last_good(ready, good)
+            if forget_after is not None:
+                good = good.where(us > due - forget_after * 1_000_000)
+        rows.write.mode("overwrite").parquet(f"{folder}/waiting/batch={batch_id}")
+        good.write.mode("overwrite").parquet(f"{folder}/good/batch={batch_id}")
+        (own.createDataFrame([(now, after)], MARKS).coalesce(1)
+         .write.mode("overwrite").parquet(f"{folder}/marks/batch={batch_id}"))
+        prune(own, f"{folder}/rows", batch_id)
+        for name in ("waiting", "good", "marks"):
+            prune(own, f"{folder}/{name}", batch_id - 1)
+
+    return samples.writeStream.foreachBatch(emit).option("checkpointLocation", f"{folder}/checkpoint")
+
+
 def start_ordered_report(spark: SparkSession, samples: DataFrame, folder: str, bound_seconds: int = 600,
                          forget_after: int | None = 86_400, rate_basis: str = "elapsed",
                          trigger: dict | None = None):
-    """The report as a running query into ``folder``/out (Parquet, exactly once). Started
-    again with the same folder it goes on where it stopped."""
-    stream = ordered_report_stream(samples, bound_seconds, forget_after, rate_basis)
-    with rocksdb_state(spark):
-        return (stream.writeStream.format("parquet").option("path", f"{folder}/out")
-                .option("checkpointLocation", f"{folder}/checkpoint").outputMode("append")
-                .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
-
-
-def waiting_report(spark: SparkSession, folder: str, rate_basis: str = "elapsed") -> DataFrame:
-    """The report of the rows that still wait, read from a stopped query's state and
-    not taken from it: what a run that ends with its input has not given out yet."""
-    with rocksdb_state(spark):
-        state = spark.read.format("statestore").option("path", f"{folder}/checkpoint")
-        waiting = state.option("stateVarName", "waiting").load()
-        good = state.option("stateVarName", "good").load()
-    waiting = waiting.select("list_element.*").withColumn("ts", micros_to_ntz("ts"))
-    # the last good sample of each host enters as a row of its own; seq only breaks ties
-    before = (good.select(F.col("key.host").alias("host"), "value.*").withColumn("ts", micros_to_ntz("ts"))
-              .withColumn("ok", F.lit(True)).withColumn("seq", F.lit(None).cast("bigint")))
-    rows = waiting.withColumn("_waits", F.lit(True)).unionByName(before, allowMissingColumns=True)
-    carried = mx.with_previous_good(rows).where("_waits").drop("_waits")
-    return mx.report_from_previous(carried, rate_basis)
+    """The report as a running query into ``folder``/out (Parquet, one folder per batch, each
+    overwritten by a replay). Started again with the same folder it goes on where it stopped."""
+    writer = _ordered_writer(spark, samples, folder, bound_seconds, forget_after, rate_basis, behind=False)
+    return writer.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+
+
+def waiting_report(spark: SparkSession, folder: str, rate_basis: str = "elapsed",
+                   forget_after: int | None = None) -> DataFrame:
+    """The report of the rows that still wait, read from a stopped query's folders and
+    not taken from them: what a run that ends with its input has not given out yet."""
+    last = batches(spark, f"{folder}/marks")[-1]
+    waiting = spark.read.parquet(f"{folder}/waiting/batch={last}")
+    return mx.report_from_previous(
+        _carried(waiting, _read(spark, folder, "good", last, GOOD_ROWS), forget_after), rate_basis)
 
 
 def run_ordered_report(spark: SparkSession, samples: DataFrame, bound_seconds: int = 600,
@@ -173,10 +246,10 @@ def run_ordered_report(spark: SparkSession, samples: DataFrame, bound_seconds: i
     """The report until the input is exhausted, the rows that still wait included.
     Nothing is forgotten in between."""
     folder = folder or scratch_path(spark, "ordered-report")
-    query = start_ordered_report(spark, samples, folder, bound_seconds, None, rate_basis, {"availableNow": True})
-    query.awaitTermination()
+    writer = _ordered_writer(spark, samples, folder, bound_seconds, None, rate_basis, behind=True)
+    writer.trigger(availableNow=True).start().awaitTermination()
     done = waiting_report(spark, folder, rate_basis)
-    return spark.read.schema(done.schema).parquet(f"{folder}/out").unionByName(done)
+    return spark.read.schema(done.schema).parquet(f"{folder}/out").drop("batch").unionByName(done)
 
 
 __all__ = ["InOrder", "ordered_report_stream", "start_ordered_report", "run_ordered_report",

@@ -101,6 +101,29 @@ def test_rows_without_a_time_are_left_out(spark, tmp_path):
     assert sorted(r.seq for r in out.collect()) == [1, 2]
 
 
+def test_waiting_rows_never_pass_python_and_a_hot_host_is_split(spark, tmp_path):
+    """20,000 rows of one host in one file: all wait, and the report of them is dealt by time."""
+    hot = spark.range(20_000).selectExpr("'hot' AS host", "timestampadd(SECOND, id, TIMESTAMP_NTZ '2024-01-01 00:00:00') AS ts",
+                                         "id AS seq")
+    c = spark.createDataFrame([], COLS).schema
+    rest = [F.lit(True).alias(f.name) if f.name == "ok" else F.col("seq").cast(f.dataType).alias(f.name)
+            for f in c if f.name not in hot.columns]
+    hot = hot.select("*", *rest).select(*c.names)
+    hot = hot.withColumn("interval_sec", F.lit(5).cast(c["interval_sec"].dataType)) if "interval_sec" in c.names else hot
+    feed(spark, str(tmp_path / "in"), [hot.coalesce(1)])
+    out = orr.run_ordered_report(spark, stream(spark, str(tmp_path / "in")))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Python" not in plan and "TransformWithState" not in plan and "_tb" in plan
+    folder = str(tmp_path / "work")
+    feed(spark, str(tmp_path / "in2"), [hot.coalesce(1)])
+    query = orr.start_ordered_report(spark, stream(spark, str(tmp_path / "in2")), folder, trigger={"availableNow": True})
+    query.awaitTermination()
+    assert orr.waiting_report(spark, folder).count() == 600
+    left = spark.read.parquet(f"{folder}/out").drop("batch").unionByName(orr.waiting_report(spark, folder))
+    same(out, mx.resource_report(hot))
+    same(left, mx.resource_report(hot))
+
+
 def test_endless_median_closes_windows_as_the_watermark_passes(spark, tmp_path):
     rng = random.Random(6)
     rows = [("hot" if rng.random() < 0.7 else "cold", T0 + dt.timedelta(seconds=s),
