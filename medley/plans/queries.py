@@ -591,17 +591,18 @@ def median_ties(spark, sf):
 SELECT l_returnflag, l_linestatus, round(median(l_extendedprice), 4) AS median, count(l_extendedprice) AS n
 FROM lineitem GROUP BY l_returnflag, l_linestatus""")
 def median_by_name(spark, sf):
-    """The median called in SQL by its registered name, a group a stream of
-    sorted rows."""
-    from medley.functions.table_aggregates import register_table_aggregates
+    """The median called in SQL by its registered name, a group dealt as sorted
+    pieces of bounded size."""
+    from medley.functions.table_aggregates import median_pieces, register_table_aggregates
     register_table_aggregates(spark)
-    _t(spark, sf, "lineitem").createOrReplaceTempView("medley_lineitem")
+    pieces = median_pieces(_t(spark, sf, "lineitem"), "l_extendedprice", ["l_returnflag", "l_linestatus"])
+    pieces.createOrReplaceTempView("medley_lineitem_pieces")
     return spark.sql("""
         SELECT l_returnflag, l_linestatus, round(median, 4) AS median, n
-        FROM my_median(TABLE(SELECT l_returnflag, l_linestatus, l_extendedprice, count(l_extendedprice)
-                               OVER (PARTITION BY l_returnflag, l_linestatus) AS n FROM medley_lineitem)
-                         PARTITION BY (l_returnflag, l_linestatus) ORDER BY l_extendedprice,
-                       value => 'l_extendedprice', keys => 'l_returnflag, l_linestatus')""")
+        FROM my_median(TABLE(medley_lineitem_pieces)
+                         PARTITION BY (l_returnflag, l_linestatus, piece) ORDER BY l_extendedprice,
+                       value => 'l_extendedprice', keys => 'l_returnflag, l_linestatus',
+                       weight => 'copies', before => 'before')""")
 
 
 @query("median_integer_by_group", """

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import statistics
 
 import pytest
@@ -101,3 +102,40 @@ def test_drop_and_duplicate_rules(spark):
     registry.drop(spark, "middle", if_exists=True)
     with pytest.raises(AnalysisException):
         spark.sql("SELECT * FROM middle(TABLE(SELECT 1 AS v, 1 AS n) ORDER BY v, value => 'v')").schema
+
+
+PIECES = """SELECT * FROM my_median(TABLE(cut) PARTITION BY (k, piece) ORDER BY v,
+  value => 'v', keys => 'k', weight => 'copies', before => 'before')"""
+
+
+@pytest.mark.parametrize("piece_rows", [2, 7, 40, 10_000])
+def test_pieces_of_a_group_give_what_the_whole_group_gives(named, piece_rows):
+    rng = random.Random(piece_rows)
+    rows = [(rng.choice("ab"), float(rng.randrange(30))) for _ in range(400)] + [("c", x / 7) for x in range(100)]
+    rows += [(None, 7.0), (None, 8.0), ("n", None), ("n", None), ("m", None), ("m", 2.0), ("one", math.nan)]
+    rows += [("d", math.nan), ("d", 1.0), ("d", 2.0), ("t", 3.0), ("t", 3.0), ("t", 4.0), ("t", 4.0), ("t", None)]
+    table(named, "groups", rows)
+    whole = {r.k: (str(r.median), r.n) for r in named.sql(CALL.format(t="groups", order="")).collect()}
+    cut = ta.median_pieces(named.table("groups"), "v", ["k"], piece_rows=piece_rows)
+    cut.createOrReplaceTempView("cut")
+    got = named.sql(PIECES).collect()
+    assert len(got) == len(whole) and {r.k: (str(r.median), r.n) for r in got} == whole
+    if piece_rows <= 40:                              # no task has to hold the rows of a group
+        per = {(r.k, r.piece): r["count"] for r in cut.groupBy("k", "piece").count().collect()}
+        assert max(per.values()) <= 4 * piece_rows and sum(k == "c" for k, _p in per) > 1
+
+
+def test_pieces_of_nothing_and_of_equal_values(named):
+    ta.median_pieces(named.createDataFrame([], "k string, v double"), "v", ["k"]).createOrReplaceTempView("cut")
+    assert named.sql(PIECES).count() == 0
+    same = named.range(50_000).selectExpr("'a' AS k", "1.5D AS v")
+    cut = ta.median_pieces(same, "v", ["k"], piece_rows=100)
+    assert [r.copies for r in cut.collect()] == [50_000]
+    cut.createOrReplaceTempView("cut")
+    assert [tuple(r) for r in named.sql(PIECES).collect()] == [("a", 1.5, 50_000)]
+
+
+def test_median_by_name_does_not_count_or_sort_a_whole_group_in_one_task(spark):
+    from medley.plans.queries import QUERIES
+    plan = QUERIES["median_by_name"][0](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and "piece#" in plan and re.search(r"piece#\d+ AS partition_by_2", plan)
