@@ -20,11 +20,15 @@ Sets too small for the extension use single tokens in a key space of their own.
 Components without all pairs. Sets that are equal are one node from the start.
 Each signature's members are verified against one member, the pivot, so the work
 is linear in the signatures. While a signature still joins several components,
-further rounds use other pivots; what remains after ``ROUNDS`` rounds are
+further rounds use other pivots, ``ROUNDS`` at most and as long as one settles a
+share of ``SETTLED`` of the pairs between components; what remains are
 the pairs between different components of one signature, and all of those are
 held against exact bounds (sizes, short prefixes, parities of token buckets) and,
 where a link stays possible, verified. So no link between components is missed, and pairs inside a component,
 which cannot change it, are never listed.
+
+Only outlines of the candidate sets (sketches, parities) are written. Whole sets
+are made again from the texts, for the pairs that their outlines leave possible.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from medley.llm.common import text_of, written
+from medley.llm.common import sent_if_small, text_of, written
 from medley.llm.word_hashes import MIX, mixed, word_hashes
 
 NUM, DEN = 75, 100
@@ -49,6 +53,7 @@ SMALL, SMALLEST = 31, 23  # sets below SMALL use single tokens too, below SMALLE
 BLOCK = 4_000_000       # tokens counted together before counting across tasks
 ROWS = 512              # texts handled at once
 ROUNDS = 4
+SETTLED = 0.1           # share of the pairs between components a round settles, else it is the last
 GROUP = 4096            # sets of a signature that are handled as one array
 PACK = 5                # bytes kept of a token hash when sets are compared
 MEMBERS = 1024          # members compared to one copy of a pivot
@@ -330,43 +335,51 @@ def parity(tokens: np.ndarray) -> bytes:
     return np.packbits(counts & 1).tobytes()
 
 
-SETS = "cid long, size int, sketch binary, parity binary, tokens binary"
+OUTLINES = "cid long, size int, sketch binary, parity binary"
+SETS = "cid long, tokens binary"
+MADE = {"size": (len, pa.int32()), "sketch": (sketch, pa.binary()), "parity": (parity, pa.binary()),
+        "tokens": (packed, pa.binary())}
+
 
+def _set_rows(keys: np.ndarray, bits: np.ndarray, schema: str):
+    """(row_key, text) whose key and set id pass the bitmaps -> the set's id and what
+    else ``schema`` names. Other texts are not read."""
+    names = [x.split()[0] for x in schema.split(", ")]
+    made = [MADE[name] for name in names[1:]]
 
-def _set_rows(bits: np.ndarray):
-    """Texts whose set id passes the bitmap -> (cid, size, sketch, packed set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
+                part = whole.slice(at, ROWS)
+                part = part.filter(pa.array(_in(keys, np.array(part.column(0), np.int64))))
                 rows = []
-                for tokens in shingles(whole.column(0).slice(at, ROWS)):
+                for tokens in shingles(part.column(1)):
                     cid = set_id(tokens)
                     if cid not in seen and _in(bits, np.array([cid]))[0]:
                         if len(seen) > 500_000:
                             seen.clear()
                         seen.add(cid)
-                        rows.append((cid, len(tokens), sketch(tokens), parity(tokens), packed(tokens)))
-                cols = list(zip(*rows)) if rows else [()] * 5
-                types = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                                 names=["cid", "size", "sketch", "parity", "tokens"])
+                        rows.append((cid, *(f(tokens) for f, _ in made)))
+                cols = list(zip(*rows)) if rows else [()] * len(names)
+                types = [pa.int64(), *(t for _, t in made)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
     return run
 
 
+def sets_of(texts: DataFrame, homes: DataFrame, schema: str) -> DataFrame:
+    """The sets whose ids ``homes`` (cid, row_key) holds, made from ``texts`` (row_key,
+    text): one row at least for each, few others."""
+    rows = _set_rows(bitmap(homes, "row_key"), bitmap(homes), schema)
+    return texts.select("row_key", "text").mapInArrow(rows, schema)
+
+
 def _in(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Which ids pass the bitmap."""
     slot = ids & (len(bits) * 64 - 1)
     return (bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) != 0
 
 
-def _passing(bits: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(_in(bits, np.array(batch.column(0), np.int64))))
-    return run
-
-
 def _possible(num: int, den: int):
     """(pivot, cid, sizes, sketches) -> the pairs that may link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -380,12 +393,12 @@ def _possible(num: int, den: int):
     return run
 
 
-def bitmap(ids: DataFrame, most_bits: int = 27) -> np.ndarray:
-    """Bitmap of the ids' low bits; at most 2^most_bits bits whatever their
+def bitmap(ids: DataFrame, column: str = "cid", most_bits: int = 27) -> np.ndarray:
+    """Bitmap of the low bits of a column; at most 2^most_bits bits whatever their
     number (fuller: more rows pass, none is lost)."""
     n = ids.count()
     size = 1 << min(most_bits, max(16, (16 * n).bit_length()))
-    bit = F.col("cid").bitwiseAND(F.lit(size - 1))
+    bit = F.col(column).bitwiseAND(F.lit(size - 1))
     rows = (ids.select(F.shiftright(bit, 6).alias("w"), bit.bitwiseAND(F.lit(63)).alias("b"))
             .groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, cast(b as int))")).alias("v")).toPandas())
     bits = np.zeros(size // 64, np.uint64)
@@ -419,25 +432,27 @@ def _verified(num: int, den: int):
     return run
 
 
-def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def verify(pairs: DataFrame, outlines: DataFrame, texts: DataFrame, homes: DataFrame, num: int,
+           den: int) -> DataFrame:
     """The linked ones of distinct (pivot, cid) pairs. Small sketches rule out most
-    pairs without loss; only the sets of the rest are moved. A pivot of many
-    members is copied, once for each ``MEMBERS`` of them."""
+    pairs without loss; only the sets of the rest are made again and moved. A pivot
+    of many members is copied, once for each ``MEMBERS`` of them."""
     spark = pairs.sparkSession
-    small = sets.select("cid", F.col("size").alias("n"), F.col("sketch").alias("s"))
+    pairs = sent_if_small(written(spark, pairs, "pairs"))
+    small = outlines.select("cid", F.col("size").alias("n"), F.col("sketch").alias("s"))
     lead = small.select(F.col("cid").alias("pivot"), F.col("n").alias("pn"), F.col("s").alias("ps"))
-    pairs = (pairs.join(small, "cid").join(lead, "pivot").select("pivot", "cid", "n", "pn", "s", "ps")
+    pairs = (small.join(pairs, "cid").join(lead, "pivot").select("pivot", "cid", "n", "pn", "s", "ps")
              .mapInArrow(_possible(num, den), "pivot long, cid long").distinct())
     pairs = written(spark, pairs, "possible-pairs")
-    bits = bitmap(pairs.select("cid").unionByName(pairs.select(F.col("pivot").alias("cid"))).distinct())
-    sets = sets.select("cid", "tokens").mapInArrow(_passing(bits), "cid long, tokens binary")
     salts = (pairs.groupBy("pivot").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("salts")))
     members = (pairs.join(salts, "pivot")
                .withColumn("salt", F.pmod(F.xxhash64("cid"), F.col("salts")).cast("int"))
                .select("pivot", "salt", F.lit(1).alias("member"), "cid"))
     pivots = salts.select("pivot", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
                           F.lit(0).alias("member"), F.col("pivot").alias("cid"))
-    rows = members.unionByName(pivots).join(sets, "cid")
+    roles = written(spark, members.unionByName(pivots), "pair-roles")
+    needed = written(spark, homes.join(roles.select("cid").distinct(), "cid", "left_semi"), "needed-texts")
+    rows = sets_of(texts, needed, SETS).join(sent_if_small(roles), "cid")
     return (rows.select("pivot", "salt", "member", "cid", "tokens").repartition("pivot", "salt")
             .sortWithinPartitions("pivot", "salt", "member", "cid")
             .mapInArrow(_verified(num, den), "a long, b long"))
@@ -495,12 +510,12 @@ def _across(num: int, den: int):
     return run
 
 
-def across_components(rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def across_components(rows: DataFrame, outlines: DataFrame, num: int, den: int) -> DataFrame:
     """Candidate (pivot, cid) pairs between the components of each signature. A
     signature of more than ``GROUP`` sets is cut into blocks; each pair of blocks
     meets in a task of its own."""
     blocks = rows.groupBy("sig").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("nb"))
-    cut = (rows.join(blocks, "sig").join(sets.select("cid", "parity"), "cid")
+    cut = (rows.join(blocks, "sig").join(outlines.select("cid", "parity"), "cid")
            .withColumn("b", F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int"))
            .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))))
     cut = cut.select("sig", F.least("b", "o").alias("lo"), F.greatest("b", "o").alias("hi"),
@@ -537,10 +552,11 @@ def _meet(a: str, b: str, num: int, den: int):
             & ((F.col(f"{a}short") & (n <= m)) | (F.col(f"{b}short") & (m <= n))))
 
 
-def linked_components(spark: SparkSession, shared: DataFrame, sets: DataFrame,
-                      num: int = NUM, den: int = DEN) -> DataFrame:
+def linked_components(spark: SparkSession, shared: DataFrame, outlines: DataFrame, texts: DataFrame,
+                      homes: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """(node, label) for the sets of ``shared`` (sig, cid, size, short) that have links."""
-    comp, links = None, None
+    comp, links, last = None, None, False
+    before = shared.groupBy("sig").count().agg(F.sum(F.expr("double(count) * (count - 1)"))).first()[0] or 0
     for turn in range(ROUNDS + 1):
         if comp is None:
             rows = shared.withColumn("comp", F.col("cid"))
@@ -549,13 +565,19 @@ def linked_components(spark: SparkSession, shared: DataFrame, sets: DataFrame,
                     .withColumn("comp", F.coalesce("label", "cid")).drop("label"))
         if turn:                                     # a signature inside one component stays so
             rows = written(spark, rows, "labelled-signatures")
-            open_ = (rows.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                     .filter("lo != hi").select("sig"))
-            rows = written(spark, rows.join(open_, "sig"), "open-signatures")
+            open_ = (rows.groupBy("sig", "comp").count().groupBy("sig")
+                     .agg(F.count("*").alias("comps"),
+                          F.expr("pow(sum(count), 2) - sum(double(count) * count)").alias("apart"))
+                     .filter("comps > 1"))
+            open_ = written(spark, open_, "open")
+            rows = written(spark, rows.join(open_.select("sig"), "sig"), "open-signatures")
             if rows.isEmpty():
                 break
             shared = rows.drop("comp")
-        if turn < ROUNDS:
+            apart = open_.agg(F.sum("apart")).first()[0]
+            last = turn == ROUNDS or apart > (1 - SETTLED) * before
+            before = apart
+        if not last:
             lead = rows.groupBy("sig").agg(F.min(F.struct(
                 ~F.col("short"), F.xxhash64(F.lit(turn), "cid").alias("h"), "cid", "size", "short",
                 "comp")).alias("p"))
@@ -563,12 +585,14 @@ def linked_components(spark: SparkSession, shared: DataFrame, sets: DataFrame,
                                F.col("p.short").alias("pshort"), F.col("p.comp").alias("pcomp"))
             pairs = rows.join(lead, "sig").filter((F.col("pcomp") != F.col("comp")) & _meet("", "p", num, den))
         else:
-            pairs = across_components(rows, sets, num, den)
+            pairs = across_components(rows, outlines, num, den)
         pairs = pairs.select("pivot", "cid")
-        found = written(spark, verify(pairs.distinct(), sets, num, den), "links")
+        found = written(spark, verify(pairs.distinct(), outlines, texts, homes, num, den), "links")
         links = found if links is None else links.unionByName(found)
         if not found.isEmpty():
             comp = components(spark, links)
+        if last:
+            break
     return comp if comp is not None else spark.range(0).select(F.col("id").alias("node"), F.col("id").alias("label"))
 
 
@@ -599,9 +623,11 @@ def join_components(docs: DataFrame, num: int = NUM, den: int = DEN, id_col: str
     shared = groups.select(F.col("grp").alias("sig"), F.explode(F.arrays_zip("cids", "sizes", "shorts")).alias("m"))
     shared = written(spark, shared.select("sig", F.col("m.cids").alias("cid"), F.col("m.sizes").alias("size"),
                                           F.col("m.shorts").alias("short")), "shared-signatures")
-    bits = bitmap(shared.select("cid").distinct())
-    sets = written(spark, only.mapInArrow(_set_rows(bits), SETS), "candidate-sets")
-    comp = linked_components(spark, shared, sets, num, den)
+    homes = (rows.select("cid", "row_key").join(shared.select("cid").distinct(), "cid", "left_semi")
+             .groupBy("cid").agg(F.min("row_key").alias("row_key")))
+    homes = written(spark, homes, "candidate-texts")
+    outlines = written(spark, sets_of(texts, homes, OUTLINES), "candidate-outlines")
+    comp = linked_components(spark, shared, outlines, texts, homes, num, den)
     nodes = (rows.join(comp.withColumnRenamed("node", "cid"), "cid", "left")
              .withColumn("comp", F.coalesce("label", "cid")))
     least = written(spark, nodes.filter("size > 0").groupBy("comp", "cid").agg(F.min("doc_id").alias("class_id")),

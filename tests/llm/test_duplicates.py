@@ -71,6 +71,22 @@ def test_components_equal_all_pairs(spark, monkeypatch, frequent, group):
     assert got == brute_components(rows)
 
 
+def test_no_whole_sets_are_written_and_an_idle_round_is_the_last(spark, monkeypatch):
+    seen, write = [], ngram_join.written
+    monkeypatch.setattr(ngram_join, "FREQUENT", 10**9)
+    monkeypatch.setattr(ngram_join, "written",
+                        lambda spark, df, name: seen.append((name, df.columns)) or write(spark, df, name))
+    rng = random.Random(8)
+    line = words(rng, 24)                            # signatures that no link goes with
+    texts = [" ".join(line + words(rng, 40)) for _ in range(12)]
+    rows = list(enumerate(texts + [texts[0] + " end", texts[5]]))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.join_components(df).collect())
+    assert got == brute_components(rows)
+    assert not [name for name, columns in seen if "tokens" in columns]
+    assert [name for name, _ in seen].count("links") == 2
+
+
 def test_components_of_odd_rows(docs, rows):
     got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.join_components(docs).collect())
     assert got == brute_components([r[:2] for r in rows])
